@@ -14,7 +14,7 @@ def _col(c) -> Column:
 
 def age_years(days) -> Column:
     """abs(day count) / 365.25 to one decimal (H4)."""
-    return F.round(F.abs(_col(days)) / F.lit(K.DAYS_PER_YEAR), 1)
+    return report_round(F.abs(_col(days)) / F.lit(K.DAYS_PER_YEAR), 1)
 
 
 def currency_text(x) -> Column:
@@ -52,5 +52,7 @@ def fold_auc(auc) -> Column:
 
 
 def report_round(x, digits: int) -> Column:
-    """Report rounding (H9): two decimals on percent, four on PSI."""
-    return F.round(_col(x), digits)
+    """Report rounding (H9) as numpy does it: rint(x * 10^d) / 10^d, ties to
+    even on the scaled value.  Two decimals on percent, four on PSI."""
+    scale = float(10 ** digits)
+    return F.rint(_col(x) * F.lit(scale)) / F.lit(scale)

@@ -30,6 +30,20 @@ ORDER_REFERENCE_DATE = "2002-01-01"
 EVENT_REFERENCE_DATE = "2024-01-31"
 LATE_DAYS = 60
 
+# Money and rates are summed as decimals: exact, so a sum never depends on the
+# order rows arrive in (partitioning, retries), and equal inputs give equal
+# features on every run.
+MONEY = "decimal(18,2)"
+RATE = "decimal(9,4)"
+
+
+def _dec_sum(c, kind: str = MONEY) -> F.Column:
+    return F.sum(F.col(c).cast(kind)) if isinstance(c, str) else F.sum(c)
+
+
+def _dbl(c: F.Column) -> F.Column:
+    return c.cast("double")
+
 
 def _share(cond) -> F.Column:
     """Mean of a 0/1 flag as a double (literal 1e0, trap T8)."""
@@ -53,10 +67,11 @@ def order_facts(t: Tables) -> DataFrame:
             F.sum(dd).alias("sum_late"),
             F.max(dd).alias("max_late"),
             F.count_if(dd > LATE_DAYS).alias("n_late"),
-            F.sum("l_discount").alias("sum_discount"),
+            _dec_sum("l_discount", RATE).alias("sum_discount"),
             F.max("l_discount").alias("max_discount"),
-            F.sum("l_tax").alias("sum_tax"),
-            F.sum(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("sum_revenue"),
+            _dec_sum("l_tax", RATE).alias("sum_tax"),
+            F.sum(F.col("l_extendedprice").cast(MONEY)
+                  * (F.lit(1).cast(RATE) - F.col("l_discount").cast(RATE))).alias("sum_revenue"),
         )
     )
 
@@ -66,10 +81,10 @@ def bureau_features(t: Tables, facts: DataFrame | None = None) -> DataFrame:
     f = facts if facts is not None else order_facts(t)
     return f.groupBy(F.col("o_custkey").alias(K.KEY)).agg(
         F.count(F.lit(1)).alias("BURO_N_ORDERS"),
-        F.sum("o_totalprice").alias("BURO_SUM_PRICE"),
+        _dbl(_dec_sum("o_totalprice")).alias("BURO_SUM_PRICE"),
         _share(F.col("o_orderstatus") == "F").alias("BURO_SHARE_F"),
         F.sum("n_lines").alias("BURO_N_LINES"),
-        F.avg(F.when(F.col("n_lines") > 0, F.col("n_returned") / F.col("n_lines"))).alias("BURO_AVG_SHARE_R"),
+        F.try_divide(F.sum("n_returned"), F.sum("n_lines")).alias("BURO_SHARE_R"),
     )
 
 
@@ -79,7 +94,7 @@ def previous_app_features(t: Tables) -> DataFrame:
     days = F.datediff(F.col("o_orderdate"), F.to_date(F.lit(ORDER_REFERENCE_DATE)))
     return o.groupBy(F.col("o_custkey").alias(K.KEY)).agg(
         F.count(F.lit(1)).alias("PREV_N_ORDERS"),
-        F.avg("o_totalprice").alias("PREV_AVG_PRICE"),
+        (_dbl(_dec_sum("o_totalprice")) / F.count(F.lit(1))).alias("PREV_AVG_PRICE"),
         F.min("o_totalprice").alias("PREV_MIN_PRICE"),
         F.max("o_totalprice").alias("PREV_MAX_PRICE"),
         _share(F.col("o_orderpriority") == "1-URGENT").alias("PREV_SHARE_URGENT"),
@@ -119,7 +134,7 @@ def pos_cash_features(t: Tables, keys: DataFrame | None = None) -> DataFrame:
     agg = ev.groupBy(F.col("user_id").alias(K.KEY)).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("event_type") == "error").alias("n_error"),
-        F.sum("value").alias("sum_value"),
+        _dec_sum("value").alias("sum_value"),
         F.max(since).alias("max_since"),
         F.min(since).alias("min_since"),
     )
@@ -130,7 +145,7 @@ def pos_cash_features(t: Tables, keys: DataFrame | None = None) -> DataFrame:
         K.KEY,
         F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("POS_N_EVENTS"),
         (F.col("n_error") / F.col("n")).alias("POS_SHARE_ERROR"),
-        (F.col("sum_value") / F.col("n")).alias("POS_AVG_VALUE"),
+        (_dbl(F.col("sum_value")) / F.col("n")).alias("POS_AVG_VALUE"),
         F.coalesce(F.col("max_since"), F.lit(K.SENTINEL_VALUE)).alias("DAYS_SINCE_EVENT"),
         F.coalesce(F.col("min_since"), F.lit(K.SENTINEL_VALUE)).alias("POS_DAYS_SINCE_LAST_EVENT"),
     )
@@ -144,10 +159,10 @@ def credit_card_features(t: Tables, facts: DataFrame | None = None) -> DataFrame
         f.where(F.col("n_lines") > 0)
         .groupBy(F.col("o_custkey").alias(K.KEY))
         .agg(
-            (F.sum("sum_discount") / n).alias("CC_AVG_DISCOUNT"),
+            (_dbl(F.sum("sum_discount")) / n).alias("CC_AVG_DISCOUNT"),
             F.max("max_discount").alias("CC_MAX_DISCOUNT"),
-            (F.sum("sum_tax") / n).alias("CC_AVG_TAX"),
-            F.sum("sum_revenue").alias("CC_SUM_REVENUE"),
+            (_dbl(F.sum("sum_tax")) / n).alias("CC_AVG_TAX"),
+            _dbl(F.sum("sum_revenue")).alias("CC_SUM_REVENUE"),
         )
     )
 

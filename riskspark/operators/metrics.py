@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions.formatting import report_round
 from .cumulative import running_totals
 
 
@@ -51,8 +52,9 @@ def ranking_metrics(df: DataFrame, score: str, label: str = K.LABEL,
     P = F.col("P").cast("double")
     N = F.col("N").cast("double")
     auc_term = F.col("pos") * (F.col("N") - F.col("cn") + F.col("neg") / F.lit(2.0))
-    ap_term = F.col("pos") / P * (F.col("cp") / (F.col("cp") + F.col("cn")))
-    ks_term = F.abs(F.col("cp") / P - F.col("cn") / N)
+    # try_divide: null instead of an ANSI error when a class is absent
+    ap_term = F.try_divide(F.col("pos"), P) * F.try_divide(F.col("cp"), F.col("cp") + F.col("cn"))
+    ks_term = F.abs(F.try_divide(F.col("cp"), P) - F.try_divide(F.col("cn"), N))
     agg = rc.groupBy(*by).agg(
         F.first("P").alias("P"), F.first("N").alias("N"),
         F.sum(auc_term).alias("__auc_num"),
@@ -60,7 +62,7 @@ def ranking_metrics(df: DataFrame, score: str, label: str = K.LABEL,
         F.max(ks_term).alias("__ks"),
     )
     ok = (F.col("P") > 0) & (F.col("N") > 0)
-    auc = F.when(ok, F.col("__auc_num") / (F.col("P").cast("double") * F.col("N")))
+    auc = F.when(ok, F.try_divide(F.col("__auc_num"), F.col("P").cast("double") * F.col("N")))
     return agg.select(
         *by,
         auc.alias("auc_roc"),
@@ -76,8 +78,8 @@ def roc_curve(df: DataFrame, score: str, label: str = K.LABEL,
     by = list(by)
     rc = ranked_counts(df, score, label, by)
     pts = rc.select(*by, "threshold",
-                    (F.col("cn") / F.col("N")).alias("fpr"),
-                    (F.col("cp") / F.col("P")).alias("tpr"))
+                    F.try_divide(F.col("cn"), F.col("N")).alias("fpr"),
+                    F.try_divide(F.col("cp"), F.col("P")).alias("tpr"))
     origin = rc.groupBy(*by).agg(F.lit(None).cast("double").alias("threshold"),
                                  F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return pts.unionByName(origin)
@@ -89,8 +91,8 @@ def pr_curve(df: DataFrame, score: str, label: str = K.LABEL,
     by = list(by)
     rc = ranked_counts(df, score, label, by)
     pts = rc.select(*by, "threshold",
-                    (F.col("cp") / (F.col("cp") + F.col("cn"))).alias("precision"),
-                    (F.col("cp") / F.col("P")).alias("recall"))
+                    F.try_divide(F.col("cp"), F.col("cp") + F.col("cn")).alias("precision"),
+                    F.try_divide(F.col("cp"), F.col("P")).alias("recall"))
     end = rc.groupBy(*by).agg(F.lit(None).cast("double").alias("threshold"),
                               F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return pts.unionByName(end)
@@ -106,7 +108,7 @@ def class_balance(df: DataFrame, label: str = K.LABEL, by: Sequence[str] = ("spl
     return df.where(F.col(label).isNotNull()).groupBy(*by).agg(
         F.sum(F.col(label).cast("long")).alias("n_pos"),
         F.count(F.lit(1)).alias("n_total"),
-    ).withColumn("pct_pos", F.round(F.col("n_pos") / F.col("n_total") * F.lit(100.0), 2))
+    ).withColumn("pct_pos", report_round(F.col("n_pos") / F.col("n_total") * F.lit(100.0), 2))
 
 
 def class_ratio(df: DataFrame, label: str = K.LABEL) -> DataFrame:
@@ -115,7 +117,7 @@ def class_ratio(df: DataFrame, label: str = K.LABEL) -> DataFrame:
     return df.where(y.isNotNull()).agg(
         F.count_if(y == 0).alias("n_neg"), F.count_if(y == 1).alias("n_pos"),
     ).withColumn("scale_pos_weight",
-                 F.when(F.col("n_pos") > 0, F.col("n_neg") / F.col("n_pos")))
+                 F.try_divide(F.col("n_neg"), F.col("n_pos")))
 
 
 def positive_weight(label: str, ratio: float) -> F.Column:

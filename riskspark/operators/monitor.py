@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions.formatting import report_round
 from ..functions.binning import (decile_probabilities, edges_literal, equal_width_edges,
                                  histogram_bin, quantile_bin)
 from ..functions.formatting import bin_label
@@ -113,7 +114,7 @@ def band_distribution(scores: DataFrame, band: str = "risk_band") -> DataFrame:
     out = out.withColumn("__k", F.lit(1)).join(F.broadcast(total.withColumn("__k", F.lit(1))), "__k")
     return out.select(band, "band_order", "count",
                       F.when(F.col("__total") > 0,
-                             F.round(F.col("count") / F.col("__total") * F.lit(100.0), 2))
+                             report_round(F.col("count") / F.col("__total") * F.lit(100.0), 2))
                       .otherwise(F.lit(0.0)).alias("pct"))
 
 
@@ -161,7 +162,7 @@ def histogram(df: DataFrame, value: str = "score", by: str = "split",
            .join(F.broadcast(totals), by, "left")
            .withColumn("count", F.coalesce("count", F.lit(0)).cast("long")))
     width = F.col("hi") - F.col("lo")
-    dens = F.when(width > 0, F.col("count") / (F.col("__total") * width))
+    dens = F.when(width > 0, F.try_divide(F.col("count"), F.col("__total") * width))
     return out.select(by, "bin", "lo", "hi", "count", dens.alias("density"))
 
 
@@ -197,15 +198,15 @@ def psi_table(expected: DataFrame, actual: DataFrame, value: str = "score",
                                  "bin int, lo double, hi double")
     g = (grid.join(counts, "bin", "left").withColumn("__k", F.lit(1))
          .join(F.broadcast(totals), "__k"))
-    ep = F.greatest(F.coalesce("n_e", F.lit(0)) / F.col("t_e"), F.lit(floor))
-    ap = F.greatest(F.coalesce("n_a", F.lit(0)) / F.col("t_a"), F.lit(floor))
+    ep = F.greatest(F.try_divide(F.coalesce("n_e", F.lit(0)), F.col("t_e")), F.lit(floor))
+    ap = F.greatest(F.try_divide(F.coalesce("n_a", F.lit(0)), F.col("t_a")), F.lit(floor))
     g = g.select("bin", "lo", "hi", ep.alias("ep"), ap.alias("ap"))
     psi = (F.col("ap") - F.col("ep")) * F.log(F.col("ap") / F.col("ep"))
     return g.select(
         "bin", bin_label("lo", "hi").alias("bin_label"),
-        F.round(F.col("ep") * F.lit(100.0), 2).alias("expected_pct"),
-        F.round(F.col("ap") * F.lit(100.0), 2).alias("actual_pct"),
-        F.round(psi, 4).alias("psi"),
+        report_round(F.col("ep") * F.lit(100.0), 2).alias("expected_pct"),
+        report_round(F.col("ap") * F.lit(100.0), 2).alias("actual_pct"),
+        report_round(psi, 4).alias("psi"),
         psi.alias("psi_raw"),
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
+from ..functions.formatting import report_round
 
 
 # --- B2 / B3: column selection -------------------------------------------------
@@ -80,7 +81,7 @@ def missingness(df: DataFrame) -> DataFrame:
     return long.select(
         "column_name",
         F.col("n_missing").cast("long").alias("n_missing"),
-        F.round(F.col("n_missing") / F.col("__n") * F.lit(100.0), 2).alias("pct_missing"),
+        report_round(F.col("n_missing") / F.col("__n") * F.lit(100.0), 2).alias("pct_missing"),
     )
 
 
@@ -103,7 +104,7 @@ def target_distribution(df: DataFrame, label: str = K.LABEL) -> DataFrame:
     return (g.withColumn("__total", total)
             .where(F.col(label).isNotNull())
             .select(label, F.col("n").alias("count"),
-                    F.round(F.col("n") / F.col("__total") * F.lit(100.0), 2).alias("pct")))
+                    report_round(F.col("n") / F.col("__total") * F.lit(100.0), 2).alias("pct")))
 
 
 # --- D8: distinct counts and routing -------------------------------------------
