@@ -73,9 +73,15 @@ def decile_table(scores: DataFrame, score: str = "score", label: str = K.LABEL,
         F.max(score).alias("max_score"),
         F.avg(F.col(score).cast("double")).alias("avg_score"),
     )
+    return flag_monotonicity(t, tolerance)
+
+
+def flag_monotonicity(deciles: DataFrame, tolerance: float = K.MONOTONE_TOLERANCE) -> DataFrame:
+    """A decile breaks monotonicity when its rate exceeds the previous
+    decile's rate by more than ``tolerance`` (window over <= n rows)."""
     prev = F.lag("default_rate").over(Window.orderBy("decile"))
-    return t.withColumn("monotone_violation",
-                        F.coalesce(F.col("default_rate") > prev + F.lit(tolerance), F.lit(False)))
+    return deciles.withColumn("monotone_violation",
+                              F.coalesce(F.col("default_rate") > prev + F.lit(tolerance), F.lit(False)))
 
 
 def is_monotone(deciles: DataFrame) -> DataFrame:
@@ -143,12 +149,18 @@ def histogram(df: DataFrame, value: str = "score", by: str = "split",
     if not ranges:
         return spark.createDataFrame(
             [], f"{by} string, bin int, lo double, hi double, count long, density double")
+    def grid_edges(lo: float, hi: float) -> list[float]:
+        # an automatic range of zero width is widened by 0.5 each side (numpy)
+        if lo == hi:
+            lo, hi = lo - 0.5, hi + 0.5
+        return equal_width_edges(lo, hi, n_bins)
+
     if joint:
         lo = min(r["lo"] for r in ranges)
         hi = max(r["hi"] for r in ranges)
-        edges = {r[by]: equal_width_edges(lo, hi, n_bins) for r in ranges}
+        edges = {r[by]: grid_edges(lo, hi) for r in ranges}
     else:
-        edges = {r[by]: equal_width_edges(r["lo"], r["hi"], n_bins) for r in ranges}
+        edges = {r[by]: grid_edges(r["lo"], r["hi"]) for r in ranges}
     keys = sorted(edges, key=lambda x: (x is None, x))
     edge_map = F.create_map(*[x for k in keys for x in (F.lit(k), edges_literal(edges[k]))])
     binned = df.where(F.col(value).isNotNull()).select(

@@ -224,12 +224,12 @@ def tree_nodes(spark, model_path: str) -> DataFrame:
         "treeID",
         F.col("nodeData.id").alias("node"),
         F.col("nodeData.prediction").alias("prediction"),
-        F.col("nodeData.impurityStats")[0].alias("cover"),
+        F.get(F.col("nodeData.impurityStats"), 0).alias("cover"),
         F.col("nodeData.gain").alias("gain"),
         F.col("nodeData.leftChild").alias("left"),
         F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.split.featureIndex").alias("feature_index"),
-        F.col("nodeData.split.leftCategoriesOrThreshold")[0].alias("threshold"),
+        F.get(F.col("nodeData.split.leftCategoriesOrThreshold"), 0).alias("threshold"),
     )
     return n.join(F.broadcast(w), "treeID")
 

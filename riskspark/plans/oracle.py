@@ -282,7 +282,9 @@ def _hist_sql(joint: bool, n: int = K.HIST_BINS) -> str:
           ("SELECT split, min(CAST(score AS DOUBLE)) AS lo, max(CAST(score AS DOUBLE)) AS hi "
            "FROM scores WHERE score IS NOT NULL GROUP BY split")
     return SCORES + f""",
-rng AS ({rng}),
+rng0 AS ({rng}),
+rng AS (SELECT split, CASE WHEN lo = hi THEN lo - 0.5e0 ELSE lo END AS lo,
+               CASE WHEN lo = hi THEN hi + 0.5e0 ELSE hi END AS hi FROM rng0),
 edges AS (
   SELECT split, list_transform(range({n + 1}),
            lambda i: CASE WHEN i = {n} THEN hi ELSE i * ((hi - lo) / {n}) + lo END) AS e
