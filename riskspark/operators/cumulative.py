@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 # Upper bound on buckets per group: keeps the edge table (broadcast) small.
 MAX_BUCKETS = 4096
 # Upper bound on groups whose edges go through the driver.
@@ -73,6 +75,9 @@ def running_totals(df: DataFrame, value: str, measures: Sequence[str],
     else:
         g = (df.where(F.col(value).isNotNull())
              .groupBy(*by, value).agg(*[F.sum(m).alias(m) for m in measures]))
+    # the grouped frame is read twice (edges, then sums): checkpoint it once so
+    # the input plan runs a single time and a lost executor re-reads files
+    g = materialize(g)
 
     # 1. bucket edges per group, computed once and held as data
     probs = [i / k for i in range(1, k)]

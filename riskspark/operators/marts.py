@@ -4,12 +4,22 @@ The mart SQL of the original workflow is not available, so the columns are
 our design over the fixture tables (counts, sums, means, extremes, shares of a
 status, days late, recency).
 
-Plan shape: ``lineitem`` is scanned and shuffled once.  ``order_facts`` left
-joins it to ``orders`` on the order key and aggregates per order in the same
-partitioning (no second exchange); every line-based mart then rolls those
-order rows up by customer, a shuffle of order rows (four times fewer than
-lines) with map-side partial aggregation.  The marts share that subtree, so
-Spark reuses its exchanges when they are joined in ``build_features``.
+Plan shape, chosen for size:
+
+* ``lineitem`` (the largest table) is scanned and shuffled **once**:
+  ``order_facts`` left-joins it to ``orders`` on the order key and aggregates
+  per order inside the join's partitioning (no second exchange);
+* one ``groupBy(customer)`` over those order rows computes every order- and
+  line-based column (D1, D2, D3, D5) in a single shuffle of order rows, with
+  map-side partial aggregation, so a customer holding a third of all orders
+  still sends one partial row per map task;
+* events are pre-aggregated per user before any join (D4);
+* ``build_features`` joins the application table to those two roll-ups: two
+  key joins, each one row per key (no fan-out).
+
+Per-mart functions are projections of the same roll-ups, so a mart computed
+alone equals its columns in the assembled table.  Money and rates are summed
+as decimals: exact, so no sum depends on the order rows arrive in.
 """
 
 from __future__ import annotations
@@ -21,7 +31,6 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..sources.fixtures import Tables, application
-from .joins import left_join_all
 from .quality import replace_sentinels
 
 # Day counts are relative to these fixed dates (our design; fixture data ends
@@ -30,15 +39,16 @@ ORDER_REFERENCE_DATE = "2002-01-01"
 EVENT_REFERENCE_DATE = "2024-01-31"
 LATE_DAYS = 60
 
-# Money and rates are summed as decimals: exact, so a sum never depends on the
-# order rows arrive in (partitioning, retries), and equal inputs give equal
-# features on every run.
 MONEY = "decimal(18,2)"
 RATE = "decimal(9,4)"
 
-
-def _dec_sum(c, kind: str = MONEY) -> F.Column:
-    return F.sum(F.col(c).cast(kind)) if isinstance(c, str) else F.sum(c)
+BUREAU_COLS = ["BURO_N_ORDERS", "BURO_SUM_PRICE", "BURO_SHARE_F", "BURO_N_LINES", "BURO_SHARE_R"]
+PREV_COLS = ["PREV_N_ORDERS", "PREV_AVG_PRICE", "PREV_MIN_PRICE", "PREV_MAX_PRICE",
+             "PREV_SHARE_URGENT", "PREV_N_OPEN", "PREV_DAYS_FIRST_ORDER", "PREV_DAYS_LAST_ORDER"]
+INST_COLS = ["INST_N_LINES", "INST_AVG_DAYS_LATE", "INST_MAX_DAYS_LATE", "INST_SHARE_LATE"]
+POS_COLS = ["POS_N_EVENTS", "POS_SHARE_ERROR", "POS_AVG_VALUE", "DAYS_SINCE_EVENT",
+            "POS_DAYS_SINCE_LAST_EVENT"]
+CC_COLS = ["CC_AVG_DISCOUNT", "CC_MAX_DISCOUNT", "CC_AVG_TAX", "CC_SUM_REVENUE"]
 
 
 def _dbl(c: F.Column) -> F.Column:
@@ -51,7 +61,11 @@ def _share(cond) -> F.Column:
 
 
 def order_facts(t: Tables) -> DataFrame:
-    """One row per order with its line statistics (lines may be absent)."""
+    """One row per order with its line statistics (lines may be absent).
+
+    Order keys are unique in ``orders``, so the join fans out only to an
+    order's own lines and the aggregate runs in the join's partitioning.
+    """
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                         "o_orderdate", "o_orderpriority")
     li = t.lineitem.select("l_orderkey", "l_returnflag", "l_shipdate", "l_discount",
@@ -67,126 +81,126 @@ def order_facts(t: Tables) -> DataFrame:
             F.sum(dd).alias("sum_late"),
             F.max(dd).alias("max_late"),
             F.count_if(dd > LATE_DAYS).alias("n_late"),
-            _dec_sum("l_discount", RATE).alias("sum_discount"),
+            F.sum(F.col("l_discount").cast(RATE)).alias("sum_discount"),
             F.max("l_discount").alias("max_discount"),
-            _dec_sum("l_tax", RATE).alias("sum_tax"),
+            F.sum(F.col("l_tax").cast(RATE)).alias("sum_tax"),
             F.sum(F.col("l_extendedprice").cast(MONEY)
                   * (F.lit(1).cast(RATE) - F.col("l_discount").cast(RATE))).alias("sum_revenue"),
         )
     )
 
 
-def bureau_features(t: Tables, facts: DataFrame | None = None) -> DataFrame:
-    """Two-level roll-up, lines -> order -> applicant."""
+def customer_order_rollup(t: Tables, facts: DataFrame | None = None) -> DataFrame:
+    """D1 + D2 + D3 + D5 in one aggregation of order rows by applicant.
+
+    Line-based columns (INST_*, CC_*) are null for applicants whose orders
+    have no line, as a separate line mart left-joined would give.
+    """
     f = facts if facts is not None else order_facts(t)
+    days = F.datediff(F.col("o_orderdate"), F.to_date(F.lit(ORDER_REFERENCE_DATE)))
+    n_orders = F.count(F.lit(1))
+    n_lines = F.sum("n_lines")
+    has_lines = n_lines > 0
     return f.groupBy(F.col("o_custkey").alias(K.KEY)).agg(
-        F.count(F.lit(1)).alias("BURO_N_ORDERS"),
-        _dbl(_dec_sum("o_totalprice")).alias("BURO_SUM_PRICE"),
+        # D1 bureau_features: two-level roll-up, lines -> order -> applicant
+        n_orders.alias("BURO_N_ORDERS"),
+        _dbl(F.sum(F.col("o_totalprice").cast(MONEY))).alias("BURO_SUM_PRICE"),
         _share(F.col("o_orderstatus") == "F").alias("BURO_SHARE_F"),
-        F.sum("n_lines").alias("BURO_N_LINES"),
-        F.try_divide(F.sum("n_returned"), F.sum("n_lines")).alias("BURO_SHARE_R"),
-    )
-
-
-def previous_app_features(t: Tables) -> DataFrame:
-    """Single-level roll-up of orders by applicant."""
-    o = t.orders
-    days = F.datediff(F.col("o_orderdate"), F.to_date(F.lit(ORDER_REFERENCE_DATE)))
-    return o.groupBy(F.col("o_custkey").alias(K.KEY)).agg(
-        F.count(F.lit(1)).alias("PREV_N_ORDERS"),
-        (_dbl(_dec_sum("o_totalprice")) / F.count(F.lit(1))).alias("PREV_AVG_PRICE"),
+        n_lines.alias("BURO_N_LINES"),
+        F.try_divide(_dbl(F.sum("n_returned")), n_lines).alias("BURO_SHARE_R"),
+        # D2 previous_app_features: orders by applicant
+        n_orders.alias("PREV_N_ORDERS"),
+        (_dbl(F.sum(F.col("o_totalprice").cast(MONEY))) / n_orders).alias("PREV_AVG_PRICE"),
         F.min("o_totalprice").alias("PREV_MIN_PRICE"),
         F.max("o_totalprice").alias("PREV_MAX_PRICE"),
         _share(F.col("o_orderpriority") == "1-URGENT").alias("PREV_SHARE_URGENT"),
         F.count_if(F.col("o_orderstatus") == "O").alias("PREV_N_OPEN"),
         F.min(days).alias("PREV_DAYS_FIRST_ORDER"),
         F.max(days).alias("PREV_DAYS_LAST_ORDER"),
+        # D3 installments_features: days between order and shipment, per line
+        F.when(has_lines, n_lines).alias("INST_N_LINES"),
+        F.try_divide(_dbl(F.sum("sum_late")), n_lines).alias("INST_AVG_DAYS_LATE"),
+        F.max("max_late").alias("INST_MAX_DAYS_LATE"),
+        F.try_divide(_dbl(F.sum("n_late")), n_lines).alias("INST_SHARE_LATE"),
+        # D5 credit_card_features: discount, tax and revenue of the lines
+        F.try_divide(_dbl(F.sum("sum_discount")), n_lines).alias("CC_AVG_DISCOUNT"),
+        F.max("max_discount").alias("CC_MAX_DISCOUNT"),
+        F.try_divide(_dbl(F.sum("sum_tax")), n_lines).alias("CC_AVG_TAX"),
+        _dbl(F.sum("sum_revenue")).alias("CC_SUM_REVENUE"),
     )
 
 
-def installments_features(t: Tables, facts: DataFrame | None = None) -> DataFrame:
-    """D3: days between order and shipment, per line, rolled up by applicant.
-
-    Applicants without any line get no row (null after the left join).
-    """
-    f = facts if facts is not None else order_facts(t)
-    n = F.sum("n_lines")
-    return (
-        f.where(F.col("n_lines") > 0)
-        .groupBy(F.col("o_custkey").alias(K.KEY))
-        .agg(
-            n.alias("INST_N_LINES"),
-            (F.sum("sum_late") / n).alias("INST_AVG_DAYS_LATE"),
-            F.max("max_late").alias("INST_MAX_DAYS_LATE"),
-            (F.sum("n_late") / n).alias("INST_SHARE_LATE"),
-        )
+def event_rollup(t: Tables) -> DataFrame:
+    """Events pre-aggregated per user (sparse: only users with events)."""
+    since = F.datediff(F.to_date(F.lit(EVENT_REFERENCE_DATE)), F.col("ts"))
+    return t.events.groupBy(F.col("user_id").alias(K.KEY)).agg(
+        F.count(F.lit(1)).alias("__ev_n"),
+        F.count_if(F.col("event_type") == "error").alias("__ev_error"),
+        F.sum(F.col("value").cast(MONEY)).alias("__ev_value"),
+        F.max(since).alias("__ev_max_since"),
+        F.min(since).alias("__ev_min_since"),
     )
 
 
-def pos_cash_features(t: Tables, keys: DataFrame | None = None) -> DataFrame:
-    """Sparse event roll-up; applicants with no event get the sentinel.
+def _pos_columns() -> list[F.Column]:
+    """D4 columns after the left join; no event gives the sentinel."""
+    n = F.col("__ev_n")
+    return [
+        F.coalesce(n, F.lit(0)).cast("long").alias("POS_N_EVENTS"),
+        F.try_divide(_dbl(F.col("__ev_error")), n).alias("POS_SHARE_ERROR"),
+        F.try_divide(_dbl(F.col("__ev_value")), n).alias("POS_AVG_VALUE"),
+        F.coalesce(F.col("__ev_max_since"), F.lit(K.SENTINEL_VALUE)).alias("DAYS_SINCE_EVENT"),
+        F.coalesce(F.col("__ev_min_since"), F.lit(K.SENTINEL_VALUE)).alias("POS_DAYS_SINCE_LAST_EVENT"),
+    ]
 
-    Events are pre-aggregated by user before the join, so the join carries one
-    row per user, not one per event.
-    """
-    ev = t.events
-    since = F.datediff(F.to_date(F.lit(EVENT_REFERENCE_DATE)), F.col("ts"))
-    agg = ev.groupBy(F.col("user_id").alias(K.KEY)).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("event_type") == "error").alias("n_error"),
-        _dec_sum("value").alias("sum_value"),
-        F.max(since).alias("max_since"),
-        F.min(since).alias("min_since"),
-    )
-    if keys is None:
-        keys = t.customer.select(F.col("c_custkey").alias(K.KEY))
-    j = keys.join(agg, K.KEY, "left")
-    return j.select(
-        K.KEY,
-        F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("POS_N_EVENTS"),
-        (F.col("n_error") / F.col("n")).alias("POS_SHARE_ERROR"),
-        (_dbl(F.col("sum_value")) / F.col("n")).alias("POS_AVG_VALUE"),
-        F.coalesce(F.col("max_since"), F.lit(K.SENTINEL_VALUE)).alias("DAYS_SINCE_EVENT"),
-        F.coalesce(F.col("min_since"), F.lit(K.SENTINEL_VALUE)).alias("POS_DAYS_SINCE_LAST_EVENT"),
-    )
 
+def bureau_features(t: Tables) -> DataFrame:
+    """Two-level roll-up, lines -> order -> applicant."""
+    return customer_order_rollup(t).select(K.KEY, *BUREAU_COLS)
 
-def credit_card_features(t: Tables, facts: DataFrame | None = None) -> DataFrame:
-    """Discount, tax and revenue of an applicant's lines."""
-    f = facts if facts is not None else order_facts(t)
-    n = F.sum("n_lines")
-    return (
-        f.where(F.col("n_lines") > 0)
-        .groupBy(F.col("o_custkey").alias(K.KEY))
-        .agg(
-            (_dbl(F.sum("sum_discount")) / n).alias("CC_AVG_DISCOUNT"),
-            F.max("max_discount").alias("CC_MAX_DISCOUNT"),
-            (_dbl(F.sum("sum_tax")) / n).alias("CC_AVG_TAX"),
-            _dbl(F.sum("sum_revenue")).alias("CC_SUM_REVENUE"),
-        )
-    )
+
+def previous_app_features(t: Tables) -> DataFrame:
+    """Roll-up of orders by applicant."""
+    return customer_order_rollup(t).select(K.KEY, *PREV_COLS)
+
+
+def installments_features(t: Tables) -> DataFrame:
+    """D3: applicants without any line get no row (null after the left join)."""
+    return customer_order_rollup(t).where(F.col("INST_N_LINES").isNotNull()).select(K.KEY, *INST_COLS)
+
+
+def pos_cash_features(t: Tables) -> DataFrame:
+    """Every applicant; one without events gets the sentinel."""
+    keys = t.customer.select(F.col("c_custkey").alias(K.KEY))
+    return keys.join(event_rollup(t), K.KEY, "left").select(K.KEY, *_pos_columns())
+
+
+def credit_card_features(t: Tables) -> DataFrame:
+    """Applicants with at least one line."""
+    return customer_order_rollup(t).where(F.col("INST_N_LINES").isNotNull()).select(K.KEY, *CC_COLS)
 
 
-# Named roll-ups run in order (table name -> builder).
+# Named roll-ups in order (table name -> builder).
 def feature_queries(t: Tables) -> dict[str, Callable[[], DataFrame]]:
-    facts = order_facts(t)
     return {
-        "bureau_features": lambda: bureau_features(t, facts),
+        "bureau_features": lambda: bureau_features(t),
         "previous_app_features": lambda: previous_app_features(t),
-        "installments_features": lambda: installments_features(t, facts),
+        "installments_features": lambda: installments_features(t),
         "pos_cash_features": lambda: pos_cash_features(t),
-        "credit_card_features": lambda: credit_card_features(t, facts),
+        "credit_card_features": lambda: credit_card_features(t),
     }
 
 
 def build_features(t: Tables, replace_sentinel: bool = True) -> DataFrame:
-    """C1 + B4: application table left-joined to the five marts.
+    """C1 + B4: application table left-joined to the roll-ups.
 
-    Every mart has one row per key, so the row count of the application table
+    Both roll-ups have one row per key, so the application table's row count
     is kept.  The sentinel is replaced at the end (after the marts), as the
     original workflow does; raw tables carry no ``DAYS_`` columns here.
     """
     app = application(t)
-    marts = [build() for build in feature_queries(t).values()]
-    out = left_join_all(app, marts, K.KEY)
+    orders = customer_order_rollup(t)
+    events = event_rollup(t)
+    j = app.join(orders, K.KEY, "left").join(events, K.KEY, "left")
+    out = j.select(*app.columns, *BUREAU_COLS, *PREV_COLS, *INST_COLS, *_pos_columns(), *CC_COLS)
     return replace_sentinels(out) if replace_sentinel else out
