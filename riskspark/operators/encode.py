@@ -86,19 +86,24 @@ class Preprocessor:
                   keep: Sequence[str] = (K.KEY, K.LABEL, "split", "fold")) -> DataFrame:
         out = df
         enc_cols = []
+        # rows without split/fold (new applicants, streams) take the full fit
+        has_folds = split_col in df.columns and fold_col in df.columns
         for c, te in self.target.items():
             key = F.coalesce(F.col(c), F.lit(NULL_CATEGORY))
             out = out.withColumn(f"__cat_{c}", key)
             full = te.full.withColumnRenamed("cat", f"__cat_{c}").withColumnRenamed("enc", f"__full_{c}")
-            oof = (te.oof.withColumnRenamed("cat", f"__cat_{c}").withColumnRenamed("enc", f"__oof_{c}")
-                   .withColumnRenamed("fold", fold_col))
-            fm = te.fold_mean.withColumnRenamed("fold", fold_col).withColumnRenamed("mean", f"__fm_{c}")
-            out = (out.join(broadcast_checked(full), f"__cat_{c}", "left")
-                   .join(broadcast_checked(oof), [fold_col, f"__cat_{c}"], "left")
-                   .join(broadcast_checked(fm), fold_col, "left"))
-            is_train = (F.col(split_col) == "train") & F.col(fold_col).isNotNull()
-            enc = F.when(is_train, F.coalesce(F.col(f"__oof_{c}"), F.col(f"__fm_{c}"))) \
-                .otherwise(F.coalesce(F.col(f"__full_{c}"), F.lit(te.mean)))
+            out = out.join(broadcast_checked(full), f"__cat_{c}", "left")
+            full_enc = F.coalesce(F.col(f"__full_{c}"), F.lit(te.mean))
+            if has_folds:
+                oof = (te.oof.withColumnRenamed("cat", f"__cat_{c}").withColumnRenamed("enc", f"__oof_{c}")
+                       .withColumnRenamed("fold", fold_col))
+                fm = te.fold_mean.withColumnRenamed("fold", fold_col).withColumnRenamed("mean", f"__fm_{c}")
+                out = (out.join(broadcast_checked(oof), [fold_col, f"__cat_{c}"], "left")
+                       .join(broadcast_checked(fm), fold_col, "left"))
+                is_train = (F.col(split_col) == "train") & F.col(fold_col).isNotNull()
+                enc = F.when(is_train, F.coalesce(F.col(f"__oof_{c}"), F.col(f"__fm_{c}"))).otherwise(full_enc)
+            else:
+                enc = full_enc
             enc_cols.append(enc.alias(c))
         cols = [F.col(k) for k in keep if k in df.columns]
         for c in self.groups.numeric:

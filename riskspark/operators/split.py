@@ -5,10 +5,11 @@ the split never depends on row order, partitioning or recompute.  The rank
 inside a class is computed in two levels so no class (which may hold nearly all
 rows) is ever ranked in one task:
 
-1. ``b`` = first three hex digits of the hash (4,096 buckets, near uniform);
-   count rows per (class, b) - a frame of at most classes x 4,096 rows;
+1. ``b`` = first four hex digits of the hash (65,536 buckets, near uniform,
+   enough window tasks for a large cluster); count rows per (class, b) - a
+   frame of at most classes x 65,536 rows;
 2. running sum of those counts inside the class gives each bucket's offset;
-   broadcast back (bounded by the same 8,192 rows for a binary label);
+   broadcast back (bounded by the same 131,072 rows for a binary label);
 3. ``rank = offset + row_number() over (partition by class, b order by h, id)``.
 
 Test rows: ``rank <= rint(test_size * n_class)``.  Train rows get
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 
-HASH_PREFIX = 3  # hex digits -> 16**3 buckets
+HASH_PREFIX = 4  # hex digits -> 16**4 buckets
 
 
 def id_hash(key: str, seed: int = K.RANDOM_STATE) -> F.Column:
@@ -43,7 +44,7 @@ def stratified_rank(df: DataFrame, label: str = K.LABEL, key: str = K.KEY,
         F.coalesce(F.sum("__cnt").over(w_before), F.lit(0)).alias("__before"),
         F.sum("__cnt").over(Window.partitionBy(label)).alias("__n_class"),
     )
-    # offsets has at most (#classes x 4096) rows: broadcast is size-bounded
+    # offsets has at most (#classes x 65,536) rows: broadcast is size-bounded
     ranked = labelled.join(F.broadcast(offsets), [label, "__b"], "inner")
     w = Window.partitionBy(label, "__b").orderBy("__h", key)
     ranked = ranked.withColumn("__rank", F.col("__before") + F.row_number().over(w)) \

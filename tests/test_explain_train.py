@@ -112,3 +112,12 @@ def test_waterfall_folds_remainder(spark):
     assert len(w) == 15 and w.iloc[-1].feature == "6 other features"
     assert w.shap.sum() == pytest.approx(sum(r[3] for r in rows))
     assert w.output_margin.iloc[0] == pytest.approx(0.5 + sum(r[3] for r in rows))
+
+
+def test_sample_prefilter_is_exact(spark):
+    df = spark.range(20000).withColumnRenamed("id", "SK_ID_CURR")
+    got = sorted(r[0] for r in explain.explanation_sample(df, size=500).collect())
+    h = explain.id_hash("SK_ID_CURR", 43)
+    ref = sorted(r[0] for r in df.withColumn("h", h).orderBy("h", "SK_ID_CURR").limit(500).collect())
+    assert got == ref
+    assert explain.explanation_sample(df, size=30000).count() == 20000
