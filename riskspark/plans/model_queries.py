@@ -22,6 +22,24 @@ def q_model_comparison(spark, sf_dir):
     return rounded(long.unionByName(best))
 
 
+def q_model_comparison_wide(spark, sf_dir):
+    """I14 + G2: metric rows, one column per model."""
+    run = cached_run(spark, sf_dir)
+    test = {m: s.where(F.col("split") == "test") for m, s in run.scores.items()}
+    return rounded(train.comparison_table(train.model_metrics(test)))
+
+
+def q_model_roc_curves(spark, sf_dir):
+    """E1 + G2: ROC points of both models, stacked with a ``model`` column."""
+    from ..operators.metrics import roc_curve
+    run = cached_run(spark, sf_dir)
+    stacked = None
+    for m, s in run.scores.items():
+        part = s.where(F.col("split") == "test").withColumn("model", F.lit(m))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    return rounded(roc_curve(stacked, "probability", K.LABEL, by=["model"]))
+
+
 def q_model_scores(spark, sf_dir):
     """I13 + H1 + H2: boosted-model scores for every labelled applicant."""
     return rounded(cached_run(spark, sf_dir).scores["gbt"])
@@ -100,6 +118,8 @@ def q_shap_additivity(spark, sf_dir):
 
 MODEL_QUERIES = {
     "model_comparison": q_model_comparison,
+    "model_comparison_wide": q_model_comparison_wide,
+    "model_roc_curves": q_model_roc_curves,
     "model_scores": q_model_scores,
     "model_deciles": q_model_deciles,
     "model_psi": q_model_psi,

@@ -57,7 +57,9 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None, budget: Budget
     # 2. features (the sentinel count needs the pre-replacement table)
     raw = build_features(t, replace_sentinel=False)
     _write(quality.sentinel_counts(raw), out, "reports/sentinel_counts")
-    feats = _write(quality.replace_sentinels(raw), out, "features")
+    feat_path, n_features_rows = io.write_counted(quality.replace_sentinels(raw), f"{out}/features")
+    feats = spark.read.parquet(feat_path)
+    summary["feature_rows"] = n_features_rows
     _write(quality.top_missing(feats), out, "reports/missingness")
     _write(quality.target_distribution(feats), out, "reports/target_distribution")
 

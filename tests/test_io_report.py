@@ -79,3 +79,8 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) >= 1
     assert {"decile", "count", "default_rate", "monotone_violation"} <= set(df.columns)
+
+
+def test_write_counted_observes_rows(spark, scratch):
+    path, n = io.write_counted(spark.range(37), os.path.join(scratch, "obs"))
+    assert n == 37 and spark.read.parquet(path).count() == 37
