@@ -18,8 +18,14 @@ Plan shape, chosen for size:
   key joins, each one row per key (no fan-out).
 
 Per-mart functions are projections of the same roll-ups, so a mart computed
-alone equals its columns in the assembled table.  Money and rates are summed
-as decimals: exact, so no sum depends on the order rows arrive in.
+alone equals its columns in the assembled table.
+
+Sums are exact, so no result depends on the order rows arrive in: money is
+held in integer cents and rates in basis points.  Line-level sums are plain
+longs (as fast as doubles; an order's lines cannot overflow them); the
+order -> customer sums run as ``decimal(38,0)`` on the four-times-smaller
+order rows, so even a customer holding a third of all orders cannot
+overflow.
 """
 
 from __future__ import annotations
@@ -39,8 +45,9 @@ ORDER_REFERENCE_DATE = "2002-01-01"
 EVENT_REFERENCE_DATE = "2024-01-31"
 LATE_DAYS = 60
 
-MONEY = "decimal(18,2)"
-RATE = "decimal(9,4)"
+CENTS = 100          # money unit: 1/100
+BASIS = 10_000       # rate unit: 1/10,000
+WIDE = "decimal(38,0)"
 
 BUREAU_COLS = ["BURO_N_ORDERS", "BURO_SUM_PRICE", "BURO_SHARE_F", "BURO_N_LINES", "BURO_SHARE_R"]
 PREV_COLS = ["PREV_N_ORDERS", "PREV_AVG_PRICE", "PREV_MIN_PRICE", "PREV_MAX_PRICE",
@@ -55,6 +62,15 @@ def _dbl(c: F.Column) -> F.Column:
     return c.cast("double")
 
 
+def _scaled(c: str, unit: int) -> F.Column:
+    """A decimal amount as an exact integer count of 1/unit."""
+    return F.rint(F.col(c) * F.lit(float(unit))).cast("long")
+
+
+def _wide_sum(c: str) -> F.Column:
+    return F.sum(F.col(c).cast(WIDE))
+
+
 def _share(cond) -> F.Column:
     """Mean of a 0/1 flag as a double (literal 1e0, trap T8)."""
     return F.avg(F.when(cond, F.lit(1.0)).otherwise(F.lit(0.0)))
@@ -66,14 +82,16 @@ def order_facts(t: Tables) -> DataFrame:
     Order keys are unique in ``orders``, so the join fans out only to an
     order's own lines and the aggregate runs in the join's partitioning.
     """
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus",
+                        _scaled("o_totalprice", CENTS).alias("o_price_cents"), "o_totalprice",
                         "o_orderdate", "o_orderpriority")
     li = t.lineitem.select("l_orderkey", "l_returnflag", "l_shipdate", "l_discount",
                            "l_tax", "l_extendedprice")
     j = o.join(li, o.o_orderkey == li.l_orderkey, "left")
     dd = F.datediff(F.col("l_shipdate"), F.col("o_orderdate"))
+    disc = _scaled("l_discount", BASIS)
     return (
-        j.groupBy("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+        j.groupBy("o_orderkey", "o_custkey", "o_orderstatus", "o_price_cents", "o_totalprice",
                   "o_orderdate", "o_orderpriority")
         .agg(
             F.count("l_orderkey").alias("n_lines"),
@@ -81,11 +99,11 @@ def order_facts(t: Tables) -> DataFrame:
             F.sum(dd).alias("sum_late"),
             F.max(dd).alias("max_late"),
             F.count_if(dd > LATE_DAYS).alias("n_late"),
-            F.sum(F.col("l_discount").cast(RATE)).alias("sum_discount"),
+            F.sum(disc).alias("sum_discount_bp"),
             F.max("l_discount").alias("max_discount"),
-            F.sum(F.col("l_tax").cast(RATE)).alias("sum_tax"),
-            F.sum(F.col("l_extendedprice").cast(MONEY)
-                  * (F.lit(1).cast(RATE) - F.col("l_discount").cast(RATE))).alias("sum_revenue"),
+            F.sum(_scaled("l_tax", BASIS)).alias("sum_tax_bp"),
+            # price in cents x (1 - discount) in basis points: units of 1e-6
+            F.sum(_scaled("l_extendedprice", CENTS) * (F.lit(BASIS) - disc)).alias("sum_revenue_u"),
         )
     )
 
@@ -101,16 +119,17 @@ def customer_order_rollup(t: Tables, facts: DataFrame | None = None) -> DataFram
     n_orders = F.count(F.lit(1))
     n_lines = F.sum("n_lines")
     has_lines = n_lines > 0
+    sum_price = _dbl(_wide_sum("o_price_cents")) / F.lit(float(CENTS))
     return f.groupBy(F.col("o_custkey").alias(K.KEY)).agg(
         # D1 bureau_features: two-level roll-up, lines -> order -> applicant
         n_orders.alias("BURO_N_ORDERS"),
-        _dbl(F.sum(F.col("o_totalprice").cast(MONEY))).alias("BURO_SUM_PRICE"),
+        sum_price.alias("BURO_SUM_PRICE"),
         _share(F.col("o_orderstatus") == "F").alias("BURO_SHARE_F"),
         n_lines.alias("BURO_N_LINES"),
         F.try_divide(_dbl(F.sum("n_returned")), n_lines).alias("BURO_SHARE_R"),
         # D2 previous_app_features: orders by applicant
         n_orders.alias("PREV_N_ORDERS"),
-        (_dbl(F.sum(F.col("o_totalprice").cast(MONEY))) / n_orders).alias("PREV_AVG_PRICE"),
+        (sum_price / n_orders).alias("PREV_AVG_PRICE"),
         F.min("o_totalprice").alias("PREV_MIN_PRICE"),
         F.max("o_totalprice").alias("PREV_MAX_PRICE"),
         _share(F.col("o_orderpriority") == "1-URGENT").alias("PREV_SHARE_URGENT"),
@@ -123,10 +142,12 @@ def customer_order_rollup(t: Tables, facts: DataFrame | None = None) -> DataFram
         F.max("max_late").alias("INST_MAX_DAYS_LATE"),
         F.try_divide(_dbl(F.sum("n_late")), n_lines).alias("INST_SHARE_LATE"),
         # D5 credit_card_features: discount, tax and revenue of the lines
-        F.try_divide(_dbl(F.sum("sum_discount")), n_lines).alias("CC_AVG_DISCOUNT"),
+        (F.try_divide(_dbl(_wide_sum("sum_discount_bp")), n_lines) / F.lit(float(BASIS)))
+        .alias("CC_AVG_DISCOUNT"),
         F.max("max_discount").alias("CC_MAX_DISCOUNT"),
-        F.try_divide(_dbl(F.sum("sum_tax")), n_lines).alias("CC_AVG_TAX"),
-        _dbl(F.sum("sum_revenue")).alias("CC_SUM_REVENUE"),
+        (F.try_divide(_dbl(_wide_sum("sum_tax_bp")), n_lines) / F.lit(float(BASIS)))
+        .alias("CC_AVG_TAX"),
+        (_dbl(_wide_sum("sum_revenue_u")) / F.lit(float(CENTS * BASIS))).alias("CC_SUM_REVENUE"),
     )
 
 
@@ -136,7 +157,7 @@ def event_rollup(t: Tables) -> DataFrame:
     return t.events.groupBy(F.col("user_id").alias(K.KEY)).agg(
         F.count(F.lit(1)).alias("__ev_n"),
         F.count_if(F.col("event_type") == "error").alias("__ev_error"),
-        F.sum(F.col("value").cast(MONEY)).alias("__ev_value"),
+        F.sum(_scaled("value", CENTS)).alias("__ev_value_cents"),
         F.max(since).alias("__ev_max_since"),
         F.min(since).alias("__ev_min_since"),
     )
@@ -148,7 +169,7 @@ def _pos_columns() -> list[F.Column]:
     return [
         F.coalesce(n, F.lit(0)).cast("long").alias("POS_N_EVENTS"),
         F.try_divide(_dbl(F.col("__ev_error")), n).alias("POS_SHARE_ERROR"),
-        F.try_divide(_dbl(F.col("__ev_value")), n).alias("POS_AVG_VALUE"),
+        (F.try_divide(_dbl(F.col("__ev_value_cents")), n) / F.lit(float(CENTS))).alias("POS_AVG_VALUE"),
         F.coalesce(F.col("__ev_max_since"), F.lit(K.SENTINEL_VALUE)).alias("DAYS_SINCE_EVENT"),
         F.coalesce(F.col("__ev_min_since"), F.lit(K.SENTINEL_VALUE)).alias("POS_DAYS_SINCE_LAST_EVENT"),
     ]

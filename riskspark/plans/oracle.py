@@ -43,7 +43,7 @@ app AS (
 bureau AS (
   SELECT o.o_custkey AS SK_ID_CURR,
          CAST(count(*) AS BIGINT) AS BURO_N_ORDERS,
-         CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS BURO_SUM_PRICE,
+         CAST(sum(CAST(round(o.o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100e0 AS BURO_SUM_PRICE,
          avg(CASE WHEN o.o_orderstatus = 'F' THEN 1e0 ELSE 0e0 END) AS BURO_SHARE_F,
          CAST(sum(coalesce(b.n_lines, 0)) AS BIGINT) AS BURO_N_LINES,
          CAST(sum(b.n_r) AS DOUBLE) / sum(b.n_lines) AS BURO_SHARE_R
@@ -55,7 +55,7 @@ bureau AS (
 prev AS (
   SELECT o_custkey AS SK_ID_CURR,
          CAST(count(*) AS BIGINT) AS PREV_N_ORDERS,
-         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS PREV_AVG_PRICE,
+         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100e0 / count(*) AS PREV_AVG_PRICE,
          min(o_totalprice) AS PREV_MIN_PRICE,
          max(o_totalprice) AS PREV_MAX_PRICE,
          avg(CASE WHEN o_orderpriority = '1-URGENT' THEN 1e0 ELSE 0e0 END) AS PREV_SHARE_URGENT,
@@ -79,7 +79,7 @@ inst AS (
 ),
 ev AS (
   SELECT user_id, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS n_error,
-         sum(CAST(value AS DECIMAL(18,2))) AS sum_value,
+         sum(CAST(round(value * 100) AS BIGINT)) AS sum_value_cents,
          max(date_diff('day', CAST(ts AS DATE), DATE '2024-01-31')) AS max_since,
          min(date_diff('day', CAST(ts AS DATE), DATE '2024-01-31')) AS min_since
   FROM events GROUP BY user_id
@@ -88,18 +88,18 @@ pos AS (
   SELECT c.c_custkey AS SK_ID_CURR,
          CAST(coalesce(ev.n, 0) AS BIGINT) AS POS_N_EVENTS,
          CAST(ev.n_error AS DOUBLE) / ev.n AS POS_SHARE_ERROR,
-         CAST(ev.sum_value AS DOUBLE) / ev.n AS POS_AVG_VALUE,
+         CAST(ev.sum_value_cents AS DOUBLE) / ev.n / 100e0 AS POS_AVG_VALUE,
          CAST(coalesce(ev.max_since, 365243) AS INTEGER) AS DAYS_SINCE_EVENT,
          CAST(coalesce(ev.min_since, 365243) AS INTEGER) AS POS_DAYS_SINCE_LAST_EVENT
   FROM customer c LEFT JOIN ev ON c.c_custkey = ev.user_id
 ),
 cc AS (
   SELECT o_custkey AS SK_ID_CURR,
-         CAST(sum(CAST(l_discount AS DECIMAL(9,4))) AS DOUBLE) / count(*) AS CC_AVG_DISCOUNT,
+         CAST(sum(CAST(round(l_discount * 10000) AS BIGINT)) AS DOUBLE) / count(*) / 10000e0 AS CC_AVG_DISCOUNT,
          max(l_discount) AS CC_MAX_DISCOUNT,
-         CAST(sum(CAST(l_tax AS DECIMAL(9,4))) AS DOUBLE) / count(*) AS CC_AVG_TAX,
-         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))
-                  * (CAST(1 AS DECIMAL(9,4)) - CAST(l_discount AS DECIMAL(9,4)))) AS DOUBLE) AS CC_SUM_REVENUE
+         CAST(sum(CAST(round(l_tax * 10000) AS BIGINT)) AS DOUBLE) / count(*) / 10000e0 AS CC_AVG_TAX,
+         CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)
+                  * (10000 - CAST(round(l_discount * 10000) AS BIGINT))) AS DOUBLE) / 1000000e0 AS CC_SUM_REVENUE
   FROM lines GROUP BY o_custkey
 )"""
 
