@@ -85,12 +85,14 @@ def row_count(df: DataFrame) -> int:
 
 
 def write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> tuple[str, int]:
-    """A3 + A4: write and count in the same pass (``observe`` on the write),
-    instead of a second ``count`` job over the written table."""
-    from pyspark.sql import Observation
-    obs = Observation("rows_written")
-    write_table(df.observe(obs, F.count(F.lit(1)).alias("n")), path, partition_by)
-    return path, int(obs.get["n"])
+    """A3 + A4: write, then count the written Parquet with an empty projection
+    (row-group metadata only, no column data), never re-running the plan.
+
+    ``observe`` on the write would avoid even that, but on Spark 4.1 it fails
+    to serialise for plans with broadcasts, so the written files are counted.
+    """
+    write_table(df, path, partition_by)
+    return path, int(df.sparkSession.read.parquet(path).select().count())
 
 
 # --- A5: catalog summary ----------------------------------------------------------
