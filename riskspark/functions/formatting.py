@@ -55,4 +55,5 @@ def report_round(x, digits: int) -> Column:
     """Report rounding (H9) as numpy does it: rint(x * 10^d) / 10^d, ties to
     even on the scaled value.  Two decimals on percent, four on PSI."""
     scale = float(10 ** digits)
-    return F.rint(_col(x) * F.lit(scale)) / F.lit(scale)
+    # "+ 0.0" turns a rounded -0.0 into 0.0, so equal values print and hash alike
+    return F.rint(_col(x) * F.lit(scale)) / F.lit(scale) + F.lit(0.0)

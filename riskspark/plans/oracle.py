@@ -492,7 +492,7 @@ def numpy_rounding(sql: str) -> str:
         arg = numpy_rounding(sql[j + 6:last_comma])
         d = int(sql[last_comma + 1:k].strip())
         out.append(sql[i:j])
-        out.append(f"(round_even(({arg}) * 1e{d}, 0) / 1e{d})")
+        out.append(f"(round_even(({arg}) * 1e{d}, 0) / 1e{d} + 0e0)")
         i = k + 1
 
 

@@ -47,6 +47,22 @@ def _rows(df: pd.DataFrame) -> list[tuple]:
     return sorted(rows, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
+_KIND = {"int64": "int", "int32": "int", "Int64": "int", "Int32": "int", "int16": "int", "int8": "int",
+         "float64": "float", "Float64": "float", "object": "str", "string": "str", "bool": "bool",
+         "boolean": "bool"}
+
+
+def _type_diffs(s: pd.DataFrame, o: pd.DataFrame) -> dict:
+    """Column kinds that differ between the two results (int / float / str / bool)."""
+    out = {}
+    for c in s.columns:
+        if c in o.columns:
+            a, b = str(s[c].dtype), str(o[c].dtype)
+            if _KIND.get(a, a) != _KIND.get(b, b) and not (s[c].isna().all() or o[c].isna().all()):
+                out[c] = (a, b)
+    return out
+
+
 def compare(spark, con, name: str, sf_dir: str, query, sql: str) -> dict:
     t0 = time.time()
     s = query(spark, sf_dir).toPandas()
@@ -59,6 +75,7 @@ def compare(spark, con, name: str, sf_dir: str, query, sql: str) -> dict:
         res["oracle_cols"] = sorted(o.columns)
         res["match"] = False
         return res
+    res["type_diffs"] = _type_diffs(s, o)
     a, b = _rows(s), _rows(o)
     res["match"] = a == b
     if not res["match"]:
