@@ -165,13 +165,21 @@ def explanation_sample(df: DataFrame, size: int = K.SHAP_SAMPLE_SIZE, key: str =
 
 
 def shap_values(df: DataFrame, lt: LeafTable, feature_names: Sequence[str],
-                features: str = "features", key: str = K.KEY) -> DataFrame:
-    """Long (key, feature, value, shap) rows."""
+                features: str = "features", key: str = K.KEY,
+                partitions: int | None = None) -> DataFrame:
+    """Long (key, feature, value, shap) rows.
+
+    ``partitions``: spread the rows over this many tasks first (hash of the
+    key).  A sample comes out of ``limit`` as one partition; without this the
+    whole attribution would run in a single task.
+    """
     spark = df.sparkSession
     names = list(feature_names)
     nf = len(names)
     bc = spark.sparkContext.broadcast(lt)
     arr = df.select(F.col(key).cast("long").alias(key), vector_to_array(F.col(features)).alias("x"))
+    if partitions:
+        arr = arr.repartition(int(partitions), key)
 
     def run(batches):
         table = bc.value

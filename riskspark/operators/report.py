@@ -62,8 +62,9 @@ def first_ids(scores: DataFrame, n: int = K.FIRST_IDS, key: str = K.KEY) -> Data
 
 def sample_membership(scores: DataFrame, sample: DataFrame, key: str = K.KEY) -> DataFrame:
     """Whether each scored applicant is in the explained sample."""
+    # the sample is bounded by its size parameter (5,000 rows): broadcast
     s = sample.select(key).withColumn("__in", F.lit(True))
-    return scores.select(key).join(s, key, "left").select(
+    return scores.select(key).join(F.broadcast(s), key, "left").select(
         key, F.coalesce(F.col("__in"), F.lit(False)).alias("explained"))
 
 

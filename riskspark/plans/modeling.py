@@ -91,7 +91,8 @@ def cached_run(spark: SparkSession, sf_dir: str, budget: Budget = CHECK_BUDGET)
 def shap_frame(run: ModelRun, spark: SparkSession) -> tuple[DataFrame, explain.LeafTable]:
     lt = explain.leaf_table(spark, run.gbt_path)
     sample = explain.explanation_sample(run.test)
-    return explain.shap_values(sample, lt, run.names), lt
+    parts = spark.sparkContext.defaultParallelism
+    return explain.shap_values(sample, lt, run.names, partitions=parts), lt
 
 
 def margins(run: ModelRun, df: DataFrame) -> DataFrame:

@@ -114,7 +114,8 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None, budget: Budget
     # 6. explain
     lt = explain.leaf_table(spark, paths["gbt"])
     sample = explain.explanation_sample(te_)
-    shap = _write(explain.shap_values(sample, lt, names), out, "shap/values")
+    shap = _write(explain.shap_values(sample, lt, names, partitions=spark.sparkContext.defaultParallelism),
+                  out, "shap/values")
     _write(explain.top_attribution(shap), out, "shap/global")
     _write(explain.attribution_spread(shap), out, "shap/spread")
     firsts = explain.first_per_class(sample).select(K.KEY)

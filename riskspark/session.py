@@ -41,6 +41,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_settings(total_cores: int, shuffle_bytes: int) -> dict[str, str]:
+    """Suggested settings for a large cluster (not applied automatically: a
+    cluster's own configuration wins).  Partitions are sized to about 256 MB
+    of shuffle data each, at least 3 per core; AQE coalesces small ones and
+    splits skewed join partitions at run time."""
+    target = 256 * 1024 * 1024
+    parts = max(3 * total_cores, shuffle_bytes // target)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, setting one only where none is named.
 
