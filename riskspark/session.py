@@ -21,10 +21,13 @@ TABLES = (
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "riskspark") -> SparkSession:
+                  app_name: str = "riskspark", extra: dict[str, str] | None = None) -> SparkSession:
     """Session for tests and local runs: AQE on, UI off, UTC clock."""
+    builder = SparkSession.builder
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
