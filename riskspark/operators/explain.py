@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..session import ship_package
 from .split import id_hash
 from .train import tree_nodes
 
@@ -47,6 +48,7 @@ class LeafTable:
     r: np.ndarray              # (L, D) zero fraction
     m: np.ndarray              # (L,) distinct features on the path
     base: float
+    tree: np.ndarray | None = None   # (L,) tree index of each leaf
 
 
 def leaf_table(spark, model_path: str, margin_scale: float = 2.0) -> LeafTable:
@@ -57,7 +59,8 @@ def leaf_table(spark, model_path: str, margin_scale: float = 2.0) -> LeafTable:
         raise ValueError(f"model too large to broadcast: {n_nodes} nodes")
     pdf = nodes.toPandas()
     leaves = []
-    for _, tree in pdf.groupby("treeID"):
+    tree_of = []
+    for tid, tree in pdf.groupby("treeID"):
         t = {int(r.node): r for r in tree.itertuples()}
         w = float(tree["tree_weight"].iloc[0])
 
@@ -65,6 +68,7 @@ def leaf_table(spark, model_path: str, margin_scale: float = 2.0) -> LeafTable:
             nd = t[nid]
             if nd.left < 0:
                 leaves.append((margin_scale * w * float(nd.prediction), path))
+                tree_of.append(int(tid))
                 return
             f = int(nd.feature_index)
             thr = float(nd.threshold)
@@ -100,7 +104,47 @@ def leaf_table(spark, model_path: str, margin_scale: float = 2.0) -> LeafTable:
         for j, (f, (a, b, rr)) in enumerate(sorted(feats.items())):
             fa[i, j], lo[i, j], hi[i, j], r[i, j] = f, a, b, rr
     base = float(np.sum(value * np.prod(np.where(fa >= 0, r, 1.0), axis=1)))
-    return LeafTable(value, fa, lo, hi, r, m, base)
+    return LeafTable(value, fa, lo, hi, r, m, base, np.asarray(tree_of, dtype=np.int64))
+
+
+def staged_margin_matrix(x: np.ndarray, lt: LeafTable, n_trees: int) -> np.ndarray:
+    """Margin of the first ``n_trees`` trees: each row lands in one leaf per
+    tree, the leaf whose path intervals all contain it."""
+    out = np.zeros(x.shape[0])
+    for li in np.nonzero(lt.tree < n_trees)[0]:
+        m = int(lt.m[li])
+        if m == 0:
+            out += lt.value[li]
+            continue
+        fs = lt.feats[li, :m]
+        xv = x[:, fs]
+        inside = np.all((xv > lt.lo[li, :m]) & (xv <= lt.hi[li, :m]), axis=1)
+        out += lt.value[li] * inside
+    return out
+
+
+def staged_margins(df: DataFrame, lt: LeafTable, n_trees: int, features: str = "features",
+                   keep: Sequence[str] = (K.KEY, K.LABEL)) -> DataFrame:
+    """Log-odds margin of the ensemble cut after ``n_trees`` rounds (early
+    stopping's best iteration), per row, in Arrow batches."""
+    spark = df.sparkSession
+    ship_package(spark)
+    bc = spark.sparkContext.broadcast(lt)
+    cols = [c for c in keep if c in df.columns]
+    arr = df.select(*cols, vector_to_array(F.col(features)).alias("__x"))
+    out_schema = arr.drop("__x").schema.add("margin", "double")
+
+    def run(batches):
+        table = bc.value
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.vstack(pdf["__x"].to_numpy()).astype(float)
+            res = pdf.drop(columns=["__x"])
+            res["margin"] = staged_margin_matrix(x, table, n_trees)
+            yield res
+
+    return arr.mapInPandas(run, schema=out_schema)
 
 
 def _shapley_weights(m: int) -> np.ndarray:
@@ -174,6 +218,7 @@ def shap_values(df: DataFrame, lt: LeafTable, feature_names: Sequence[str],
     whole attribution would run in a single task.
     """
     spark = df.sparkSession
+    ship_package(spark)
     names = list(feature_names)
     nf = len(names)
     bc = spark.sparkContext.broadcast(lt)

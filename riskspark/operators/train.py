@@ -8,13 +8,16 @@
 * search: seeded random search over the same nine ranges, each trial scored by
   the mean fold AUC of stratified folds (``fold`` from the split); trials run
   as concurrent driver threads sharing one checkpointed train frame; inside a
-  fold, Spark's validation-based early stopping stands in for round patience;
+  fold, early stopping keeps the round with the lowest validation loss unless
+  50 rounds pass without improvement (the held-out fold is scored with the
+  ensemble cut at that round); Spark's tolerance rule is the alternative;
 * refit of the best trial on all train rows, with no early stopping (Q7).
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -142,12 +145,57 @@ class SearchResult:
     best_value: float
 
 
+def best_round(losses: Sequence[float], patience: int = K.EARLY_STOPPING_ROUNDS) -> int:
+    """Rounds to keep: the lowest validation loss seen before ``patience``
+    rounds pass without improvement (1-based count of trees)."""
+    best_i, best = 0, float("inf")
+    for i, v in enumerate(losses):
+        if v < best:
+            best_i, best = i, v
+        elif i - best_i >= patience:
+            break
+    return best_i + 1
+
+
+def _fold_score(base: DataFrame, params: dict, ratio: float, k: int, features: str, label: str,
+                fold_col: str, max_iter_cap: int | None, seed: int, early_stopping: str,
+                patience: int) -> tuple[float | None, int]:
+    spark = base.sparkSession
+    val = base.where(F.col(fold_col) == k)
+    if early_stopping == "tolerance":
+        data = base.withColumn("__val", F.col(fold_col) == k)
+        model = train_gbt(data, params, ratio, features, label, validation="__val",
+                          max_iter_cap=max_iter_cap, seed=seed)
+        pred = predict_proba(model, val, keep=(K.KEY, label))
+        auc = ranking_metrics(pred, "probability", label).first()["auc_roc"]
+        return auc, model.getNumTrees
+    model = train_gbt(base.where(F.col(fold_col) != k), params, ratio, features, label,
+                      max_iter_cap=max_iter_cap, seed=seed)
+    scored_val = _label_double(val, label).withColumn("__w", positive_weight(label, ratio))
+    n_keep = best_round(model.evaluateEachIteration(scored_val), patience)
+    if n_keep >= model.getNumTrees:
+        pred = predict_proba(model, val, keep=(K.KEY, label))
+        auc = ranking_metrics(pred, "probability", label).first()["auc_roc"]
+    else:
+        from .explain import leaf_table, staged_margins
+        path = save_model(spark, model, f"search/{uuid.uuid4().hex}")
+        m = staged_margins(val, leaf_table(spark, path), n_keep, features, keep=(K.KEY, label))
+        auc = ranking_metrics(m, "margin", label).first()["auc_roc"]
+    return auc, n_keep
+
+
 def search(train: DataFrame, ratio: float, n_trials: int = K.N_TRIALS, n_folds: int = K.N_FOLDS,
            features: str = "features", label: str = K.LABEL, fold_col: str = "fold",
            max_iter_cap: int | None = None, parallelism: int = 4,
-           seed: int = K.RANDOM_STATE) -> SearchResult:
-    """Each trial: for every fold k, fit on the other folds with fold k as the
-    early-stopping validation set, score fold k, and average the fold AUCs."""
+           seed: int = K.RANDOM_STATE, early_stopping: str = "rounds",
+           patience: int = K.EARLY_STOPPING_ROUNDS) -> SearchResult:
+    """Each trial: for every fold k, fit on the other folds, keep the rounds
+    early stopping chooses on fold k, score fold k, and average the fold AUCs.
+
+    ``early_stopping="rounds"``: patience in rounds on the validation loss,
+    scoring the ensemble cut at the best round; ``"tolerance"``: Spark's
+    ``validationIndicatorCol`` rule.
+    """
     spark = train.sparkSession
     base = materialize(train.select(K.KEY, label, fold_col, features))
     trials = sample_trials(n_trials, seed)
@@ -155,19 +203,16 @@ def search(train: DataFrame, ratio: float, n_trials: int = K.N_TRIALS, n_folds:
     def run(i: int) -> list[tuple]:
         out = []
         for k in range(n_folds):
-            data = base.withColumn("__val", F.col(fold_col) == k)
-            model = train_gbt(data, trials[i], ratio, features, label, validation="__val",
-                              max_iter_cap=max_iter_cap, seed=seed)
-            pred = predict_proba(model, base.where(F.col(fold_col) == k), keep=(K.KEY, label))
-            auc = ranking_metrics(pred, "probability", label).first()["auc_roc"]
-            out.append((i, k, float(auc) if auc is not None else None))
+            auc, n_keep = _fold_score(base, trials[i], ratio, k, features, label, fold_col,
+                                      max_iter_cap, seed, early_stopping, patience)
+            out.append((i, k, float(auc) if auc is not None else None, int(n_keep)))
         return out
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         rows = [r for part in ex.map(run, range(n_trials)) for r in part]
-    per_fold = spark.createDataFrame(rows, "trial int, fold int, auc_roc double")
+    per_fold = spark.createDataFrame(rows, "trial int, fold int, auc_roc double, best_iteration int")
     means: dict[int, list[float]] = {}
-    for t, _, a in rows:
+    for t, _, a, _ in rows:
         if a is not None:
             means.setdefault(t, []).append(a)
     summary_rows = []

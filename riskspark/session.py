@@ -80,6 +80,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (once per context).
+
+    Arrow UDFs (``mapInPandas``) run library code on executors; a cluster
+    normally ships it with ``--py-files``.  When the workers cannot already
+    import it, the package is zipped and added with ``addPyFile`` (Spark's
+    file server distributes it).
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    staging = tempfile.mkdtemp(prefix="riskspark-pyfiles-")
+    archive = shutil.make_archive(os.path.join(staging, "riskspark"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir=os.path.basename(pkg))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -121,3 +121,32 @@ def test_sample_prefilter_is_exact(spark):
     ref = sorted(r[0] for r in df.withColumn("h", h).orderBy("h", "SK_ID_CURR").limit(500).collect())
     assert got == ref
     assert explain.explanation_sample(df, size=30000).count() == 20000
+
+
+def test_staged_margin_full_equals_model(spark, small_model):
+    df, model, path, X = small_model
+    lt = explain.leaf_table(spark, path)
+    m = explain.staged_margins(df, lt, model.getNumTrees)
+    ref = model.transform(df).select("SK_ID_CURR", (2 * vector_to_array("rawPrediction")[1]).alias("r"))
+    err = m.join(ref, "SK_ID_CURR").select(F.max(F.abs(F.col("margin") - F.col("r")))).first()[0]
+    assert err < 1e-9
+    first3 = explain.staged_margin_matrix(X, lt, 3)
+    full = explain.staged_margin_matrix(X, lt, model.getNumTrees)
+    assert not np.allclose(first3, full)
+
+
+def test_best_round_patience():
+    losses = [5, 4, 3, 3.5, 3.6, 3.7, 2.0]
+    assert train.best_round(losses, patience=3) == 3      # stops at round 6, best is round 3
+    assert train.best_round(losses, patience=10) == 7     # never stops: overall best
+    assert train.best_round([1.0], patience=50) == 1
+
+
+def test_search_with_early_stopping(spark, small_model):
+    df, _, _, _ = small_model
+    folded = df.withColumn("fold", (F.col("SK_ID_CURR") % 3).cast("int"))
+    res = train.search(folded, 1.0, n_trials=2, n_folds=3, max_iter_cap=12, parallelism=2, patience=2)
+    rows = res.trials.collect()
+    assert len(rows) == 6 and all(r["auc_roc"] is not None for r in rows)
+    assert all(1 <= r["best_iteration"] <= 12 for r in rows)
+    assert res.summary.count() == 2 and 0.5 < res.best_value <= 1.0
