@@ -196,14 +196,17 @@ def _fit_target(train: DataFrame, col: str, label: str, fold_col: str) -> Target
 
 
 def fit_preprocessor(train: DataFrame, groups: ColumnGroups, label: str = K.LABEL,
-                     fold_col: str = "fold") -> Preprocessor:
+                     fold_col: str = "fold", checkpoint: bool = True) -> Preprocessor:
     """Fit every column group on the train rows.
 
-    The fit makes several passes (cardinality, medians, moments, categories,
-    target statistics), so the needed train columns are checkpointed once.
+    The fit makes several passes (medians, moments, categories, target
+    statistics), so the needed train columns are checkpointed once, unless the
+    caller passes a frame that already reads from a checkpoint or table.
     """
     cols = [*groups.numeric, *groups.low_card, *groups.high_card, label, fold_col]
-    train = materialize(train.select(*[c for c in dict.fromkeys(cols) if c in train.columns]))
+    train = train.select(*[c for c in dict.fromkeys(cols) if c in train.columns])
+    if checkpoint:
+        train = materialize(train)
     med, means, scales = _fit_numeric(train, groups.numeric)
     pre = Preprocessor(groups=groups, medians=med, means=means, scales=scales)
     pre.categories = _fit_onehot(train, groups.low_card)

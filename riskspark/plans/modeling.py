@@ -54,9 +54,9 @@ class ModelRun:
 
 def fit_models(t: Tables, budget: Budget = Budget()) -> ModelRun:
     spark = t.spark
-    f = split_features(t).drop(*LEAK_COLUMNS)
+    f = materialize(split_features(t).drop(*LEAK_COLUMNS))
     groups = identify_column_types(f, exclude=(K.KEY, K.LABEL, "split", "fold"))
-    pre = fit_preprocessor(f.where(F.col("split") == "train"), groups)
+    pre = fit_preprocessor(f.where(F.col("split") == "train"), groups, checkpoint=False)
     names = pre.feature_names()
     enc = assemble(pre.transform(f), names)
     cols = [K.KEY, K.LABEL, "split", "fold", "features"]

@@ -69,7 +69,7 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None, budget: Budget
     model_frame = _write(model_frame, out, "split_features", partition_by=["split"])
     _write(metrics.class_balance(model_frame), out, "reports/class_balance")
     groups = identify_column_types(model_frame, exclude=(K.KEY, K.LABEL, "split", "fold"))
-    pre = fit_preprocessor(model_frame.where(F.col("split") == "train"), groups)
+    pre = fit_preprocessor(model_frame.where(F.col("split") == "train"), groups, checkpoint=False)
     names = pre.feature_names()
     _write(pre.params_frame(spark), out, "encoders/numeric")
     for c, te in pre.target.items():
