@@ -81,7 +81,7 @@ def missingness(df: DataFrame) -> DataFrame:
     return long.select(
         "column_name",
         F.col("n_missing").cast("long").alias("n_missing"),
-        report_round(F.col("n_missing") / F.col("__n") * F.lit(100.0), 2).alias("pct_missing"),
+        report_round(F.try_divide(F.col("n_missing"), F.col("__n")) * F.lit(100.0), 2).alias("pct_missing"),
     )
 
 
@@ -104,7 +104,7 @@ def target_distribution(df: DataFrame, label: str = K.LABEL) -> DataFrame:
     return (g.withColumn("__total", total)
             .where(F.col(label).isNotNull())
             .select(label, F.col("n").alias("count"),
-                    report_round(F.col("n") / F.col("__total") * F.lit(100.0), 2).alias("pct")))
+                    report_round(F.try_divide(F.col("n"), F.col("__total")) * F.lit(100.0), 2).alias("pct")))
 
 
 # --- D8: distinct counts and routing -------------------------------------------
