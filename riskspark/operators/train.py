@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..session import materialize, scratch_path
-from .metrics import class_ratio, positive_weight, ranking_metrics
+from .metrics import class_ratio, mean_over_folds, positive_weight, ranking_metrics
 
 # Search ranges (fixed values: name, low, high, log scale, integer).
 SEARCH_SPACE = (
@@ -211,18 +211,16 @@ def search(train: DataFrame, ratio: float, n_trials: int = K.N_TRIALS, n_folds:
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         rows = [r for part in ex.map(run, range(n_trials)) for r in part]
     per_fold = spark.createDataFrame(rows, "trial int, fold int, auc_roc double, best_iteration int")
-    means: dict[int, list[float]] = {}
-    for t, _, a, _ in rows:
-        if a is not None:
-            means.setdefault(t, []).append(a)
-    summary_rows = []
-    for t in range(n_trials):
-        m = float(np.mean(means[t])) if t in means else None
-        summary_rows.append((t, m, *[float(trials[t][s[0]]) for s in SEARCH_SPACE]))
-    cols = ", ".join(f"{s[0]} double" for s in SEARCH_SPACE)
-    summary = spark.createDataFrame(summary_rows, f"trial int, mean_auc_roc double, {cols}")
-    scored = [(t, m) for t, m, *_ in summary_rows if m is not None]
-    best_t, best_v = max(scored, key=lambda x: (x[1], -x[0])) if scored else (0, float("nan"))
+    cols = ", ".join(f"{name} double" for name, *_ in SEARCH_SPACE)
+    params = spark.createDataFrame(
+        [(t, *[float(trials[t][name]) for name, *_ in SEARCH_SPACE]) for t in range(n_trials)],
+        f"trial int, {cols}")
+    # Mean fold AUC per trial; F7: the best trial (ties: lowest id)
+    means = mean_over_folds(per_fold, "auc_roc", by=["trial"]).drop("n_folds")
+    summary = params.join(means, "trial", "left").select("trial", "mean_auc_roc", *params.columns[1:])
+    best = best_trial(summary).first()
+    best_t = int(best["trial"]) if best is not None else 0
+    best_v = best["mean_auc_roc"] if best is not None and best["mean_auc_roc"] is not None else float("nan")
     return SearchResult(trials=per_fold, summary=summary, best_params=trials[best_t], best_value=best_v)
 
 
