@@ -47,11 +47,13 @@ def leakage_audit(df: DataFrame, label: str = K.LABEL, key: str = K.KEY,
     for i in range(0, len(cols), batch_size):
         batch = cols[i:i + batch_size]
         long = _long_form(df.where(F.col(label).isNotNull()), batch, label)
-        counts = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_values"))
-        m = ranking_metrics(long.withColumnRenamed("__y", label), "value", label, by=["column_name"])
+        # the non-null count per column comes with the metric (P + N): no extra pass
+        m = ranking_metrics(long.withColumnRenamed("__y", label), "value", label, by=["column_name"],
+                            with_counts=True)
         names = spark.createDataFrame([(c,) for c in batch], "column_name string")
-        part = (names.join(counts, "column_name", "left")
-                .join(m.select("column_name", "auc_roc"), "column_name", "left"))
+        part = names.join(m.select("column_name", "auc_roc",
+                                   (F.col("n_pos") + F.col("n_neg")).alias("n_values")),
+                          "column_name", "left")
         parts.append(part)
     res = parts[0]
     for p in parts[1:]:

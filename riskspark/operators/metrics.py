@@ -45,8 +45,9 @@ def ranked_counts(df: DataFrame, score: str, label: str = K.LABEL,
 
 
 def ranking_metrics(df: DataFrame, score: str, label: str = K.LABEL,
-                    by: Sequence[str] = ()) -> DataFrame:
-    """One row per group: auc_roc, pr_auc (average precision), ks_statistic, gini."""
+                    by: Sequence[str] = (), with_counts: bool = False) -> DataFrame:
+    """One row per group: auc_roc, pr_auc (average precision), ks_statistic,
+    gini; with ``with_counts`` also n_pos and n_neg (rows with a score)."""
     by = list(by)
     rc = ranked_counts(df, score, label, by)
     P = F.col("P").cast("double")
@@ -63,12 +64,14 @@ def ranking_metrics(df: DataFrame, score: str, label: str = K.LABEL,
     )
     ok = (F.col("P") > 0) & (F.col("N") > 0)
     auc = F.when(ok, F.try_divide(F.col("__auc_num"), F.col("P").cast("double") * F.col("N")))
+    counts = [F.col("P").alias("n_pos"), F.col("N").alias("n_neg")] if with_counts else []
     return agg.select(
         *by,
         auc.alias("auc_roc"),
         F.when(ok, F.col("__ap")).alias("pr_auc"),
         F.when(ok, F.col("__ks")).alias("ks_statistic"),
         (F.lit(2.0) * auc - F.lit(1.0)).alias("gini"),
+        *counts,
     )
 
 
