@@ -95,8 +95,9 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None, budget: Budget
     scores = {}
     for name, model in (("logistic_regression", lr), ("gbt", gbt)):
         p = train.predict_proba(model, encoded)
-        scores[name] = _write(monitor.score_table(p, keep=[K.LABEL, "split"]), out,
-                              f"scores/{name}", partition_by=["split"])
+        path = io.write_by_key(monitor.score_table(p, keep=[K.LABEL, "split"]), f"{out}/scores/{name}",
+                               K.KEY, spark.sparkContext.defaultParallelism, partition_by=["split"])
+        scores[name] = spark.read.parquet(path)
     test_scores = {m: s.where(F.col("split") == "test") for m, s in scores.items()}
     m_long = train.model_metrics(test_scores).unionByName(
         spark.createDataFrame([("gbt", "best_cv_auc", float(res.best_value))], io.METRICS_SCHEMA))

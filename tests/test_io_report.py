@@ -84,3 +84,12 @@ def test_entry_smoke(spark):
 def test_write_counted_observes_rows(spark, scratch):
     path, n = io.write_counted(spark.range(37), os.path.join(scratch, "obs"))
     assert n == 37 and spark.read.parquet(path).count() == 37
+
+
+def test_catalog_tables_summary(spark):
+    spark.range(4).write.mode("overwrite").saveAsTable("riskspark_tmp_catalog")
+    try:
+        rows = {r["table_name"]: r["n_rows"] for r in io.catalog_tables_summary(spark).collect()}
+        assert rows.get("riskspark_tmp_catalog") == 4
+    finally:
+        spark.sql("DROP TABLE IF EXISTS riskspark_tmp_catalog")
