@@ -81,7 +81,6 @@ def running_totals(df: DataFrame, value: str, measures: Sequence[str],
 
     # 1. bucket edges per group, computed once and held as data
     probs = [i / k for i in range(1, k)]
-    vtype = g.schema[value].dataType
     if probs:
         edge_rows = (g.groupBy(*by)
                      .agg(F.percentile_approx(F.col(value).cast("double"), probs, 10 * k).alias("__edges"))

@@ -1,9 +1,7 @@
-"""Join helpers: size-checked broadcast, key joins that keep the row count."""
+"""Join helper: broadcast only a side whose row count is proven small."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +19,3 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def left_join_all(base: DataFrame, others: Sequence[DataFrame], key: str) -> DataFrame:
-    """Left-join one-row-per-key frames onto ``base``; never fans out rows."""
-    out = base
-    for o in others:
-        out = out.join(o, key, "left")
-    return out

@@ -135,9 +135,3 @@ def column_cardinality(df: DataFrame, columns: Sequence[str] | None = None,
 def class_rows(df: DataFrame, cls: int, label: str = K.LABEL) -> DataFrame:
     """The rows of one class (a pushed-down filter on Parquet)."""
     return df.where(F.col(label) == F.lit(cls))
-
-
-def catalog_row(name: str, df: DataFrame) -> DataFrame:
-    """A5 helper: table name, row count, column count as a one-row frame."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(name).alias("table_name"), "n_rows", F.lit(len(df.columns)).alias("n_columns"))

@@ -76,7 +76,7 @@ def train_baseline(train: DataFrame, features: str = "features", label: str = K.
 
 # --- I9: boosted trees --------------------------------------------------------
 
-def gbt_params(params: dict, n_features: int, max_iter_cap: int | None = None) -> dict:
+def gbt_params(params: dict, max_iter_cap: int | None = None) -> dict:
     """Map the searched ranges onto GBTClassifier parameters.
 
     n_estimators -> maxIter, learning_rate -> stepSize, max_depth -> maxDepth,
@@ -102,7 +102,7 @@ def train_gbt(train: DataFrame, params: dict, ratio: float, features: str = "fea
               label: str = K.LABEL, validation: str | None = None,
               max_iter_cap: int | None = None, seed: int = K.RANDOM_STATE) -> GBTClassificationModel:
     data = _label_double(train, label).withColumn("__w", positive_weight(label, ratio))
-    kw = gbt_params(params, 0, max_iter_cap)
+    kw = gbt_params(params, max_iter_cap)
     gbt = GBTClassifier(featuresCol=features, labelCol="__label", weightCol="__w", seed=seed, **kw)
     if validation:
         gbt = gbt.setValidationIndicatorCol(validation)

@@ -93,3 +93,12 @@ def test_catalog_tables_summary(spark):
         assert rows.get("riskspark_tmp_catalog") == 4
     finally:
         spark.sql("DROP TABLE IF EXISTS riskspark_tmp_catalog")
+
+
+def test_class_rows_and_not_explained(spark):
+    from riskspark.operators import quality
+    df = spark.createDataFrame([(i, i % 3 == 0) for i in range(9)], "SK_ID_CURR long, d boolean") \
+        .withColumn("TARGET", F.col("d").cast("int"))
+    assert io.row_count(quality.class_rows(df, 1)) == 3
+    sample = df.where("SK_ID_CURR < 4")
+    assert sorted(r[0] for r in report.not_explained(df, sample).collect()) == [4, 5, 6, 7, 8]
