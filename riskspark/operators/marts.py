@@ -76,25 +76,35 @@ def _share(cond) -> F.Column:
     return F.avg(F.when(cond, F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
+ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_price_cents", "o_totalprice",
+              "o_orderdate", "o_orderpriority")
+
+
 def order_facts(t: Tables) -> DataFrame:
     """One row per order with its line statistics (lines may be absent).
 
-    Order keys are unique in ``orders``, so the join fans out only to an
-    order's own lines and the aggregate runs in the join's partitioning.
+    Lines meet their order in an *inner* join, so adaptive execution can split
+    a hot order key on the line side (skew join) and partial aggregation
+    re-combines the pieces; a 1:1 left join then brings back orders without
+    lines.  Both joins read the same ``orders`` projection (all order columns
+    are grouping keys of the per-order aggregate), so its exchange is reused:
+    ``orders`` and ``lineitem`` are each shuffled once.
     """
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus",
-                        _scaled("o_totalprice", CENTS).alias("o_price_cents"), "o_totalprice",
-                        "o_orderdate", "o_orderpriority")
+    # an order without key or customer reaches no applicant: filtering both here
+    # keeps the two uses of ``o`` identical, so one exchange serves both joins
+    o = t.orders.where(F.col("o_orderkey").isNotNull() & F.col("o_custkey").isNotNull()).select(
+        "o_orderkey", "o_custkey", "o_orderstatus",
+        _scaled("o_totalprice", CENTS).alias("o_price_cents"), "o_totalprice",
+        "o_orderdate", "o_orderpriority")
     li = t.lineitem.select("l_orderkey", "l_returnflag", "l_shipdate", "l_discount",
                            "l_tax", "l_extendedprice")
-    j = o.join(li, o.o_orderkey == li.l_orderkey, "left")
+    lines = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     dd = F.datediff(F.col("l_shipdate"), F.col("o_orderdate"))
     disc = _scaled("l_discount", BASIS)
-    return (
-        j.groupBy("o_orderkey", "o_custkey", "o_orderstatus", "o_price_cents", "o_totalprice",
-                  "o_orderdate", "o_orderpriority")
+    stats = (
+        lines.groupBy(*ORDER_COLS)
         .agg(
-            F.count("l_orderkey").alias("n_lines"),
+            F.count(F.lit(1)).alias("n_lines"),
             F.count_if(F.col("l_returnflag") == "R").alias("n_returned"),
             F.sum(dd).alias("sum_late"),
             F.max(dd).alias("max_late"),
@@ -105,7 +115,13 @@ def order_facts(t: Tables) -> DataFrame:
             # price in cents x (1 - discount) in basis points: units of 1e-6
             F.sum(_scaled("l_extendedprice", CENTS) * (F.lit(BASIS) - disc)).alias("sum_revenue_u"),
         )
+        .drop(*ORDER_COLS[1:])
+        .withColumnRenamed("o_orderkey", "s_orderkey")
     )
+    facts = o.join(stats, o.o_orderkey == stats.s_orderkey, "left").drop("s_orderkey")
+    return facts.withColumn("n_lines", F.coalesce(F.col("n_lines"), F.lit(0)).cast("long")) \
+        .withColumn("n_returned", F.coalesce(F.col("n_returned"), F.lit(0)).cast("long")) \
+        .withColumn("n_late", F.coalesce(F.col("n_late"), F.lit(0)).cast("long"))
 
 
 def customer_order_rollup(t: Tables, facts: DataFrame | None = None) -> DataFrame:
