@@ -17,6 +17,7 @@ once, and are broadcast only when their row count is proven small.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -82,6 +83,24 @@ class Preprocessor:
         rows = [(c, self.medians[c], self.means[c], self.scales[c]) for c in self.medians]
         return spark.createDataFrame(rows, "column_name string, median double, mean double, scale double")
 
+    def save(self, path: str) -> str:
+        """A10: scalars and category lists as one JSON document, target
+        encoding maps as Parquet tables, all under ``path``."""
+        spark = next(iter(self.target.values())).full.sparkSession if self.target else None
+        from pyspark.sql import SparkSession
+        spark = spark or SparkSession.getActiveSession()
+        doc = {"groups": {"numeric": self.groups.numeric, "low_card": self.groups.low_card,
+                          "high_card": self.groups.high_card},
+               "medians": self.medians, "means": self.means, "scales": self.scales,
+               "categories": self.categories,
+               "target_means": {c: te.mean for c, te in self.target.items()}}
+        spark.createDataFrame([(json.dumps(doc, sort_keys=True),)], "doc string") \
+            .coalesce(1).write.mode("overwrite").text(f"{path}/params")
+        for c, te in self.target.items():
+            for part in ("full", "oof", "fold_mean"):
+                getattr(te, part).write.mode("overwrite").parquet(f"{path}/target/{c}/{part}")
+        return path
+
     def transform(self, df: DataFrame, split_col: str = "split", fold_col: str = "fold",
                   keep: Sequence[str] = (K.KEY, K.LABEL, "split", "fold")) -> DataFrame:
         out = df
@@ -215,6 +234,19 @@ def fit_preprocessor(train: DataFrame, groups: ColumnGroups, label: str = K.LABE
     return pre
 
 
+def load_preprocessor(spark, path: str) -> Preprocessor:
+    """Inverse of ``Preprocessor.save``."""
+    doc = json.loads(spark.read.text(f"{path}/params").first()[0])
+    g = doc["groups"]
+    pre = Preprocessor(groups=ColumnGroups(g["numeric"], g["low_card"], g["high_card"]),
+                       medians=doc["medians"], means=doc["means"], scales=doc["scales"],
+                       categories=doc["categories"])
+    for c, mean in doc["target_means"].items():
+        parts = {p: spark.read.parquet(f"{path}/target/{c}/{p}") for p in ("full", "oof", "fold_mean")}
+        pre.target[c] = TargetEncoding(column=c, mean=float(mean), **parts)
+    return pre
+
+
 def assemble(df: DataFrame, names: Sequence[str], output: str = "features") -> DataFrame:
     """Dense feature vector whose ML attributes carry the feature names."""
     return VectorAssembler(inputCols=list(names), outputCol=output, handleInvalid="keep").transform(df)

@@ -72,8 +72,7 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None, budget: Budget
     pre = fit_preprocessor(model_frame.where(F.col("split") == "train"), groups, checkpoint=False)
     names = pre.feature_names()
     _write(pre.params_frame(spark), out, "encoders/numeric")
-    for c, te in pre.target.items():
-        _write(te.full, out, f"encoders/target_{c}")
+    pre.save(f"{out}/preprocessor")
     encoded = _write(assemble(pre.transform(model_frame), names)
                      .select(K.KEY, K.LABEL, "split", "fold", "features"),
                      out, "encoded", partition_by=["split"])

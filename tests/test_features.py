@@ -136,3 +136,21 @@ def test_numeric_and_onehot(spark):
     unseen = spark.createDataFrame([(9, 0, None, 3.0, 1.0, "zzz", "test", None)], df.schema)
     row = pre.transform(unseen).first()
     assert [row[f"seg_{c}"] for c in "abc"] + [row["seg_missing"]] == [0.0, 0.0, 0.0, 0.0]
+
+
+def test_preprocessor_round_trip(spark):
+    import tempfile
+    rng = np.random.default_rng(8)
+    n = 120
+    pdf = pd.DataFrame({"SK_ID_CURR": np.arange(n), "TARGET": rng.integers(0, 2, n),
+                        "x": rng.normal(size=n), "seg": rng.choice(list("ab"), n),
+                        "cat": rng.choice([f"c{i}" for i in range(11)], n), "split": "train",
+                        "fold": np.arange(n) % 5})
+    df = spark.createDataFrame(pdf)
+    pre = encode.fit_preprocessor(df, encode.ColumnGroups(["x"], ["seg"], ["cat"]))
+    path = pre.save(tempfile.mkdtemp(prefix="riskspark-pre-"))
+    back = encode.load_preprocessor(spark, path)
+    assert back.feature_names() == pre.feature_names()
+    a = sorted(pre.transform(df).collect())
+    b = sorted(back.transform(df).collect())
+    assert a == b
