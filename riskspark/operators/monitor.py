@@ -114,7 +114,8 @@ def band_distribution(scores: DataFrame, band: str = "risk_band") -> DataFrame:
     grid = spark.createDataFrame([(b, i) for i, b in enumerate(BAND_ORDER)],
                                  f"{band} string, band_order int")
     counts = scores.groupBy(band).agg(F.count(F.lit(1)).alias("count"))
-    total = scores.agg(F.count(F.lit(1)).alias("__total"))
+    # every row is in exactly one group (null included): the total needs no extra pass
+    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("__total"))
     out = grid.join(counts, band, "left").withColumn("count", F.coalesce("count", F.lit(0)).cast("long"))
     # total is a one-row aggregate; join on a constant key, not a cross product
     out = out.withColumn("__k", F.lit(1)).join(F.broadcast(total.withColumn("__k", F.lit(1))), "__k")
@@ -169,7 +170,8 @@ def histogram(df: DataFrame, value: str = "score", by: str = "split",
     counts = binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias("count"))
     grid_rows = [(k, i, edges[k][i], edges[k][i + 1]) for k in keys for i in range(n_bins)]
     grid = spark.createDataFrame(grid_rows, f"{by} string, bin int, lo double, hi double")
-    totals = binned.groupBy(by).agg(F.count(F.lit(1)).alias("__total"))
+    # every binned row is in one bin: totals from the counts, no extra pass
+    totals = counts.groupBy(by).agg(F.sum("count").alias("__total"))
     out = (grid.join(counts, [by, "bin"], "left")
            .join(F.broadcast(totals), by, "left")
            .withColumn("count", F.coalesce("count", F.lit(0)).cast("long")))
@@ -204,8 +206,8 @@ def psi_table(expected: DataFrame, actual: DataFrame, value: str = "score",
     counts = binned.groupBy("bin").agg(
         F.count_if(F.col("side") == "e").alias("n_e"),
         F.count_if(F.col("side") == "a").alias("n_a"))
-    totals = both.agg(F.count_if(F.col("side") == "e").alias("t_e"),
-                      F.count_if(F.col("side") == "a").alias("t_a")).withColumn("__k", F.lit(1))
+    # every row falls in one bin of the [lo, hi] grid: totals from the counts
+    totals = counts.agg(F.sum("n_e").alias("t_e"), F.sum("n_a").alias("t_a")).withColumn("__k", F.lit(1))
     grid = spark.createDataFrame([(i, edges[i], edges[i + 1]) for i in range(n_bins)],
                                  "bin int, lo double, hi double")
     g = (grid.join(counts, "bin", "left").withColumn("__k", F.lit(1))
