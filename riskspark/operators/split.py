@@ -44,15 +44,14 @@ def stratified_rank(df: DataFrame, label: str = K.LABEL, key: str = K.KEY,
         F.coalesce(F.sum("__cnt").over(w_before), F.lit(0)).alias("__before"),
         F.sum("__cnt").over(Window.partitionBy(label)).alias("__n_class"),
     )
-    # offsets has at most (#classes x 65,536) rows: broadcast is size-bounded
-    ranked = labelled.join(F.broadcast(offsets), [label, "__b"], "inner")
+    # offsets has at most (#classes x 65,536) rows: broadcast is size-bounded.
+    # A left join keeps unlabelled rows in the same pass: their null label
+    # matches no offset, so their rank and class size stay null.
+    ranked = base.join(F.broadcast(offsets), [label, "__b"], "left")
     w = Window.partitionBy(label, "__b").orderBy("__h", key)
     ranked = ranked.withColumn("__rank", F.col("__before") + F.row_number().over(w)) \
         .drop("__before")
-    unlabelled = base.where(F.col(label).isNull()) \
-        .withColumn("__n_class", F.lit(None).cast("long")) \
-        .withColumn("__rank", F.lit(None).cast("long"))
-    return ranked.unionByName(unlabelled).drop("__b")
+    return ranked.drop("__b")
 
 
 def stratified_split(df: DataFrame, label: str = K.LABEL, key: str = K.KEY,

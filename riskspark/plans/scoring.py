@@ -17,6 +17,7 @@ from ..functions.scoring import logistic
 from ..operators.marts import build_features
 from ..operators.monitor import score_table
 from ..operators.split import stratified_split
+from ..session import materialize
 from ..sources.fixtures import Tables
 
 # Fixed values of the stand-in formula (FIXTURES §3).
@@ -35,8 +36,13 @@ def formula_probability(features: DataFrame) -> F.Column:
 
 
 def split_features(t: Tables) -> DataFrame:
-    """Feature table with ``split`` and ``fold``."""
-    return stratified_split(build_features(t))
+    """Feature table with ``split`` and ``fold``.
+
+    The split reads its input three times (class-bucket counts, ranked
+    labelled rows, unlabelled rows), so the feature table is checkpointed
+    first: the marts run once, not three times.
+    """
+    return stratified_split(materialize(build_features(t)))
 
 
 def formula_scores(t: Tables) -> DataFrame:

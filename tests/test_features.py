@@ -154,3 +154,12 @@ def test_preprocessor_round_trip(spark):
     a = sorted(pre.transform(df).collect())
     b = sorted(back.transform(df).collect())
     assert a == b
+
+
+def test_split_keeps_unlabelled_rows(spark):
+    rows = [(i, None if i % 7 == 0 else i % 2) for i in range(70)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int")
+    s = split.stratified_split(df).toPandas()
+    assert len(s) == 70
+    assert s[s.TARGET.isna()].split.isna().all() and s[s.TARGET.isna()].fold.isna().all()
+    assert s[s.TARGET.notna()].split.notna().all()
