@@ -190,12 +190,26 @@ def psi_table(expected: DataFrame, actual: DataFrame, value: str = "score",
     bin_label ("lo–hi"), expected_pct, actual_pct (two decimals), psi (four
     decimals) and the unrounded ``psi_raw`` used for the total.
     """
-    spark = expected.sparkSession
     e = expected.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"),
                                                         F.lit("e").alias("side"))
     a = actual.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"),
                                                       F.lit("a").alias("side"))
-    both = e.unionByName(a)
+    return _psi_from_sides(e.unionByName(a), n_bins, floor)
+
+
+def psi_by_split(scores: DataFrame, value: str = "score", split_col: str = "split",
+                 expected: str = "train", actual: str = "test", n_bins: int = K.PSI_BINS,
+                 floor: float = K.PSI_FLOOR) -> DataFrame:
+    """``psi_table`` for two groups of one frame, in a single pass over it
+    (the side of a row is a column expression, not a second scan)."""
+    side = F.when(F.col(split_col) == expected, F.lit("e")).when(F.col(split_col) == actual, F.lit("a"))
+    both = scores.select(F.col(value).cast("double").alias("v"), side.alias("side")) \
+        .where(F.col("v").isNotNull() & F.col("side").isNotNull())
+    return _psi_from_sides(both, n_bins, floor)
+
+
+def _psi_from_sides(both: DataFrame, n_bins: int, floor: float) -> DataFrame:
+    spark = both.sparkSession
     r = both.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
     if r is None or r["lo"] is None:
         return spark.createDataFrame(

@@ -31,13 +31,23 @@ def _field_text(col: str, kind: str) -> F.Column:
     return F.coalesce(txt, F.lit("N/A"))
 
 
-def applicant_cards(scores: DataFrame, labels: DataFrame, features: DataFrame,
+def applicant_cards(scores: DataFrame, labels: DataFrame | None = None,
+                    features: DataFrame | None = None,
                     fields: Sequence[tuple[str, str, str]] = CARD_FIELDS,
                     key: str = K.KEY, label: str = K.LABEL) -> DataFrame:
-    """Score row + actual outcome + raw attributes, by key (left joins)."""
-    lab = labels.select(key, F.col(label).alias("__y"))
-    feat = features.select(key, *[c for _, c, _ in fields])
-    j = scores.join(lab, key, "left").join(feat, key, "left")
+    """Score row + actual outcome + raw attributes, by key.
+
+    Outcome and fields are left-joined from ``labels`` / ``features`` when
+    given (separate tables, as the original's files), else read from the
+    score frame itself (no join).
+    """
+    j = scores
+    if labels is not None:
+        j = j.drop(label).join(labels.select(key, label), key, "left")
+    if features is not None:
+        names = [c for _, c, _ in fields]
+        j = j.drop(*[c for c in names if c in j.columns]).join(features.select(key, *names), key, "left")
+    j = j.withColumn("__y", F.col(label))
     return j.select(
         key, "score", "risk_band", "probability",
         percent_text("probability").alias("probability_text"),

@@ -39,9 +39,8 @@ def applicant_view(cards: DataFrame, shap: DataFrame, base: float, applicant_id:
 def portfolio_report(scores: DataFrame, metrics_long: DataFrame, importance: DataFrame) -> dict[str, DataFrame]:
     """Tab 2: score histogram overlay, band breakdown, PSI with verdict, model
     comparison and the 15 most important features."""
-    train_s = scores.where(F.col("split") == "train")
     test_s = scores.where(F.col("split") == "test")
-    psi = monitor.psi_table(train_s, test_s)
+    psi = monitor.psi_by_split(scores)
     return {
         "histogram": monitor.histogram(scores, "score", "split", K.HIST_BINS, joint=True),
         "bands": monitor.band_value_counts(test_s),

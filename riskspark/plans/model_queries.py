@@ -52,7 +52,7 @@ def q_model_deciles(spark, sf_dir):
 
 def q_model_psi(spark, sf_dir):
     s = cached_run(spark, sf_dir).scores["gbt"]
-    t = monitor.psi_table(s.where(F.col("split") == "train"), s.where(F.col("split") == "test"))
+    t = monitor.psi_by_split(s)
     return rounded(monitor.psi_summary(t))
 
 

@@ -21,7 +21,7 @@ from ..operators.explain import explanation_sample
 from ..sources.fixtures import LEAK_COLUMNS, Tables, document_application
 from ..sources.io import catalog_summary
 from ..session import TABLES, materialize
-from .scoring import formula_scores, split_features
+from .scoring import formula_probability, formula_scores, split_features
 
 REPORT_DIGITS = 6
 
@@ -164,8 +164,7 @@ def q_score_histogram_joint(spark, sf_dir):
 
 
 def _psi(spark, sf_dir):
-    s = _scores(spark, sf_dir)
-    return monitor.psi_table(s.where(F.col("split") == "train"), s.where(F.col("split") == "test"))
+    return monitor.psi_by_split(_scores(spark, sf_dir))
 
 
 def q_psi_bins(spark, sf_dir):
@@ -252,11 +251,11 @@ def q_encoded_features(spark, sf_dir):
 # --- report tables -------------------------------------------------------------------------
 
 def q_applicant_cards(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    s = formula_scores(t).where(F.col("split") == "test")
-    feats = marts.build_features(t)
-    return report.applicant_cards(s.select(K.KEY, "score", "risk_band", "probability"),
-                                  s.select(K.KEY, K.LABEL), feats).transform(rounded)
+    """Scores, outcome and card fields from one checkpointed feature frame."""
+    f = split_features(_t(spark, sf_dir))
+    f = f.withColumn("probability", formula_probability(f))
+    s = monitor.score_table(f, keep=[K.LABEL, "split", *[c for _, c, _ in report.CARD_FIELDS]])
+    return report.applicant_cards(s.where(F.col("split") == "test")).transform(rounded)
 
 
 def q_first_ids(spark, sf_dir):

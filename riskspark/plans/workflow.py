@@ -107,7 +107,7 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None, budget: Budget
     _write(monitor.score_summary(s), out, "reports/score_summary")
     _write(monitor.band_distribution(test), out, "reports/bands")
     _write(monitor.histogram(s, "score", "split", K.HIST_BINS), out, "reports/histogram")
-    psi = monitor.psi_table(s.where(F.col("split") == "train"), test)
+    psi = monitor.psi_by_split(s)
     _write(psi, out, "reports/psi_bins")
     psi_total = monitor.psi_summary(psi).first()
 

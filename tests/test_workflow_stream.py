@@ -71,3 +71,16 @@ def test_stream_scoring_equals_batch(spark):
     batch = score_stream(new, pre, model)
     ref = {r[K.KEY]: (r["score"], r["risk_band"]) for r in batch.collect()}
     assert got == ref and len(got) == new.count()
+
+
+def test_portfolio_report(spark):
+    from riskspark.plans.scoring import formula_scores
+    s = formula_scores(Tables(spark, SF001))
+    m = spark.createDataFrame([("gbt", "auc_roc", 0.7), ("lr", "auc_roc", 0.6)], io.METRICS_SCHEMA)
+    imp = spark.createDataFrame([(f"f{i}", i, float(i)) for i in range(20)],
+                                "feature string, split_count long, total_gain double")
+    rep = dashboard.portfolio_report(s, m, imp)
+    assert rep["histogram"].count() == 2 * K.HIST_BINS
+    assert rep["importance"].count() == K.TOP_FEATURES_DASHBOARD
+    assert rep["psi"].first()["verdict"] in K.PSI_VERDICTS
+    assert set(rep["comparison"].columns) == {"metric", "gbt", "lr"}
