@@ -114,11 +114,13 @@ def band_distribution(scores: DataFrame, band: str = "risk_band") -> DataFrame:
     grid = spark.createDataFrame([(b, i) for i, b in enumerate(BAND_ORDER)],
                                  f"{band} string, band_order int")
     counts = scores.groupBy(band).agg(F.count(F.lit(1)).alias("count"))
-    # every row is in exactly one group (null included): the total needs no extra pass
-    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("__total"))
-    out = grid.join(counts, band, "left").withColumn("count", F.coalesce("count", F.lit(0)).cast("long"))
-    # total is a one-row aggregate; join on a constant key, not a cross product
-    out = out.withColumn("__k", F.lit(1)).join(F.broadcast(total.withColumn("__k", F.lit(1))), "__k")
+    # every row is in exactly one group (null included): the total is the sum of
+    # the group counts, taken over that handful of rows (full outer keeps
+    # groups outside the grid in the total)
+    out = grid.join(counts, band, "full_outer") \
+        .withColumn("__total", F.sum(F.coalesce("count", F.lit(0))).over(Window.partitionBy())) \
+        .where(F.col("band_order").isNotNull()) \
+        .withColumn("count", F.coalesce("count", F.lit(0)).cast("long"))
     return out.select(band, "band_order", "count",
                       F.when(F.col("__total") > 0,
                              report_round(F.col("count") / F.col("__total") * F.lit(100.0), 2))
@@ -170,11 +172,11 @@ def histogram(df: DataFrame, value: str = "score", by: str = "split",
     counts = binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias("count"))
     grid_rows = [(k, i, edges[k][i], edges[k][i + 1]) for k in keys for i in range(n_bins)]
     grid = spark.createDataFrame(grid_rows, f"{by} string, bin int, lo double, hi double")
-    # every binned row is in one bin: totals from the counts, no extra pass
-    totals = counts.groupBy(by).agg(F.sum("count").alias("__total"))
+    # every binned row is in one bin: totals are sums over the (groups x bins)
+    # grid, a window over that small frame, so the counts are read once
     out = (grid.join(counts, [by, "bin"], "left")
-           .join(F.broadcast(totals), by, "left")
-           .withColumn("count", F.coalesce("count", F.lit(0)).cast("long")))
+           .withColumn("count", F.coalesce("count", F.lit(0)).cast("long"))
+           .withColumn("__total", F.sum("count").over(Window.partitionBy(by))))
     width = F.col("hi") - F.col("lo")
     dens = F.when(width > 0, F.try_divide(F.col("count"), F.col("__total") * width))
     return out.select(by, "bin", "lo", "hi", "count", dens.alias("density"))
@@ -220,12 +222,14 @@ def _psi_from_sides(both: DataFrame, n_bins: int, floor: float) -> DataFrame:
     counts = binned.groupBy("bin").agg(
         F.count_if(F.col("side") == "e").alias("n_e"),
         F.count_if(F.col("side") == "a").alias("n_a"))
-    # every row falls in one bin of the [lo, hi] grid: totals from the counts
-    totals = counts.agg(F.sum("n_e").alias("t_e"), F.sum("n_a").alias("t_a")).withColumn("__k", F.lit(1))
     grid = spark.createDataFrame([(i, edges[i], edges[i + 1]) for i in range(n_bins)],
                                  "bin int, lo double, hi double")
-    g = (grid.join(counts, "bin", "left").withColumn("__k", F.lit(1))
-         .join(F.broadcast(totals), "__k"))
+    # every row falls in one bin of the [lo, hi] grid, so the totals are sums
+    # over the grid: a window over n_bins rows, reading the counts only once
+    all_bins = Window.partitionBy()
+    g = (grid.join(counts, "bin", "left")
+         .withColumn("t_e", F.sum(F.coalesce("n_e", F.lit(0))).over(all_bins))
+         .withColumn("t_a", F.sum(F.coalesce("n_a", F.lit(0))).over(all_bins)))
     ep = F.greatest(F.try_divide(F.coalesce("n_e", F.lit(0)), F.col("t_e")), F.lit(floor))
     ap = F.greatest(F.try_divide(F.coalesce("n_a", F.lit(0)), F.col("t_a")), F.lit(floor))
     g = g.select("bin", "lo", "hi", ep.alias("ep"), ap.alias("ap"))
