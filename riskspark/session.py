@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,6 +85,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -96,15 +98,20 @@ def ship_package(spark: SparkSession) -> None:
     """
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    import shutil
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    staging = tempfile.mkdtemp(prefix="riskspark-pyfiles-")
-    archive = shutil.make_archive(os.path.join(staging, "riskspark"), "zip",
-                                  root_dir=os.path.dirname(pkg), base_dir=os.path.basename(pkg))
-    sc.addPyFile(archive)
-    _SHIPPED.add(app)
+    with _SHIP_LOCK:  # search trials call this from several driver threads
+        if app in _SHIPPED:
+            return
+        import shutil
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        staging = tempfile.mkdtemp(prefix="riskspark-pyfiles-")
+        archive = shutil.make_archive(os.path.join(staging, "riskspark"), "zip",
+                                      root_dir=os.path.dirname(pkg), base_dir=os.path.basename(pkg))
+        try:
+            sc.addPyFile(archive)
+        except Exception as e:  # already shipped to this context under another path
+            if "already registered" not in str(e):
+                raise
+        _SHIPPED.add(app)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
