@@ -38,11 +38,12 @@ def formula_probability(features: DataFrame) -> F.Column:
 def split_features(t: Tables) -> DataFrame:
     """Feature table with ``split`` and ``fold``.
 
-    The split reads its input three times (class-bucket counts, ranked
-    labelled rows, unlabelled rows), so the feature table is checkpointed
-    first: the marts run once, not three times.
+    The split reads its input twice (class-bucket counts, ranked rows), so
+    the feature table is checkpointed first (the marts run once), and so is
+    the split result: every report over the scores reads it instead of
+    re-running the rank window.
     """
-    return stratified_split(materialize(build_features(t)))
+    return materialize(stratified_split(materialize(build_features(t))))
 
 
 def formula_scores(t: Tables) -> DataFrame:
