@@ -54,7 +54,7 @@ class ModelRun:
 
 def fit_models(t: Tables, budget: Budget = Budget()) -> ModelRun:
     spark = t.spark
-    f = materialize(split_features(t).drop(*LEAK_COLUMNS))
+    f = split_features(t).drop(*LEAK_COLUMNS)  # reads a checkpoint
     groups = identify_column_types(f, exclude=(K.KEY, K.LABEL, "split", "fold"))
     pre = fit_preprocessor(f.where(F.col("split") == "train"), groups, checkpoint=False)
     names = pre.feature_names()

@@ -20,7 +20,7 @@ from ..operators.encode import ColumnGroups, fit_preprocessor
 from ..operators.explain import explanation_sample
 from ..sources.fixtures import LEAK_COLUMNS, Tables, document_application
 from ..sources.io import catalog_summary
-from ..session import TABLES, materialize
+from ..session import TABLES
 from .scoring import formula_probability, formula_scores, split_features
 
 REPORT_DIGITS = 6
@@ -201,9 +201,10 @@ def q_pr_curve(spark, sf_dir):
 # --- encoders ----------------------------------------------------------------------------
 
 def _model_frame(spark, sf_dir):
-    """Split feature table minus the planted leak, checkpointed once: routing,
-    fitting and transform each read it (the marts run a single time)."""
-    return materialize(split_features(_t(spark, sf_dir)).drop(*LEAK_COLUMNS))
+    """Split feature table minus the planted leak.  ``split_features`` returns
+    a checkpoint, so routing, fitting and transform each read it (the marts
+    run a single time)."""
+    return split_features(_t(spark, sf_dir)).drop(*LEAK_COLUMNS)
 
 
 def _groups(df: DataFrame) -> ColumnGroups:
