@@ -166,8 +166,13 @@ def _fit_onehot(train: DataFrame, cols: list[str]) -> dict[str, list[str]]:
     long = (train.select(*[F.coalesce(F.col(c), F.lit(K.MISSING_CATEGORY)).alias(c) for c in cols])
             .unpivot([], cols, "column_name", "value").distinct())
     cats: dict[str, list[str]] = {c: [] for c in cols}
-    # low-cardinality by construction: at most (cut + 1) values per column
-    for r in long.collect():
+    # low-cardinality by routing: at most cut values + "missing" per column;
+    # the collect is capped and checked rather than trusted
+    bound = len(cols) * (K.CARDINALITY_CUT + 1)
+    rows = long.limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"one-hot columns {cols} have more than {K.CARDINALITY_CUT} categories")
+    for r in rows:
         cats[r["column_name"]].append(r["value"])
     return {c: sorted(v) for c, v in cats.items()}
 
