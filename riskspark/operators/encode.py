@@ -11,8 +11,9 @@
 
 Fitted parameters are small: per-column scalars and category lists go through
 the driver (bounded by the number of columns and, for one-hot, by the
-cardinality cut), target-encoding maps stay DataFrames, are checkpointed
-once, and are broadcast only when their row count is proven small.
+cardinality cut), target-encoding maps stay DataFrames derived from one
+checkpointed statistics table, and are broadcast only when their row count is
+proven small.
 """
 
 from __future__ import annotations
@@ -215,8 +216,9 @@ def _fit_target(train: DataFrame, col: str, label: str, fold_col: str) -> Target
                    shrink(F.col("cn") - F.col("n"), F.col("cs") - F.col("s"), F.col("css") - F.col("ss"),
                           F.col("rM"), F.col("rV")).alias("enc")))
     fold_mean = rest.select("fold", F.col("rM").alias("mean"))
-    return TargetEncoding(column=col, full=materialize(full), oof=materialize(oof),
-                          fold_mean=materialize(fold_mean), mean=M)
+    # the maps derive from the checkpointed statistics (folds x categories
+    # rows), so recomputing them is cheap and they need no checkpoint of their own
+    return TargetEncoding(column=col, full=full, oof=oof, fold_mean=fold_mean, mean=M)
 
 
 def fit_preprocessor(train: DataFrame, groups: ColumnGroups, label: str = K.LABEL,
