@@ -128,14 +128,99 @@ def running_totals(df: DataFrame, value: str, measures: Sequence[str],
     return out
 
 
+QUANTILE_ACCURACY = 10_000
+_NEG_INF = float("-inf")
+
+
+def _lerp(q, n, v_lo, v_hi) -> F.Column:
+    """numpy's linear interpolation between the order statistics around q*(n-1)."""
+    pos = q * (n - 1)
+    t = pos - F.floor(pos)
+    a = v_lo.cast("double")
+    b = v_hi.cast("double")
+    # numpy's lerp: a + t*(b-a), or b - (b-a)*(1-t) when t >= 0.5
+    val = F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
+    return F.when(a == b, a).otherwise(val)
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy's default), distributed.
 
-    Value counts + running totals locate the order statistics around
-    ``q * (n - 1)``; no group is ever collected into one task.  Output: one row
-    per (by, q) with column ``quantile``.
+    Only a thin slice of each group is ranked exactly:
+
+    1. one pass: row count and approximate quantiles just below and above each
+       target (``percentile_approx``, rank error at most n / accuracy) - one
+       row per group, to the driver;
+    2. rows below the lower bracket collapse into one ``-inf`` value per
+       (group, q) by map-side aggregation; rows above the upper bracket are
+       dropped; running totals over what is left give exact global ranks;
+    3. a bracket whose exact ranks do not cover the target falls back to the
+       full distinct-value ranking, so the answer is always exact.
+
+    Output: one row per (by, q) with column ``quantile``.
     """
+    spark = df.sparkSession
+    by = list(by)
+    probs = [float(q) for q in probs]
+    base = df.select(*by, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    eps = 3.0 / QUANTILE_ACCURACY
+    lo_p = [max(0.0, q - eps) for q in probs]
+    hi_p = [min(1.0, q + eps) for q in probs]
+    st = (base.groupBy(*by)
+          .agg(F.count(F.lit(1)).alias("__n"),
+               F.percentile_approx("__v", lo_p, QUANTILE_ACCURACY).alias("__lo"),
+               F.percentile_approx("__v", hi_p, QUANTILE_ACCURACY).alias("__hi"))
+          .limit(MAX_GROUPS + 1).collect())
+    if len(st) > MAX_GROUPS:
+        raise ValueError(f"exact_quantiles: more than {MAX_GROUPS} groups in {by}")
+    key_fields = [base.schema[b] for b in by]
+    rows = [(*[r[b] for b in by], qi, q, int(r["__n"]), float(r["__lo"][qi]), float(r["__hi"][qi]))
+            for r in st for qi, q in enumerate(probs)]
+    schema = T.StructType(key_fields + [T.StructField("__qi", T.IntegerType()),
+                                        T.StructField("__q", T.DoubleType()),
+                                        T.StructField("__n", T.LongType()),
+                                        T.StructField("__blo", T.DoubleType()),
+                                        T.StructField("__bhi", T.DoubleType())])
+    brackets = spark.createDataFrame(rows, schema)
+    if not rows:
+        return spark.createDataFrame([], T.StructType(key_fields + [
+            T.StructField("q", T.DoubleType()), T.StructField("quantile", T.DoubleType())]))
+    # groups x probs rows: bounded by the checks above (an ungrouped input
+    # joins on a constant key, still an equi-join)
+    if by:
+        j = base.join(F.broadcast(brackets), by, "inner")
+    else:
+        j = base.withColumn("__k", F.lit(0)).join(
+            F.broadcast(brackets.withColumn("__k", F.lit(0))), "__k").drop("__k")
+    sliced = (j.where(F.col("__v") <= F.col("__bhi"))
+              .select(*by, "__qi",
+                      F.when(F.col("__v") < F.col("__blo"), F.lit(_NEG_INF)).otherwise(F.col("__v"))
+                      .alias("__v"),
+                      F.lit(1).cast("long").alias("__c")))
+    rt = running_totals(sliced, "__v", ["__c"], [*by, "__qi"])
+    rt = rt.join(F.broadcast(brackets.select(*by, "__qi", "__q", "__n")), [*by, "__qi"])
+    pos = F.col("__q") * (F.col("__n") - 1)
+    i_lo, i_hi = F.floor(pos), F.ceil(pos)
+    lo_idx = F.col("cum___c") - F.col("__c")
+    hi_idx = F.col("cum___c") - 1
+    real = F.col("__v") != F.lit(_NEG_INF)
+    agg = rt.groupBy(*by, "__qi", "__q", "__n").agg(
+        F.max(F.when(real & (i_lo >= lo_idx) & (i_lo <= hi_idx), F.col("__v"))).alias("v_lo"),
+        F.max(F.when(real & (i_hi >= lo_idx) & (i_hi <= hi_idx), F.col("__v"))).alias("v_hi"))
+    agg = agg.select(*by, F.col("__q").alias("q"), F.col("__n").alias("n"), "v_lo", "v_hi")
+    got = agg.collect()  # groups x probs rows
+    if len(got) < len(rows) or any(r["v_lo"] is None or r["v_hi"] is None for r in got):
+        return _exact_quantiles_full(df, value, probs, by)
+    out = spark.createDataFrame([tuple(r) for r in got], agg.schema)
+    return out.select(*by, "q", _lerp(F.col("q"), F.col("n"), F.col("v_lo"), F.col("v_hi")).alias("quantile"))
+
+
+def _exact_quantiles_full(df: DataFrame, value: str, probs: Sequence[float],
+                          by: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles over all distinct values (the fallback of
+    ``exact_quantiles``): value counts + running totals locate the order
+    statistics around ``q * (n - 1)``; no group is collected into one task."""
     by = list(by)
     base = df.select(*by, F.col(value).alias("__v"), F.lit(1).cast("long").alias("__c"))
     rt = running_totals(base, "__v", ["__c"], by)

@@ -112,3 +112,28 @@ def test_exact_quantiles_match_numpy(spark):
         ref = np.quantile(x[g == k], probs)
         for q, v in zip(probs, ref):
             assert got[(k, q)] == pytest.approx(v, abs=1e-12)
+
+
+def test_exact_quantiles_bracketed_large_groups(spark, monkeypatch):
+    from riskspark.operators import cumulative
+
+    def no_fallback(*a, **k):
+        raise AssertionError("bracket missed the order statistics")
+
+    monkeypatch.setattr(cumulative, "_exact_quantiles_full", no_fallback)
+    rng = np.random.default_rng(12)
+    n = 40000
+    x = np.concatenate([np.round(rng.normal(size=n), 3), np.repeat(0.0, 5000)])
+    g = rng.integers(0, 3, len(x))
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "g": g}))
+    probs = [0.1, 0.5, 0.9]
+    got = {(r["g"], r["q"]): r["quantile"] for r in cumulative.exact_quantiles(df, "x", probs, by=["g"]).collect()}
+    for k in range(3):
+        ref = np.quantile(x[g == k], probs)
+        for q, v in zip(probs, ref):
+            assert got[(k, q)] == pytest.approx(v, abs=1e-12)
+    # no grouping column, a single value, and a tiny group
+    one = spark.createDataFrame([(2.5,)], "x double")
+    assert cumulative.exact_quantiles(one, "x", [0.5]).first()["quantile"] == 2.5
+    small = spark.createDataFrame([(float(v),) for v in [4, 1, 3, 2]], "x double")
+    assert cumulative.exact_quantiles(small, "x", [0.5]).first()["quantile"] == 2.5
