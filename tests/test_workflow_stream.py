@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
