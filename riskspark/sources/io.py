@@ -30,13 +30,33 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+CSV_INFER_ROWS = 100_000  # fixed value: types are inferred from this many rows
+
+
+def infer_csv_schema(spark: SparkSession, path: str, rows: int = CSV_INFER_ROWS) -> StructType:
+    """Column types inferred from the header and the first ``rows`` data lines
+    (a bounded read), as a sample-size based reader does."""
+    lines = spark.read.text(path).limit(rows + 1)
+    header = lines.first()
+    if header is None:
+        return StructType([])
+    head = header[0]
+    # other files of a folder repeat the header line: keep only the first one
+    sample = lines.rdd.map(lambda r: r[0]).zipWithIndex() \
+        .filter(lambda li: li[1] == 0 or li[0] != head).map(lambda li: li[0])
+    return spark.read.option("header", "true").option("inferSchema", "true").csv(sample).schema
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             sampling_ratio: float = 1.0) -> DataFrame:
-    """Header row; an explicit schema when known, else inference on a sample."""
+             infer_rows: int | None = CSV_INFER_ROWS) -> DataFrame:
+    """Header row; an explicit schema when known, else types inferred from the
+    first ``infer_rows`` rows (``None``: from every row)."""
     r = spark.read.option("header", "true")
+    if schema is None and infer_rows:
+        schema = infer_csv_schema(spark, path, infer_rows)
     if schema is not None:
         return r.schema(schema).csv(path)
-    return r.option("inferSchema", "true").option("samplingRatio", sampling_ratio).csv(path)
+    return r.option("inferSchema", "true").csv(path)
 
 
 def load_tables(spark: SparkSession, data_dir: str, tables: Sequence[tuple[str, str]],

@@ -102,3 +102,12 @@ def test_class_rows_and_not_explained(spark):
     assert io.row_count(quality.class_rows(df, 1)) == 3
     sample = df.where("SK_ID_CURR < 4")
     assert sorted(r[0] for r in report.not_explained(df, sample).collect()) == [4, 5, 6, 7, 8]
+
+
+def test_csv_types_from_first_rows(spark, scratch):
+    path = os.path.join(scratch, "b.csv")
+    with open(path, "w") as fh:
+        fh.write("k,v\n" + "".join(f"{i},{i}\n" for i in range(5)) + "5,x\n")
+    assert dict(io.read_csv(spark, path, infer_rows=5).dtypes)["v"] == "int"
+    assert dict(io.read_csv(spark, path, infer_rows=None).dtypes)["v"] == "string"
+    assert io.read_csv(spark, path, infer_rows=5).count() == 6
