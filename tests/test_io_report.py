@@ -111,3 +111,20 @@ def test_csv_types_from_first_rows(spark, scratch):
     assert dict(io.read_csv(spark, path, infer_rows=5).dtypes)["v"] == "int"
     assert dict(io.read_csv(spark, path, infer_rows=None).dtypes)["v"] == "string"
     assert io.read_csv(spark, path, infer_rows=5).count() == 6
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    a = spark.range(200).withColumnRenamed("id", "SK_ID_CURR").withColumn("x", F.col("SK_ID_CURR") * 2)
+    b = spark.range(200).withColumnRenamed("id", "SK_ID_CURR").withColumn("y", F.col("SK_ID_CURR") * 3)
+    io.save_as_table(a, "riskspark_tmp_bucket_a", bucket_by="SK_ID_CURR", n_buckets=4)
+    io.save_as_table(b, "riskspark_tmp_bucket_b", bucket_by="SK_ID_CURR", n_buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        j = spark.table("riskspark_tmp_bucket_a").join(spark.table("riskspark_tmp_bucket_b"), "SK_ID_CURR")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and j.count() == 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS riskspark_tmp_bucket_a")
+        spark.sql("DROP TABLE IF EXISTS riskspark_tmp_bucket_b")
