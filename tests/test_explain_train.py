@@ -150,3 +150,12 @@ def test_search_with_early_stopping(spark, small_model):
     assert len(rows) == 6 and all(r["auc_roc"] is not None for r in rows)
     assert all(1 <= r["best_iteration"] <= 12 for r in rows)
     assert res.summary.count() == 2 and 0.5 < res.best_value <= 1.0
+
+
+def test_search_independent_of_thread_scheduling(spark, small_model):
+    df, _, _, _ = small_model
+    folded = df.withColumn("fold", (F.col("SK_ID_CURR") % 2).cast("int"))
+    a = train.search(folded, 1.0, n_trials=2, n_folds=2, max_iter_cap=6, parallelism=1)
+    b = train.search(folded, 1.0, n_trials=2, n_folds=2, max_iter_cap=6, parallelism=2)
+    assert sorted(a.trials.collect()) == sorted(b.trials.collect())
+    assert a.best_params == b.best_params and a.best_value == b.best_value
