@@ -128,3 +128,16 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql("DROP TABLE IF EXISTS riskspark_tmp_bucket_a")
         spark.sql("DROP TABLE IF EXISTS riskspark_tmp_bucket_b")
+
+
+def test_checkpoint_dir_taken_from_session(spark):
+    from riskspark.session import cluster_settings, ensure_checkpoint_dir, scratch_path
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    d = ensure_checkpoint_dir(spark)
+    assert d == spark.sparkContext.getCheckpointDir()
+    if configured:
+        assert configured.rstrip("/").split(":")[-1] in d
+    assert scratch_path(spark, "x").startswith(d.rstrip("/"))
+    conf = cluster_settings(total_cores=8000, shuffle_bytes=24 * 1024 ** 4)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 24 * 1024 ** 4 // (256 * 1024 ** 2)
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
