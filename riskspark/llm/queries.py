@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import packing
+from . import bpe, divergence, packing
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_pack,
+    "op3_byte_bpe_codec": bpe.op3_codec,
+    "op6_distribution_rules": divergence.op6_rules,
 }
 
 ORACLES: dict[str, str] = {}
