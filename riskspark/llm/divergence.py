@@ -32,8 +32,8 @@ WINDOW = 8
 #: Below so many words the histograms say too little to reject a document.
 MIN_WORDS = 50
 #: Greatest Jensen-Shannon distance (base 2, from 0 to 1) beyond sampling noise.
-MAX_CLASS_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.40
+MAX_CLASS_DISTANCE = 0.17
+MAX_WORD_DISTANCE = 0.25
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -148,13 +148,16 @@ def references(counted: DataFrame) -> DataFrame:
 
 def judged(counted: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE,
            min_words: int = MIN_WORDS) -> DataFrame:
-    noise = F.sqrt(F.lit(COMMON_WORDS) / (8 * F.log(F.lit(2.0)) * F.greatest(F.col("n_words"), F.lit(1))))
+    def noise(bins: int, n: Column) -> Column:  # distance that sampling n items alone explains, about
+        return F.sqrt(F.lit(bins) / (8 * F.log(F.lit(2.0)) * F.greatest(n, F.lit(1))))
+
     distance = (counted.join(references(counted), "lang", "left")
                 .withColumn("class_distance", js_distance(shares(F.col("classes")), F.col("ref_classes")))
                 .withColumn("word_distance", js_distance(shares(F.col("commons")), F.col("ref_commons"))))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     like = ((F.col("n_words") < min_words)
-            | ((F.col("class_distance") <= max_class) & (F.col("word_distance") <= max_word + noise)))
+            | ((F.col("class_distance") <= max_class + noise(len(CLASSES) + 1, F.col("word_chars")))
+               & (F.col("word_distance") <= max_word + noise(COMMON_WORDS, F.col("n_words")))))
     return distance.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & F.coalesce(like, F.lit(True))).alias("kept"),
