@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, divergence, ngram_join, packing
+from . import bpe, divergence, ngram_join, packing, recompression
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_pack,
     "op3_byte_bpe_codec": bpe.op3_codec,
     "op9_ngram_join": ngram_join.op9_join,
+    "op8_substring_dedup": recompression.op8_dedup,
     "op6_distribution_rules": divergence.op6_rules,
 }
 
