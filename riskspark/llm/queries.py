@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, divergence, ngram_join, packing, recompression
+from . import bpe, divergence, ngram_join, packing, recompression, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_pack,
+    "op2_toxicity_svm": toxicity.op2_toxicity,
     "op3_byte_bpe_codec": bpe.op3_codec,
     "op9_ngram_join": ngram_join.op9_join,
     "op8_substring_dedup": recompression.op8_dedup,
