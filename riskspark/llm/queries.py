@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, divergence, htmltext, ngram_join, packing, recompression, toxicity
+from . import bpe, divergence, htmltext, ngram_join, packing, recompression, secrets, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_pack,
@@ -11,6 +11,7 @@ QUERIES = {
     "op9_ngram_join": ngram_join.op9_join,
     "op8_substring_dedup": recompression.op8_dedup,
     "op7_template_removal": htmltext.op7_extract,
+    "op4_secret_forest": secrets.op4_scan,
     "op6_distribution_rules": divergence.op6_rules,
 }
 
