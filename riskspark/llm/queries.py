@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, divergence, htmltext, ngram_join, packing, recompression, secrets, toxicity
+from . import bpe, divergence, htmltext, ngram_join, packing, recompression, resampling, secrets, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_pack,
@@ -12,6 +12,7 @@ QUERIES = {
     "op8_substring_dedup": recompression.op8_dedup,
     "op7_template_removal": htmltext.op7_extract,
     "op4_secret_forest": secrets.op4_scan,
+    "op5_importance_resampling": resampling.op5_resample,
     "op6_distribution_rules": divergence.op6_rules,
 }
 

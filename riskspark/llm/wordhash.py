@@ -10,8 +10,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-SPACE = np.zeros(256, dtype=bool)
-SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Byte classes: 0 ends a word, and a word does not run from one class into another.
+WORD = np.ones(256, dtype=np.uint8)
+WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
+#: The same with ASCII signs as words of their own.
+WORD_OR_SIGN = WORD.copy()
+WORD_OR_SIGN[[i for i in range(0x21, 0x7F) if not chr(i).isalnum()]] = 2
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 U = np.uint64
@@ -33,7 +37,7 @@ def _multipliers(n: int) -> np.ndarray:
 class Words:
     """The words of a block of texts: byte ranges, owning row, hashes."""
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, classes: np.ndarray = WORD):
         column = column.cast(pa.large_binary())
         if column.null_count:
             column = column.fill_null(b"")
@@ -43,15 +47,16 @@ class Words:
         raw = (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8))[offsets[0]:offsets[-1]]
         offsets = offsets - offsets[0]
         self.buf = LOWER[raw] if lower else raw
-        solid = ~SPACE[self.buf]
+        kind = classes[self.buf]
+        solid = kind > 0
         first = solid.copy()
-        first[1:] &= ~solid[:-1]
+        first[1:] &= kind[1:] != kind[:-1]
         cuts = offsets[1:-1]
         cuts = cuts[cuts < len(raw)]
         first[cuts] = solid[cuts]  # no word runs from one text into the next
         self.starts = np.flatnonzero(first)
         last = solid.copy()
-        last[:-1] &= ~solid[1:]
+        last[:-1] &= kind[1:] != kind[:-1]
         ends = cuts[cuts > 0] - 1
         last[ends] = solid[ends]
         self.ends = np.flatnonzero(last) + 1
