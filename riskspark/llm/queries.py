@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, divergence, htmltext, ngram_join, packing, recompression, resampling, secrets, toxicity
+from . import bpe, divergence, htmltext, ngram_join, packing, recompression, resampling, secrets, toxicity, vectors
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_pack,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_template_removal": htmltext.op7_extract,
     "op4_secret_forest": secrets.op4_scan,
     "op5_importance_resampling": resampling.op5_resample,
+    "op10_learned_partitions": vectors.op10_nearest,
     "op6_distribution_rules": divergence.op6_rules,
 }
 
