@@ -31,11 +31,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, documents, map_arrow, texts, written
+from .common import COUNTS, blocks, counts_batch, documents, map_arrow, summed_counts, texts, without_ids, written
 from .components import connected
 from .wordhash import U, Words, mix, runs
 
@@ -46,6 +45,10 @@ SKETCH_BITS = 22
 SKETCH_ROWS = 16
 #: Pairs of one document verified by one task at most, about.
 PARTNERS = 512
+#: Candidate ids (8 bytes each) sent to every task; with more, texts are joined to them.
+LISTED = 4_000_000
+
+SETS = "doc_id long, shingles binary"
 
 
 def shingle_sets(column: pa.Array, width: int, lower: bool = True) -> list[np.ndarray]:
@@ -76,40 +79,19 @@ def _count_rows(width: int, bits: int):
             sets = shingle_sets(batch.column("text"), width)
             counts += np.bincount(_bucket(np.concatenate(sets), bits), minlength=len(counts))
         if counts.any():
-            yield _sketch_batch(dict(enumerate(counts.reshape(SKETCH_ROWS, -1))))
+            yield counts_batch(dict(enumerate(counts.reshape(SKETCH_ROWS, -1))))
     return run
 
 
-def _sketch_batch(parts: dict) -> pa.RecordBatch:
-    pack = zstandard.ZstdCompressor(level=1).compress
-    return pa.record_batch([pa.array(list(parts), pa.int32()),
-                            pa.array([pack(np.ascontiguousarray(x).tobytes()) for x in parts.values()], pa.binary())],
-                           names=["part", "counts"])
-
-
-def _add_rows(batches):
-    total, unpack = {}, zstandard.ZstdDecompressor().decompress
-    for batch in batches:
-        for part, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            x = np.frombuffer(unpack(raw), np.int64)
-            total[part] = total[part] + x if part in total else x
-    if total:
-        yield _sketch_batch(total)
-
-
 def frequency_levels(docs: DataFrame, width: int = WIDTH, bits: int = SKETCH_BITS) -> np.ndarray:
     """Level (0 to 63, steps of half a doubling) of each of 2**bits counters of
     documents per shingle.  Tasks send one compressed sketch each; sums are
     taken in two steps of streaming tasks, and only the fixed-size result
     reaches the driver."""
-    rows = map_arrow(docs.select("text"), _count_rows(width, bits), "part int, counts binary")
-    for salts in (16, 1):
-        rows = map_arrow(rows.repartition(SKETCH_ROWS, "part", F.floor(F.rand(7) * salts)),
-                         _add_rows, "part int, counts binary")
-    unpack = zstandard.ZstdDecompressor().decompress
-    counts = np.zeros((SKETCH_ROWS, (1 << bits) // SKETCH_ROWS))
-    for r in rows.collect():  # 2**bits counters
-        counts[r["part"]] += np.frombuffer(unpack(bytes(r["counts"])), np.int64)
+    rows = map_arrow(docs.select("text"), _count_rows(width, bits), COUNTS)
+    counts = np.zeros((SKETCH_ROWS, (1 << bits) // SKETCH_ROWS), np.int64)
+    for part, x in summed_counts(rows, SKETCH_ROWS).items():  # 2**bits counters
+        counts[part] = x
     return np.minimum(63, np.floor(2 * np.log2(counts.reshape(-1) + 1))).astype(np.uint8)
 
 
@@ -143,9 +125,13 @@ def _signatures(width: int, percent: int, bits: int, shared):
     return run
 
 
-def _sets(width: int):
+def _sets(width: int, shared=None):
     def run(batches):
         for batch in blocks(batches):
+            if shared is not None:
+                batch = batch.filter(pa.array(np.isin(batch.column("doc_id").to_numpy(), shared.value)))
+                if not batch.num_rows:
+                    continue
             sets = shingle_sets(batch.column("text"), width)
             yield pa.record_batch([batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())],
                                   names=["doc_id", "shingles"])
@@ -174,9 +160,13 @@ def _verify(percent: int):
 
 def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose full sets link.  Each pair moves one set."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = written(map_arrow(docs.join(ids, "doc_id", "left_semi"), _sets(width), "doc_id long, shingles binary")
-                   .dropDuplicates(["doc_id"]), "shingle-sets")
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidate-ids")
+    if ids.count() <= LISTED:  # texts of other documents need not travel
+        listed = np.sort(ids.toPandas()["doc_id"].to_numpy(np.int64))
+        found = map_arrow(docs, _sets(width, docs.sparkSession.sparkContext.broadcast(listed)), SETS)
+    else:
+        found = map_arrow(docs.join(ids, "doc_id", "left_semi"), _sets(width), SETS)
+    sets = written(found.dropDuplicates(["doc_id"]), "shingle-sets")
     # a set with many partners is dealt out over salts, its own set to each of them
     share = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("salts"))
     salted = pairs.join(share, "a").withColumn("salt", F.pmod("b", "salts")).drop("salts")
@@ -188,19 +178,37 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     return map_arrow(rows, _verify(percent), "a long, b long")
 
 
+def overlap(na, nb, percent: int):
+    """Shingles that sets of these sizes must share to link."""
+    return F.ceil(percent * (na + nb) / (100 + percent))
+
+
 def may_link(na, nb, percent: int):
     """Sizes alone allow a link."""
     return (100 * na >= percent * nb) & (100 * nb >= percent * na)
 
 
-def enough_shared(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, na, nb, lasta, lastb, shared prefix count) whose overlap can
-    suffice: the shingles beyond the prefix that ends first, and those shared."""
+def first_shared(na, posa, nb, posb, percent: int):
+    """A shared shingle at these places of the order can be a linking pair's
+    first: what follows suffices on both sides.  Linking pairs have such a one."""
+    need = overlap(na, nb, percent)
+    return (na - posa >= need) & (nb - posb >= need)
+
+
+def enough_shared(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) whose prefixes share enough: of the prefix that ends first, no
+    shingle outside the shared ones is in the other set."""
+    a, b = (prefixes.select(F.col("rep").alias(s), F.col("n").alias("n" + s), F.col("prefix").alias("p" + s))
+            for s in ("a", "b"))
+
     def rest(n):
-        return n - (n - F.floor((percent * n + 99) / 100) + 1)
+        return n - prefix_length_column(n, percent)
 
-    most = F.col("shared") + F.when(F.col("lasta") <= F.col("lastb"), rest(F.col("na"))).otherwise(rest(F.col("nb")))
-    return pairs.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb")))
+    shared = F.size(F.array_intersect("pa", "pb"))
+    most = shared + F.when(F.element_at("pa", -1) <= F.element_at("pb", -1), rest(F.col("na"))).otherwise(
+        rest(F.col("nb")))
+    return (pairs.join(a, "a").join(b, "b").where(most >= overlap(F.col("na"), F.col("nb"), percent))
+            .select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -213,26 +221,25 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     key = ["n", "sig1", "sig2"]
     classes = written(signed.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
     # one prefix per class, then one per (size, prefix)
-    reps = (signed.where("n > 0").join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", *key], "left_semi")
-            .select(F.col("doc_id").alias("rep"), "n", "prefix").dropDuplicates(["rep"]))
-    reps = reps.select("rep", "n", "prefix", F.element_at("prefix", -1).alias("last"),
-                       F.xxhash64("prefix").alias("p1"), F.xxhash64(F.lit(7), "prefix").alias("p2"))
+    prefixes = (signed.where("n > 0").join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", *key], "left_semi")
+                .select(F.col("doc_id").alias("rep"), "n", "prefix").dropDuplicates(["rep"]))
+    reps = prefixes.select("rep", "n", "prefix", F.xxhash64("prefix").alias("p1"),
+                           F.xxhash64(F.lit(7), "prefix").alias("p2"))
     grouped = reps.groupBy("n", "p1", "p2").agg(
-        F.min(F.struct("rep", "last", "prefix")).alias("first"), F.count(F.lit(1)).alias("members"))
+        F.min(F.struct("rep", "prefix")).alias("first"), F.count(F.lit(1)).alias("members"))
     groups = written(grouped.select(F.col("first.rep").alias("gid"), "n", "p1", "p2", "members",
-                                    F.col("first.last").alias("last"), F.col("first.prefix").alias("prefix")),
-                     "groups")
+                                    F.col("first.prefix").alias("prefix")), "groups")
     multiple = groups.where("members > 1").select("n", "p1", "p2", "gid")
-    inside = written(reps.select("rep", "n", "p1", "p2", "last").join(multiple, ["n", "p1", "p2"])
-                     .select("gid", "rep", "n", "last"), "members")
+    inside = written(reps.select("rep", "n", "p1", "p2").join(multiple, ["n", "p1", "p2"])
+                     .select("gid", "rep", "n"), "members")
     # posting lists of at least two groups
     lists = Window.partitionBy("token").orderBy("gid")
-    posted = (groups.select("gid", "n", "last", F.explode("prefix").alias("token"))
+    posted = (groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
               .select("*", F.lag(F.struct("gid", "n")).over(lists).alias("prev"),
                       F.lead("gid").over(lists).alias("next"),
                       F.first(F.struct("gid", "n")).over(lists).alias("head")))
     posted = written(posted.where("prev is not null or next is not null")
-                     .select("token", "gid", "n", "last", "prev", "head"), "postings")
+                     .select("token", "gid", "n", "pos", "prev", "head"), "postings")
     near = (posted.where("prev is not null")
             .select("gid", "n", F.explode(F.array("prev", "head")).alias("other"))
             .where(may_link(F.col("n"), F.col("other.n"), percent))
@@ -244,24 +251,24 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     links = written(verified(docs, first, width, percent), "links-1")
     component = connected(links, "a", "b")
     # what is left: members of different components in one list
-    member = (groups.select(F.col("gid").alias("rep"), "gid", "last").unionByName(
-        inside.where("rep <> gid").select("rep", "gid", "last")))
+    member = (groups.select(F.col("gid").alias("rep"), "gid").unionByName(
+        inside.where("rep <> gid").select("rep", "gid")))
     member = (member.join(component.select(F.col("node").alias("rep"), "component"), "rep", "left")
-              .select("gid", "rep", "last", F.coalesce("component", "rep").alias("component")))
+              .select("gid", "rep", F.coalesce("component", "rep").alias("component")))
     entries = written(
-        posted.select("token", "gid", "n").join(member, "gid").select("token", "rep", "n", "last", "component")
+        posted.select("token", "gid", "n", "pos").join(member, "gid").select("token", "rep", "n", "pos", "component")
         .unionByName(inside.where("rep = gid").select(F.xxhash64(F.lit("group"), "gid").alias("token"), "gid", "n")
-                     .join(member, "gid").select("token", "rep", "n", "last", "component")), "entries")
+                     .join(member, "gid").select("token", "rep", "n", F.lit(0).alias("pos"), "component")), "entries")
     mixed = (entries.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo <> hi").select("token"))
     entries = entries.join(mixed, "token", "left_semi")
-    a, b = (entries.select("token", *[F.col(c).alias(c + s) for c in ("rep", "n", "last", "component")])
+    a, b = (entries.select("token", *[F.col(c).alias(c + s) for c in ("rep", "n", "pos", "component")])
             for s in ("a", "b"))
     pairs = (a.join(b, "token").where("repa < repb and componenta <> componentb")
-             .where(may_link(F.col("na"), F.col("nb"), percent))
-             .groupBy(F.col("repa").alias("a"), F.col("repb").alias("b"))
-             .agg(F.count(F.lit(1)).alias("shared"), *[F.first(c).alias(c) for c in ("na", "nb", "lasta", "lastb")]))
-    second = written(enough_shared(pairs, percent).select("a", "b").join(first, ["a", "b"], "left_anti"), "pairs-2")
+             .where(first_shared(F.col("na"), F.col("posa"), F.col("nb"), F.col("posb"), percent))
+             .groupBy(F.col("repa").alias("a"), F.col("repb").alias("b")).agg(F.count(F.lit(1)).alias("tokens")))
+    second = written(enough_shared(pairs.select("a", "b").join(first, ["a", "b"], "left_anti"), prefixes, percent),
+                     "pairs-2")
     more = written(verified(docs, second, width, percent).unionByName(links), "links-2")
     component = connected(more, "a", "b")
     found = (classes.join(component.select(F.col("node").alias("rep"), "component"), "rep", "left")
@@ -275,5 +282,20 @@ def prefix_length_column(n, percent: int = PERCENT):
     return n - F.floor((percent * n + 99) / 100) + 1
 
 
+def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each component, its smallest doc_id; of rows
+    sharing a doc_id the first by text stays; rows without a doc_id stay."""
+    found = written(near_duplicates(docs, width, percent), "components")
+    kept = without_ids(docs, found.where("doc_id <> component_id").select("doc_id").distinct())
+    again = written(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    if again.limit(1).count() == 0:
+        return kept
+    twice = kept.join(again.select(F.col("doc_id").alias("_again_id")),
+                      kept["doc_id"].cast("long") == F.col("_again_id"))
+    first = Window.partitionBy("_again_id").orderBy(F.xxhash64("text"), "text")
+    twice = twice.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*docs.columns)
+    return without_ids(kept, again).unionByName(twice)
+
+
 def op9_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
