@@ -98,3 +98,29 @@ def summed_counts(rows: DataFrame, parts: int) -> dict[int, np.ndarray]:
         rows = map_arrow(rows.repartition(parts, "part", F.floor(F.rand(7) * salts)), _add_counts, COUNTS)
     unpack = zstandard.ZstdDecompressor().decompress
     return {r["part"]: np.frombuffer(unpack(bytes(r["counts"])), np.int64) for r in rows.collect()}
+
+
+#: Rows of (id, few short values) that may be broadcast; larger frames are shuffled instead.
+SMALL_ROWS = 500_000
+
+
+def small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """``df`` (written already) marked for broadcast if it has at most ``limit`` rows."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is not among ``ids`` (column doc_id, written already)."""
+    gone = small(ids.select(F.col("doc_id").alias("_gone_id")))
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone_id"), "left_anti")
+
+
+def with_text(docs: DataFrame, joined: DataFrame, text) -> DataFrame:
+    """Columns of ``docs`` from ``joined`` with the new ``text``, n_chars following it."""
+    out = joined.withColumn("_new_text", text)
+    kinds = dict(docs.dtypes)
+    return out.select(*[
+        F.col("_new_text").alias(c) if c == "text"
+        else F.when(F.col("_new_text").isNull() | (F.col("_new_text") == joined["text"]), joined[c])
+        .otherwise(F.length("_new_text")).cast(kinds[c]).alias(c) if c == "n_chars" else joined[c]
+        for c in docs.columns])

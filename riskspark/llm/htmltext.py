@@ -58,8 +58,9 @@ MARKS = frozenset(
 WEAK = frozenset("header head".split())
 OWN = frozenset("article post entry content story main body text page".split())
 CONTENT = frozenset("article post entry content story main".split())
-TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table thead tbody tr td th dl dt dd figcaption figure b i em "
-                        "strong a span u s code sub sup small mark q cite abbr time br li article main".split())
+TEXT_BLOCKS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 blockquote pre table thead tbody tr td th dl dt dd figcaption figure b i em "
+    "strong a span u s code sub sup small mark q cite abbr time br li ul ol header hgroup article main".split())
 
 _SKIP = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*>", re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>")

@@ -231,57 +231,79 @@ def repeated_places(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     return map_arrow(dealt, _repeats, "doc_id long, place long, n int")
 
 
-def _removed(window: int, digest: bool):
+def kept_words(text: str, tag: int, places, window: int) -> tuple[list[bytes], int]:
+    """Words left of a text and how many were removed."""
+    words = text.encode().split()  # bytes: exactly the six spaces of the word pattern
+    gone = None
+    for p in places or ():
+        if (p["place"] >> 32) & 0xFFFFFFFF == tag & 0xFFFFFFFF:
+            gone = np.zeros(len(words), bool) if gone is None else gone
+            start = p["place"] & 0xFFFFFFFF
+            gone[start:start + p["n"] + window - 1] = True
+    if gone is None:
+        return words, 0
+    return [words[i] for i in np.flatnonzero(~gone).tolist()], int(gone.sum())
+
+
+def _digests(window: int):
+    def run(batches):
+        for batch in batches:
+            n, removed, digest = [], [], []
+            for text, tag, places in zip(*(batch.column(c).to_pylist() for c in ("text", "_tag", "_places"))):
+                words, gone = kept_words(text, tag, places, window)
+                n.append(len(words) + gone)
+                removed.append(gone)
+                digest.append(hashlib.sha256(b" ".join(words)).hexdigest())
+            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
+                                   pa.array(digest, pa.string())],
+                                  names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+    return run
+
+
+def _cut(window: int, columns: list[str]):
     def run(batches):
         for batch in batches:
             out = []
-            for text, tag, places in zip(*(batch.column(c).to_pylist() for c in ("text", "tag", "places"))):
-                words = text.encode().split()  # bytes: exactly the six spaces of the word pattern
-                gone = None
-                for p in places or ():
-                    if (p["place"] >> 32) & 0xFFFFFFFF == tag & 0xFFFFFFFF:
-                        gone = np.zeros(len(words), bool) if gone is None else gone
-                        start = p["place"] & 0xFFFFFFFF
-                        gone[start:start + p["n"] + window - 1] = True
-                n, kept = len(words), text
-                if digest or gone is not None:
-                    if gone is not None:
-                        words = [words[i] for i in np.flatnonzero(~gone).tolist()]
-                    kept = b" ".join(words)
-                out.append((n, n - len(words), hashlib.sha256(kept).hexdigest() if digest else
-                            kept if gone is None else kept.decode()))
-            n, removed, kept = zip(*out) if out else ((), (), ())
-            yield pa.record_batch([batch.column("doc_id"), batch.column("tag"), pa.array(n, pa.int64()),
-                                   pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                                  names=["doc_id", "tag", "n_words", "n_removed", "kept"])
+            for text, tag, places in zip(*(batch.column(c).to_pylist() for c in ("text", "_tag", "_places"))):
+                if places:
+                    words, gone = kept_words(text or "", tag, places, window)
+                    text = b" ".join(words).decode() if gone else text
+                out.append(text)
+            batch = batch.select(columns)
+            i = batch.schema.get_field_index("text")
+            yield batch.set_column(i, "text", pa.array(out, pa.string()))
     return run
 
 
-def removed(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, digest: bool = False) -> DataFrame:
-    """(doc_id, tag, n_words, n_removed, kept): the kept text, words joined by one
-    space where any were removed, or the digest of the kept words."""
-    docs = texts(docs)
-    found = (repeated_places(docs, window, rounds).groupBy("doc_id")
-             .agg(F.collect_list(F.struct("place", "n")).alias("places")))  # bounded by the document itself
-    joined = docs.withColumn("tag", F.xxhash64("text")).join(found.hint("shuffle_merge"), "doc_id", "left")
-    return map_arrow(joined.select("doc_id", "text", "tag", "places"), _removed(window, digest),
-                     "doc_id long, tag long, n_words long, n_removed long, kept string")
+def with_places(docs: DataFrame, window: int, rounds: int) -> DataFrame:
+    """``docs`` with the text's tag and its repeated places."""
+    found = (repeated_places(texts(docs), window, rounds).groupBy(F.col("doc_id").alias("_id"))
+             .agg(F.collect_list(F.struct("place", "n")).alias("_places")))  # bounded by the document itself
+    tagged = docs.withColumn("_tag", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return tagged.join(found.hint("shuffle_merge"), tagged["doc_id"].cast("long") == F.col("_id"), "left").drop("_id")
+
+
+def removal_digests(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256) of every document."""
+    return map_arrow(with_places(texts(docs), window, rounds), _digests(window),
+                     "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with repeated passages cut from ``text``; all columns kept.  A
-    document that loses every word has an empty text; rows without doc_id or
-    text stay as they are."""
-    cut = (removed(docs, window).where("n_removed > 0")
-           .select(F.col("doc_id").alias("_cut_id"), F.col("tag").alias("_cut_tag"), F.col("kept").alias("_cut_text"))
-           .dropDuplicates(["_cut_id", "_cut_tag"]))
-    same = (F.col("doc_id").cast("long") == F.col("_cut_id")) & (
-        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("_cut_tag"))
-    joined = docs.join(cut, same, "left")
-    return joined.select(*[F.coalesce("_cut_text", "text").alias("text") if c == "text" else docs[c]
-                           for c in docs.columns])
+def deduplicated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
+    """``docs`` with repeated passages cut from ``text`` (kept words then joined by
+    one space); all columns kept, n_chars following the text.  A document that
+    loses every word has an empty text; rows without doc_id stay as they are."""
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    named = docs.where(F.col("doc_id").isNotNull())
+    before = F.length("text").alias("_before")
+    cut = map_arrow(with_places(named, window, rounds).withColumn("_before", before),
+                    _cut(window, [*docs.columns, "_before"]), named.select("*", before).schema)
+    if "n_chars" in docs.columns:  # a cut text is shorter
+        kind = dict(docs.dtypes)["n_chars"]
+        cut = cut.withColumn("n_chars", F.when(F.length("text") < F.col("_before"), F.length("text").cast(kind))
+                             .otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def op8_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (removed(documents(spark, sf_dir), digest=True)
-            .select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256")))
+    return removal_digests(documents(spark, sf_dir))

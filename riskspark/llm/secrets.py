@@ -28,7 +28,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, texts, written
+from .common import documents, small, texts, with_text, written
 from .divergence import SPACES, let, words_of
 
 #: Labelled findings the forest is fitted on, at most.
@@ -149,11 +149,12 @@ def redacted(docs: DataFrame) -> DataFrame:
     own = (findings(docs).where("secret").groupBy(F.col("doc_id").alias("_secret_id"))
            .agg(F.collect_set("value").alias("_secrets")))  # bounded by the document itself
     longest_first = F.array_sort(F.transform("_secrets", lambda v: F.struct((-F.length(v)).alias("n"), v.alias("v"))))
-    own = own.select("_secret_id", F.transform(longest_first, lambda x: x["v"]).alias("_secrets"))
-    joined = docs.join(own, docs["doc_id"].cast("long") == F.col("_secret_id"), "left")
-    clean = F.when(F.col("_secrets").isNull(), docs["text"]).otherwise(
-        F.aggregate("_secrets", docs["text"].cast("string"), lambda t, v: F.replace(t, v, F.lit(MASK))))
-    return joined.select(*[clean.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    own = written(own.select("_secret_id", F.transform(longest_first, lambda x: x["v"]).alias("_secrets")), "secrets")
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    joined = docs.join(small(own), docs["doc_id"].cast("long") == F.col("_secret_id"), "left")
+    clean = F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(
+        F.aggregate("_secrets", F.col("text"), lambda t, v: F.replace(t, v, F.lit(MASK))))
+    return with_text(docs, joined, clean)
 
 
 def op4_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -290,17 +290,22 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(max(w[0], 0.0)), float(w[1])
 
 
+def _best(machine: Machine, known: dict[str, float], values: list) -> np.ndarray:
+    """Best decision in each text; ``known`` remembers words."""
+    bags = [instances(t or "") for t in values]
+    if len(known) > CACHE_WORDS:
+        known.clear()
+    new = [w for w in set().union(*bags) if w not in known]
+    known.update(zip(new, machine.decisions(new).tolist()))
+    return np.array([max(map(known.__getitem__, b), default=-5.0) for b in bags])
+
+
 def _score(shared):
     def run(batches):
         machine = shared.value
         known: dict[str, float] = {}
         for batch in blocks(batches):
-            bags = [instances(t) for t in batch.column("text").to_pylist()]
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            new = [w for w in set().union(*bags) if w not in known]
-            known.update(zip(new, machine.decisions(new).tolist()))
-            best = np.array([max(map(known.__getitem__, b), default=-5.0) for b in bags])
+            best = _best(machine, known, batch.column("text").to_pylist())
             yield pa.record_batch([batch.column("doc_id"), pa.array(machine.score(best), pa.float64())],
                                   names=["doc_id", "score"])
     return run
@@ -334,6 +339,22 @@ def scored(docs: DataFrame, machine: Machine) -> DataFrame:
     return map_arrow(texts(docs), _score(shared), "doc_id long, score double")
 
 
+def _keep(shared, threshold: float):
+    def run(batches):
+        machine = shared.value
+        known: dict[str, float] = {}
+        for batch in blocks(batches):
+            best = _best(machine, known, batch.column("text").to_pylist())
+            yield batch.filter(pa.array(machine.score(best) < threshold))
+    return run
+
+
+def without_toxic(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
+    """Rows of ``docs`` scoring below ``threshold``, all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    return map_arrow(docs, _keep(shared, threshold), docs.schema)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     machine = fit_machine(docs, read_table(spark, sf_dir, "labels"))

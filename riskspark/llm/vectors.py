@@ -231,8 +231,11 @@ def search(queries: DataFrame, index: DataFrame, k: int, block: int = BLOCK, que
     def every(n: str):
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    q = queries.join(sizes, "part").select("vec_id", "v", "part", own("qs").alias("qb"), every("xs").alias("xb"))
-    x = index.join(sizes, "part").select("vec_id", "v", "part", own("xs").alias("xb"), every("qs").alias("qb"))
+    def named(df: DataFrame) -> DataFrame:  # both may come from one frame
+        return df.select(*[F.col(c).alias(c) for c in ("vec_id", "v", "part")]).join(sizes, "part")
+
+    q = named(queries).select("vec_id", "v", "part", own("qs").alias("qb"), every("xs").alias("xb"))
+    x = named(index).select("vec_id", "v", "part", own("xs").alias("xb"), every("qs").alias("qb"))
     key = ["part", "xb", "qb"]
     found = q.groupBy(*key).cogroup(x.groupBy(*key)).applyInPandas(_nearest(k), FOUND)
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
