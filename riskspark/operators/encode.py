@@ -129,7 +129,7 @@ class Preprocessor:
         for c in self.groups.numeric:
             if c not in self.medians:
                 continue
-            v = F.coalesce(F.col(c).cast("double"), F.lit(self.medians[c]))
+            v = F.coalesce(_number(c), F.lit(self.medians[c]))
             cols.append(((v - F.lit(self.means[c])) / F.lit(self.scales[c])).alias(c))
         for c in self.groups.low_card:
             v = F.coalesce(F.col(c), F.lit(K.MISSING_CATEGORY))
@@ -139,18 +139,23 @@ class Preprocessor:
         return out.select(*cols)
 
 
+def _number(c: str) -> F.Column:
+    """A numeric column as double, NaN as null."""
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def _fit_numeric(train: DataFrame, cols: list[str]) -> tuple[dict, dict, dict]:
     if not cols:
         return {}, {}, {}
-    long = (train.select(*[F.col(c).cast("double").alias(c) for c in cols])
-            .unpivot([], cols, "column_name", "value")
-            .where(F.col("value").isNotNull() & ~F.isnan("value")))
+    long = (train.select(*[_number(c).alias(c) for c in cols])
+            .unpivot([], cols, "column_name", "value").where(F.col("value").isNotNull()))
     med = {r["column_name"]: r["quantile"]
            for r in exact_quantiles(long, "value", [0.5], by=["column_name"]).collect()}
     kept = [c for c in cols if med.get(c) is not None]
     if not kept:
         return {}, {}, {}
-    imputed = [F.coalesce(F.col(c).cast("double"), F.lit(med[c])) for c in kept]
+    imputed = [F.coalesce(_number(c), F.lit(med[c])) for c in kept]
     row = train.agg(*[F.avg(v).alias(f"m_{i}") for i, v in enumerate(imputed)],
                     *[F.stddev_pop(v).alias(f"s_{i}") for i, v in enumerate(imputed)]).first()
     means = {c: float(row[f"m_{i}"]) for i, c in enumerate(kept)}

@@ -270,12 +270,15 @@ def first_per_class(sample: DataFrame, label: str = K.LABEL, key: str = K.KEY,
 
 def waterfall(shap: DataFrame, base: float, k: int = K.WATERFALL_REPORT,
               key: str = K.KEY) -> DataFrame:
-    """the k-1 largest |SHAP| rows per applicant, the rest summed into one
-    "other features" row, plus base and output margin columns."""
+    """all rows of an applicant with at most k features; of more, the k-1
+    largest |SHAP| rows and the rest summed into one "other features" row; plus
+    base and output margin columns."""
     w = Window.partitionBy(key).orderBy(F.desc(F.abs(F.col("shap"))), F.asc("feature"))
-    ranked = shap.withColumn("rank", F.row_number().over(w))
-    head = ranked.where(F.col("rank") < k).select(key, "rank", "feature", "value", "shap")
-    tail = (ranked.where(F.col("rank") >= k).groupBy(key)
+    ranked = (shap.withColumn("rank", F.row_number().over(w))
+              .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(key))))
+    own = (F.col("rank") < k) | (F.col("__n") <= k)
+    head = ranked.where(own).select(key, "rank", "feature", "value", "shap")
+    tail = (ranked.where(~own).groupBy(key)
             .agg(F.count(F.lit(1)).alias("n"), F.sum("shap").alias("shap"))
             .select(key, F.lit(k).alias("rank"),
                     F.concat(F.col("n").cast("string"), F.lit(" other features")).alias("feature"),

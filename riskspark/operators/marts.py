@@ -124,6 +124,23 @@ def order_facts(t: Tables) -> DataFrame:
         .withColumn("n_late", F.coalesce(F.col("n_late"), F.lit(0)).cast("long"))
 
 
+def _previous_columns() -> list[F.Column]:
+    """D2 aggregates over order rows."""
+    days = F.datediff(F.col("o_orderdate"), F.to_date(F.lit(ORDER_REFERENCE_DATE)))
+    n_orders = F.count(F.lit(1))
+    sum_price = _dbl(_wide_sum("o_price_cents")) / F.lit(float(CENTS))
+    return [
+        n_orders.alias("PREV_N_ORDERS"),
+        (sum_price / n_orders).alias("PREV_AVG_PRICE"),
+        F.min("o_totalprice").alias("PREV_MIN_PRICE"),
+        F.max("o_totalprice").alias("PREV_MAX_PRICE"),
+        _share(F.col("o_orderpriority") == "1-URGENT").alias("PREV_SHARE_URGENT"),
+        F.count_if(F.col("o_orderstatus") == "O").alias("PREV_N_OPEN"),
+        F.min(days).alias("PREV_DAYS_FIRST_ORDER"),
+        F.max(days).alias("PREV_DAYS_LAST_ORDER"),
+    ]
+
+
 def customer_order_rollup(t: Tables, facts: DataFrame | None = None) -> DataFrame:
     """D1 + D2 + D3 + D5 in one aggregation of order rows by applicant.
 
@@ -131,7 +148,6 @@ def customer_order_rollup(t: Tables, facts: DataFrame | None = None) -> DataFram
     have no line, as a separate line mart left-joined would give.
     """
     f = facts if facts is not None else order_facts(t)
-    days = F.datediff(F.col("o_orderdate"), F.to_date(F.lit(ORDER_REFERENCE_DATE)))
     n_orders = F.count(F.lit(1))
     n_lines = F.sum("n_lines")
     has_lines = n_lines > 0
@@ -144,14 +160,7 @@ def customer_order_rollup(t: Tables, facts: DataFrame | None = None) -> DataFram
         n_lines.alias("BURO_N_LINES"),
         F.try_divide(_dbl(F.sum("n_returned")), n_lines).alias("BURO_SHARE_R"),
         # D2 previous_app_features: orders by applicant
-        n_orders.alias("PREV_N_ORDERS"),
-        (sum_price / n_orders).alias("PREV_AVG_PRICE"),
-        F.min("o_totalprice").alias("PREV_MIN_PRICE"),
-        F.max("o_totalprice").alias("PREV_MAX_PRICE"),
-        _share(F.col("o_orderpriority") == "1-URGENT").alias("PREV_SHARE_URGENT"),
-        F.count_if(F.col("o_orderstatus") == "O").alias("PREV_N_OPEN"),
-        F.min(days).alias("PREV_DAYS_FIRST_ORDER"),
-        F.max(days).alias("PREV_DAYS_LAST_ORDER"),
+        *_previous_columns(),
         # D3 installments_features: days between order and shipment, per line
         F.when(has_lines, n_lines).alias("INST_N_LINES"),
         F.try_divide(_dbl(F.sum("sum_late")), n_lines).alias("INST_AVG_DAYS_LATE"),
@@ -197,8 +206,11 @@ def bureau_features(t: Tables) -> DataFrame:
 
 
 def previous_app_features(t: Tables) -> DataFrame:
-    """Roll-up of orders by applicant."""
-    return customer_order_rollup(t).select(K.KEY, *PREV_COLS)
+    """Roll-up of orders by applicant; lines are not read."""
+    o = t.orders.where(F.col("o_orderkey").isNotNull() & F.col("o_custkey").isNotNull()).select(
+        "o_custkey", _scaled("o_totalprice", CENTS).alias("o_price_cents"), "o_totalprice",
+        "o_orderstatus", "o_orderpriority", "o_orderdate")
+    return o.groupBy(F.col("o_custkey").alias(K.KEY)).agg(*_previous_columns())
 
 
 def installments_features(t: Tables) -> DataFrame:

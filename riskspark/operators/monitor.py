@@ -20,6 +20,7 @@ from ..functions.formatting import report_round
 from ..functions.binning import (decile_probabilities, edges_literal, equal_width_edges,
                                  histogram_bin, quantile_bin)
 from ..functions.formatting import bin_label
+from .joins import broadcast_checked
 from ..functions.scoring import DEFAULT_SCORECARD, Scorecard, probability_to_score, risk_band
 
 
@@ -165,16 +166,19 @@ def histogram(df: DataFrame, value: str = "score", by: str = "split",
     else:
         edges = {r[by]: grid_edges(r["lo"], r["hi"]) for r in ranges}
     keys = sorted(edges, key=lambda x: (x is None, x))
-    edge_map = F.create_map(*[x for k in keys for x in (F.lit(k), edges_literal(edges[k]))])
-    binned = df.where(F.col(value).isNotNull()).select(
-        F.col(by), histogram_bin(F.col(value).cast("double"), F.element_at(edge_map, F.col(by)), n_bins)
-        .alias("bin"))
-    counts = binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias("count"))
+    # a null group is a group of its own: joined null-safe, a row per group
+    table = spark.createDataFrame([(k, edges[k]) for k in keys], f"__by {df.schema[by].dataType.simpleString()}, "
+                                  "__edges array<double>")
+    binned = (df.where(F.col(value).isNotNull()).select(by, F.col(value).cast("double").alias("__v"))
+              .join(broadcast_checked(table), F.col(by).eqNullSafe(F.col("__by")))
+              .select(by, histogram_bin(F.col("__v"), F.col("__edges"), n_bins).alias("bin")))
+    counts = (binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias("count"))
+              .select(F.col(by).alias("__by"), F.col("bin").alias("__bin"), "count"))
     grid_rows = [(k, i, edges[k][i], edges[k][i + 1]) for k in keys for i in range(n_bins)]
     grid = spark.createDataFrame(grid_rows, f"{by} string, bin int, lo double, hi double")
     # every binned row is in one bin: totals are sums over the (groups x bins)
     # grid, a window over that small frame, so the counts are read once
-    out = (grid.join(counts, [by, "bin"], "left")
+    out = (grid.join(counts, F.col(by).eqNullSafe(F.col("__by")) & (F.col("bin") == F.col("__bin")), "left")
            .withColumn("count", F.coalesce("count", F.lit(0)).cast("long"))
            .withColumn("__total", F.sum("count").over(Window.partitionBy(by))))
     width = F.col("hi") - F.col("lo")

@@ -19,7 +19,7 @@ from ..functions.formatting import report_round
 # --- B2 / B3: column selection -------------------------------------------------
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
-    """Numeric columns in schema order (booleans are cast before, Q4)."""
+    """Numeric columns in schema order (``prepared`` casts booleans before, Q4)."""
     ex = set(exclude)
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, T.NumericType) and f.name not in ex]
@@ -37,6 +37,23 @@ def unsupported_columns(df: DataFrame) -> list[str]:
             if not isinstance(f.dataType, (T.NumericType, T.StringType))]
 
 
+def prepared(df: DataFrame) -> DataFrame:
+    """Booleans as 0/1 and NaN as null; raises on columns that are then neither
+    numeric nor text, which the caller must drop or convert."""
+    def column(f: T.StructField):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.BooleanType):
+            return c.cast("int").alias(f.name)
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            return F.when(~F.isnan(c), c).alias(f.name)
+        return c
+    out = df.select(*[column(f) for f in df.schema.fields])
+    bad = unsupported_columns(out)
+    if bad:
+        raise ValueError(f"columns neither numeric nor text: {bad}")
+    return out
+
+
 def days_columns(df: DataFrame) -> list[str]:
     """Every column whose name *contains* the marker, not only as prefix."""
     return [c for c in df.columns if K.SENTINEL_NAME_PART in c]

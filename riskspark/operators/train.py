@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..session import materialize, scratch_path
+from ..session import scratch_path
 from .metrics import class_ratio, mean_over_folds, positive_weight, ranking_metrics
 
 # Search ranges (fixed values: name, low, high, log scale, integer).
@@ -76,7 +76,7 @@ def train_baseline(train: DataFrame, features: str = "features", label: str = K.
 
 # --- I9: boosted trees --------------------------------------------------------
 
-def gbt_params(params: dict, max_iter_cap: int | None = None) -> dict:
+def gbt_params(params: dict) -> dict:
     """Map the searched ranges onto GBTClassifier parameters.
 
     n_estimators -> maxIter, learning_rate -> stepSize, max_depth -> maxDepth,
@@ -84,12 +84,9 @@ def gbt_params(params: dict, max_iter_cap: int | None = None) -> dict:
     colsample_bytree -> featureSubsetStrategy (a fraction, per node).
     num_leaves, reg_alpha, reg_lambda have no counterpart and are recorded only.
     """
-    it = int(params.get("n_estimators", 100))
-    if max_iter_cap:
-        it = min(it, max_iter_cap)
     frac = float(params.get("colsample_bytree", 1.0))
     return dict(
-        maxIter=it,
+        maxIter=int(params.get("n_estimators", 100)),
         stepSize=float(params.get("learning_rate", 0.1)),
         maxDepth=int(params.get("max_depth", 5)),
         minInstancesPerNode=int(params.get("min_child_samples", 1)),
@@ -99,11 +96,9 @@ def gbt_params(params: dict, max_iter_cap: int | None = None) -> dict:
 
 
 def train_gbt(train: DataFrame, params: dict, ratio: float, features: str = "features",
-              label: str = K.LABEL, validation: str | None = None,
-              max_iter_cap: int | None = None, seed: int = K.RANDOM_STATE) -> GBTClassificationModel:
+              label: str = K.LABEL, validation: str | None = None, seed: int = K.RANDOM_STATE) -> GBTClassificationModel:
     data = _label_double(train, label).withColumn("__w", positive_weight(label, ratio))
-    kw = gbt_params(params, max_iter_cap)
-    gbt = GBTClassifier(featuresCol=features, labelCol="__label", weightCol="__w", seed=seed, **kw)
+    gbt = GBTClassifier(featuresCol=features, labelCol="__label", weightCol="__w", seed=seed, **gbt_params(params))
     if validation:
         gbt = gbt.setValidationIndicatorCol(validation)
     return gbt.fit(data)
@@ -120,13 +115,14 @@ def predict_proba(model, df: DataFrame, keep: Sequence[str] = (K.KEY, K.LABEL, "
 
 # --- I10 / I11 / D19 / F7: search ------------------------------------------------
 
-def sample_trials(n_trials: int = K.N_TRIALS, seed: int = K.RANDOM_STATE) -> list[dict]:
-    """Seeded random search over SEARCH_SPACE (log-uniform where marked)."""
+def sample_trials(n_trials: int = K.N_TRIALS, seed: int = K.RANDOM_STATE,
+                  space: Sequence[tuple] = SEARCH_SPACE) -> list[dict]:
+    """Seeded random search over ``space`` (log-uniform where marked)."""
     rng = np.random.default_rng(seed)
     trials = []
     for _ in range(n_trials):
         p = {}
-        for name, lo, hi, log, integer in SEARCH_SPACE:
+        for name, lo, hi, log, integer in space:
             if integer:
                 p[name] = int(rng.integers(lo, hi + 1))
             elif log:
@@ -158,19 +154,18 @@ def best_round(losses: Sequence[float], patience: int = K.EARLY_STOPPING_ROUNDS)
 
 
 def _fold_score(base: DataFrame, params: dict, ratio: float, k: int, features: str, label: str,
-                fold_col: str, max_iter_cap: int | None, seed: int, early_stopping: str,
-                patience: int) -> tuple[float | None, int]:
+                fold_col: str, seed: int, early_stopping: str,
+                patience: int) -> tuple[float | None, int, int]:
+    """AUC on fold ``k``, trees kept, trees grown."""
     spark = base.sparkSession
     val = base.where(F.col(fold_col) == k)
     if early_stopping == "tolerance":
         data = base.withColumn("__val", F.col(fold_col) == k)
-        model = train_gbt(data, params, ratio, features, label, validation="__val",
-                          max_iter_cap=max_iter_cap, seed=seed)
+        model = train_gbt(data, params, ratio, features, label, validation="__val", seed=seed)
         pred = predict_proba(model, val, keep=(K.KEY, label))
         auc = ranking_metrics(pred, "probability", label).first()["auc_roc"]
-        return auc, model.getNumTrees
-    model = train_gbt(base.where(F.col(fold_col) != k), params, ratio, features, label,
-                      max_iter_cap=max_iter_cap, seed=seed)
+        return auc, model.getNumTrees, model.getNumTrees
+    model = train_gbt(base.where(F.col(fold_col) != k), params, ratio, features, label, seed=seed)
     scored_val = _label_double(val, label).withColumn("__w", positive_weight(label, ratio))
     n_keep = best_round(model.evaluateEachIteration(scored_val), patience)
     if n_keep >= model.getNumTrees:
@@ -181,14 +176,13 @@ def _fold_score(base: DataFrame, params: dict, ratio: float, k: int, features: s
         path = save_model(spark, model, f"search/{uuid.uuid4().hex}")
         m = staged_margins(val, leaf_table(spark, path), n_keep, features, keep=(K.KEY, label))
         auc = ranking_metrics(m, "margin", label).first()["auc_roc"]
-    return auc, n_keep
+    return auc, n_keep, model.getNumTrees
 
 
 def search(train: DataFrame, ratio: float, n_trials: int = K.N_TRIALS, n_folds: int = K.N_FOLDS,
            features: str = "features", label: str = K.LABEL, fold_col: str = "fold",
-           max_iter_cap: int | None = None, parallelism: int = 4,
-           seed: int = K.RANDOM_STATE, early_stopping: str = "rounds",
-           patience: int = K.EARLY_STOPPING_ROUNDS) -> SearchResult:
+           parallelism: int = 4, seed: int = K.RANDOM_STATE, early_stopping: str = "rounds",
+           patience: int = K.EARLY_STOPPING_ROUNDS, space: Sequence[tuple] = SEARCH_SPACE) -> SearchResult:
     """Each trial: for every fold k, fit on the other folds, keep the rounds
     early stopping chooses on fold k, score fold k, and average the fold AUCs.
 
@@ -197,23 +191,23 @@ def search(train: DataFrame, ratio: float, n_trials: int = K.N_TRIALS, n_folds:
     ``validationIndicatorCol`` rule.
     """
     spark = train.sparkSession
-    base = materialize(train.select(K.KEY, label, fold_col, features))
-    trials = sample_trials(n_trials, seed)
+    base = train.select(K.KEY, label, fold_col, features)  # read once per fit: pass a written table
+    trials = sample_trials(n_trials, seed, space)
 
     def run(i: int) -> list[tuple]:
         out = []
         for k in range(n_folds):
-            auc, n_keep = _fold_score(base, trials[i], ratio, k, features, label, fold_col,
-                                      max_iter_cap, seed, early_stopping, patience)
-            out.append((i, k, float(auc) if auc is not None else None, int(n_keep)))
+            auc, n_keep, n_grown = _fold_score(base, trials[i], ratio, k, features, label, fold_col,
+                                               seed, early_stopping, patience)
+            out.append((i, k, float(auc) if auc is not None else None, int(n_keep), int(n_grown)))
         return out
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         rows = [r for part in ex.map(run, range(n_trials)) for r in part]
-    per_fold = spark.createDataFrame(rows, "trial int, fold int, auc_roc double, best_iteration int")
-    cols = ", ".join(f"{name} double" for name, *_ in SEARCH_SPACE)
+    per_fold = spark.createDataFrame(rows, "trial int, fold int, auc_roc double, best_iteration int, n_trees int")
+    cols = ", ".join(f"{name} double" for name, *_ in space)
     params = spark.createDataFrame(
-        [(t, *[float(trials[t][name]) for name, *_ in SEARCH_SPACE]) for t in range(n_trials)],
+        [(t, *[float(trials[t][name]) for name, *_ in space]) for t in range(n_trials)],
         f"trial int, {cols}")
     # Mean fold AUC per trial; F7: the best trial (ties: lowest id)
     means = mean_over_folds(per_fold, "auc_roc", by=["trial"]).drop("n_folds")

@@ -2,7 +2,7 @@
 
 ``fit_models`` follows the original order: features -> split -> encoders fit on
 train -> baseline -> search -> refit -> scores -> tree attribution.  The
-assembled train and test frames are checkpointed once into the shared folder
+assembled train and test frames are written once into the shared folder
 (every model pass re-reads them instead of recomputing marts and encoders).
 """
 
@@ -26,17 +26,21 @@ from .scoring import split_features
 
 @dataclass(frozen=True)
 class Budget:
-    """Search budget.  Library defaults are the original's (50 trials x 5
-    folds, no iteration cap); the registered check queries pass a smaller one."""
+    """Search settings: trials, folds and the space the trials are drawn from.
+    Whatever is drawn is what is fitted, trees included.  The library's defaults
+    are the original's (50 trials x 5 folds of up to 1000 trees)."""
 
     n_trials: int = K.N_TRIALS
     n_folds: int = K.N_FOLDS
-    trial_iter_cap: int | None = None
-    final_iter_cap: int | None = None
+    space: tuple = train.SEARCH_SPACE
     parallelism: int = 4
 
 
-CHECK_BUDGET = Budget(n_trials=4, n_folds=K.N_FOLDS, trial_iter_cap=20, final_iter_cap=60)
+#: The parameter set of the registered queries: the original's ranges but for
+#: the trees per model, of which a trial draws 10 to 40, over 4 trials.
+QUERY_SPACE = tuple(("n_estimators", 10, 40, False, True) if s[0] == "n_estimators" else s
+                    for s in train.SEARCH_SPACE)
+QUERY_BUDGET = Budget(n_trials=4, space=QUERY_SPACE)
 
 
 @dataclass
@@ -54,7 +58,7 @@ class ModelRun:
 
 def fit_models(t: Tables, budget: Budget = Budget()) -> ModelRun:
     spark = t.spark
-    f = split_features(t).drop(*LEAK_COLUMNS)  # reads a checkpoint
+    f = split_features(t).drop(*LEAK_COLUMNS)  # reads a written table
     groups = identify_column_types(f, exclude=(K.KEY, K.LABEL, "split", "fold"))
     pre = fit_preprocessor(f.where(F.col("split") == "train"), groups, checkpoint=False)
     names = pre.feature_names()
@@ -62,15 +66,16 @@ def fit_models(t: Tables, budget: Budget = Budget()) -> ModelRun:
     cols = [K.KEY, K.LABEL, "split", "fold", "features"]
     tr = materialize(enc.where(F.col("split") == "train").select(*cols))
     te = materialize(enc.where(F.col("split") == "test").select(*cols))
+    unlabelled = materialize(enc.where(F.col("split").isNull()).select(*cols))
     ratio = train.ratio_of(tr)
     baseline = train.train_baseline(tr)
-    res = train.search(tr, ratio, budget.n_trials, budget.n_folds, max_iter_cap=budget.trial_iter_cap,
-                       parallelism=budget.parallelism)
-    gbt = train.train_gbt(tr, res.best_params, ratio, max_iter_cap=budget.final_iter_cap)
+    res = train.search(tr, ratio, budget.n_trials, budget.n_folds, parallelism=budget.parallelism,
+                       space=budget.space)
+    gbt = train.train_gbt(tr, res.best_params, ratio)
     path = train.save_model(spark, gbt, f"models/gbt-{uuid.uuid4().hex}")
     scores = {}
     for name, model in (("logistic_regression", baseline), ("gbt", gbt)):
-        p = train.predict_proba(model, tr).unionByName(train.predict_proba(model, te))
+        p = train.predict_proba(model, tr.unionByName(te).unionByName(unlabelled))
         scores[name] = score_table(p, keep=[K.LABEL, "split"])
     return ModelRun(names, tr, te, ratio, baseline, res, gbt, path, scores)
 
@@ -79,7 +84,7 @@ _CACHE: dict[tuple, ModelRun] = {}
 _LOCK = threading.Lock()
 
 
-def cached_run(spark: SparkSession, sf_dir: str, budget: Budget = CHECK_BUDGET) -> ModelRun:
+def cached_run(spark: SparkSession, sf_dir: str, budget: Budget = QUERY_BUDGET) -> ModelRun:
     """One fit per (application, folder, budget) within a process."""
     key = (spark.sparkContext.applicationId, sf_dir, budget)
     with _LOCK:

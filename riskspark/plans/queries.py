@@ -21,7 +21,7 @@ from ..operators.explain import explanation_sample
 from ..sources.fixtures import LEAK_COLUMNS, Tables, document_application
 from ..sources.io import catalog_summary
 from ..session import TABLES
-from .scoring import formula_probability, formula_scores, split_features
+from .scoring import formula_probability, formula_scores, split_assignment, split_features
 
 REPORT_DIGITS = 6
 
@@ -108,15 +108,15 @@ def q_catalog_summary(spark, sf_dir):
 # --- split -----------------------------------------------------------------------------
 
 def q_split_assignment(spark, sf_dir):
-    return split_features(_t(spark, sf_dir)).select(K.KEY, K.LABEL, "split", "fold")
+    return split_assignment(_t(spark, sf_dir)).select(K.KEY, K.LABEL, "split", "fold")
 
 
 def q_class_balance(spark, sf_dir):
-    return metrics.class_balance(split_features(_t(spark, sf_dir)))
+    return metrics.class_balance(split_assignment(_t(spark, sf_dir)))
 
 
 def q_class_ratio(spark, sf_dir):
-    s = split_features(_t(spark, sf_dir))
+    s = split_assignment(_t(spark, sf_dir))
     return rounded(metrics.class_ratio(s.where(F.col("split") == "train")))
 
 
@@ -202,7 +202,7 @@ def q_pr_curve(spark, sf_dir):
 
 def _model_frame(spark, sf_dir):
     """Split feature table minus the planted leak.  ``split_features`` returns
-    a checkpoint, so routing, fitting and transform each read it (the marts
+    a written table, so routing, fitting and transform each read it (the marts
     run a single time)."""
     return split_features(_t(spark, sf_dir)).drop(*LEAK_COLUMNS)
 
@@ -252,8 +252,9 @@ def q_encoded_features(spark, sf_dir):
 # --- report tables -------------------------------------------------------------------------
 
 def q_applicant_cards(spark, sf_dir):
-    """Scores, outcome and card fields from one checkpointed feature frame."""
-    f = split_features(_t(spark, sf_dir))
+    """Scores, outcome and card fields; the plan reads only the columns a card shows."""
+    t = _t(spark, sf_dir)
+    f = marts.build_features(t).join(split_assignment(t).drop(K.LABEL), K.KEY, "left")
     f = f.withColumn("probability", formula_probability(f))
     s = monitor.score_table(f, keep=[K.LABEL, "split", *[c for _, c, _ in report.CARD_FIELDS]])
     return report.applicant_cards(s.where(F.col("split") == "test")).transform(rounded)

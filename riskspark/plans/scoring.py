@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.scoring import logistic
-from ..operators.marts import build_features
+from ..operators.marts import build_features, previous_app_features
 from ..operators.monitor import score_table
 from ..operators.split import stratified_split
 from ..session import materialize
-from ..sources.fixtures import Tables
+from ..sources.fixtures import Tables, applicant_labels
 
 # Fixed values of the stand-in formula (FIXTURES §3).
 FORMULA_INTERCEPT = -2.2
@@ -35,19 +35,22 @@ def formula_probability(features: DataFrame) -> F.Column:
     return logistic(z)
 
 
-def split_features(t: Tables) -> DataFrame:
-    """Feature table with ``split`` and ``fold``.
+def split_assignment(t: Tables) -> DataFrame:
+    """Key, label, ``split`` and ``fold`` (E9, E10) from key and label alone."""
+    return stratified_split(applicant_labels(t))
+
 
-    The split reads its input twice (class-bucket counts, ranked rows), so
-    the feature table is checkpointed first (the marts run once), and so is
-    the split result: every report over the scores reads it instead of
-    re-running the rank window.
-    """
-    return materialize(stratified_split(materialize(build_features(t))))
+def split_features(t: Tables) -> DataFrame:
+    """Feature table with ``split`` and ``fold``, for the encoders, which read it
+    several times: written once, its readers take the columns they need."""
+    return materialize(build_features(t).join(split_assignment(t).drop(K.LABEL), K.KEY, "left"))
 
 
 def formula_scores(t: Tables) -> DataFrame:
-    """Score table of every applicant: key, probability, score, band, label, split."""
-    f = split_features(t)
+    """Score table of every applicant: key, probability, score, band, label, split.
+
+    Only the roll-up of orders that the formula reads is joined to the split;
+    the narrow result is written, as reports read it more than once."""
+    f = split_assignment(t).join(previous_app_features(t), K.KEY, "left")
     f = f.withColumn("probability", formula_probability(f))
-    return score_table(f, keep=[K.LABEL, "split"])
+    return materialize(score_table(f, keep=[K.LABEL, "split"]))

@@ -33,7 +33,7 @@ from .. import constants as K
 from ..operators import audit, explain, metrics, monitor, quality, train
 from ..operators.encode import assemble, fit_preprocessor, identify_column_types
 from ..operators.marts import build_features
-from ..session import TABLES, local_session, scratch_path
+from ..session import TABLES, drop_temporary, local_session, scratch_path
 from ..sources import io
 from ..sources.fixtures import LEAK_COLUMNS, Tables
 from ..operators.split import stratified_split
@@ -58,7 +58,7 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None, budget: Budget
     raw = build_features(t, replace_sentinel=False)
     _write(quality.sentinel_counts(raw), out, "reports/sentinel_counts")
     feat_path, n_features_rows = io.write_counted(quality.replace_sentinels(raw), f"{out}/features")
-    feats = spark.read.parquet(feat_path)
+    feats = quality.prepared(spark.read.parquet(feat_path))
     summary["feature_rows"] = n_features_rows
     _write(quality.top_missing(feats), out, "reports/missingness")
     _write(quality.target_distribution(feats), out, "reports/target_distribution")
@@ -82,9 +82,9 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None, budget: Budget
     # 4. train
     ratio = train.ratio_of(tr)
     lr = train.train_baseline(tr)
-    res = train.search(tr, ratio, budget.n_trials, budget.n_folds, max_iter_cap=budget.trial_iter_cap,
-                       parallelism=budget.parallelism)
-    gbt = train.train_gbt(tr, res.best_params, ratio, max_iter_cap=budget.final_iter_cap)
+    res = train.search(tr, ratio, budget.n_trials, budget.n_folds, parallelism=budget.parallelism,
+                       space=budget.space)
+    gbt = train.train_gbt(tr, res.best_params, ratio)
     paths = io.save_artifacts(spark, out, models={"baseline": lr, "gbt": gbt},
                               docs={"feature_names": names, "best_params": res.best_params,
                                     "scorecard": dict(monitor.DEFAULT_SCORECARD.as_rows())})
@@ -129,6 +129,7 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None, budget: Budget
         "psi": psi_total["psi_total"], "psi_verdict": psi_total["verdict"],
         "shap_base": lt.base, "n_features": len(names),
     })
+    drop_temporary(spark)
     return summary
 
 
@@ -138,11 +139,9 @@ def main(argv=None) -> None:
     ap.add_argument("--out", default=None)
     ap.add_argument("--trials", type=int, default=K.N_TRIALS)
     ap.add_argument("--folds", type=int, default=K.N_FOLDS)
-    ap.add_argument("--trial-iter-cap", type=int, default=None)
-    ap.add_argument("--final-iter-cap", type=int, default=None)
     a = ap.parse_args(argv)
     spark = SparkSession.getActiveSession() or local_session()
-    res = run(spark, a.sf_dir, a.out, Budget(a.trials, a.folds, a.trial_iter_cap, a.final_iter_cap))
+    res = run(spark, a.sf_dir, a.out, Budget(a.trials, a.folds))
     res["metrics"] = {f"{m}.{k}": v for (m, k), v in res["metrics"].items()}
     print(json.dumps(res, default=str, indent=2))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,6 +80,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="riskspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -120,15 +123,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/riskspark/{name}"
 
 
+_TEMPORARY: dict[str, list[str]] = {}
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+    """Cut lineage with a table in the shared folder, read back.
 
     Used where a frame feeds several jobs (fitted parameters, the training
     frame of a search) so executor loss re-reads files instead of
-    recomputing the whole plan.
+    recomputing the whole plan.  Readers prune its columns and push filters
+    into it.  ``drop_temporary`` deletes the tables when a run is over.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    _TEMPORARY.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_temporary(spark: SparkSession) -> int:
+    """Delete the tables ``materialize`` wrote in this application; frames that
+    read them cannot be used afterwards.  Returns how many there were."""
+    paths = _TEMPORARY.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(conf).delete(hpath, True)
+    return len(paths)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

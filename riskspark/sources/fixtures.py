@@ -49,6 +49,11 @@ def application(t: Tables) -> DataFrame:
     )
 
 
+def applicant_labels(t: Tables) -> DataFrame:
+    """Key and label alone: two columns of ``customer``."""
+    return t.customer.select(F.col("c_custkey").alias(K.KEY), (F.col("c_acctbal") < 0).cast("int").alias(K.LABEL))
+
+
 def document_application(t: Tables) -> DataFrame:
     """Second labelled table: documents with the ``toxic`` label."""
     d = t.documents.select("doc_id", "lang", "source", "n_chars")

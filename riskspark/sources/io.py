@@ -14,7 +14,6 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
 METRICS_SCHEMA = "model string, metric string, value double"
 PARAMS_SCHEMA = "model string, param string, value double"
@@ -30,30 +29,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-CSV_INFER_ROWS = 100_000  # fixed value: types are inferred from this many rows
-
-
-def infer_csv_schema(spark: SparkSession, path: str, rows: int = CSV_INFER_ROWS) -> StructType:
-    """Column types inferred from the header and the first ``rows`` data lines
-    (a bounded read), as a sample-size based reader does."""
-    lines = spark.read.text(path).limit(rows + 1)
-    header = lines.first()
-    if header is None:
-        return StructType([])
-    head = header[0]
-    # other files of a folder repeat the header line: keep only the first one
-    sample = lines.rdd.map(lambda r: r[0]).zipWithIndex() \
-        .filter(lambda li: li[1] == 0 or li[0] != head).map(lambda li: li[0])
-    return spark.read.option("header", "true").option("inferSchema", "true").csv(sample).schema
-
-
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             infer_rows: int | None = CSV_INFER_ROWS) -> DataFrame:
-    """Header row; an explicit schema when known, else types inferred from the
-    first ``infer_rows`` rows (``None``: from every row)."""
-    r = spark.read.option("header", "true")
-    if schema is None and infer_rows:
-        schema = infer_csv_schema(spark, path, infer_rows)
+             multi_line: bool = True) -> DataFrame:
+    """Header row; an explicit schema when known, else types inferred from every
+    row, so that no late value fails to fit.  A value that does not fit a given
+    schema raises instead of turning into null.
+
+    ``multi_line`` lets quoted values hold line breaks, at the price of one task
+    per file; pass False for large files known to have none.
+    """
+    r = (spark.read.option("header", "true").option("mode", "FAILFAST").option("escape", '"')
+         .option("multiLine", str(multi_line).lower()))
     if schema is not None:
         return r.schema(schema).csv(path)
     return r.option("inferSchema", "true").csv(path)
@@ -62,7 +48,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 def load_tables(spark: SparkSession, data_dir: str, tables: Sequence[tuple[str, str]],
                 schemas: Mapping[str, StructType | str] | None = None,
                 fmt: str = "csv") -> tuple[dict[str, DataFrame], list[str]]:
-    """Read (name, file) pairs; absent files are skipped and reported."""
+    """Read (name, file) pairs; absent files are skipped and
+    reported, any other error is raised."""
     schemas = schemas or {}
     out: dict[str, DataFrame] = {}
     skipped: list[str] = []
@@ -71,11 +58,8 @@ def load_tables(spark: SparkSession, data_dir: str, tables: Sequence[tuple[str,
         if not path_exists(spark, path):
             skipped.append(name)
             continue
-        try:
-            out[name] = (read_csv(spark, path, schemas.get(name)) if fmt == "csv"
-                         else spark.read.parquet(path))
-        except AnalysisException:
-            skipped.append(name)
+        out[name] = (read_csv(spark, path, schemas.get(name)) if fmt == "csv"
+                     else spark.read.parquet(path))
     return out, skipped
 
 

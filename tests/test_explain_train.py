@@ -13,6 +13,11 @@ from riskspark.operators import explain, train
 from riskspark.session import scratch_path
 
 
+def small_space(lo: int, hi: int) -> tuple:
+    """The library's ranges with few trees per model."""
+    return tuple(("n_estimators", lo, hi, False, True) if s[0] == "n_estimators" else s for s in train.SEARCH_SPACE)
+
+
 @pytest.fixture(scope="module")
 def small_model(spark):
     rng = np.random.default_rng(11)
@@ -145,17 +150,19 @@ def test_best_round_patience():
 def test_search_with_early_stopping(spark, small_model):
     df, _, _, _ = small_model
     folded = df.withColumn("fold", (F.col("SK_ID_CURR") % 3).cast("int"))
-    res = train.search(folded, 1.0, n_trials=2, n_folds=3, max_iter_cap=12, parallelism=2, patience=2)
+    res = train.search(folded, 1.0, n_trials=2, n_folds=3, space=small_space(8, 12), parallelism=2, patience=2)
     rows = res.trials.collect()
     assert len(rows) == 6 and all(r["auc_roc"] is not None for r in rows)
     assert all(1 <= r["best_iteration"] <= 12 for r in rows)
+    drawn = {i: p["n_estimators"] for i, p in enumerate(train.sample_trials(2, space=small_space(8, 12)))}
+    assert all(r["n_trees"] == drawn[r["trial"]] for r in rows)  # what is reported is what was grown
     assert res.summary.count() == 2 and 0.5 < res.best_value <= 1.0
 
 
 def test_search_independent_of_thread_scheduling(spark, small_model):
     df, _, _, _ = small_model
     folded = df.withColumn("fold", (F.col("SK_ID_CURR") % 2).cast("int"))
-    a = train.search(folded, 1.0, n_trials=2, n_folds=2, max_iter_cap=6, parallelism=1)
-    b = train.search(folded, 1.0, n_trials=2, n_folds=2, max_iter_cap=6, parallelism=2)
+    a = train.search(folded, 1.0, n_trials=2, n_folds=2, space=small_space(3, 6), parallelism=1)
+    b = train.search(folded, 1.0, n_trials=2, n_folds=2, space=small_space(3, 6), parallelism=2)
     assert sorted(a.trials.collect()) == sorted(b.trials.collect())
     assert a.best_params == b.best_params and a.best_value == b.best_value

@@ -104,13 +104,39 @@ def test_class_rows_and_not_explained(spark):
     assert sorted(r[0] for r in report.not_explained(df, sample).collect()) == [4, 5, 6, 7, 8]
 
 
-def test_csv_types_from_first_rows(spark, scratch):
+def test_csv_keeps_late_values(spark, scratch):
     path = os.path.join(scratch, "b.csv")
     with open(path, "w") as fh:
-        fh.write("k,v\n" + "".join(f"{i},{i}\n" for i in range(5)) + "5,x\n")
-    assert dict(io.read_csv(spark, path, infer_rows=5).dtypes)["v"] == "int"
-    assert dict(io.read_csv(spark, path, infer_rows=None).dtypes)["v"] == "string"
-    assert io.read_csv(spark, path, infer_rows=5).count() == 6
+        fh.write("k,v\n" + "".join(f"{i},{i}\n" for i in range(5)) + "5,x\n6,1.5\n")
+    df = io.read_csv(spark, path)
+    assert dict(df.dtypes) == {"k": "int", "v": "string"}
+    assert [r["v"] for r in df.orderBy("k").collect()] == ["0", "1", "2", "3", "4", "x", "1.5"]
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        io.read_csv(spark, path, "k int, v int").collect()
+
+
+def test_csv_quoted_line_breaks(spark, scratch):
+    path = os.path.join(scratch, "q.csv")
+    with open(path, "w") as fh:
+        fh.write('k,v\n1,"a\nb"\n2,"say ""hi"""\n')
+    assert [r["v"] for r in io.read_csv(spark, path).orderBy("k").collect()] == ["a\nb", 'say "hi"']
+
+
+def test_only_absent_sources_are_skipped(spark, scratch):
+    with open(os.path.join(scratch, "broken.parquet"), "w") as fh:
+        fh.write("not parquet")
+    with pytest.raises(Exception):
+        io.load_tables(spark, scratch, [("t", "broken.parquet")], fmt="parquet")[0]["t"].count()
+
+
+def test_booleans_and_nan_are_prepared(spark):
+    from riskspark.operators import quality
+    df = spark.createDataFrame([(1, True, float("nan"), "a"), (2, None, 1.0, "b")], "k int, b boolean, x double, c string")
+    out = quality.prepared(df)
+    assert quality.numeric_columns(out) == ["k", "b", "x"]
+    assert [tuple(r) for r in out.orderBy("k").collect()] == [(1, 1, None, "a"), (2, None, 1.0, "b")]
+    with pytest.raises(ValueError, match="d"):
+        quality.prepared(df.selectExpr("k", "current_date() AS d"))
 
 
 def test_bucketed_tables_join_without_shuffle(spark):

@@ -17,9 +17,14 @@ from riskspark.sources.fixtures import LEAK_COLUMNS, Tables
 from riskspark.streaming.scoring import score_stream
 
 
+def small_space(lo: int, hi: int) -> tuple:
+    """The library's ranges with few trees per model."""
+    return tuple(("n_estimators", lo, hi, False, True) if s[0] == "n_estimators" else s for s in train.SEARCH_SPACE)
+
+
 def test_workflow_writes_every_stage(spark):
     out = tempfile.mkdtemp(prefix="riskspark-wf-")
-    res = workflow.run(spark, SF001, out, Budget(n_trials=2, n_folds=3, trial_iter_cap=5, final_iter_cap=10))
+    res = workflow.run(spark, SF001, out, Budget(n_trials=2, n_folds=3, space=small_space(5, 10)))
     for sub in ("features", "split_features", "encoded", "scores/gbt", "shap/values", "reports/psi_bins",
                 "reports/deciles", "reports/leakage_audit", "models/gbt", "model_metrics"):
         assert os.path.exists(os.path.join(out, sub)), sub
