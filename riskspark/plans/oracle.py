@@ -530,10 +530,9 @@ def _oracle_queries() -> dict[str, str]:
             for c in ["c_mktsegment", "n_name"]),
         "leakage_audit": FEATURES + _audit("features", [c for c in NUMERIC_COLS
                                                          if c not in ("SK_ID_CURR", "TARGET")]),
-        "document_cardinality": "WITH docs AS (SELECT d.* FROM documents d JOIN labels l ON d.doc_id = l.doc_id)\n"
-        + " UNION ALL ".join(
+        "document_cardinality": " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct, "
-            f"CASE WHEN count(DISTINCT {c}) < 10 THEN 'low' ELSE 'high' END AS cardinality FROM docs"
+            f"CASE WHEN count(DISTINCT {c}) < 10 THEN 'low' ELSE 'high' END AS cardinality FROM documents"
             for c in ["lang", "source"]),
         "document_leakage_audit": _doc_audit(),
         "catalog_summary": _catalog(),
