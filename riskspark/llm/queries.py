@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import bpe, divergence, htmltext, ngram_join, packing, recompression, resampling, secrets, toxicity, vectors
+from .oracles import ORACLES  # noqa: F401
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_pack,
@@ -16,5 +17,3 @@ QUERIES = {
     "op10_learned_partitions": vectors.op10_nearest,
     "op6_distribution_rules": divergence.op6_rules,
 }
-
-ORACLES: dict[str, str] = {}
