@@ -38,16 +38,18 @@ from .common import blocks, documents, map_arrow, read_table, texts
 from .wordhash import U, mix
 
 #: Labelled documents the machine is fitted on, at most.
-TOXIC_DOCS = 1500
-CLEAN_DOCS = 2500
+TOXIC_DOCS = 1000
+CLEAN_DOCS = 1500
 LANDMARKS = 256
 #: Words of clean documents the machine is fitted on, beside the hardest of each.
-NEGATIVES = 8000
+NEGATIVES = 5000
 DECAY = 0.6
 #: Hashed subsequences.
 BITS = 20
 #: Longer words are scored in overlapping parts.
 PART = 32
+#: Words whose features are held at once.
+CHUNK = 8_000
 ROUNDS = 3
 #: Cost of the hinge losses, which have total weight 2, beside the machine's norm.
 COST = 5e4
@@ -142,10 +144,10 @@ class Machine:
                     parts.append(w[lo:lo + PART])
                     owner.append(i)
         out = np.full(len(words), -np.inf)
-        for lo in range(0, len(parts), 50_000):
-            rows, cols, vals = features(parts[lo:lo + 50_000])
-            n = len(parts[lo:lo + 50_000])
-            np.maximum.at(out, owner[lo:lo + 50_000],
+        for lo in range(0, len(parts), CHUNK):
+            rows, cols, vals = features(parts[lo:lo + CHUNK])
+            n = len(parts[lo:lo + CHUNK])
+            np.maximum.at(out, owner[lo:lo + CHUNK],
                           np.bincount(rows, self.weights[cols] * vals, minlength=n) + self.bias)
         return out
 
@@ -157,8 +159,8 @@ def kernel(words: list[str], landmarks: np.ndarray, column: np.ndarray) -> np.nd
     """k(words, landmarks); ``column`` maps a hashed subsequence to its column of ``landmarks``, or -1."""
     out = np.zeros((len(words), landmarks.shape[0]), np.float32)
     by_column = np.ascontiguousarray(landmarks.T)
-    for lo in range(0, len(words), 500):
-        rows, cols, vals = features(words[lo:lo + 500])
+    for lo in range(0, len(words), 250):
+        rows, cols, vals = features(words[lo:lo + 250])
         hit = np.flatnonzero(column[cols] >= 0)
         hit = hit[np.argsort(rows[hit], kind="stable")]
         if len(hit):
@@ -214,7 +216,7 @@ def fit(samples: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Machine:
             for w, n in seen[1].items()}
     certain = sorted(telling_words(seen, toxic, len(clean)), key=lambda w: (-seen[1][w], w))
     telling = list(dict.fromkeys(certain + sorted(odds, key=lambda w: (-odds[w], w))))[:landmarks * 3 // 4]
-    plain = sorted(seen[0], key=lambda w: int(_hash(w)))[:20_000]
+    plain = sorted(seen[0], key=_hash)[:NEGATIVES]
     marks = telling + plain[:landmarks - len(telling)]
     rows, cols, vals = features(marks)
     used = np.unique(cols)
@@ -241,8 +243,8 @@ def fit(samples: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Machine:
         weights = np.zeros(size, np.float32)
         weights[used] = alpha @ matrix
         machine = Machine(weights, bias, 1.0, 0.0)
-        words = sorted(set().union(*toxic, *clean))
-        decision = dict(zip(words, machine.decisions(words).tolist()))
+        del z
+        decision = dict(zip(odds | seen[0], machine.decisions(list(odds | seen[0])).tolist()))
         witness = [max(b, key=lambda v: (decision[v], v)) for b in toxic]
         hard |= {max(b, key=lambda v: (decision[v], v)) for b in clean}
     best = np.array([max(decision[v] for v in b) if b else -5 for b, _ in bags])
