@@ -13,9 +13,9 @@ BROADCAST_MAX_ROWS = 2_000_000
 def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint a broadcast only when the side is proven small.
 
-    The proof is a ``count`` of at most ``max_rows + 1`` rows, so the check
-    itself is bounded.  Above the bound the frame is returned unhinted and the
+    The proof is a ``count``, which every task takes over its own rows (a
+    ``limit`` would gather them in one).  Above the bound the frame is returned unhinted and the
     planner shuffles (AQE may still switch at run time from real sizes).
     """
-    n = df.limit(max_rows + 1).count()
+    n = df.count()
     return F.broadcast(df) if n <= max_rows else df

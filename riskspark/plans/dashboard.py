@@ -16,21 +16,15 @@ from ..operators import explain, monitor, report, train
 def applicant_view(cards: DataFrame, shap: DataFrame, base: float, applicant_id: int,
                    key: str = K.KEY) -> dict[str, DataFrame]:
     """Tab 1: the card (empty when unknown), the 12-row waterfall when the
-    applicant is in the explained sample, and a one-row ``status`` with the
-    reason when something is missing (instead of a swallowed error, Q10)."""
+    applicant is in the explained sample, and a one-row ``status`` with a
+    code: ``ok``, ``not_found`` or ``not_explained`` (Q10)."""
     spark = cards.sparkSession
     card = report.applicant_card(cards, applicant_id, key)
     mine = shap.where(F.col(key) == F.lit(int(applicant_id)))
     found = card.limit(1).count() > 0
     explained = mine.limit(1).count() > 0
-    if not found:
-        msg = f"Applicant {int(applicant_id)} not found in the scored set."
-    elif not explained:
-        msg = ("This applicant is not in the explained sample; attribution covers "
-               f"{K.SHAP_SAMPLE_SIZE:,} sampled test applicants.")
-    else:
-        msg = "ok"
-    status = spark.createDataFrame([(int(applicant_id), found, explained, msg)],
+    code = "not_found" if not found else "ok" if explained else "not_explained"
+    status = spark.createDataFrame([(int(applicant_id), found, explained, code)],
                                    f"{key} long, found boolean, explained boolean, status string")
     return {"card": card, "waterfall": explain.waterfall(mine, base, K.WATERFALL_DASHBOARD, key),
             "status": status}
