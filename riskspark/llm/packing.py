@@ -29,7 +29,9 @@ CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker remembers; it starts afresh beyond that.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
+#: Signs that may follow a word's letters; the tokenizer cuts between the two.
+SIGNS = ".,;:!?"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -41,18 +43,68 @@ def tokenizer_path() -> str:
 
 class WordIds(dict):
     """Word -> its ids as little-endian 32-bit bytes.  The tokenizer drops white
-    space and never joins across it, so a text's ids are its words' ids."""
+    space and never joins across it, so a text's ids are its words' ids.  Nor
+    does it join letters with the signs after them, and it ignores case: words
+    of letters are learned once, in lower case, many to a call."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.parts: dict[str, bytes] = {}
+        size = max(self.tokenizer.get_vocab().values()) + 1
+        self.ends = np.zeros(size, dtype=bool)  # tokens that end a word
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith(self.tokenizer.model.end_of_word_suffix or "\0")
+
+    def _plain(self, words: list[str]) -> None:
+        for lo in range(0, len(words), 20_000):
+            part = words[lo:lo + 20_000]
+            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
+                self.parts[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+
+    def _letters(self, words: list[str]) -> None:
+        groups = [words[lo:lo + 200] for lo in range(0, len(words), 200)]
+        joined = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, e in zip(groups, joined):
+            ids = np.asarray(e.ids, dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(group):
+                self._plain(group)
+                continue
+            raw, lo = ids.tobytes(), 0
+            for w, hi in zip(group, (cuts * 4).tolist()):
+                self.parts[w] = raw[lo:hi]
+                lo = hi
 
     def learn(self, words) -> None:
-        new = [w for w in words if w not in self]
-        for lo in range(0, len(new), 20_000):
-            part = new[lo:lo + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self[w] = np.asarray(e.ids, dtype="<u4").tobytes()
+        whole, letters, plain = [], set(), set()
+        for w in words:
+            if w in self:
+                continue
+            core = w.rstrip(SIGNS)
+            key = core.lower()
+            if not key.isalpha() or "\u03a3" in core:  # a final sigma has two lower cases
+                key, tail = w, ""
+            else:
+                tail = w[len(core):]
+            whole.append((w, key, tail))
+            if key not in self.parts:
+                (letters if key is not w else plain).add(key)
+            if tail not in self.parts:
+                plain.add(tail)
+        self._letters(list(letters))
+        self._plain(list(plain))
+        parts = self.parts
+        for w, key, tail in whole:
+            self[w] = parts[key] + parts[tail] if tail else parts[key]
+
+    def clear(self) -> None:
+        super().clear()
+        self.parts.clear()
+
+
+#: Kept while Spark reuses a worker.
+_KNOWN: dict[str, WordIds] = {}
 
 
 def _tokenize(path: str, capacity: int, end_id: int):
@@ -61,7 +113,8 @@ def _tokenize(path: str, capacity: int, end_id: int):
     def run(batches):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known = WordIds(path)
+        known = _KNOWN.get(path) or WordIds(path)
+        _KNOWN[path] = known
         for batch in blocks(batches):
             words = [(t or "").replace("\n", " ").replace("\t", " ").split(" ")
                      for t in batch.column("text").to_pylist()]
