@@ -16,6 +16,8 @@ from ..session import read_table, scratch_path, ship_package
 
 #: Texts of one block handled at once in a task, in bytes; a single longer text is its own block.
 BLOCK_BYTES = 4 << 20
+#: The same where a block takes many times its size in memory.
+SMALL_BLOCK = 1 << 20
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import COUNTS, blocks, counts_batch, documents, map_arrow, summed_counts, texts, without_ids, written
+from .common import COUNTS, SMALL_BLOCK, blocks, counts_batch, documents, map_arrow, summed_counts, texts, without_ids, written
 from .components import connected
 from .wordhash import U, Words, mix, runs
 
@@ -75,7 +75,7 @@ def _bucket(shingles: np.ndarray, bits: int) -> np.ndarray:
 def _count_rows(width: int, bits: int):
     def run(batches):
         counts = np.zeros(1 << bits, np.int64)
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=SMALL_BLOCK):
             sets = shingle_sets(batch.column("text"), width)
             counts += np.bincount(_bucket(np.concatenate(sets), bits), minlength=len(counts))
         if counts.any():
@@ -105,7 +105,7 @@ def _signatures(width: int, percent: int, bits: int, shared):
 
     def run(batches):
         levels = shared.value
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=SMALL_BLOCK):
             sets = shingle_sets(batch.column("text"), width)
             n = np.array([len(s) for s in sets])
             sig1, sig2, prefixes, sizes = [], [], [], []
@@ -127,7 +127,7 @@ def _signatures(width: int, percent: int, bits: int, shared):
 
 def _sets(width: int, shared=None):
     def run(batches):
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=SMALL_BLOCK):
             if shared is not None:
                 batch = batch.filter(pa.array(np.isin(batch.column("doc_id").to_numpy(), shared.value)))
                 if not batch.num_rows:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, documents, map_arrow, texts
+from .common import SMALL_BLOCK, blocks, documents, map_arrow, texts
 from .wordhash import U, Words, mix, runs
 
 WINDOW = 13
@@ -128,7 +128,7 @@ def _ranges(at: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _places(window: int, rounds: int):
     def run(batches):
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=2 * SMALL_BLOCK):
             words = Words(batch.column("text"))
             hashes = words.hashes()
             n = len(hashes)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import COUNTS, blocks, counts_batch, documents, map_arrow, read_table, summed_counts, texts, written
+from .common import COUNTS, SMALL_BLOCK, blocks, counts_batch, documents, map_arrow, read_table, summed_counts, texts, written
 from .wordhash import WORD_OR_SIGN, U, Words, runs
 
 BUCKETS_BITS = 16
@@ -53,7 +53,7 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _count(batches):
     total = np.zeros((2, 1 << BUCKETS_BITS), np.int64)
-    for batch in blocks(batches):
+    for batch in blocks(batches, limit=SMALL_BLOCK):
         row, bucket = grams(batch.column("text"))
         target = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
         total[0] += np.bincount(bucket, minlength=total.shape[1])
@@ -81,7 +81,7 @@ def _weigh(shared, scale: float):
     def run(batches):
         ratios = shared.value
         worst = float(ratios.min()) * scale
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=SMALL_BLOCK):
             row, bucket = grams(batch.column("text"))
             n = np.bincount(row, minlength=batch.num_rows)
             total = np.bincount(row, ratios[bucket], minlength=batch.num_rows)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, documents, map_arrow, read_table, texts
+from .common import SMALL_BLOCK, blocks, documents, map_arrow, read_table, texts
 from .wordhash import U, mix
 
 #: Labelled documents the machine is fitted on, at most.
@@ -49,7 +49,7 @@ BITS = 20
 #: Longer words are scored in overlapping parts.
 PART = 32
 #: Words whose features are held at once.
-CHUNK = 8_000
+CHUNK = 4_000
 ROUNDS = 3
 #: Cost of the hinge losses, which have total weight 2, beside the machine's norm.
 COST = 5e4
@@ -59,7 +59,7 @@ CERTAIN = 12.0
 ALTERED = 0.05
 THRESHOLD = 0.7
 #: Words a worker remembers the decision of.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 
 EDGES = ".,;:!?\"'()[]{}|"
 SENTENCE = re.compile(r"[.!?\n]+")
@@ -306,7 +306,7 @@ def _score(shared):
     def run(batches):
         machine = shared.value
         known: dict[str, float] = {}
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=SMALL_BLOCK):
             best = _best(machine, known, batch.column("text").to_pylist())
             yield pa.record_batch([batch.column("doc_id"), pa.array(machine.score(best), pa.float64())],
                                   names=["doc_id", "score"])
@@ -345,7 +345,7 @@ def _keep(shared, threshold: float):
     def run(batches):
         machine = shared.value
         known: dict[str, float] = {}
-        for batch in blocks(batches):
+        for batch in blocks(batches, limit=SMALL_BLOCK):
             best = _best(machine, known, batch.column("text").to_pylist())
             yield batch.filter(pa.array(machine.score(best) < threshold))
     return run
