@@ -10,7 +10,7 @@ ids and bytes are its words' in order.  Tasks are independent, so a lost
 executor costs only its own partitions; nothing is shuffled.
 
 Memory is bounded by the block of texts in hand, ``CHUNK_BYTES`` of new words at
-a time and ``CACHE_WORDS`` remembered words.
+a time and twice ``CACHE_WORDS`` remembered words.
 
 Defined cases: null or empty text has no tokens; rows without a doc_id are left
 out, repeated rows are encoded one by one; an empty table gives no rows; other
@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,7 +87,7 @@ class Encoder:
                     left.append(a)
                     right.append(b)
                     merged.append(rank)
-        self.byte_ids = [self.ranks[bytes([i])] for i in range(256)]
+        self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.con = duckdb.connect()
         self.con.execute("SET threads = 1")
         self.con.execute("SET memory_limit = '500MB'")
@@ -99,17 +100,16 @@ class Encoder:
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.con.unregister("given")
         self.words: dict[str, tuple[int, str, bytes]] = {}
+        self.older: dict[str, tuple[int, str, bytes]] = {}
 
     def _encode(self, words: list[str], raws: list[bytes]) -> None:
         """Encode words that are not tokens themselves by the recursive query."""
-        flat = b"".join(raws)
-        owner, pos = [], []
-        for w, raw in enumerate(raws):
-            owner += [w] * len(raw)
-            pos += range(len(raw))
-        ids = self.byte_ids
-        start = pa.table({"w": pa.array(owner, pa.int32()), "pos": pa.array(pos, pa.int32()),
-                          "id": pa.array([ids[b] for b in flat], pa.int32())})
+        sizes = np.array([len(r) for r in raws])
+        ends = np.cumsum(sizes)
+        owner = np.repeat(np.arange(len(raws), dtype=np.int32), sizes)
+        pos = (np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int32)
+        ids = self.byte_ids[np.frombuffer(b"".join(raws), np.uint8)]
+        start = pa.table({"w": owner, "pos": pos, "id": ids})
         self.con.register("start", start)
         rows = self.con.execute(ENCODE).fetchall()
         self.con.unregister("start")
@@ -118,9 +118,14 @@ class Encoder:
 
     def learn(self, new) -> None:
         words, raws, size = [], [], 0
+        if len(self.words) > CACHE_WORDS:  # words not met again since the last time are forgotten
+            self.older, self.words = self.words, {}
         for word in new:
             if word in self.words:
                 continue
+            if word in self.older:
+                self.words[word] = self.older[word]
+                continue
             raw = word.encode()
             rank = self.ranks.get(raw)
             if rank is not None:
@@ -147,8 +152,6 @@ def _codec(path: str, pattern: str):
         _ENCODERS[path] = encoder  # kept while Spark reuses the worker
         for batch in blocks(batches):
             cut = [pieces(t) for t in batch.column("text").to_pylist()]
-            if len(encoder.words) > CACHE_WORDS:
-                encoder.words.clear()
             encoder.learn(set().union(*cut))
             known = encoder.words
             counts, ids, decoded = [], [], []
