@@ -51,6 +51,7 @@ class WordIds(dict):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         size = max(self.tokenizer.get_vocab().values()) + 1
         self.ends = np.zeros(size, dtype=bool)  # tokens that end a word
         for token, i in self.tokenizer.get_vocab().items():
@@ -77,10 +78,14 @@ class WordIds(dict):
                 lo = hi
 
     def learn(self, words) -> None:
+        """Add the ids of ``words``, none of which is known."""
+        if len(self.parts) > CACHE_WORDS:  # parts not met again since the last time are forgotten
+            self.older, self.parts = self.parts, {}
+        if len(self) > CACHE_WORDS:
+            self.clear()
         whole, letters, plain = [], set(), set()
+        parts, older = self.parts, self.older
         for w in words:
-            if w in self:
-                continue
             core = w.rstrip(SIGNS)
             key = core.lower()
             if not key.isalpha() or "\u03a3" in core:  # a final sigma has two lower cases
@@ -88,20 +93,17 @@ class WordIds(dict):
             else:
                 tail = w[len(core):]
             whole.append((w, key, tail))
-            if key not in self.parts:
-                (letters if key is not w else plain).add(key)
-            if tail not in self.parts:
-                plain.add(tail)
+            for x, group in ((key, letters if key is not w else plain), (tail, plain)):
+                if x not in parts:
+                    if x in older:
+                        parts[x] = older[x]
+                    else:
+                        group.add(x)
         self._letters(list(letters))
         self._plain(list(plain))
-        parts = self.parts
         for w, key, tail in whole:
             self[w] = parts[key] + parts[tail] if tail else parts[key]
 
-    def clear(self) -> None:
-        super().clear()
-        self.parts.clear()
-
 
 #: Kept while Spark reuses a worker.
 _KNOWN: dict[str, WordIds] = {}
@@ -118,12 +120,14 @@ def _tokenize(path: str, capacity: int, end_id: int):
         for batch in blocks(batches):
             words = [(t or "").replace("\n", " ").replace("\t", " ").split(" ")
                      for t in batch.column("text").to_pylist()]
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            known.learn(set().union(*words))
+            parts = [list(map(known.get, ws)) for ws in words]
+            gaps = [[i for i, p in enumerate(ps) if p is None] if None in ps else () for ps in parts]
+            known.learn({ws[i] for ws, at in zip(words, gaps) for i in at})
             out = ([], [], [], [], [])
-            for doc, ws in zip(batch.column("doc_id").to_pylist(), words):
-                ids = b"".join(map(known.__getitem__, ws)) + end
+            for doc, ws, ps, at in zip(batch.column("doc_id").to_pylist(), words, parts, gaps):
+                for i in at:
+                    ps[i] = known[ws[i]]
+                ids = b"".join(ps) + end
                 for piece, lo in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[lo:lo + 4 * capacity]
                     for col, v in zip(out, (doc, piece, lo // 4, len(part) // 4, zlib.crc32(part))):
