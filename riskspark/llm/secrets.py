@@ -10,7 +10,8 @@ The forest takes any table of labelled findings (the feature columns and
 their form: issued key prefixes and values assigned to a secret's name are
 secrets; card-like numbers, addresses, paths and plain words are not.  The rest
 is left to the forest, which never sees the label rules' verdict on them.  It is
-fitted on at most ``SAMPLE`` labelled findings, chosen by hash.
+fitted on at most ``SAMPLE`` labelled findings of each label, chosen by a hash of
+where they stand, with a label's findings weighted up to their full number.
 
 Only DataFrame, SQL and Spark ML functions are used.
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import documents, small, texts, with_text, written
 from .divergence import SPACES, let, words_of
 
-#: Labelled findings the forest is fitted on, at most.
+#: Labelled findings of each label the forest is fitted on, at most.
 SAMPLE = 20_000
 TREES = 30
 DEPTH = 6
@@ -116,16 +117,28 @@ def rule_label() -> Column:
     return F.when(secret & (F.col("address") == 0), 1.0).when(plain, 0.0)
 
 
+def training_sample(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(features, label, weight): of each label at most ``sample`` findings by a
+    hash of where they stand, not of their features, as equal findings would
+    share it; a table without these columns is taken in an order of its own."""
+    known = labelled.where("label is not null")
+    place = [c for c in ("doc_id", "place", "value") if c in known.columns]
+    order = F.xxhash64(*(place if "doc_id" in place else [F.monotonically_increasing_id()]))
+    total = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}  # two rows
+    rows = known.withColumn("_order", order).select(*FEATURES, F.col("label").cast("double").alias("label"), "_order")
+    parts = [rows.where(F.col("label") == y).orderBy("_order", *FEATURES).limit(sample)
+             .withColumn("weight", F.lit(max(1.0, total.get(y, 0) / sample))) for y in (0.0, 1.0)]
+    return parts[0].unionByName(parts[1]).drop("_order").coalesce(1)
+
+
 def fit_forest(labelled: DataFrame, sample: int = SAMPLE):
-    """Forest on at most ``sample`` labelled findings, or None without both labels."""
-    chosen = (labelled.where("label is not null").select(*FEATURES, "label")
-              .orderBy(F.xxhash64(*FEATURES), "label").limit(sample).coalesce(1))
-    kinds = chosen.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).collect()[0]
-    if kinds["lo"] is None or kinds["lo"] == kinds["hi"]:
+    """Forest on at most ``sample`` labelled findings of each label, or None without both labels."""
+    chosen = written(training_sample(labelled, sample), "sample").coalesce(1)
+    if chosen.select("label").distinct().count() < 2:
         return None
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(chosen)
-    return RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH,
-                                  seed=7).fit(vectors.select("vector", "label"))
+    return RandomForestClassifier(featuresCol="vector", labelCol="label", weightCol="weight", numTrees=TREES,
+                                  maxDepth=DEPTH, seed=7).fit(vectors.select("vector", "label", "weight"))
 
 
 def findings(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:

@@ -119,6 +119,24 @@ def test_forest_takes_labelled_findings(spark):
     assert secrets.findings(docs, wanted.unionByName(other)).where("secret").count() == 40
 
 
+def test_forest_sample_holds_both_labels_and_many_findings(spark):
+    """Findings with equal features fill the sample in whole if it is ordered by them."""
+    zeros = {c: F.lit(0.0) for c in secrets.FEATURES}
+    many = spark.range(300).select(F.col("id").alias("doc_id"), F.lit(1).alias("place"), F.lit("v").alias("value"))
+    same = [many.withColumns(zeros | {"digits": F.lit(float(y)), "label": F.lit(float(y))}) for y in (0, 1)]
+    labelled = same[0].unionByName(same[1].withColumn("doc_id", F.col("doc_id") + 1000))
+    assert secrets.fit_forest(labelled, sample=50) is not None
+    assert secrets.fit_forest(labelled.drop("doc_id", "place", "value"), sample=50) is not None
+    assert secrets.fit_forest(same[0], sample=50) is None
+    spread = labelled.withColumn("length", F.when(F.col("doc_id") % 3 == 0, F.xxhash64("doc_id") % 100).otherwise(7.0)
+                                 .cast("double"))
+    rows = secrets.training_sample(spread, sample=60).collect()
+    for y in (0, 1):
+        own = [r for r in rows if r["label"] == y]
+        assert len(own) == 60 and sum(r["weight"] for r in own) == 300
+        assert 25 < sum(r["length"] == 7 for r in own) < 55  # 200 of 300 findings
+
+
 def brute_rules(text):
     w = words(text)
     lines, seen = 0, set()
