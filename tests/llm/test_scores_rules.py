@@ -111,6 +111,37 @@ def test_secrets_are_found_and_masked(spark):
     assert secrets.findings(empty(spark)).count() == 0 and secrets.redacted(empty(spark)).count() == 0
 
 
+def test_every_value_of_a_word_is_scanned(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N-XgL0n3I9P"
+    hexes = "9b0b4fd1c27e4a9f8d6b", "77aa31c0de5f4b8e9a12"
+    secret = {  # text: the values to be masked
+        "set aws_secret_access_key=wJalrXUtnFEMIK7MDENGbPxRfiCYzEXAMPLE in": ["wJalrXUtnFEMIK7MDENGbPxRfiCYzEXAMPLE"],
+        f"GITHUB_TOKEN=ghp_{hexes[0]}abcdef{hexes[1][:10]}": [f"ghp_{hexes[0]}abcdef{hexes[1][:10]}"],
+        f"at access_token:{hexes[0]} at": [hexes[0]],
+        f'{{"client_secret":"{hexes[0]}","api_key":"{hexes[1]}"}}': list(hexes),
+        f"sent {jwt} so": [jwt],
+        f"see https://site.example.com/a?access_token={hexes[1]}&page=2 in": [hexes[1]],
+        "my password=hunter2, the shunter2s": ["hunter2"],
+        "on DB_PASSWORD='correcthorse' on": ["correcthorse"],
+        "a password: p!x@9z# b": ["p!x@9z"],
+        "key secret_key=c2VjcmV0a2V5MTIzNDU2Nw==; end": ["c2VjcmV0a2V5MTIzNDU2Nw=="],
+    }
+    plain = ["the secret: always be kind", "token=${DB_TOKEN} password=null", "author:Smith tokens", "card 4485275742308327 in",
+             "see http://site.example.com/0123456789abcdef/page at"]
+    texts = [*secret, *plain] + [f"card {4485275742300000 + i} x" for i in range(20)]
+    found = {}
+    docs = frame(spark, texts)
+    for r in secrets.findings(docs).where("secret").collect():
+        found.setdefault(r["doc_id"], set()).add(r["value"])
+    masked = {r["doc_id"]: r["text"] for r in secrets.redacted(docs).collect()}
+    for i, t, *_ in rows(texts, shuffle=False):
+        assert found.get(i, set()) == set(secret.get(t, [])), t
+        expected = t
+        for v in secret.get(t, []):
+            expected = re.sub(rf"(?<![A-Za-z0-9]){re.escape(v)}(?![A-Za-z0-9])", secrets.MASK, expected)
+        assert masked[i] == expected
+
+
 def test_forest_takes_labelled_findings(spark):
     docs = frame(spark, [f"id 7{i:04d}abcdef99{i:04d}xy at" for i in range(40)])
     found = secrets.featured(secrets.candidates(docs.select("doc_id", "text")), secrets.common_words(docs))
