@@ -7,16 +7,17 @@ Nystroem space of landmark words: k(landmarks, landmarks)^(-1/2) k(landmarks, w)
 Since the kernel has explicit features, the trained machine folds into one
 weight per (hashed) subsequence, and scoring a word is a sum over its own.
 
-Training is on sentences of labelled documents, which take their document's
-label: no word of a clean sentence is an insult, and each toxic document has
-some sentence with one.  The word standing for a toxic document is its best
+Training is on the words of labelled documents, which take their document's
+label: no word of a clean document is an insult, and each toxic document has
+some word that is one.  The word standing for a toxic document is its best
 under the machine so far (multiple-instance rounds, first chosen by document
 frequencies); copies of it with inserted characters are added.  A logistic curve
 fitted on the training documents turns the best decision value in a text into
 its score.
 
 The machine is fitted on a bounded sample (``TOXIC_DOCS``, ``CLEAN_DOCS`` labelled
-documents, chosen by hash) on the driver; every whole text is scored.
+documents, chosen by hash) on the driver, of whose clean words ``NEGATIVES`` and
+the hardest of each document are negatives; every whole text is scored.
 
 Defined cases: a null or empty text has no word and scores as the curve does at
 the lowest decision; rows without a doc_id are left out, repeated rows are scored
@@ -38,11 +39,11 @@ from .common import SMALL_BLOCK, blocks, documents, map_arrow, read_table, texts
 from .wordhash import U, mix
 
 #: Labelled documents the machine is fitted on, at most.
-TOXIC_DOCS = 1000
-CLEAN_DOCS = 1500
+TOXIC_DOCS = 1500
+CLEAN_DOCS = 2500
 LANDMARKS = 256
 #: Words of clean documents the machine is fitted on, beside the hardest of each.
-NEGATIVES = 5000
+NEGATIVES = 20_000
 DECAY = 0.6
 #: Hashed subsequences.
 BITS = 20
@@ -170,16 +171,22 @@ def kernel(words: list[str], landmarks: np.ndarray, column: np.ndarray) -> np.nd
 
 
 def fit_svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = COST) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss, by Newton steps over its support vectors."""
-    x = np.hstack([z, np.ones((len(z), 1))]).astype(np.float64)
-    w, ridge = np.zeros(x.shape[1]), np.eye(x.shape[1])
+    """Linear machine with squared hinge loss, by Newton steps over its support
+    vectors; a step's sums are taken chunk by chunk."""
+    size = z.shape[1] + 1
+    w, ridge = np.zeros(size), np.eye(size)
     ridge[-1, -1] = 1e-3
     for _ in range(30):
-        slack = 1 - y * (x @ w)
-        on = slack > 0
-        xs, ws = x[on], weight[on]
-        gradient = ridge @ w - 2 * c * xs.T @ (ws * y[on] * slack[on])
-        step = np.linalg.solve(ridge + 2 * c * (xs * ws[:, None]).T @ xs, gradient)
+        gradient, hessian = ridge @ w, ridge.copy()
+        for lo in range(0, len(z), CHUNK):
+            x = np.hstack([z[lo:lo + CHUNK], np.ones((len(z[lo:lo + CHUNK]), 1))])
+            yx, wx = y[lo:lo + CHUNK], weight[lo:lo + CHUNK]
+            slack = 1 - yx * (x @ w)
+            on = slack > 0
+            xs, ws = x[on], wx[on]
+            gradient -= 2 * c * xs.T @ (ws * yx[on] * slack[on])
+            hessian += 2 * c * (xs * ws[:, None]).T @ xs
+        step = np.linalg.solve(hessian, gradient)
         w = w - step
         if np.abs(step).max() < 1e-6:
             break

@@ -39,6 +39,18 @@ def test_machine_separates_held_out_documents_and_altered_insults():
     assert (machine.score(machine.decisions(["antire", "onstel", ""])) < 0.5).all()
 
 
+def test_training_uses_the_whole_sample(spark, monkeypatch):
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    ys = [y for _, y in toxicity.training_sample(docs, labels)]
+    assert (ys.count(1), ys.count(0)) == (1500, 2500)
+    learned, inner = [], toxicity.kernel
+    monkeypatch.setattr(toxicity, "kernel", lambda words, *a: learned.append(set(words)) or inner(words, *a))
+    clean = [" ".join(f"cl{k:04d}x" for k in range(i, i + 500)) for i in range(0, 8000, 500)]
+    toxicity.fit([(t, 0) for t in clean] + [(f"dumbkin {t}", 1) for t in clean])
+    assert all(set(" ".join(clean).split()) <= words for words in learned)
+
+
 def test_scores_of_awkward_rows(spark):
     data = labelled(n=120)
     texts = [t for _, t, _ in data] + ["x" * 50_000, "", "d u m b k i n"]
