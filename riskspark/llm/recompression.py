@@ -11,7 +11,10 @@ inside the window.  A window is keyed by the longest of them (ties by name); if
 none is certain, by a single word.
 
 One shuffle brings each key's windows together; a window counts as repeated if
-the same key and the same check hash of its words occur in a smaller doc_id.
+the same key and the same 64-bit hash of its words occur in a smaller doc_id; the
+words themselves are not compared.  After ``ROUNDS`` rounds a key spans few words,
+so the hash decides: of m different windows under one key about m * m / 2^65 meet
+another's hash.
 Pre-aggregation keeps hot passages small: of the windows in one block of texts
 only those of the smallest doc_id travel, the others are known to repeat.  A
 second shuffle brings the repeated places back to their texts, whose covered
@@ -157,8 +160,8 @@ def _places(window: int, rounds: int):
             change = np.ones(len(at), bool)
             change[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
             first, count = _ranges(at, change)
-            checks = (full[at] >> U(32)).astype("<u4")
-            bounds = np.append(first, len(at)).astype(np.int32) * 4
+            checks = full[at].astype("<u8")
+            bounds = np.append(first, len(at)).astype(np.int32) * 8
             yield pa.record_batch([
                 pa.array(key[first].view(np.int64)), pa.array(doc[owner[first]], pa.int64()),
                 pa.array(place[first].view(np.int64)), pa.array(count, pa.int32()),
@@ -195,7 +198,7 @@ def _repeats(batches):
         shared |= (key == last) | (key == key[-1])
         rows = np.flatnonzero(shared)
         checks = batch.column("checks").take(pa.array(rows)).to_pylist()
-        value = np.frombuffer(b"".join(checks), "<u4").astype(np.uint64)
+        value = np.frombuffer(b"".join(checks), "<u8")
         count = n[rows].astype(np.int64)
         row = np.repeat(rows, count)
         nth = np.arange(len(value)) - np.repeat(np.cumsum(count) - count, count)

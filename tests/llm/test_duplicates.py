@@ -4,6 +4,8 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from corpus import AWKWARD, LOWER, empty, frame, rows, sample_texts, words
 
 from riskspark.llm import ngram_join, recompression
@@ -147,3 +149,14 @@ def test_windows_are_keyed_alike_wherever_they_stand():
 def test_dedup_of_nothing(spark):
     assert recompression.removal_digests(empty(spark)).count() == 0
     assert recompression.deduplicated(empty(spark)).count() == 0
+
+
+def test_windows_alike_in_half_of_their_hash_are_not_repeats(monkeypatch):
+    whole = recompression.runs
+    monkeypatch.setattr(recompression, "runs", lambda *a: whole(*a) & np.uint64(0xFFFFFFFF) | np.uint64(7 << 32))
+    monkeypatch.setattr(recompression, "window_keys", lambda hashes, *a: np.full(len(hashes), 5, np.uint64))
+    batch = pa.record_batch([pa.array(range(20)), pa.array([" ".join(f"w{i}x{k}" for k in range(40)) for i in range(20)]),
+                             pa.array(range(20), pa.int64())], names=["doc_id", "text", "tag"])
+    places = pa.Table.from_batches(recompression._places(13, 2)([batch])).sort_by([("key", "ascending"), ("doc_id", "ascending")])
+    assert places.num_rows
+    assert not sum(b.num_rows for b in recompression._repeats(places.combine_chunks().to_batches()))
