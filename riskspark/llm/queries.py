@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, divergence, htmltext, ngram_join, packing, recompression, resampling, secrets, toxicity, vectors
+from . import (alignment, bpe, divergence, htmltext, maxscore, ngram_join, packing, recompression, resampling, secrets,
+               threshold, toxicity, vectors)
 from .oracles import ORACLES  # noqa: F401
 
 QUERIES = {
@@ -16,4 +17,7 @@ QUERIES = {
     "op5_importance_resampling": resampling.op5_resample,
     "op10_learned_partitions": vectors.op10_nearest,
     "op6_distribution_rules": divergence.op6_rules,
+    "op11_pair_maxscore": maxscore.op11_search,
+    "op12_token_alignment": alignment.op12_align,
+    "op13_uniform_threshold": threshold.op13_topk,
 }
