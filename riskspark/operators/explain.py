@@ -1,188 +1,161 @@
 """Tree attribution for the boosted model.
 
-Path-dependent Tree SHAP (Lundberg et al., 2018/2020) in a per-leaf form
-that vectorises over rows.  For a leaf with value ``v`` whose path splits on
-the distinct features P (m of them), each feature j has an interval
-``(lo, hi]`` and a zero fraction ``r_j`` (product of child cover / parent
-cover over that feature's splits).  For a row, ``z_j = 1`` when x_j lies in the
-interval.  Then
-
-  phi_i += v * (z_i - r_i) * sum_s s! (m-s-1)! / m! * e_s,
-
-with ``e_s`` the coefficient of t^s in prod over j != i of (r_j + z_j t), and the
-base value is sum over leaves of v * prod_j r_j.
-
-The leaf table is bounded by the model (trees x 2^depth leaves) and is
-broadcast; rows stream through ``mapInPandas`` in Arrow batches and come out
-as long (key, feature, value, shap) rows, so nothing is gathered per group.
+Path-dependent Tree SHAP (Lundberg et al., 2018/2020) in a per-leaf form.  For a
+leaf with value ``v`` whose path splits on m distinct features, feature j has an
+interval ``(lo, hi]`` and a zero fraction ``r_j`` (product of child cover / parent
+cover over its splits).  For a row, ``z_j = 1`` when x_j lies in the interval.  Then
+
+  phi_i += v * (z_i - r_i) * sum_S |S|! (m-|S|-1)! / m! * prod_{j in S} z_j prod_{j not in S} r_j
+         = v * (z_i - r_i) * integral over t in [0, 1] of prod_{j != i} (z_j t + r_j (1 - t)),
+
+S over the subsets of the other features.  The integrand is a polynomial of
+degree m - 1, which a Gauss rule of (m + 1) // 2 points integrates exactly, so a
+row and leaf cost m * (m + 1) / 2 products.  The base value is the sum over
+leaves of v * prod_j r_j.
+
+Leaf paths come from a recursive query over the node table, as rows.  They are
+dealt into blocks of one path length, the rows to explain into blocks of rows; a
+task takes one of each and the blocks' contributions are added, so neither the
+model nor the sample has to fit a task or the driver.
 The explained margin is the log-odds ``2 * F`` of Spark's GBT (trap T6).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
-from ..session import ship_package
+from ..session import materialize, ship_package
 from .split import id_hash
-from .train import tree_nodes
 
-# A model larger than this many leaves is not broadcast.
-MAX_LEAVES = 2_000_000
+#: Leaves and rows of one task.
+LEAF_BLOCK = 4_096
+ROW_BLOCK = 1_024
+#: Numbers per array within a task: rows x leaves x path length at once.
+CELLS = 1 << 20
+
+_EDGES = """
+SELECT p.treeID, p.node AS parent, c.node AS child, p.feature_index AS f,
+       IF(c.node = p.left, CAST('-Infinity' AS DOUBLE), p.threshold) AS lo,
+       IF(c.node = p.left, p.threshold, CAST('Infinity' AS DOUBLE)) AS hi,
+       IF(p.cover > 0, c.cover / p.cover, 0D) AS r
+FROM {nodes} p JOIN {nodes} c ON c.treeID = p.treeID AND c.node IN (p.left, p.right)
+WHERE p.left >= 0"""
+
+_WALK = """
+WITH RECURSIVE walk(treeID, node, path) AS (
+  SELECT treeID, node, CAST(array() AS ARRAY<STRUCT<f: INT, lo: DOUBLE, hi: DOUBLE, r: DOUBLE>>)
+  FROM {nodes} n LEFT ANTI JOIN {edges} e ON e.treeID = n.treeID AND e.child = n.node
+  UNION ALL
+  SELECT e.treeID, e.child, concat(w.path, array(named_struct('f', e.f, 'lo', e.lo, 'hi', e.hi, 'r', e.r)))
+  FROM walk w JOIN {edges} e ON e.treeID = w.treeID AND e.parent = w.node
+)
+SELECT w.treeID, w.node, {scale}D * n.tree_weight * n.prediction AS value,
+       transform(array_sort(array_distinct(transform(w.path, s -> s.f))), f -> named_struct(
+         'f', f,
+         'lo', array_max(transform(filter(w.path, s -> s.f = f), s -> s.lo)),
+         'hi', array_min(transform(filter(w.path, s -> s.f = f), s -> s.hi)),
+         'r', aggregate(filter(w.path, s -> s.f = f), 1D, (a, s) -> a * s.r))) AS path
+FROM walk w JOIN {nodes} n ON n.treeID = w.treeID AND n.node = w.node
+WHERE n.left < 0"""
 
 
 @dataclass
 class LeafTable:
-    value: np.ndarray          # (L,) leaf margin contribution
-    feats: np.ndarray          # (L, D) feature index per path slot, -1 unused
-    lo: np.ndarray             # (L, D)
-    hi: np.ndarray             # (L, D)
-    r: np.ndarray              # (L, D) zero fraction
-    m: np.ndarray              # (L,) distinct features on the path
+    """Leaves as rows (treeID, node, value, path of distinct features), and the base value."""
+    leaves: DataFrame
     base: float
-    tree: np.ndarray | None = None   # (L,) tree index of each leaf
-
-
-def leaf_table(spark, model_path: str, margin_scale: float = 2.0) -> LeafTable:
-    """Collect the tree nodes (bounded by model size) and build leaf paths."""
-    nodes = tree_nodes(spark, model_path)
-    n_nodes = nodes.count()
-    if n_nodes > 2 * MAX_LEAVES:
-        raise ValueError(f"model too large to broadcast: {n_nodes} nodes")
-    pdf = nodes.toPandas()
-    leaves = []
-    tree_of = []
-    for tid, tree in pdf.groupby("treeID"):
-        t = {int(r.node): r for r in tree.itertuples()}
-        w = float(tree["tree_weight"].iloc[0])
-
-        def walk(nid, path):
-            nd = t[nid]
-            if nd.left < 0:
-                leaves.append((margin_scale * w * float(nd.prediction), path))
-                tree_of.append(int(tid))
-                return
-            f = int(nd.feature_index)
-            thr = float(nd.threshold)
-            cov = float(nd.cover)
-            for child, side in ((int(nd.left), "L"), (int(nd.right), "R")):
-                frac = float(t[child].cover) / cov if cov > 0 else 0.0
-                walk(child, path + [(f, side, thr, frac)])
-
-        walk(0, [])
-    depth = 1
-    per_leaf = []
-    for v, path in leaves:
-        feats: dict[int, list[float]] = {}
-        for f, side, thr, frac in path:
-            lo, hi, r = feats.get(f, [-math.inf, math.inf, 1.0])
-            if side == "L":
-                hi = min(hi, thr)
-            else:
-                lo = max(lo, thr)
-            feats[f] = [lo, hi, r * frac]
-        per_leaf.append((v, feats))
-        depth = max(depth, len(feats))
-    L = len(per_leaf)
-    value = np.zeros(L)
-    fa = -np.ones((L, depth), dtype=np.int64)
-    lo = np.zeros((L, depth))
-    hi = np.zeros((L, depth))
-    r = np.ones((L, depth))
-    m = np.zeros(L, dtype=np.int64)
-    for i, (v, feats) in enumerate(per_leaf):
-        value[i] = v
-        m[i] = len(feats)
-        for j, (f, (a, b, rr)) in enumerate(sorted(feats.items())):
-            fa[i, j], lo[i, j], hi[i, j], r[i, j] = f, a, b, rr
-    base = float(np.sum(value * np.prod(np.where(fa >= 0, r, 1.0), axis=1)))
-    return LeafTable(value, fa, lo, hi, r, m, base, np.asarray(tree_of, dtype=np.int64))
-
-
-def staged_margin_matrix(x: np.ndarray, lt: LeafTable, n_trees: int) -> np.ndarray:
-    """Margin of the first ``n_trees`` trees: each row lands in one leaf per
-    tree, the leaf whose path intervals all contain it."""
-    out = np.zeros(x.shape[0])
-    for li in np.nonzero(lt.tree < n_trees)[0]:
-        m = int(lt.m[li])
-        if m == 0:
-            out += lt.value[li]
-            continue
-        fs = lt.feats[li, :m]
-        xv = x[:, fs]
-        inside = np.all((xv > lt.lo[li, :m]) & (xv <= lt.hi[li, :m]), axis=1)
-        out += lt.value[li] * inside
-    return out
-
-
-def staged_margins(df: DataFrame, lt: LeafTable, n_trees: int, features: str = "features",
-                   keep: Sequence[str] = (K.KEY, K.LABEL)) -> DataFrame:
-    """Log-odds margin of the ensemble cut after ``n_trees`` rounds (early
-    stopping's best iteration), per row, in Arrow batches."""
-    spark = df.sparkSession
-    ship_package(spark)
-    bc = spark.sparkContext.broadcast(lt)
-    cols = [c for c in keep if c in df.columns]
-    arr = df.select(*cols, vector_to_array(F.col(features)).alias("__x"))
-    out_schema = arr.drop("__x").schema.add("margin", "double")
-
-    def run(batches):
-        table = bc.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.vstack(pdf["__x"].to_numpy()).astype(float)
-            res = pdf.drop(columns=["__x"])
-            res["margin"] = staged_margin_matrix(x, table, n_trees)
-            yield res
-
-    return arr.mapInPandas(run, schema=out_schema)
 
 
-def _shapley_weights(m: int) -> np.ndarray:
-    """s! (m-s-1)! / m! for s = 0..m-1."""
-    return np.array([math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m)
-                     for s in range(m)])
-
-
-def shap_matrix(x: np.ndarray, lt: LeafTable, n_features: int) -> np.ndarray:
-    """phi (rows x features) for a dense batch ``x``."""
-    n = x.shape[0]
+def leaf_paths(nodes: DataFrame, margin_scale: float = 2.0) -> DataFrame:
+    """(treeID, node, value, path): every leaf of a node table (``train.tree_nodes``)
+    with the interval and the zero fraction of each feature on its path."""
+    spark = nodes.sparkSession
+    cols = [F.col(c).cast(t).alias(c) for c, t in (
+        ("treeID", "int"), ("node", "int"), ("left", "int"), ("right", "int"), ("feature_index", "int"),
+        ("threshold", "double"), ("cover", "double"), ("prediction", "double"), ("tree_weight", "double"))]
+    limit = "spark.sql.cteRecursionRowLimit"
+    before = spark.conf.get(limit)
+    names = {}
+    try:
+        spark.conf.set(limit, "-1")  # every node is one row of the recursion, however large the model
+        for name, frame in (("nodes", lambda: materialize(nodes.select(*cols))),
+                            ("edges", lambda: materialize(spark.sql(_EDGES.format(**names))))):
+            view = f"riskspark_{name}_{id(nodes):x}"
+            frame().createOrReplaceTempView(view)
+            names[name] = view
+        return materialize(spark.sql(_WALK.format(scale=float(margin_scale), **names)))
+    finally:
+        spark.conf.set(limit, before)
+        for view in names.values():
+            spark.catalog.dropTempView(view)
+
+
+def leaf_table(nodes: DataFrame, margin_scale: float = 2.0) -> LeafTable:
+    """``leaf_paths`` and the base value (I18): the margin's mean over the covers."""
+    leaves = leaf_paths(nodes, margin_scale)
+    zero = F.aggregate("path", F.lit(1.0), lambda a, s: a * s["r"])
+    base = leaves.agg(F.sum(F.col("value") * zero).alias("base")).first()["base"]
+    return LeafTable(leaves, float(base or 0.0))
+
+
+def contributions(x: np.ndarray, feats: np.ndarray, lo: np.ndarray, hi: np.ndarray, r: np.ndarray,
+                  value: np.ndarray, n_features: int) -> np.ndarray:
+    """phi (rows x features) of leaves of one path length m; ``feats``, ``lo``,
+    ``hi`` and ``r`` are (leaves, m)."""
+    n, m = len(x), feats.shape[1]
     phi = np.zeros((n, n_features))
-    for li in range(lt.value.shape[0]):
-        m = int(lt.m[li])
-        if m == 0:
-            continue
-        fs = lt.feats[li, :m]
-        xv = x[:, fs]                                          # (n, m)
-        z = ((xv > lt.lo[li, :m]) & (xv <= lt.hi[li, :m])).astype(float)
-        r = lt.r[li, :m]
-        wts = _shapley_weights(m)
-        for a in range(m):
-            # polynomial prod over j != a of (r_j + z_j t), coefficients per row
-            coef = np.zeros((n, m))
-            coef[:, 0] = 1.0
-            deg = 0
-            for j in range(m):
-                if j == a:
-                    continue
-                new = coef * r[j]
-                new[:, 1:deg + 2] += coef[:, 0:deg + 1] * z[:, j:j + 1]
-                coef = new
-                deg += 1
-            s = coef[:, :m] @ wts
-            phi[:, fs[a]] += lt.value[li] * (z[:, a] - r[a]) * s
+    points, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
+    points, weights = (points + 1) / 2, weights / 2
+    step = max(1, CELLS // max(1, n * m))
+    for at in range(0, len(value), step):
+        f, rr = feats[at:at + step], r[at:at + step][None]
+        z = (x[:, f] > lo[at:at + step]) & (x[:, f] <= hi[at:at + step])  # (rows, leaves, m)
+        total = np.zeros(z.shape)
+        for t, w in zip(points, weights):
+            factor = z * t + rr * (1 - t)
+            others, run = np.full(z.shape, w), np.ones(z.shape[:2])
+            for j in range(m):  # product of the factors before j
+                others[:, :, j] *= run
+                run = run * factor[:, :, j]
+            run = np.ones(z.shape[:2])
+            for j in range(m - 1, -1, -1):  # and after it
+                others[:, :, j] *= run
+                run = run * factor[:, :, j]
+            total += others
+        total *= (z - rr) * value[at:at + step][None, :, None]
+        order = np.argsort(f.reshape(-1), kind="stable")
+        own, first = np.unique(f.reshape(-1)[order], return_index=True)
+        phi[:, own] += np.add.reduceat(total.reshape(n, -1)[:, order], first, axis=1)
     return phi
 
 
+def _block(key: str, n_features: int):
+    """Contributions of one block of leaves to one block of rows, per feature met."""
+    def run(rows: pa.Table, leaves: pa.Table) -> pa.Table:
+        ids, phi, own = rows.column(key), np.zeros((rows.num_rows, 0)), np.empty(0, np.int64)
+        if rows.num_rows and leaves.num_rows:
+            x = rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1)
+            path = leaves.column("path").combine_chunks().flatten()
+            feats, lo, hi, r = (path.field(c).to_numpy(zero_copy_only=False).reshape(leaves.num_rows, -1)
+                                for c in ("f", "lo", "hi", "r"))
+            phi = contributions(x, feats, lo, hi, r, leaves.column("value").to_numpy(), n_features)
+            own = np.unique(feats)
+            phi = phi[:, own]
+        return pa.table([ids.take(pa.array(np.repeat(np.arange(rows.num_rows), len(own)))),
+                         pa.array(np.tile(own, rows.num_rows), pa.int32()), pa.array(phi.reshape(-1), pa.float64())],
+                        names=[key, "feature_index", "shap"])
+    return run
+
+
 SAMPLE_OVERSAMPLE = 3.0
 
 
@@ -208,40 +181,36 @@ def explanation_sample(df: DataFrame, size: int = K.SHAP_SAMPLE_SIZE, key: str =
     return source.orderBy("__h", key).limit(size).drop("__h")
 
 
-def shap_values(df: DataFrame, lt: LeafTable, feature_names: Sequence[str],
-                features: str = "features", key: str = K.KEY,
-                partitions: int | None = None) -> DataFrame:
-    """Long (key, feature, value, shap) rows.
-
-    ``partitions``: spread the rows over this many tasks first (hash of the
-    key).  A sample comes out of ``limit`` as one partition; without this the
-    whole attribution would run in a single task.
-    """
+def shap_values(df: DataFrame, table: LeafTable, feature_names: Sequence[str],
+                features: str = "features", key: str = K.KEY, leaf_block: int = LEAF_BLOCK,
+                row_block: int = ROW_BLOCK) -> DataFrame:
+    """Long (key, feature, value, shap) rows; ``features`` is a vector or an array column."""
     spark = df.sparkSession
     ship_package(spark)
     names = list(feature_names)
-    nf = len(names)
-    bc = spark.sparkContext.broadcast(lt)
-    arr = df.select(F.col(key).cast("long").alias(key), vector_to_array(F.col(features)).alias("x"))
-    if partitions:
-        arr = arr.repartition(int(partitions), key)
-
-    def run(batches):
-        table = bc.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.vstack(pdf["x"].to_numpy()).astype(float) if len(pdf) else np.zeros((0, nf))
-            phi = shap_matrix(x, table, nf)
-            ids = np.repeat(pdf[key].to_numpy(), nf)
-            yield pd.DataFrame({
-                key: ids,
-                "feature": np.tile(np.array(names, dtype=object), len(pdf)),
-                "value": x.reshape(-1),
-                "shap": phi.reshape(-1),
-            })
-
-    return arr.mapInPandas(run, schema=f"{key} long, feature string, value double, shap double")
+    array = F.col(features) if isinstance(df.schema[features].dataType, T.ArrayType) else vector_to_array(F.col(features))
+    rows = df.select(F.col(key).cast("long").alias(key), array.alias("x"))
+    leaves = table.leaves.where(F.size("path") > 0)  # a tree without splits moves the base only
+    lengths = {r["m"]: r["n"] for r in  # a row per path length
+               leaves.groupBy(F.size("path").alias("m")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    row_blocks = max(1, -(-df.count() // row_block))
+    deal = F.create_map(*[F.lit(v) for m, n in sorted(lengths.items()) for v in (m, -(-n // leaf_block))]) if lengths else None
+    named = F.array(*[F.lit(n) for n in names])
+    out = rows.select(key, F.posexplode("x").alias("feature_index", "value"), F.lit(0.0).alias("shap"))
+    if lengths:
+        every = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(b).alias("block"))
+                          for m, n in sorted(lengths.items()) for b in range(-(-n // leaf_block))])
+        asked = (rows.withColumn("rows", F.pmod(F.xxhash64(key), F.lit(row_blocks)).cast("int"))
+                 .select(key, "x", "rows", F.explode(every).alias("b")).select(key, "x", "rows", "b.m", "b.block"))
+        own = F.pmod(F.xxhash64("treeID", "node"), deal[F.size("path")]).cast("int")
+        dealt = leaves.select("value", "path", F.size("path").alias("m"), own.alias("block"),
+                              F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("rows"))
+        by = ["m", "block", "rows"]
+        parts = asked.groupBy(*by).cogroup(dealt.groupBy(*by)).applyInArrow(
+            _block(key, len(names)), f"{key} long, feature_index int, shap double")
+        out = out.unionByName(parts.withColumn("value", F.lit(None).cast("double")))
+    return (out.groupBy(key, "feature_index").agg(F.max("value").alias("value"), F.sum("shap").alias("shap"))
+            .select(key, F.get(named, F.col("feature_index")).alias("feature"), "value", "shap"))
 
 
 def global_attribution(shap: DataFrame) -> DataFrame:

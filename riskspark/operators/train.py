@@ -8,9 +8,9 @@
 * search: seeded random search over the same nine ranges, each trial scored by
   the mean fold AUC of stratified folds (``fold`` from the split); trials run
   as concurrent driver threads sharing one checkpointed train frame; inside a
-  fold, early stopping keeps the round with the lowest validation loss unless
-  50 rounds pass without improvement (the held-out fold is scored with the
-  ensemble cut at that round); Spark's tolerance rule is the alternative;
+  fold, early stopping keeps the round with the highest AUC on the held-out fold
+  unless 50 rounds pass without improvement, and that AUC is the fold's score;
+  Spark's tolerance rule is the alternative;
 * refit of the best trial on all train rows, with no early stopping (Q7).
 """
 
@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..session import scratch_path
 from .metrics import class_ratio, mean_over_folds, positive_weight, ranking_metrics
+from .stages import ranked_scores, stopping_rounds, tree_stages
+from .trials import TrialTable, data_digest, trial_digest
 
 # Search ranges (fixed values: name, low, high, log scale, integer).
 SEARCH_SPACE = (
@@ -141,18 +143,6 @@ class SearchResult:
     best_value: float
 
 
-def best_round(losses: Sequence[float], patience: int = K.EARLY_STOPPING_ROUNDS) -> int:
-    """Rounds to keep: the lowest validation loss seen before ``patience``
-    rounds pass without improvement (1-based count of trees)."""
-    best_i, best = 0, float("inf")
-    for i, v in enumerate(losses):
-        if v < best:
-            best_i, best = i, v
-        elif i - best_i >= patience:
-            break
-    return best_i + 1
-
-
 def _fold_score(base: DataFrame, params: dict, ratio: float, k: int, features: str, label: str,
                 fold_col: str, seed: int, early_stopping: str,
                 patience: int) -> tuple[float | None, int, int]:
@@ -166,40 +156,51 @@ def _fold_score(base: DataFrame, params: dict, ratio: float, k: int, features: s
         auc = ranking_metrics(pred, "probability", label).first()["auc_roc"]
         return auc, model.getNumTrees, model.getNumTrees
     model = train_gbt(base.where(F.col(fold_col) != k), params, ratio, features, label, seed=seed)
-    scored_val = _label_double(val, label).withColumn("__w", positive_weight(label, ratio))
-    n_keep = best_round(model.evaluateEachIteration(scored_val), patience)
-    if n_keep >= model.getNumTrees:
-        pred = predict_proba(model, val, keep=(K.KEY, label))
-        auc = ranking_metrics(pred, "probability", label).first()["auc_roc"]
-    else:
-        from .explain import leaf_table, staged_margins
-        path = save_model(spark, model, f"search/{uuid.uuid4().hex}")
-        m = staged_margins(val, leaf_table(spark, path), n_keep, features, keep=(K.KEY, label))
-        auc = ranking_metrics(m, "margin", label).first()["auc_roc"]
-    return auc, n_keep, model.getNumTrees
+    # every round's margin of the held-out fold is ranked in one job; the round
+    # kept is the one of highest AUC before patience runs out, and its AUC counts
+    nodes = tree_nodes(spark, save_model(spark, model, f"search/{uuid.uuid4().hex}"))
+    held = val.select(label, vector_to_array(F.col(features)).alias("x"))
+    stop = stopping_rounds(ranked_scores(held, "x", tree_stages(nodes), label), patience).first()
+    if stop is None:  # an empty fold
+        return None, model.getNumTrees, model.getNumTrees
+    return stop["best_auc"], stop["best_round"], model.getNumTrees
 
 
 def search(train: DataFrame, ratio: float, n_trials: int = K.N_TRIALS, n_folds: int = K.N_FOLDS,
            features: str = "features", label: str = K.LABEL, fold_col: str = "fold",
            parallelism: int = 4, seed: int = K.RANDOM_STATE, early_stopping: str = "rounds",
-           patience: int = K.EARLY_STOPPING_ROUNDS, space: Sequence[tuple] = SEARCH_SPACE) -> SearchResult:
+           patience: int = K.EARLY_STOPPING_ROUNDS, space: Sequence[tuple] = SEARCH_SPACE,
+           trial_path: str | None = None) -> SearchResult:
     """Each trial: for every fold k, fit on the other folds, keep the rounds
     early stopping chooses on fold k, score fold k, and average the fold AUCs.
 
-    ``early_stopping="rounds"``: patience in rounds on the validation loss,
-    scoring the ensemble cut at the best round; ``"tolerance"``: Spark's
+    ``early_stopping="rounds"``: patience in rounds on the AUC of the held-out fold,
+    which is scored by the ensemble cut at the best round; ``"tolerance"``: Spark's
     ``validationIndicatorCol`` rule.
+
+    ``trial_path``: a shared folder for the table of finished fits; a search
+    started again over it fits only what is missing.
     """
     spark = train.sparkSession
     base = train.select(K.KEY, label, fold_col, features)  # read once per fit: pass a written table
     trials = sample_trials(n_trials, seed, space)
+    table = TrialTable(spark, trial_path) if trial_path else None
+    done = table.done() if table else {}
+    data = data_digest(base, K.KEY, label, fold_col) if table else ""
 
     def run(i: int) -> list[tuple]:
         out = []
+        digest = trial_digest(params=trials[i], ratio=ratio, folds=n_folds, seed=seed, stop=early_stopping,
+                              patience=patience, data=data)
         for k in range(n_folds):
+            if (digest, k) in done:
+                out.append((i, k, *done[digest, k]))
+                continue
             auc, n_keep, n_grown = _fold_score(base, trials[i], ratio, k, features, label, fold_col,
                                                seed, early_stopping, patience)
             out.append((i, k, float(auc) if auc is not None else None, int(n_keep), int(n_grown)))
+            if table:
+                table.add(digest, *out[-1])
         return out
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
@@ -273,7 +274,12 @@ def tree_nodes(spark, model_path: str) -> DataFrame:
 
 def split_importance(spark, model_path: str, feature_names: Sequence[str]) -> DataFrame:
     """Split count per feature (the importance the plots show) and total gain."""
-    n = tree_nodes(spark, model_path).where(F.col("left") >= 0)
+    return importance_of(tree_nodes(spark, model_path), feature_names)
+
+
+def importance_of(nodes: DataFrame, feature_names: Sequence[str]) -> DataFrame:
+    """``split_importance`` of a node table."""
+    spark, n = nodes.sparkSession, nodes.where(F.col("left") >= 0)
     names = spark.createDataFrame(list(enumerate(feature_names)), "feature_index int, feature string")
     counts = n.groupBy("feature_index").agg(F.count(F.lit(1)).alias("split_count"),
                                             F.sum("gain").alias("total_gain"))

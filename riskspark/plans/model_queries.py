@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import explain, monitor, train
+from ..session import materialize
 from .modeling import cached_run, margins, shap_frame
 from .queries import rounded
 
@@ -90,18 +91,17 @@ def q_shap_global(spark, sf_dir):
 def q_shap_spread(spark, sf_dir):
     """(value, shap) pairs of the top 20 features."""
     run = cached_run(spark, sf_dir)
-    shap, _ = shap_frame(run, spark)
+    shap = materialize(shap_frame(run, spark)[0])  # read for the top features and for their rows
     return rounded(explain.attribution_spread(shap, K.TOP_FEATURES_PLOT))
 
 
 def q_shap_waterfall(spark, sf_dir):
     """F4 + F5 + I18: waterfalls of the first sampled defaulter and non-defaulter."""
     run = cached_run(spark, sf_dir)
-    shap, lt = shap_frame(run, spark)
     sample = explain.explanation_sample(run.test)
     firsts = explain.first_per_class(sample).select(K.KEY)
-    w = explain.waterfall(shap.join(F.broadcast(firsts), K.KEY, "left_semi"), lt.base, K.WATERFALL_REPORT)
-    return rounded(w)
+    shap, lt = shap_frame(run, spark, sample.join(F.broadcast(firsts), K.KEY, "left_semi"))  # two rows are attributed
+    return rounded(explain.waterfall(shap, lt.base, K.WATERFALL_REPORT))
 
 
 def q_shap_additivity(spark, sf_dir):
@@ -123,12 +123,12 @@ MODEL_QUERIES = {
     "model_scores": q_model_scores,
     "model_deciles": q_model_deciles,
     "model_psi": q_model_psi,
-    "feature_importance": q_feature_importance,
+    "model_feature_importance": q_feature_importance,
     "search_trials": q_search_trials,
     "best_trial": q_best_trial,
-    "shap_values": q_shap_values,
-    "shap_global": q_shap_global,
-    "shap_spread": q_shap_spread,
-    "shap_waterfall": q_shap_waterfall,
-    "shap_additivity": q_shap_additivity,
+    "model_shap_values": q_shap_values,
+    "model_shap_global": q_shap_global,
+    "model_shap_spread": q_shap_spread,
+    "model_shap_waterfall": q_shap_waterfall,
+    "model_shap_additivity": q_shap_additivity,
 }

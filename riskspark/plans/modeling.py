@@ -93,11 +93,11 @@ def cached_run(spark: SparkSession, sf_dir: str, budget: Budget = QUERY_BUDGET)
         return _CACHE[key]
 
 
-def shap_frame(run: ModelRun, spark: SparkSession) -> tuple[DataFrame, explain.LeafTable]:
-    lt = explain.leaf_table(spark, run.gbt_path)
-    sample = explain.explanation_sample(run.test)
-    parts = spark.sparkContext.defaultParallelism
-    return explain.shap_values(sample, lt, run.names, partitions=parts), lt
+def shap_frame(run: ModelRun, spark: SparkSession, sample: DataFrame | None = None) -> tuple[DataFrame, explain.LeafTable]:
+    """Attribution rows of ``sample`` (the explanation sample, if none is given) and the leaf table."""
+    lt = explain.leaf_table(train.tree_nodes(spark, run.gbt_path))
+    sample = explain.explanation_sample(run.test) if sample is None else sample
+    return explain.shap_values(sample, lt, run.names), lt
 
 
 def margins(run: ModelRun, df: DataFrame) -> DataFrame:

@@ -83,7 +83,7 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None, budget: Budget
     ratio = train.ratio_of(tr)
     lr = train.train_baseline(tr)
     res = train.search(tr, ratio, budget.n_trials, budget.n_folds, parallelism=budget.parallelism,
-                       space=budget.space)
+                       space=budget.space, trial_path=f"{out}/search_fits")
     gbt = train.train_gbt(tr, res.best_params, ratio)
     paths = io.save_artifacts(spark, out, models={"baseline": lr, "gbt": gbt},
                               docs={"feature_names": names, "best_params": res.best_params,
@@ -112,10 +112,9 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None, budget: Budget
     psi_total = monitor.psi_summary(psi).first()
 
     # 6. explain
-    lt = explain.leaf_table(spark, paths["gbt"])
+    lt = explain.leaf_table(train.tree_nodes(spark, paths["gbt"]))
     sample = explain.explanation_sample(te_)
-    shap = _write(explain.shap_values(sample, lt, names, partitions=spark.sparkContext.defaultParallelism),
-                  out, "shap/values")
+    shap = _write(explain.shap_values(sample, lt, names), out, "shap/values")
     _write(explain.top_attribution(shap), out, "shap/global")
     _write(explain.attribution_spread(shap), out, "shap/spread")
     firsts = explain.first_per_class(sample).select(K.KEY)
