@@ -21,7 +21,7 @@ Fixed values (keep as written):
                   15 waterfall rows (reports), 12 (dashboard), first 10 ids
   outcome text:   1 "Defaulted", 0 "Repaid", absent "Unknown"
   age:            abs(days) / 365.25, one decimal
-  CSV sources:    header row, column types inferred from the first 100,000 rows
+  CSV sources:    header row, column types inferred (from every row here)
 """
 
 BASE_SCORE = 600

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .csv_records import read_records
+
 METRICS_SCHEMA = "model string, metric string, value double"
 PARAMS_SCHEMA = "model string, param string, value double"
 
@@ -35,19 +37,19 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     row, so that no late value fails to fit.  A value that does not fit a given
     schema raises instead of turning into null.
 
-    ``multi_line`` lets quoted values hold line breaks, at the price of one task
-    per file; pass False for large files known to have none.
+    ``multi_line``: quoted values may hold line breaks; large files are still cut
+    into many tasks (``csv_records``).  False takes every line for a record, which
+    saves a pass over files known to have none.
     """
-    r = (spark.read.option("header", "true").option("mode", "FAILFAST").option("escape", '"')
-         .option("multiLine", str(multi_line).lower()))
-    if schema is not None:
-        return r.schema(schema).csv(path)
-    return r.option("inferSchema", "true").csv(path)
+    if multi_line:
+        return read_records(spark, path, schema)
+    r = spark.read.option("header", "true").option("mode", "FAILFAST").option("escape", '"')
+    return r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", "true").csv(path)
 
 
 def load_tables(spark: SparkSession, data_dir: str, tables: Sequence[tuple[str, str]],
                 schemas: Mapping[str, StructType | str] | None = None,
-                fmt: str = "csv") -> tuple[dict[str, DataFrame], list[str]]:
+                fmt: str = "csv", multi_line: bool = True) -> tuple[dict[str, DataFrame], list[str]]:
     """Read (name, file) pairs; absent files are skipped and
     reported, any other error is raised."""
     schemas = schemas or {}
@@ -58,7 +60,7 @@ def load_tables(spark: SparkSession, data_dir: str, tables: Sequence[tuple[str,
         if not path_exists(spark, path):
             skipped.append(name)
             continue
-        out[name] = (read_csv(spark, path, schemas.get(name)) if fmt == "csv"
+        out[name] = (read_csv(spark, path, schemas.get(name), multi_line) if fmt == "csv"
                      else spark.read.parquet(path))
     return out, skipped
 
@@ -76,9 +78,12 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 
 def save_as_table(df: DataFrame, name: str, bucket_by: str | None = None,
-                  n_buckets: int | None = None) -> None:
-    """Catalog table; bucketing on the key lets later key joins skip a shuffle."""
+                  n_buckets: int | None = None, path: str | None = None) -> None:
+    """Catalog table, at ``path`` if one is given; bucketing on the key lets later
+    key joins skip a shuffle."""
     w = df.write.mode("overwrite").format("parquet")
+    if path:
+        w = w.option("path", path)
     if bucket_by and n_buckets:
         w = w.bucketBy(n_buckets, bucket_by).sortBy(bucket_by)
     w.saveAsTable(name)
@@ -131,6 +136,21 @@ def write_by_key(df: DataFrame, path: str, key: str, n_files: int,
     return write_table(df.repartitionByRange(n_files, key).sortWithinPartitions(key), path, partition_by)
 
 
+def write_with_bloom(df: DataFrame, path: str, keys: Sequence[str], expected: int | None = None,
+                     partition_by: Sequence[str] = ()) -> str:
+    """Parquet with a Bloom filter on each of ``keys`` in every row group, so that an
+    equality lookup (B7) skips row groups whose min/max range covers the key, too:
+    tables not sorted on it, or looked up by several keys.  ``expected`` distinct
+    values a row group decide a filter's size."""
+    w = df.write.mode("overwrite").partitionBy(*partition_by)
+    for key in keys:
+        w = w.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        if expected:
+            w = w.option(f"parquet.bloom.filter.expected.ndv#{key}", str(expected))
+    w.parquet(path)
+    return path
+
+
 # --- A6: named queries to tables, in order ----------------------------------------
 
 def run_named(queries: Mapping[str, Callable[[], DataFrame]], out_dir: str | None = None,
