@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..session import materialize
-from .cumulative import exact_quantiles
 from .joins import broadcast_checked
 from .quality import categorical_columns, column_cardinality, numeric_columns
+from .selection import column_quantiles
 
 NULL_CATEGORY = "\u0000null"
 
@@ -148,10 +148,7 @@ def _number(c: str) -> F.Column:
 def _fit_numeric(train: DataFrame, cols: list[str]) -> tuple[dict, dict, dict]:
     if not cols:
         return {}, {}, {}
-    long = (train.select(*[_number(c).alias(c) for c in cols])
-            .unpivot([], cols, "column_name", "value").where(F.col("value").isNotNull()))
-    med = {r["column_name"]: r["quantile"]
-           for r in exact_quantiles(long, "value", [0.5], by=["column_name"]).collect()}
+    med = {c: v for (c, _), v in column_quantiles(train, cols, [0.5]).items()}
     kept = [c for c in cols if med.get(c) is not None]
     if not kept:
         return {}, {}, {}
