@@ -20,7 +20,7 @@ from ..operators.encode import ColumnGroups, fit_preprocessor
 from ..operators.explain import explanation_sample
 from ..sources.fixtures import LEAK_COLUMNS, Tables, document_application
 from ..sources.io import catalog_summary
-from ..session import TABLES
+from ..session import TABLES, materialize
 from .scoring import formula_probability, formula_scores, split_assignment, split_features
 
 REPORT_DIGITS = 6
@@ -87,7 +87,7 @@ def q_column_cardinality(spark, sf_dir):
 
 
 def q_leakage_audit(spark, sf_dir):
-    return rounded(audit.leakage_audit(marts.build_features(_t(spark, sf_dir))))
+    return rounded(audit.leakage_audit(materialize(marts.build_features(_t(spark, sf_dir)))))
 
 
 def q_document_cardinality(spark, sf_dir):
@@ -96,7 +96,7 @@ def q_document_cardinality(spark, sf_dir):
 
 
 def q_document_leakage_audit(spark, sf_dir):
-    return rounded(audit.leakage_audit(document_application(_t(spark, sf_dir))))
+    return rounded(audit.leakage_audit(materialize(document_application(_t(spark, sf_dir)))))
 
 
 def q_catalog_summary(spark, sf_dir):
