@@ -8,7 +8,8 @@ Plan shape, chosen for size:
 
 * ``lineitem`` (the largest table) is scanned and shuffled **once**:
   ``order_facts`` left-joins it to ``orders`` on the order key and aggregates
-  per order inside the join's partitioning (no second exchange);
+  per order inside the join's partitioning (no second exchange); lines of an order
+  that holds more of them than a partition should are joined by broadcast instead;
 * one ``groupBy(customer)`` over those order rows computes every order- and
   line-based column (D1, D2, D3, D5) in a single shuffle of order rows, with
   map-side partial aggregation, so a customer holding a third of all orders
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..sources.fixtures import Tables, application
+from .joins import broadcast_checked, hot_keys
 from .quality import replace_sentinels
 
 # Day counts are relative to these fixed dates (our design; fixture data ends
@@ -83,12 +85,14 @@ ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_price_cents", "o_to
 def order_facts(t: Tables) -> DataFrame:
     """One row per order with its line statistics (lines may be absent).
 
-    Lines meet their order in an *inner* join, so adaptive execution can split
-    a hot order key on the line side (skew join) and partial aggregation
-    re-combines the pieces; a 1:1 left join then brings back orders without
-    lines.  Both joins read the same ``orders`` projection (all order columns
-    are grouping keys of the per-order aggregate), so its exchange is reused:
-    ``orders`` and ``lineitem`` are each shuffled once.
+    Lines meet their order in an *inner* join; a 1:1 left join then brings back
+    orders without lines.  Both joins read the same ``orders`` projection (all
+    order columns are grouping keys of the per-order aggregate), so its exchange
+    is reused: ``orders`` and ``lineitem`` are each shuffled once.
+
+    Lines of a hot order (``joins.hot_keys``) are not shuffled at all: the few
+    hot orders are broadcast to them, and partial aggregation leaves a row per
+    task and hot order.
     """
     # an order without key or customer reaches no applicant: filtering both here
     # keeps the two uses of ``o`` identical, so one exchange serves both joins
@@ -98,12 +102,11 @@ def order_facts(t: Tables) -> DataFrame:
         "o_orderdate", "o_orderpriority")
     li = t.lineitem.select("l_orderkey", "l_returnflag", "l_shipdate", "l_discount",
                            "l_tax", "l_extendedprice")
-    lines = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     dd = F.datediff(F.col("l_shipdate"), F.col("o_orderdate"))
     disc = _scaled("l_discount", BASIS)
-    stats = (
-        lines.groupBy(*ORDER_COLS)
-        .agg(
+
+    def per_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner").groupBy(*ORDER_COLS).agg(
             F.count(F.lit(1)).alias("n_lines"),
             F.count_if(F.col("l_returnflag") == "R").alias("n_returned"),
             F.sum(dd).alias("sum_late"),
@@ -114,10 +117,14 @@ def order_facts(t: Tables) -> DataFrame:
             F.sum(_scaled("l_tax", BASIS)).alias("sum_tax_bp"),
             # price in cents x (1 - discount) in basis points: units of 1e-6
             F.sum(_scaled("l_extendedprice", CENTS) * (F.lit(BASIS) - disc)).alias("sum_revenue_u"),
-        )
-        .drop(*ORDER_COLS[1:])
-        .withColumnRenamed("o_orderkey", "s_orderkey")
-    )
+        ).drop(*ORDER_COLS[1:]).withColumnRenamed("o_orderkey", "s_orderkey")
+
+    hot = hot_keys(li, "l_orderkey")
+    if hot:
+        stats = per_order(li.where(~F.col("l_orderkey").isin(hot)), o).unionByName(
+            per_order(li.where(F.col("l_orderkey").isin(hot)), broadcast_checked(o.where(F.col("o_orderkey").isin(hot)))))
+    else:
+        stats = per_order(li, o)
     facts = o.join(stats, o.o_orderkey == stats.s_orderkey, "left").drop("s_orderkey")
     return facts.withColumn("n_lines", F.coalesce(F.col("n_lines"), F.lit(0)).cast("long")) \
         .withColumn("n_returned", F.coalesce(F.col("n_returned"), F.lit(0)).cast("long")) \

@@ -1,5 +1,6 @@
-"""A hot order key (a third of all lines) is split by the skew join, and the
-features are the same as without adaptive execution."""
+"""A hot order key (a third of all lines) is joined by broadcast under default
+settings; hidden from that, it is split by the skew join.  The features are the
+same each way."""
 
 import datetime as dt
 import os
@@ -42,6 +43,36 @@ def skewed_dir(spark):
     return d
 
 
+def test_hot_order_under_default_settings(spark, skewed_dir):
+    """No flag is set: the hot order is found, its lines are joined by broadcast, the
+    shuffled lines hold no hot key, and the features are those of a plain join."""
+    from riskspark.operators import joins, marts
+    t = Tables(spark, skewed_dir)
+    assert joins.hot_keys(t.lineitem, "l_orderkey") == [7]
+    f = build_features(t)
+    plan = f._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan and "NOT (l_orderkey" in plan
+    got = sorted(f.collect())
+    hot = [r for r in got if r["SK_ID_CURR"] == 7][0]
+    assert hot["BURO_N_LINES"] >= 2000
+    old = marts.hot_keys
+    marts.hot_keys = lambda df, key: []
+    try:
+        assert sorted(build_features(t).collect()) == got
+    finally:
+        marts.hot_keys = old
+
+
+def test_no_hot_key_in_an_even_table(spark):
+    from riskspark.operators import joins
+    even = spark.range(20_000).selectExpr("id % 5000 AS k")
+    assert joins.hot_keys(even, "k") == []
+    assert joins.hot_keys(even.limit(0), "k") == []
+    two = even.unionByName(spark.range(9_000).selectExpr("CAST(-1 - id % 2 AS BIGINT) AS k")).unionByName(
+        spark.range(9_000).selectExpr("CAST(NULL AS BIGINT) AS k"))
+    assert joins.hot_keys(two, "k") == [-2, -1]
+
+
 def test_hot_order_is_split_and_results_agree(spark, skewed_dir):
     conf = {"spark.sql.adaptive.enabled": "true",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
@@ -49,7 +80,9 @@ def test_hot_order_is_split_and_results_agree(spark, skewed_dir):
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2048",
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
             "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    old = {k: spark.conf.get(k, None) for k in conf}
+    from riskspark.operators import marts
+    old, found = {k: spark.conf.get(k, None) for k in conf}, marts.hot_keys
+    marts.hot_keys = lambda df, key: []
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
@@ -63,6 +96,7 @@ def test_hot_order_is_split_and_results_agree(spark, skewed_dir):
         hot = [r for r in static if r["SK_ID_CURR"] == 7][0]
         assert hot["BURO_N_LINES"] >= 2000
     finally:
+        marts.hot_keys = found
         for k, v in old.items():
             if v is None:
                 spark.conf.unset(k)
