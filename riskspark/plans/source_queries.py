@@ -5,15 +5,23 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import quality, report
-from ..operators.marts import bureau_features, previous_app_features
+from ..functions.formatting import report_round
+from ..operators.marts import bureau_features, pos_cash_features, previous_app_features
+from ..operators.monitor import score_table
 from ..session import read_table, scratch_path
 from ..sources import io
+from ..sources.artifacts import ArtifactStore
 from ..sources.fixtures import Tables, applicant_labels
+from .oracle import _MARTS, SCORES, numpy_rounding
+from .scoring import (FORMULA_INTERCEPT, FORMULA_ORDERS_CENTER, FORMULA_ORDERS_COEF, FORMULA_PRICE_CENTER,
+                      FORMULA_PRICE_COEF, split_assignment)
 
 #: Ids looked up by ``key_lookup``: the first is an applicant, the last is none.
 LOOKUP_IDS = (7, 42, -1)
@@ -90,6 +98,62 @@ def q_class_rows(spark, sf_dir) -> DataFrame:
     return quality.class_rows(applicant_labels(Tables(spark, sf_dir)), 1).select(K.KEY, K.LABEL)
 
 
+def q_key_lookup_bloom(spark, sf_dir) -> DataFrame:
+    """Applicants by id and orders by customer, tables in no order of their key;
+    Bloom filters tell which row groups to read."""
+    t = Tables(spark, sf_dir)
+    people = io.write_with_bloom(applicant_labels(t).repartition(8, F.xxhash64(K.KEY)), _folder(spark, "bloom"), [K.KEY])
+    orders = io.write_with_bloom(t.orders.select("o_orderkey", "o_custkey"), _folder(spark, "bloom-orders"), ["o_orderkey", "o_custkey"])
+    out = None
+    for i in LOOKUP_IDS:
+        card = report.applicant_card(spark.read.parquet(people), i)
+        own = spark.read.parquet(orders).where(F.col("o_custkey") == i).agg(F.count(F.lit(1)).alias("n_orders"))
+        row = card.select(K.KEY, K.LABEL).join(own.withColumn(K.KEY, F.lit(i).cast("long")), K.KEY)
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_bucketed_marts(spark, sf_dir) -> DataFrame:
+    """A3 + A5 + C1: marts saved as catalog tables bucketed and sorted on the
+    applicant, listed, and joined bucket by bucket without a shuffle."""
+    t, base = Tables(spark, sf_dir), _folder(spark, "bucketed")
+    database = f"marts_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}'")
+    marts = {"applicants": applicant_labels(t), "previous": previous_app_features(t), "events": pos_cash_features(t)}
+    for name, df in marts.items():
+        io.save_as_table(df.withColumn(K.KEY, F.col(K.KEY).cast("long")), f"{database}.{name}", K.KEY, 8, path=f"{base}/{name}")
+    joined = bucketed_join(spark, database, list(marts))
+    rows = (joined.groupBy(K.LABEL).agg(F.count(F.lit(1)).alias("n"), F.sum("PREV_N_ORDERS").alias("n_orders"),
+                                        F.sum("POS_N_EVENTS").alias("n_events")).withColumn("one", F.lit(1)))
+    listed = io.catalog_tables_summary(spark, database).agg(F.sum("n_rows").alias("rows_listed"), F.sum("n_columns").alias("columns_listed"))
+    return rows.join(F.broadcast(listed.withColumn("one", F.lit(1))), "one").drop("one")  # one row
+
+
+def bucketed_join(spark: SparkSession, database: str, names: list[str]) -> DataFrame:
+    """Catalog tables bucketed alike on the applicant, left-joined to the first."""
+    out = spark.table(f"{database}.{names[0]}")
+    for name in names[1:]:
+        out = out.join(spark.table(f"{database}.{name}").hint("merge"), K.KEY, "left")  # sorted buckets: merge in place
+    return out
+
+
+def q_artifact_store(spark, sf_dir) -> DataFrame:
+    """A10: the formula as a stored model, its inputs as a stored table and the card
+    as a document, saved, verified, loaded and scored from the store alone."""
+    t = Tables(spark, sf_dir)
+    z = (f"{FORMULA_INTERCEPT} + {FORMULA_ORDERS_COEF} * (PREV_N_ORDERS - {FORMULA_ORDERS_CENTER}) "
+         f"+ {FORMULA_PRICE_COEF} * (PREV_AVG_PRICE - {FORMULA_PRICE_CENTER})")
+    model = PipelineModel([SQLTransformer(statement=f"SELECT *, 1 / (1 + exp(-({z.replace('0.00001', '0.00001D')}))) AS probability FROM __THIS__")])
+    table = split_assignment(t).join(previous_app_features(t), K.KEY, "left")
+    store = ArtifactStore(spark, _folder(spark, "store"))
+    store.save({"formula": model}, {"applicants": table.select(K.KEY, K.LABEL, "split", "PREV_N_ORDERS", "PREV_AVG_PRICE")},
+               {"card": {"pdo": K.PDO, "base_score": K.BASE_SCORE}})
+    loaded = store.load()
+    scored = score_table(loaded["models"]["formula"].transform(loaded["tables"]["applicants"]), keep=[K.LABEL, "split"])
+    return scored.select(K.KEY, report_round("probability", 6).alias("probability"), "score", "risk_band", K.LABEL, "split",
+                         F.lit(loaded["docs"]["card"]["pdo"]).cast("int").alias("pdo"))
+
+
 SOURCE_QUERIES = {
     "csv_round_trip": q_csv_round_trip,
     "table_round_trip": q_table_round_trip,
@@ -97,6 +161,9 @@ SOURCE_QUERIES = {
     "metrics_document": q_metrics_document,
     "key_lookup": q_key_lookup,
     "class_rows": q_class_rows,
+    "key_lookup_bloom": q_key_lookup_bloom,
+    "bucketed_marts": q_bucketed_marts,
+    "artifact_store": q_artifact_store,
 }
 
 _LABELS = f"SELECT c_custkey AS {K.KEY}, CAST(c_acctbal < 0 AS INTEGER) AS {K.LABEL} FROM customer"
@@ -119,4 +186,12 @@ SOURCE_ORACLES = {
         for m, e in (("rows", "count(*)"), ("largest", f"max({c})"))),
     "key_lookup": f"SELECT * FROM ({_LABELS}) WHERE {K.KEY} IN ({', '.join(map(str, LOOKUP_IDS))})",
     "class_rows": f"SELECT * FROM ({_LABELS}) WHERE {K.LABEL} = 1",
+    "key_lookup_bloom": f"SELECT l.*, (SELECT count(*) FROM orders WHERE o_custkey = l.{K.KEY}) AS n_orders "
+                        f"FROM ({_LABELS}) l WHERE {K.KEY} IN ({', '.join(map(str, LOOKUP_IDS))})",
+    "bucketed_marts": "WITH " + _MARTS + f"""
+SELECT TARGET, count(*) AS n, sum(PREV_N_ORDERS)::BIGINT AS n_orders, sum(POS_N_EVENTS)::BIGINT AS n_events,
+       2 * (SELECT count(*) FROM customer) + (SELECT count(*) FROM prev) AS rows_listed, {2 + 9 + 6}::BIGINT AS columns_listed
+FROM app LEFT JOIN prev USING (SK_ID_CURR) LEFT JOIN pos USING (SK_ID_CURR) GROUP BY TARGET""",
+    "artifact_store": numpy_rounding(SCORES + f"SELECT SK_ID_CURR, round(probability, 6) AS probability, score, risk_band, TARGET, "
+                                     f"split, {K.PDO} AS pdo FROM scores"),
 }

@@ -167,3 +167,150 @@ def test_checkpoint_dir_taken_from_session(spark):
     conf = cluster_settings(total_cores=8000, shuffle_bytes=24 * 1024 ** 4)
     assert int(conf["spark.sql.shuffle.partitions"]) == 24 * 1024 ** 4 // (256 * 1024 ** 2)
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def _csv_of(rows, line_end="\n"):
+    def field(v):
+        return "" if v is None else '"' + v.replace('"', '""') + '"' if any(c in v for c in ',"\r\n') else v
+    return line_end.join(",".join(field(v) for v in r) for r in rows) + line_end
+
+
+@pytest.mark.parametrize("split", ["64", "200", "1000", "10m"])
+def test_csv_records_over_byte_ranges(spark, scratch, split):
+    """Quoted line breaks anywhere, records over many ranges: equal to the reader that takes a file in one task."""
+    import random
+    rng = random.Random(int(split[:2]))
+    texts = ['plain', 'two\nlines', 'a "quoted" word', '"', '\n', '\n\n"\n', 'comma, and\n"both"', 'x' * 90, 'y\n' * 60, 'é\nñ', 'tail"']
+    rows = [("k", "v", "n")] + [(str(i), rng.choice(texts), str(rng.randint(-5, 5))) for i in range(400)]
+    for name in ("one", "two"):
+        with open(os.path.join(scratch, f"{name}.csv"), "w", newline="") as fh:
+            fh.write(_csv_of(rows if name == "one" else rows[:7]))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        for schema in (None, "k int, v string, n int"):
+            got = io.read_csv(spark, scratch, schema)
+            one = (spark.read.option("header", "true").option("escape", '"').option("multiLine", "true")
+                   .option("inferSchema", str(schema is None).lower()))
+            want = one.schema(schema).csv(scratch) if schema else one.csv(scratch)
+            assert got.dtypes == want.dtypes == [("k", "int"), ("v", "string"), ("n", "int")]
+            assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 406
+            if split != "10m":
+                assert got.rdd.getNumPartitions() > 4  # the file is read by many tasks
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_csv_records_refuse_bad_files(spark, scratch):
+    """A value that does not fit, a missing value and an open quote raise; CRLF ends and a header alone are fine."""
+    path = os.path.join(scratch, "c.csv")
+
+    def written(text):
+        with open(path, "w", newline="") as fh:
+            fh.write(text)
+        return path
+    for text in ('k,v\n1,"a\nb"\nx,c\n', 'k,v\n1,"a\nb"\n2\n'):
+        with pytest.raises(Exception, match="(?i)malformed|parse"):
+            io.read_csv(spark, written(text), "k int, v string").collect()
+    with pytest.raises(ValueError, match="not closed"):
+        io.read_csv(spark, written('k,v\n1,"a\n'))
+    got = io.read_csv(spark, written('﻿k,"v\nw"\r\n1,"a\r\nb"\r\n2,c\r\n'))
+    assert got.columns == ["k", "v\nw"]
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a\r\nb"), (2, "c")]
+    head = io.read_csv(spark, written('k,"v\nw"\n'))
+    assert head.columns == ["k", "v\nw"] and head.count() == 0
+    assert io.load_tables(spark, scratch, [("t", "c.csv")], multi_line=False)[0]["t"].columns
+
+
+def test_store_refuses_what_was_not_committed(spark, scratch):
+    """A save cut short is not read; a changed, missing or added file is refused."""
+    from riskspark.sources.artifacts import ArtifactStore, StoreError
+    store = ArtifactStore(spark, os.path.join(scratch, "store"))
+    with pytest.raises(StoreError):
+        store.load()
+    store.save(tables={"t": spark.range(3)}, docs={"card": {"pdo": 20}})
+    # a second save loses its driver before the manifest is written
+    keep = ArtifactStore.commit
+    ArtifactStore.commit = lambda self, name: None
+    try:
+        store.save(tables={"t": spark.range(99)})
+    finally:
+        ArtifactStore.commit = keep
+    got = store.load()
+    assert got["tables"]["t"].count() == 3 and got["docs"] == {"card": {"pdo": 20}}
+    store.save(tables={"t": spark.range(5)})
+    assert store.load()["tables"]["t"].count() == 5 and store.load()["docs"] == {}
+    folder = store.verified().replace("file:", "")
+    part = next(os.path.join(r, f) for r, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet"))
+    whole = open(part, "rb").read()
+    os.remove(os.path.join(os.path.dirname(part), f".{os.path.basename(part)}.crc"))
+    with open(part, "ab") as fh:
+        fh.write(b"x")
+    with pytest.raises(StoreError, match="not as committed"):
+        store.load()
+    with open(part, "wb") as fh:
+        fh.write(whole)
+    assert store.load()["tables"]["t"].count() == 5
+    with open(os.path.join(os.path.dirname(part), "part-99999.parquet"), "wb") as fh:
+        fh.write(whole)
+    with pytest.raises(StoreError, match="part-99999"):
+        store.load()
+
+
+def test_store_keeps_fitted_models(spark, scratch):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+    from riskspark.sources.artifacts import ArtifactStore
+    df = spark.createDataFrame([(float(i % 2), Vectors.dense([float(i % 2) + 0.1 * (i % 7), float(i)])) for i in range(40)],
+                               ["label", "features"])
+    model = LogisticRegression(regParam=0.1).fit(df)
+    store = ArtifactStore(spark, os.path.join(scratch, "models"))
+    store.save(models={"lr": model})
+    loaded = store.load()["models"]["lr"]
+    a = model.transform(df).select("prediction", "probability").collect()
+    assert loaded.transform(df).select("prediction", "probability").collect() == a
+
+
+def test_bloom_filters_skip_row_groups(spark, scratch):
+    """Keys in no order: min/max keeps every file, Bloom filters read one (or a false match)."""
+    df = spark.range(40_000).selectExpr("id * 7 AS k", "id AS v").repartition(20, F.xxhash64("k"))
+
+    def scanned(path, key):
+        found = spark.read.parquet(path).where(F.col("k") == key)
+        assert found.count() == (1 if key % 7 == 0 else 0)
+        plan = found._jdf.queryExecution().executedPlan()
+        found._jdf.queryExecution().executedPlan().execute().count()
+        node = plan
+        while node.children().size():
+            node = node.children().apply(0)
+        return node.metrics().apply("numOutputRows").value()
+    plain = io.write_table(df, os.path.join(scratch, "plain"))
+    bloom = io.write_with_bloom(df, os.path.join(scratch, "bloom"), ["k"], expected=4_000)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for key in (7 * 1234, 7 * 1234 + 1):
+            assert scanned(plain, key) > 10 * 2_000  # most files' ranges cover the key
+            assert scanned(bloom, key) <= 3 * 2_200
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_bucketed_marts_join_without_exchange(spark):
+    """Below the report's aggregate no shuffle: buckets are joined in place."""
+    from conftest import SF001 as folder
+    from riskspark.plans import source_queries as sq
+    plans, keep = [], sq.bucketed_join
+
+    def watched(*args):
+        out = keep(*args)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+    sq.bucketed_join = watched
+    try:
+        assert sq.q_bucketed_marts(spark, folder).count() == 2
+    finally:
+        sq.bucketed_join = keep
+    assert "SortMergeJoin" in plans[0] and "Exchange" not in plans[0]
