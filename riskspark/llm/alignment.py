@@ -7,8 +7,9 @@ indices slice the groups, and the differences of their ranks in the two lists
 are how many tokens of either side a group holds.  The last tokens of a group
 end together: they are a link, and its id pair is counted over the corpus.
 
-One Arrow pass tokenizes and aligns blocks of texts and writes, a document, its
-counts and its distinct linked pairs.  Spark sums the pairs over the corpus and
+One Arrow pass tokenizes and aligns blocks of texts, each distinct word once
+while it is remembered, and writes, a document, its counts and its distinct
+linked pairs.  Spark sums the pairs over the corpus and
 joins the sums back to the documents' pairs.  A pair in every document is summed
 map-side; the join broadcasts the sums where they are few, else it shuffles.
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -140,52 +142,129 @@ def _strings(n: int, end: str) -> np.ndarray:
     return np.array([f"{i}{e}".encode() for e in (",", end) for i in range(n)], object)
 
 
+#: Places where both tokenizers start anew whatever follows or precedes: a space after a sign that is not white space.
+_CUT = re.compile(r"(?<=\S)(?= )")
+_RUN = re.compile(r"\s\s|^\s|\s$")
+#: Units remembered between blocks, and their characters; all are forgotten beyond either.
+CACHE_UNITS = 200_000
+CACHE_CHARS = 8_000_000
+#: Characters of new units tokenized in one call's text.
+CALL_CHARS = 4_000
+
+
+def units(text: str) -> list[str]:
+    """A text after a space, cut where both tokenizers start anew: its words, each with the spaces before it."""
+    if _RUN.search(text):
+        return _CUT.split(" " + text)
+    return [" " + w for w in text.split(" ")]
+
+
 class Aligner:
-    """Rows of ``SCHEMA`` for blocks of texts."""
+    """Rows of ``SCHEMA`` for blocks of texts.
+
+    Both tokenizers end a token at the end of every unit, so the groups of a text
+    are those of its units, one after the other; a unit is aligned when first met."""
 
     def __init__(self, first: str, second: str):
         self.tokenizers = Tokenizers(first, second)
         self.sizes = [np.array([len(x) for x in v], np.int64)
                       for v in (self.tokenizers.first_bytes, self.tokenizers.second_bytes)]
         self.names = [_strings(len(v), end) for v, end in zip(self.sizes, "|;")]
-
-    def rows(self, doc_ids, found: list[str]) -> pa.RecordBatch:
-        ids = self.tokenizers.encode(found)
+        if any("▁" in self.tokenizers.second.id_to_piece(i).lstrip("▁") for i in range(len(self.sizes[1]))):
+            self.units = lambda text: [" " + text]  # a piece may span words: the text is one unit
+        else:
+            self.units = units
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.chars = 0
+        self.groups: list[bytes] = []  # digest text of a unit
+        self.counts = np.empty((0, 3), np.int64)  # tokens of either side and links; none of a unit that is not spelled
+        self.links = np.empty(0, np.int64)  # pairs of all units, by unit
+        self.first = np.empty(0, np.int64)  # where a unit's begin
+        self.pairs: dict[int, int] = {}  # pair -> its number
+
+    def learn(self, new: list[str]) -> None:
+        """Align units not met before."""
+        calls, size = [[]], 0
+        for u in new:  # one that ends in white space ends its text, too
+            if calls[-1] and (size + len(u) > CALL_CHARS or calls[-1][-1][-1].isspace()):
+                calls.append([])
+                size = 0
+            calls[-1].append(u)
+            size += len(u)
+        ids = self.tokenizers.encode(["".join(c)[1:] for c in calls])
+        # where the units of a call do not spell it, each is tokenized by itself
+        alone = [u for c, x in zip(calls, ids[0]) if not x for u in c]
+        calls = [c for c, x in zip(calls, ids[0]) if x] + [[u] for u in alone]
+        again = self.tokenizers.encode([u[1:] for u in alone])
+        ids = [[x for x in side if x] + more for side, more in zip(ids, again)]
+        calls, ids = [c for c, x in zip(calls, ids[0]) if x], [[x for x in side if x] for side in ids]
+        good = [u for c in calls for u in c]
         n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in ids)
         a, b = (np.array([i for x in side for i in x], np.int64) for side in ids)
-        # texts spell the same bytes on both sides, so running ends agree between texts, too
-        at_a, at_b = common_ends(np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b]), n_a, n_b)
-        doc = np.repeat(np.arange(len(found)), n_a)[at_a]
-        links = np.bincount(doc, minlength=len(found))
+        # calls spell the same bytes on both sides, so running ends agree between calls, too
+        ends_a, ends_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
+        at_a, at_b = common_ends(ends_a, ends_b, n_a, n_b)
+        ends = np.cumsum([len(u.encode()) for u in good]) if good else np.empty(0, np.int64)
+        upto = [np.searchsorted(x, ends, "right") for x in (ends_a, ends_b, ends_a[at_a])]
+        counts = np.stack([np.diff(x, prepend=0) for x in upto], axis=1) if good else np.empty((0, 3), np.int64)
 
         # tokens in the order of the digest: a group's first-side tokens, then its second-side ones
-        written_out = np.empty(len(a) + len(b), object)
+        out = np.empty(len(a) + len(b), object)
         for tokens, at, other, names in ((a, at_a, np.append(0, at_b + 1), self.names[0]),
                                          (b, at_b, at_a + 1, self.names[1])):
             last = np.zeros(len(tokens), np.int64)
             last[at] = 1
             group = np.cumsum(last) - last
-            written_out[np.arange(len(tokens)) + other[group]] = names[tokens + last * (len(names) // 2)]
-        written_out, ends = written_out.tolist(), np.cumsum(n_a + n_b).tolist()
-        digests, lo = [], 0
-        for hi in ends:
-            digests.append(hashlib.sha256(b"".join(written_out[lo:hi])[:-1]).hexdigest() if hi > lo else "")
+            out[np.arange(len(tokens)) + other[group]] = names[tokens + last * (len(names) // 2)]
+        out, lo = out.tolist(), 0
+        for hi in (upto[0] + upto[1]).tolist():
+            self.groups.append(b"".join(out[lo:hi]))
+            lo = hi
+        pair = (a[at_a] * PAIR + b[at_b]).tolist()
+        links = np.array([self.pairs.setdefault(p, len(self.pairs)) for p in pair], np.int64)
+        bad = sorted(set(new) - set(good)) if len(good) < len(new) else []
+        self.groups += [b""] * len(bad)
+        for u in good + bad:
+            self.known[u] = len(self.known)
+            self.chars += len(u)
+        self.counts = np.concatenate([self.counts, counts, np.zeros((len(bad), 3), np.int64)])
+        self.links = np.concatenate([self.links, links])
+        self.first = np.cumsum(self.counts[:, 2]) - self.counts[:, 2]
+
+    def rows(self, doc_ids, found: list[str]) -> pa.RecordBatch:
+        cut = [self.units(t) if t else [] for t in found]
+        if len(self.known) > CACHE_UNITS or self.chars > CACHE_CHARS:
+            self.forget()
+        self.learn(list({u for us in cut for u in us if u not in self.known}))
+        size = np.array([len(us) for us in cut], np.int64)
+        unit = np.array([self.known[u] for us in cut for u in us], np.int64)
+        doc = np.repeat(np.arange(len(found)), size)
+        spelled = np.bincount(doc[self.counts[unit, 0] == 0], minlength=len(found)) == 0
+        unit, doc = unit[spelled[doc]], doc[spelled[doc]]
+        totals = [np.bincount(doc, weights=self.counts[unit, i], minlength=len(found)).astype(np.int64) for i in range(3)]
+        digests, lo, ids = [], 0, unit.tolist()
+        for n, ok in zip(size.tolist(), spelled.tolist()):
+            hi = lo + n * ok
+            text = b"".join(map(self.groups.__getitem__, ids[lo:hi]))
+            digests.append(hashlib.sha256(text[:-1]).hexdigest() if text else "")
             lo = hi
 
-        pair = a[at_a] * PAIR + b[at_b]
-        order = np.lexsort((pair, doc))
-        pair, doc = pair[order], doc[order]
-        new = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1]))[:len(pair)])
-        times = np.diff(np.append(new, len(pair)))
-        offsets = pa.array(np.append(0, np.cumsum(np.bincount(doc[new], minlength=len(found)))), pa.int32())
+        each = self.counts[unit, 2]
+        link = self.links[np.repeat(self.first[unit] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
+        key, times = np.unique(np.repeat(doc, each) * max(len(self.pairs), 1) + link, return_counts=True)
+        doc, pair = key // max(len(self.pairs), 1), np.array(list(self.pairs), np.int64)[key % max(len(self.pairs), 1)]
+        offsets = pa.array(np.append(0, np.cumsum(np.bincount(doc, minlength=len(found)))), pa.int32())
         return pa.record_batch([
-            doc_ids, pa.array(n_a), pa.array(n_b), pa.array(links, pa.int64()), pa.array(links, pa.int64()),
-            pa.array(digests, pa.string()), pa.ListArray.from_arrays(offsets, pa.array(pair[new], pa.int64())),
+            doc_ids, *[pa.array(totals[i], pa.int64()) for i in (0, 1, 2, 2)], pa.array(digests, pa.string()),
+            pa.ListArray.from_arrays(offsets, pa.array(pair, pa.int64())),
             pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32()))],
             names=[c.split()[0] for c in SCHEMA.split(", ")])
 
 
-#: Kept while Spark reuses a worker: vocabularies only.
+#: Kept while Spark reuses a worker: vocabularies and, within the bounds above, units.
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
