@@ -85,17 +85,15 @@ ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_price_cents", "o_to
 def order_facts(t: Tables) -> DataFrame:
     """One row per order with its line statistics (lines may be absent).
 
-    Lines meet their order in an *inner* join; a 1:1 left join then brings back
-    orders without lines.  Both joins read the same ``orders`` projection (all
-    order columns are grouping keys of the per-order aggregate), so its exchange
-    is reused: ``orders`` and ``lineitem`` are each shuffled once.
+    Orders meet their lines in one left join, and the per-order aggregate runs
+    in its partitioning (all order columns are grouping keys): ``orders`` and
+    ``lineitem`` are each scanned and shuffled once.
 
     Lines of a hot order (``joins.hot_keys``) are not shuffled at all: the few
     hot orders are broadcast to them, and partial aggregation leaves a row per
     task and hot order.
     """
-    # an order without key or customer reaches no applicant: filtering both here
-    # keeps the two uses of ``o`` identical, so one exchange serves both joins
+    # an order without key or customer reaches no applicant
     o = t.orders.where(F.col("o_orderkey").isNotNull() & F.col("o_custkey").isNotNull()).select(
         "o_orderkey", "o_custkey", "o_orderstatus",
         _scaled("o_totalprice", CENTS).alias("o_price_cents"), "o_totalprice",
@@ -105,9 +103,9 @@ def order_facts(t: Tables) -> DataFrame:
     dd = F.datediff(F.col("l_shipdate"), F.col("o_orderdate"))
     disc = _scaled("l_discount", BASIS)
 
-    def per_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
-        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner").groupBy(*ORDER_COLS).agg(
-            F.count(F.lit(1)).alias("n_lines"),
+    def per_order(orders: DataFrame, lines: DataFrame, how: str) -> DataFrame:
+        return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), how).groupBy(*ORDER_COLS).agg(
+            F.count("l_orderkey").alias("n_lines"),
             F.count_if(F.col("l_returnflag") == "R").alias("n_returned"),
             F.sum(dd).alias("sum_late"),
             F.max(dd).alias("max_late"),
@@ -117,18 +115,14 @@ def order_facts(t: Tables) -> DataFrame:
             F.sum(_scaled("l_tax", BASIS)).alias("sum_tax_bp"),
             # price in cents x (1 - discount) in basis points: units of 1e-6
             F.sum(_scaled("l_extendedprice", CENTS) * (F.lit(BASIS) - disc)).alias("sum_revenue_u"),
-        ).drop(*ORDER_COLS[1:]).withColumnRenamed("o_orderkey", "s_orderkey")
+        )
 
     hot = hot_keys(li, "l_orderkey")
-    if hot:
-        stats = per_order(li.where(~F.col("l_orderkey").isin(hot)), o).unionByName(
-            per_order(li.where(F.col("l_orderkey").isin(hot)), broadcast_checked(o.where(F.col("o_orderkey").isin(hot)))))
-    else:
-        stats = per_order(li, o)
-    facts = o.join(stats, o.o_orderkey == stats.s_orderkey, "left").drop("s_orderkey")
-    return facts.withColumn("n_lines", F.coalesce(F.col("n_lines"), F.lit(0)).cast("long")) \
-        .withColumn("n_returned", F.coalesce(F.col("n_returned"), F.lit(0)).cast("long")) \
-        .withColumn("n_late", F.coalesce(F.col("n_late"), F.lit(0)).cast("long"))
+    if not hot:
+        return per_order(o, li, "left")
+    is_hot, of_hot = F.col("o_orderkey").isin(hot), F.col("l_orderkey").isin(hot)
+    return (per_order(o.where(~is_hot), li.where(~of_hot), "left")
+            .unionByName(per_order(broadcast_checked(o.where(is_hot)), li.where(of_hot), "inner")))
 
 
 def _previous_columns() -> list[F.Column]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,6 +102,38 @@ def missingness(df: DataFrame) -> DataFrame:
     )
 
 
+_STATISTICS = {"spark.sql.parquet.aggregatePushdown": "true", "spark.sql.sources.useV1SourceList": ""}
+
+
+def footer_counts(spark: SparkSession, path: str) -> DataFrame:
+    """One row: rows and non-null values of every column of a Parquet table, from
+    the statistics in its file footers; no column is read.  To be run while
+    ``_STATISTICS`` is set."""
+    df = spark.read.parquet(path)
+    return df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+
+
+def missingness_of_table(spark: SparkSession, path: str) -> DataFrame:
+    """``missingness`` of a written Parquet table: nulls from the file statistics;
+    only floating-point columns are read, for their NaN."""
+    df = spark.read.parquet(path)
+    real = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    before = {k: spark.conf.get(k) for k in _STATISTICS}
+    try:
+        for k, v in _STATISTICS.items():
+            spark.conf.set(k, v)
+        counts = footer_counts(spark, path).first()  # one row
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    nan = df.agg(*[F.count_if(F.isnan(F.col(f"`{c}`"))).alias(c) for c in real]).first().asDict() if real else {}
+    n = counts["__n"]
+    rows = [(c, n - counts[c] + nan.get(c, 0), n) for c in df.columns]
+    long = spark.createDataFrame(rows, "column_name string, n_missing long, n long")
+    return long.select("column_name", "n_missing",
+                       report_round(F.try_divide(F.col("n_missing"), F.col("n")) * F.lit(100.0), 2).alias("pct_missing"))
+
+
 def top_missing(df: DataFrame, k: int = K.TOP_MISSING) -> DataFrame:
     """Columns with any missing value, most missing first, at most ``k`` (F1)."""
     return (missingness(df).where(F.col("n_missing") > 0)

@@ -67,12 +67,12 @@ def balanced_weight(df: DataFrame, label: str = K.LABEL) -> tuple[F.Column, floa
 
 
 def train_baseline(train: DataFrame, features: str = "features", label: str = K.LABEL,
-                   max_iter: int = 1000) -> LogisticRegressionModel:
+                   max_iter: int = 1000, tol: float = 1e-6) -> LogisticRegressionModel:
     w, total = balanced_weight(train, label)
     data = _label_double(train, label).withColumn("__w", w)
     lr = LogisticRegression(featuresCol=features, labelCol="__label", weightCol="__w",
                             regParam=1.0 / total if total else 0.0, elasticNetParam=0.0,
-                            standardization=False, fitIntercept=True, maxIter=max_iter)
+                            standardization=False, fitIntercept=True, maxIter=max_iter, tol=tol)
     return lr.fit(data)
 
 

@@ -18,16 +18,18 @@ all subsets of the columns.
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..operators import explain, stages, train
+from ..operators import explain, report, stages, train
+from ..operators.explain import explanation_sample
 from ..operators.marts import previous_app_features
 from ..operators.metrics import mean_over_folds
 from ..session import materialize
 from ..sources.fixtures import Tables
-from .oracle import SPLIT, numpy_rounding
+from .oracle import SPLIT, _ranking, numpy_rounding
 from .queries import rounded
 from .scoring import split_assignment
 
@@ -38,6 +40,8 @@ FRACTIONS = 16
 COLUMNS = ("n_orders", "n_open", "days_first", "days_last", "min_cents", "max_cents", "nation")
 #: Drawn settings of the coefficient search, coefficients -10 to 10.
 SETTINGS = 50
+#: Columns of the logistic baseline over the same rows.
+BASELINE_COLUMNS = ("n_open", "days_last")
 #: A report sample smaller than the data.
 SMALL_SAMPLE = 100
 
@@ -203,6 +207,60 @@ def q_explain_sample_small(spark, sf_dir) -> DataFrame:
     return explain.explanation_sample(rows, SMALL_SAMPLE).select(K.KEY, K.LABEL)
 
 
+def q_sample_membership_small(spark, sf_dir) -> DataFrame:
+    """Scored applicants inside and outside a sample smaller than the data."""
+    rows = split_assignment(Tables(spark, sf_dir)).select(K.KEY, K.LABEL)
+    return report.sample_membership(rows, explanation_sample(rows, SMALL_SAMPLE))
+
+
+# --- fitted baseline against the stored ensemble -----------------------------------------
+
+def _baseline(spark, sf_dir):
+    """The logistic baseline on two standardised columns, fitted on the train rows,
+    and the rows with their features."""
+    rows = rule_rows(Tables(spark, sf_dir)).where(F.col("split").isNotNull())
+    x = [F.col("x")[COLUMNS.index(c)] for c in BASELINE_COLUMNS]
+    r = rows.where(F.col("split") == "train").agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)],
+                                                  *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(x)]).first()
+    scaled = [(c - F.lit(r[f"m{i}"])) / F.lit(r[f"s{i}"] or 1.0) for i, c in enumerate(x)]
+    rows = materialize(rows.withColumn("z", F.array(*scaled)))
+    vectors = rows.withColumn("features", array_to_vector("z"))
+    return train.train_baseline(vectors.where(F.col("split") == "train"), tol=1e-12), vectors
+
+
+def q_baseline_coefficients(spark, sf_dir) -> DataFrame:
+    """I8: intercept and weights of the balanced, L2-penalised logistic baseline."""
+    model, _ = _baseline(spark, sf_dir)
+    named = zip(("intercept", *BASELINE_COLUMNS), (model.intercept, *model.coefficients.toArray().tolist()))
+    return rounded(spark.createDataFrame([(n, float(v)) for n, v in named], "term string, weight double"), 5)
+
+
+def q_baseline_scores(spark, sf_dir) -> DataFrame:
+    """The baseline's probabilities of both splits."""
+    model, rows = _baseline(spark, sf_dir)
+    return rounded(train.predict_proba(model, rows), 5)
+
+
+def _both_models(spark, sf_dir) -> dict[str, DataFrame]:
+    """Test scores of the baseline and of the stored ensemble."""
+    model, rows = _baseline(spark, sf_dir)
+    test = rows.where(F.col("split") == "test")
+    nodes = rule_nodes(rows.select(K.KEY, K.LABEL, "split", "fold", "x"))
+    margin = stages.last_scores(test, K.KEY, "x", stages.tree_stages(nodes, scale=1.0))
+    ensemble = test.select(K.KEY, K.LABEL).join(margin, K.KEY).withColumnRenamed("score", "probability")
+    return {"logistic_regression": train.predict_proba(model, test), "stored_trees": ensemble}
+
+
+def q_stored_model_comparison(spark, sf_dir) -> DataFrame:
+    """I14 + G2: AUC, AP, KS and Gini of both models on the test split, long."""
+    return rounded(train.model_metrics(_both_models(spark, sf_dir)), 4)
+
+
+def q_stored_model_comparison_wide(spark, sf_dir) -> DataFrame:
+    """Metric rows, one column per model."""
+    return rounded(train.comparison_table(train.model_metrics(_both_models(spark, sf_dir))), 4)
+
+
 RULE_QUERIES = {
     "round_auc": q_round_auc,
     "early_stopping": q_early_stopping,
@@ -214,6 +272,11 @@ RULE_QUERIES = {
     "shap_additivity": q_shap_additivity,
     "feature_importance": q_feature_importance,
     "explain_sample_small": q_explain_sample_small,
+    "sample_membership_small": q_sample_membership_small,
+    "baseline_coefficients": q_baseline_coefficients,
+    "baseline_scores": q_baseline_scores,
+    "stored_model_comparison": q_stored_model_comparison,
+    "stored_model_comparison_wide": q_stored_model_comparison_wide,
 }
 
 # --- DuckDB SQL ------------------------------------------------------------------------
@@ -287,6 +350,57 @@ named AS (SELECT p.SK_ID_CURR, {list(COLUMNS)!r}[p.f + 1] AS feature, CAST(s.x[p
           FROM phi p JOIN sample s USING (SK_ID_CURR)),
 means AS (SELECT feature, avg(abs(shap)) AS mean_abs_shap FROM named GROUP BY feature)"""
 
+# Newton steps on the penalised, class-balanced likelihood: the sums of one step give the next weights
+_NEWTON = _RX + f""",
+two AS (SELECT SK_ID_CURR, TARGET, split, fold, x[{COLUMNS.index(BASELINE_COLUMNS[0]) + 1}]::DOUBLE AS x1,
+          x[{COLUMNS.index(BASELINE_COLUMNS[1]) + 1}]::DOUBLE AS x2 FROM rx WHERE split IS NOT NULL),
+shape AS (SELECT avg(x1) AS m1, stddev_pop(x1) AS s1, avg(x2) AS m2, stddev_pop(x2) AS s2, count(*) AS n, sum(TARGET) AS p
+          FROM two WHERE split = 'train'),
+z AS (SELECT SK_ID_CURR, TARGET, split, fold, (x1 - m1) / s1 AS z1, (x2 - m2) / s2 AS z2,
+        CASE WHEN TARGET = 1 THEN n / (2e0 * p) ELSE n / (2e0 * (n - p)) END / n AS w, 1e0 / n AS l2 FROM two, shape),
+fit AS MATERIALIZED (SELECT * FROM z WHERE split = 'train'),
+newton(step, b0, b1, b2) AS (
+  SELECT 0, 0e0, 0e0, 0e0
+  UNION ALL
+  SELECT step + 1, b0 - (g0 * c00 + g1 * c01 + g2 * c02) / det, b1 - (g0 * c01 + g1 * c11 + g2 * c12) / det,
+         b2 - (g0 * c02 + g1 * c12 + g2 * c22) / det
+  FROM (
+    SELECT *, h11 * h22 - h12 * h12 AS c00, h02 * h12 - h01 * h22 AS c01, h01 * h12 - h02 * h11 AS c02,
+           h00 * h22 - h02 * h02 AS c11, h01 * h02 - h00 * h12 AS c12, h00 * h11 - h01 * h01 AS c22,
+           h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det
+    FROM (
+      SELECT step, b0, b1, b2, sum(w * (q - TARGET)) AS g0, sum(w * (q - TARGET) * z1) + any_value(l2) * b1 AS g1,
+             sum(w * (q - TARGET) * z2) + any_value(l2) * b2 AS g2,
+             sum(w * v) AS h00, sum(w * v * z1) AS h01, sum(w * v * z2) AS h02, sum(w * v * z1 * z1) + any_value(l2) AS h11,
+             sum(w * v * z1 * z2) AS h12, sum(w * v * z2 * z2) + any_value(l2) AS h22
+      FROM (SELECT *, q * (1 - q) AS v FROM (SELECT newton.*, fit.*, 1 / (1 + exp(-(b0 + b1 * z1 + b2 * z2))) AS q FROM newton, fit
+                                             WHERE step < 12))
+      GROUP BY step, b0, b1, b2)
+  )
+),
+beta AS (SELECT * FROM newton WHERE step = 12),
+proba AS (SELECT SK_ID_CURR, TARGET, split, 1 / (1 + exp(-(b0 + b1 * z1 + b2 * z2))) AS probability FROM z, beta)"""
+_NEWTON = _NEWTON.replace("WITH ", "WITH RECURSIVE ", 1)
+
+_BOTH = _NEWTON + _NODES[len(_RX):] + """,
+margins AS (SELECT l.SK_ID_CURR, l.TARGET, sum(tree.value) AS m FROM leaf_of l JOIN tree USING (t, leaf)
+            WHERE l.split = 'test' GROUP BY ALL),
+both_models AS (SELECT 'logistic_regression' AS model, TARGET, probability AS v FROM proba WHERE split = 'test'
+                UNION ALL SELECT 'stored_trees', TARGET, m FROM margins)""" + _ranking("both_models", "v", "model").replace(
+    "SELECT auc.grp AS model, round(auc.auc, 6) AS auc_roc", "SELECT auc.grp AS model, auc.auc AS auc_roc").replace(
+    "round(CASE WHEN apks.P > 0 AND apks.N > 0 THEN apks.ap END, 6)", "apks.ap").replace(
+    "round(CASE WHEN apks.P > 0 AND apks.N > 0 THEN apks.ks END, 6)", "apks.ks").replace(
+    "round(2 * auc.auc - 1, 6)", "2 * auc.auc - 1")
+
+
+def _long_metrics(select: str) -> str:
+    """The metrics of ``_BOTH`` as rows (model, metric, value), then ``select``."""
+    head, tail = _BOTH.rsplit("\nSELECT auc.grp AS model", 1)
+    rows = " UNION ALL ".join(f"SELECT model, '{m}' AS metric, {m} AS value FROM wide"
+                              for m in ("auc_roc", "pr_auc", "ks_statistic", "gini"))
+    return f"{head},\nwide AS (SELECT auc.grp AS model{tail}),\nlong AS ({rows})\n{select}"
+
+
 _ORACLES = {
     "round_auc": _ROUNDS + f"\nSELECT CAST(t + 1 AS INTEGER) AS n_trees, n_pos, n_neg, round({_AUC}, 6) AS auc_roc FROM auc",
     "early_stopping": _ROUNDS + f""",
@@ -327,6 +441,16 @@ walked AS (SELECT l.SK_ID_CURR, sum(tree.value) AS margin FROM leaf_of l JOIN tr
 SELECT w.SK_ID_CURR, round(margin, 6) AS margin, round(base + (SELECT sum(shap) FROM named n WHERE n.SK_ID_CURR = w.SK_ID_CURR), 6)
        AS explained FROM walked w, base""",
     "feature_importance": _NODES + f"\nSELECT {list(COLUMNS)!r}[f + 1] AS feature, count(*) AS split_count FROM inner_nodes GROUP BY f",
+    "sample_membership_small": SPLIT + f""", s AS (SELECT SK_ID_CURR FROM split
+  ORDER BY md5('43|' || CAST(SK_ID_CURR AS VARCHAR)), SK_ID_CURR LIMIT {SMALL_SAMPLE})
+SELECT SK_ID_CURR, SK_ID_CURR IN (SELECT SK_ID_CURR FROM s) AS explained FROM split""",
+    "baseline_coefficients": _NEWTON + "\nSELECT term, round(weight, 5) AS weight FROM (SELECT unnest(['intercept', "
+        f"{', '.join(map(repr, BASELINE_COLUMNS))}]) AS term, unnest([b0, b1, b2]) AS weight FROM beta)",
+    "baseline_scores": _NEWTON + "\nSELECT SK_ID_CURR, TARGET, split, round(probability, 5) AS probability FROM proba",
+    "stored_model_comparison": _long_metrics("SELECT model, metric, round(value, 4) AS value FROM long"),
+    "stored_model_comparison_wide": _long_metrics(
+        "SELECT metric, round(max(value) FILTER (WHERE model = 'logistic_regression'), 4) AS logistic_regression, "
+        "round(max(value) FILTER (WHERE model = 'stored_trees'), 4) AS stored_trees FROM long GROUP BY metric"),
     "explain_sample_small": SPLIT + "\nSELECT SK_ID_CURR, TARGET FROM split "
                             f"ORDER BY md5('43|' || CAST(SK_ID_CURR AS VARCHAR)), SK_ID_CURR LIMIT {SMALL_SAMPLE}",
 }

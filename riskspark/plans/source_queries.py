@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..operators import quality, report
 from ..functions.formatting import report_round
-from ..operators.marts import bureau_features, pos_cash_features, previous_app_features
+from ..operators.marts import build_features, bureau_features, pos_cash_features, previous_app_features
 from ..operators.monitor import score_table
 from ..session import read_table, scratch_path
 from ..sources import io
 from ..sources.artifacts import ArtifactStore
 from ..sources.fixtures import Tables, applicant_labels
-from .oracle import _MARTS, SCORES, numpy_rounding
+from .oracle import _MARTS, SCORES, numpy_rounding, oracle_queries
 from .scoring import (FORMULA_INTERCEPT, FORMULA_ORDERS_CENTER, FORMULA_ORDERS_COEF, FORMULA_PRICE_CENTER,
                       FORMULA_PRICE_COEF, split_assignment)
 
@@ -154,6 +154,12 @@ def q_artifact_store(spark, sf_dir) -> DataFrame:
                          F.lit(loaded["docs"]["card"]["pdo"]).cast("int").alias("pdo"))
 
 
+def q_missingness_of_table(spark, sf_dir) -> DataFrame:
+    """Missing values of the written feature table, nulls from its file statistics."""
+    path = io.write_table(build_features(Tables(spark, sf_dir)), _folder(spark, "features"))
+    return quality.missingness_of_table(spark, path)
+
+
 SOURCE_QUERIES = {
     "csv_round_trip": q_csv_round_trip,
     "table_round_trip": q_table_round_trip,
@@ -164,11 +170,13 @@ SOURCE_QUERIES = {
     "key_lookup_bloom": q_key_lookup_bloom,
     "bucketed_marts": q_bucketed_marts,
     "artifact_store": q_artifact_store,
+    "missingness_of_table": q_missingness_of_table,
 }
 
 _LABELS = f"SELECT c_custkey AS {K.KEY}, CAST(c_acctbal < 0 AS INTEGER) AS {K.LABEL} FROM customer"
 
 SOURCE_ORACLES = {
+    "missingness_of_table": oracle_queries()["missingness"],
     "csv_round_trip": (
         "SELECT c_custkey, c_nationkey, round(CAST(c_acctbal AS DOUBLE), 6) AS c_acctbal, c_mktsegment, "
         "'says \"' || c_mktsegment || '\",' || chr(10) || 'then ' || c_custkey AS note, 'absent' AS skipped "

@@ -1,6 +1,5 @@
 """A hot order key (a third of all lines) is joined by broadcast under default
-settings; hidden from that, it is split by the skew join.  The features are the
-same each way."""
+settings, and the features are those of a plain join, adaptive or not."""
 
 import datetime as dt
 import os
@@ -55,12 +54,15 @@ def test_hot_order_under_default_settings(spark, skewed_dir):
     got = sorted(f.collect())
     hot = [r for r in got if r["SK_ID_CURR"] == 7][0]
     assert hot["BURO_N_LINES"] >= 2000
-    old = marts.hot_keys
+    old, adaptive = marts.hot_keys, spark.conf.get("spark.sql.adaptive.enabled")
     marts.hot_keys = lambda df, key: []
     try:
-        assert sorted(build_features(t).collect()) == got
+        for on in ("true", "false"):
+            spark.conf.set("spark.sql.adaptive.enabled", on)
+            assert sorted(build_features(t).collect()) == got
     finally:
         marts.hot_keys = old
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
 def test_no_hot_key_in_an_even_table(spark):
@@ -71,34 +73,3 @@ def test_no_hot_key_in_an_even_table(spark):
     two = even.unionByName(spark.range(9_000).selectExpr("CAST(-1 - id % 2 AS BIGINT) AS k")).unionByName(
         spark.range(9_000).selectExpr("CAST(NULL AS BIGINT) AS k"))
     assert joins.hot_keys(two, "k") == [-2, -1]
-
-
-def test_hot_order_is_split_and_results_agree(spark, skewed_dir):
-    conf = {"spark.sql.adaptive.enabled": "true",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2048",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    from riskspark.operators import marts
-    old, found = {k: spark.conf.get(k, None) for k in conf}, marts.hot_keys
-    marts.hot_keys = lambda df, key: []
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        f = build_features(Tables(spark, skewed_dir))
-        adaptive = sorted(f.collect())
-        plan = f._jdf.queryExecution().executedPlan().toString()
-        assert "skew=true" in plan
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        static = sorted(build_features(Tables(spark, skewed_dir)).collect())
-        assert adaptive == static
-        hot = [r for r in static if r["SK_ID_CURR"] == 7][0]
-        assert hot["BURO_N_LINES"] >= 2000
-    finally:
-        marts.hot_keys = found
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
