@@ -19,7 +19,9 @@ proven small.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..session import materialize
-from .joins import broadcast_checked
+from .joins import BROADCAST_MAX_ROWS
 from .quality import categorical_columns, column_cardinality, numeric_columns
 from .selection import column_quantiles
 
@@ -60,6 +62,7 @@ class TargetEncoding:
     oof: DataFrame         # (fold, cat) -> enc (other folds)
     fold_mean: DataFrame   # fold -> mean label of the other folds
     mean: float            # overall train mean
+    rows: int              # rows of the largest of the three maps, counted in the fit
 
 
 @dataclass
@@ -112,14 +115,15 @@ class Preprocessor:
             key = F.coalesce(F.col(c), F.lit(NULL_CATEGORY))
             out = out.withColumn(f"__cat_{c}", key)
             full = te.full.withColumnRenamed("cat", f"__cat_{c}").withColumnRenamed("enc", f"__full_{c}")
-            out = out.join(broadcast_checked(full), f"__cat_{c}", "left")
+            small = F.broadcast if te.rows <= BROADCAST_MAX_ROWS else (lambda df: df)
+            out = out.join(small(full), f"__cat_{c}", "left")
             full_enc = F.coalesce(F.col(f"__full_{c}"), F.lit(te.mean))
             if has_folds:
                 oof = (te.oof.withColumnRenamed("cat", f"__cat_{c}").withColumnRenamed("enc", f"__oof_{c}")
                        .withColumnRenamed("fold", fold_col))
                 fm = te.fold_mean.withColumnRenamed("fold", fold_col).withColumnRenamed("mean", f"__fm_{c}")
-                out = (out.join(broadcast_checked(oof), [fold_col, f"__cat_{c}"], "left")
-                       .join(broadcast_checked(fm), fold_col, "left"))
+                out = (out.join(small(oof), [fold_col, f"__cat_{c}"], "left")
+                       .join(small(fm), fold_col, "left"))
                 is_train = (F.col(split_col) == "train") & F.col(fold_col).isNotNull()
                 enc = F.when(is_train, F.coalesce(F.col(f"__oof_{c}"), F.col(f"__fm_{c}"))).otherwise(full_enc)
             else:
@@ -145,22 +149,30 @@ def _number(c: str) -> F.Column:
     return F.when(~F.isnan(v), v)
 
 
-def _fit_numeric(train: DataFrame, cols: list[str]) -> tuple[dict, dict, dict]:
+def _moments(train: DataFrame, cols: list[str]) -> dict[str, tuple]:
+    """{column: (rows, values, their mean, their population std)} in one pass."""
     if not cols:
-        return {}, {}, {}
-    med = {c: v for (c, _), v in column_quantiles(train, cols, [0.5]).items()}
-    kept = [c for c in cols if med.get(c) is not None]
-    if not kept:
-        return {}, {}, {}
-    imputed = [F.coalesce(_number(c), F.lit(med[c])) for c in kept]
-    row = train.agg(*[F.avg(v).alias(f"m_{i}") for i, v in enumerate(imputed)],
-                    *[F.stddev_pop(v).alias(f"s_{i}") for i, v in enumerate(imputed)]).first()
-    means = {c: float(row[f"m_{i}"]) for i, c in enumerate(kept)}
-    scales = {}
-    for i, c in enumerate(kept):
-        s = row[f"s_{i}"]
-        scales[c] = float(s) if s is not None and s > 0 else 1.0
-    return {c: float(med[c]) for c in kept}, means, scales
+        return {}
+    stats = [f(_number(c)).alias(f"{n}_{i}") for i, c in enumerate(cols)
+             for n, f in (("n", F.count), ("m", F.avg), ("s", F.stddev_pop))]
+    row = train.agg(F.count(F.lit(1)).alias("rows"), *stats).first()
+    return {c: (row["rows"], row[f"n_{i}"], row[f"m_{i}"], row[f"s_{i}"]) for i, c in enumerate(cols)}
+
+
+def _imputed(medians: dict[str, float], moments: dict[str, tuple], cols: list[str]) -> tuple[dict, dict, dict]:
+    """Medians, and means and scales of the columns once nulls are their median: the
+    values' moments joined with those of as many medians as there are nulls."""
+    means, scales = {}, {}
+    kept = [c for c in cols if c in medians]
+    for c in kept:
+        rows, n, mean, std = moments[c]
+        if std == 0:  # one value, which the mean may miss by its rounding
+            mean = medians[c]
+        gap, share = medians[c] - mean, (rows - n) / rows
+        means[c] = mean + gap * share
+        scale = math.sqrt((n / rows) * (std * std + gap * gap * share))
+        scales[c] = scale if scale > 0 else 1.0
+    return {c: float(medians[c]) for c in kept}, means, scales
 
 
 def _fit_onehot(train: DataFrame, cols: list[str]) -> dict[str, list[str]]:
@@ -200,7 +212,7 @@ def _fit_target(train: DataFrame, col: str, label: str, fold_col: str) -> Target
     st = materialize(st)
     # totals by category and by fold (both bounded by categories or folds)
     by_cat = st.groupBy("cat").agg(F.sum("n").alias("cn"), F.sum("s").alias("cs"), F.sum("ss").alias("css"))
-    tot = st.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss")).first()
+    tot = st.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"), F.count(F.lit(1)).alias("rows")).first()
     N, S, SS = float(tot["n"]), float(tot["s"]), float(tot["ss"])
     M = S / N
     V = max(SS / N - M * M, 0.0)
@@ -220,7 +232,7 @@ def _fit_target(train: DataFrame, col: str, label: str, fold_col: str) -> Target
     fold_mean = rest.select("fold", F.col("rM").alias("mean"))
     # the maps derive from the checkpointed statistics (folds x categories
     # rows), so recomputing them is cheap and they need no checkpoint of their own
-    return TargetEncoding(column=col, full=full, oof=oof, fold_mean=fold_mean, mean=M)
+    return TargetEncoding(column=col, full=full, oof=oof, fold_mean=fold_mean, mean=M, rows=int(tot["rows"]))
 
 
 def fit_preprocessor(train: DataFrame, groups: ColumnGroups, label: str = K.LABEL,
@@ -235,12 +247,15 @@ def fit_preprocessor(train: DataFrame, groups: ColumnGroups, label: str = K.LABE
     train = train.select(*[c for c in dict.fromkeys(cols) if c in train.columns])
     if checkpoint:
         train = materialize(train)
-    med, means, scales = _fit_numeric(train, groups.numeric)
-    pre = Preprocessor(groups=groups, medians=med, means=means, scales=scales)
-    pre.categories = _fit_onehot(train, groups.low_card)
-    for c in groups.high_card:
-        pre.target[c] = _fit_target(train, c, label, fold_col)
-    return pre
+    # the fits do not depend on one another: their jobs share the cluster
+    with ThreadPoolExecutor(max_workers=3 + len(groups.high_card)) as ex:
+        medians = ex.submit(column_quantiles, train, groups.numeric, [0.5])
+        moments = ex.submit(_moments, train, groups.numeric)
+        categories = ex.submit(_fit_onehot, train, groups.low_card)
+        target = {c: ex.submit(_fit_target, train, c, label, fold_col) for c in groups.high_card}
+        med, means, scales = _imputed({c: v for (c, _), v in medians.result().items()}, moments.result(), groups.numeric)
+        return Preprocessor(groups=groups, medians=med, means=means, scales=scales, categories=categories.result(),
+                            target={c: t.result() for c, t in target.items()})
 
 
 def load_preprocessor(spark, path: str) -> Preprocessor:
@@ -252,7 +267,7 @@ def load_preprocessor(spark, path: str) -> Preprocessor:
                        categories=doc["categories"])
     for c, mean in doc["target_means"].items():
         parts = {p: spark.read.parquet(f"{path}/target/{c}/{p}") for p in ("full", "oof", "fold_mean")}
-        pre.target[c] = TargetEncoding(column=c, mean=float(mean), **parts)
+        pre.target[c] = TargetEncoding(column=c, mean=float(mean), rows=parts["oof"].count(), **parts)
     return pre
 
 
