@@ -40,9 +40,10 @@ class TrialTable:
         from ..sources.io import path_exists
         if not path_exists(self.spark, self.path):
             return {}
-        rows = self.spark.read.schema(SCHEMA).parquet(self.path).collect()
+        rows = self.spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(self.path).collect()
         return {(r["digest"], r["fold"]): (r["auc_roc"], r["best_iteration"], r["n_trees"]) for r in rows}
 
     def add(self, digest: str, trial: int, fold: int, auc: float | None, best_iteration: int, n_trees: int) -> None:
+        """A folder of its own for each fit: trials run side by side, and writers of one folder disturb each other."""
         row = (digest, trial, fold, auc, best_iteration, n_trees)
-        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{digest}-{fold}")

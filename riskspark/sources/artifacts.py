@@ -63,15 +63,16 @@ class ArtifactStore:
         return name
 
     def commit(self, name: str) -> None:
-        """Hash the files of a save and append its manifest; the save counts from here on."""
+        """Hash the files of a save and write its manifest; the save counts from here on."""
         hashes = _file_hashes(self.spark, f"{self.base.rstrip('/')}/{name}")
         stamped = hashes.select(F.lit(name).alias("save"), "*", F.current_timestamp().alias("committed"))
-        stamped.coalesce(1).write.mode("append").json(self._manifests())  # one file: it is there whole or not at all
+        stamped.coalesce(1).write.json(f"{self._manifests()}/{name}")  # one file: it is there whole or not at all
 
     def manifest(self) -> DataFrame:
         """``MANIFEST`` rows of the newest committed save."""
         try:
-            rows = self.spark.read.schema(MANIFEST + ", committed timestamp").json(self._manifests())
+            rows = (self.spark.read.schema(MANIFEST + ", committed timestamp").option("recursiveFileLookup", "true")
+                    .json(self._manifests()))
         except Exception as e:
             raise StoreError(f"{self.base}: no save is committed") from e
         last = rows.agg(F.max_by("save", F.struct("committed", "save")).alias("save")).first()["save"]
