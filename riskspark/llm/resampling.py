@@ -5,6 +5,8 @@ all raw documents, give each document an importance: the mean log ratio of its
 n-grams under the two, times the temperature ``SCALE``.  Adding Gumbel noise and
 taking the top k is sampling without replacement in proportion to importance;
 k is a share of the documents.  Noise depends on the id and a seed alone.
+``scale=None`` takes the ratio of the two models itself, the sum over n-grams,
+which decides by length as much as by quality where lengths differ a lot.
 
 The target is at most ``TARGET_DOCS`` documents labelled good, chosen by hash;
 the raw model counts every n-gram of every document.  Count arrays have a fixed
@@ -25,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import COUNTS, SMALL_BLOCK, blocks, counts_batch, documents, map_arrow, read_table, summed_counts, texts, written
+from .common import (COUNTS, SMALL_BLOCK, blocks, counts_batch, documents, first_by_hash, map_arrow, read_table, summed_counts,
+                     texts, written)
 from .wordhash import WORD_OR_SIGN, U, Words, runs
 
 BUCKETS_BITS = 16
 TARGET_DOCS = 20_000
 KEEP_SHARE = 0.85
-#: N-grams a document's mean log ratio counts for.
+#: N-grams a document's mean log ratio counts for; None: as many as it has.
 SCALE = 64.0
 SEED = 7
 #: Keys sorted in one task once the edges enclose no more.
@@ -77,59 +80,78 @@ def log_ratios(docs: DataFrame, target_ids: DataFrame) -> np.ndarray:
     return np.log((target + prior * raw_share) / (target.sum() + prior)) - np.log(raw_share)
 
 
-def _weigh(shared, scale: float):
+def _weigh(shared, scale: float | None):
     def run(batches):
         ratios = shared.value
-        worst = float(ratios.min()) * scale
+        worst = float(ratios.min()) * (scale or 1.0)
         for batch in blocks(batches, limit=SMALL_BLOCK):
             row, bucket = grams(batch.column("text"))
             n = np.bincount(row, minlength=batch.num_rows)
             total = np.bincount(row, ratios[bucket], minlength=batch.num_rows)
-            weight = np.where(n > 0, scale * total / np.maximum(n, 1), worst)
+            weight = np.where(n > 0, total if scale is None else scale * total / np.maximum(n, 1), worst)
             yield pa.record_batch([batch.column("doc_id"), pa.array(weight, pa.float64())],
                                   names=["doc_id", "log_weight"])
     return run
 
 
-def top_k(keys: DataFrame, k: int) -> DataFrame:
-    """``keys`` (doc_id, key, ...) with ``selected``: among the k greatest keys,
-    ties by smaller doc_id, rows of one doc_id in any order."""
-    span = keys.agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("n")).collect()[0]
-    if not span["n"] or k <= 0 or k >= span["n"]:
-        return keys.withColumn("selected", F.lit(k > 0))
-    lo, hi, need, inside = span["lo"], span["hi"], k, span["n"]  # the k-th key is in [lo, hi]
+def kth_greatest(rows: DataFrame, column: str, k: int) -> tuple:
+    """(value, rows above it): the k-th greatest ``column``, by counting over ever
+    finer edges; rows with one value are one row of the last, sorted step."""
+    span = rows.agg(F.min(column).alias("lo"), F.max(column).alias("hi"), F.count(F.lit(1)).alias("n")).collect()[0]
+    lo, hi, above, inside = span["lo"], span["hi"], 0, span["n"]  # the k-th is in [lo, hi], with ``above`` rows over hi
+    whole = isinstance(lo, int)
     while inside > LAST_KEYS and hi > lo:
-        edges = sorted({lo, hi, *np.linspace(lo, hi, EDGES).tolist()})
-        counts = keys.agg(*[F.count(F.when((F.col("key") >= e) & (F.col("key") <= hi), 1)).alias(f"c{i}")
+        cuts = {lo + (hi - lo) * i // EDGES for i in range(EDGES)} if whole else set(np.linspace(lo, hi, EDGES).tolist())
+        edges = sorted({lo, hi, *cuts})
+        counts = rows.agg(*[F.count(F.when((F.col(column) >= e) & (F.col(column) <= hi), 1)).alias(f"c{i}")
                             for i, e in enumerate(edges)]).collect()[0]
-        at = max(i for i in range(len(edges)) if counts[i] >= need)  # last edge with enough keys from it on
-        above = counts[at + 1] if at + 1 < len(edges) else 0
-        new_hi = np.nextafter(edges[at + 1], -np.inf) if at + 1 < len(edges) else hi
-        if (edges[at], float(new_hi)) == (lo, hi):
+        at = max(i for i in range(len(edges)) if counts[i] >= k - above)  # last edge with enough rows from it on
+        over = counts[at + 1] if at + 1 < len(edges) else 0
+        top = hi if at + 1 == len(edges) else edges[at + 1] - 1 if whole else float(np.nextafter(edges[at + 1], -np.inf))
+        if (edges[at], top) == (lo, hi):
+            break
+        lo, hi, above, inside = edges[at], top, above + over, counts[at] - over
+    if lo == hi:
+        return lo, above
+    found = (rows.where(F.col(column).between(lo, hi)).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("upto", F.sum("n").over(Window.orderBy(F.desc(column))))  # LAST_KEYS rows at most
+             .where(F.col("upto") >= k - above).orderBy("upto").limit(1).collect()[0])
+    return found[column], above + found["upto"] - found["n"]
+
+
+def top_k(keys: DataFrame, k: int) -> DataFrame:
+    """``keys`` (doc_id, key, row, ...), a written table, with ``selected``: exactly
+    the k greatest keys, ties by smaller doc_id, rows of one doc_id by ``row``."""
+    n = keys.count()
+    if not n or k <= 0 or k >= n:
+        return keys.withColumn("selected", F.lit(k > 0))
+    chosen, ties, rest = F.lit(False), F.lit(True), keys
+    for column, order in (("key", F.col("key")), ("_doc", -F.col("doc_id")), ("_row", -F.col("row"))):
+        rest = rest.withColumn(column, order) if column != "key" else rest
+        value, above = kth_greatest(rest, column, k)
+        chosen, k = chosen | (ties & (order > F.lit(value))), k - above
+        ties, rest = ties & (order == F.lit(value)), rest.where(F.col(column) == F.lit(value))
+        if rest.count() == k:  # the rows with the k-th value are all wanted
             break
-        lo, hi, need, inside = edges[at], float(new_hi), need - above, counts[at] - above
-    last = (keys.where(F.col("key").between(lo, hi)).select("doc_id", "key")
-            .withColumn("nth", F.row_number().over(Window.orderBy(F.desc("key"), "doc_id")))
-            .where(F.col("nth") == need).collect()[0])
-    return keys.withColumn("selected", (F.col("key") > last["key"]) | (
-        (F.col("key") == last["key"]) & (F.col("doc_id") <= last["doc_id"])))
+    return keys.withColumn("selected", chosen | ties)
 
 
-def resampled(docs: DataFrame, target_ids: DataFrame, share: float = KEEP_SHARE, scale: float = SCALE,
+def resampled(docs: DataFrame, target_ids: DataFrame, share: float = KEEP_SHARE, scale: float | None = SCALE,
               seed: int = SEED) -> DataFrame:
-    """(doc_id, log_weight, key, selected) of every document."""
+    """(doc_id, log_weight, key, row, selected) of every document; rows that share a doc_id share its noise."""
     docs = texts(docs)
     shared = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, target_ids))
     uniform = (F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     keys = written(map_arrow(docs, _weigh(shared, scale), "doc_id long, log_weight double")
-                   .withColumn("key", F.col("log_weight") - F.log(-F.log(uniform))), "resampling-keys")
+                   .withColumn("key", F.col("log_weight") - F.log(-F.log(uniform)))
+                   .withColumn("row", F.monotonically_increasing_id()), "resampling-keys")
     return top_k(keys, int(np.ceil(share * keys.count())))
 
 
 def good_ids(labels: DataFrame, limit: int = TARGET_DOCS) -> DataFrame:
     """At most ``limit`` documents labelled good, chosen by hash of the id."""
     return (labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
-            .distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
+            .distinct().transform(first_by_hash, limit, "doc_id"))
 
 
 def op5_resample(spark: SparkSession, sf_dir: str) -> DataFrame:

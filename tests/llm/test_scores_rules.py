@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from corpus import AWKWARD, DOCS, WORD, empty, frame, rows, sample_texts, words
 from pyspark.sql import functions as F
 
@@ -252,9 +253,65 @@ def test_resampling_prefers_the_target(spark):
     assert resampling.resampled(docs, target.where("false")).count() == len(got)
 
 
-def test_importance_matches_the_models():
+@pytest.mark.parametrize("last", [1, 4, 50_000])
+def test_top_k_with_ties_and_repeated_rows(spark, monkeypatch, last):
+    """Exactly k rows, whatever is tied: keys, ids, or all of them."""
+    monkeypatch.setattr(resampling, "LAST_KEYS", last)
+    rng = random.Random(last)
+    for keyed in ([1.5] * 30, [float(rng.randint(0, 3)) for _ in range(40)], [rng.random() for _ in range(40)]):
+        data = [(rng.randint(0, 8), key, i) for i, key in enumerate(keyed)]
+        keys = spark.createDataFrame(data, "doc_id long, key double, row long")
+        for k in (0, 1, 7, len(data) - 1, len(data), len(data) + 5):
+            want = {r for _, _, r in sorted(data, key=lambda d: (-d[1], d[0], d[2]))[:k]}
+            assert {r["row"] for r in resampling.top_k(keys, k).where("selected").collect()} == want, (k, keyed[:3])
+
+
+@pytest.mark.parametrize("scale", [None, 64.0])
+def test_importance_matches_the_models(spark, scale):
+    """Weights by brute force: smoothed shares of each hashed n-gram under both models."""
     import pyarrow as pa
-    row, bucket = resampling.grams(pa.array(["a b!! a b", "", None, "x"]))
-    assert Counter(row.tolist()) == {0: 5 + 4, 3: 1}
+    texts_ = ["a b!! a b", "", None, "x", "good words here, good words there", "bad bad bad $$$", "a b a b a b"]
+    rows_ = [(i, t) for i, t in enumerate(texts_)]
+    target = {4, 6}
+    docs = spark.createDataFrame(rows_, "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
+    got = {r["doc_id"]: r["log_weight"] for r in resampling.resampled(docs, ids, scale=scale).collect()}
+    row, bucket = resampling.grams(pa.array([t or "" for t in texts_]))
+    assert Counter(row.tolist())[0] == 5 + 4 and Counter(row.tolist())[3] == 1 and 1 not in row
     assert len(set(bucket[row == 0].tolist())) == 3 + 3
-    assert re.fullmatch(r"\w+", "x") and DOCS.names[0] == "doc_id"
+    size = 1 << resampling.BUCKETS_BITS
+    raw, good = Counter(bucket.tolist()), Counter(b for r, b in zip(row.tolist(), bucket.tolist()) if r in target)
+    n_raw, n_good = sum(raw.values()) + size, sum(good.values())
+
+    def ratio(b):
+        share = (raw[b] + 1) / n_raw
+        prior = 0.001 * n_good
+        return math.log((good[b] + prior * share) / (n_good + prior)) - math.log(share)
+    for i, _ in rows_:
+        own = [ratio(b) for r, b in zip(row.tolist(), bucket.tolist()) if r == i]
+        if own:
+            want = sum(own) if scale is None else scale * sum(own) / len(own)
+            assert got[i] == pytest.approx(want, rel=1e-9)
+        else:
+            assert got[i] == pytest.approx((scale or 1.0) * min(ratio(b) for b in {*raw, 0, size - 1}), rel=0.2)
+
+
+def test_candidates_are_found_in_linear_time(spark):
+    """A word of a million letters, and one of a million key characters with a late digit."""
+    import time
+    long = [("q" * 1_000_000,), ("k" * 999_999 + "7",), ("a-b_" * 250_000,), ("x=" * 500_000,)]
+    df = spark.createDataFrame([(i, t) for i, (t,) in enumerate(long)], "doc_id long, text string")
+    secrets.candidates(df.limit(1)).count()
+    start = time.time()
+    assert {r["doc_id"] for r in secrets.candidates(df).select("doc_id").collect()} == {1}
+    assert time.time() - start < 10
+
+
+def test_candidate_words_by_brute_force(spark):
+    """The pattern tried at a run's start alone finds the words that trying everywhere finds."""
+    rng = random.Random(12)
+    words_ = ["".join(rng.choice("ab1+/-_.=,") for _ in range(rng.randint(8, 40))) for _ in range(3000)]
+    slow = re.compile(r"(?=[A-Za-z0-9_+/-]{12,})[A-Za-z_+/-]*[0-9]")
+    df = spark.createDataFrame([(w,) for w in words_], "w string")
+    got = {r["w"] for r in df.where(F.col("w").rlike(secrets.CANDIDATE)).collect()}
+    assert got == {w for w in words_ if slow.search(w)} and 100 < len(got) < 2900
