@@ -55,8 +55,8 @@ SECRET_NAME = (r"(?:password|passwd|pwd|passphrase|secret|token|api[_-]?key|acce
 SUFFIX = r"(?:[_-](?:key|value|prod|dev|test|old|new|v?[0-9]{1,3}))?[0-9]{0,3}"
 CLOSE = rf"[{QUOTE}\\\])]{{0,4}}"
 ASSIGN = rf"{CLOSE}(?::=|=>|==?|:)[{QUOTE}\\]{{0,2}}"
-#: A word with a run of key characters that holds a digit, or a web token.
-CANDIDATE = rf"(?=[{KEY}]{{{LEAST},}})[A-Za-z_+/-]*[0-9]|eyJ[A-Za-z0-9_-]{{8,}}\."
+#: A word with a run of key characters that holds a digit, tried at the run's start alone, or a web token.
+CANDIDATE = rf"(?<![{KEY}])(?=[{KEY}]{{{LEAST}}})[A-Za-z_+/-]*+[0-9]|eyJ[A-Za-z0-9_-]{{8,}}+\."
 #: A word with a value assigned to a secret's name; the end of the words before one; a text that may have either.
 NAMED = rf"(?i){SECRET_NAME}{SUFFIX}{ASSIGN}[^\s{QUOTE}]"
 NAMED_BEFORE = rf"(?i)({SECRET_NAME}){SUFFIX}{CLOSE}\s?(:=|=>|==?|:)[{QUOTE}\\]{{0,2}}$"
