@@ -4,11 +4,12 @@ Pages are parsed into elements; an element's subtree is hashed from its tag,
 class, id, text and children, so that links and other attributes may differ.
 Spark counts each (host, subtree) over the pages it occurs on, with partial sums
 per block, so a host with a third of all pages is no hot group.  Subtrees on many
-pages of their host are the site's template and are deleted, but for text blocks
-inside the article, where a recurring paragraph is the article's own.  Elements
-that HTML or their class and id names mark as menus, adverts, notices, comments
-and the like go as well.  The text is that of the article, else of the marked
-main part, else of what is left.
+pages of their host (``MIN_PAGES``, whatever the host's size) are the site's
+template and are deleted, but for text blocks inside the article, where a
+recurring paragraph is the article's own.  Elements that HTML or their class and
+id names mark as menus, adverts, notices, comments and the like go as well, text
+blocks inside the article excepted.  The text is that of all articles, else of all
+marked main parts, else of what is left.
 
 The template keys reach the tasks as one sorted array if there are at most
 ``BROADCAST_KEYS`` of them; beyond that, a join brings each page its own.
@@ -31,9 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import blocks, map_arrow, read_table, written
 
-#: A subtree is template if on so many pages of its host, and so large a share of them.
+#: A subtree is template if on so many pages of its host.
 MIN_PAGES = 10
-MIN_SHARE = 0.05
 #: Template keys (8 bytes each) sent to every task; more are joined to the pages.
 BROADCAST_KEYS = 2_000_000
 
@@ -63,9 +63,11 @@ TEXT_BLOCKS = frozenset(
     "strong a span u s code sub sup small mark q cite abbr time br li ul ol header hgroup article main".split())
 
 _SKIP = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*>", re.S | re.I)
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>")
-_ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+#: One attribute: name, and its value in double, single or no quotes.  Nothing is tried twice.
+_ATTRIBUTE = r"""[^\s=>/"'][^\s=>/]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+"""
+_TAG = re.compile(rf"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[\s/]++|{_ATTRIBUTE}|["'=][^\s>]*+)*+)>""")
+_ATTR = re.compile(r"""([^\s=>/"'][^\s=>/]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+))?+)?+|["'=][^\s>]*+""")
+_CLOSED = re.compile(r"""(?:^|[\s"'])/\s*$""")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)")
 
@@ -85,11 +87,15 @@ class Element:
         self.parts: frozenset[str] = frozenset()
         self.hidden = False
         if attributes and not attributes.isspace():
-            found = [(k.lower(), a or b or c) for k, a, b, c in _ATTR.findall(attributes)]
+            given = {}
+            for k, a, b, c in _ATTR.findall(attributes):
+                given.setdefault(k.lower(), a or b or c)
+            found = [(k, v) for k, v in given.items() if k in ("class", "id", "role") and v]
             if found:
                 self.names = ";".join(f"{k}={v}" for k, v in found)
                 self.parts = frozenset(p.lower() for _, v in found for p in _PARTS.findall(v))
-            self.hidden = bool(_HIDDEN.search(attributes))
+            self.hidden = ("hidden" in given or given.get("aria-hidden", "").lower() == "true"
+                           or "display:none" in "".join(given.get("style", "").lower().split()))
 
 
 def parse(source: str) -> Element:
@@ -121,7 +127,7 @@ def parse(source: str) -> Element:
                     break
         element = Element(tag, m[3])
         stack[-1].children.append(element)
-        if tag not in VOID and not m[3].endswith("/"):
+        if tag not in VOID and not _CLOSED.search(m[3]):
             stack.append(element)
     if last < len(source):
         stack[-1].children.append(source[last:])
@@ -164,7 +170,7 @@ def marked(e: Element, inside: bool) -> bool:
     if e.tag in ("body", "html", "#page", "article", "main") and not e.parts & {"comment", "comments", "related", "ad"}:
         return False
     if e.parts & MARKS:
-        return True
+        return not (inside and e.tag in TEXT_BLOCKS)  # names of a paragraph inside the article do not tell
     return bool(e.parts & WEAK) and not inside and not e.parts & OWN
 
 
@@ -206,23 +212,34 @@ def text_of(root: Element) -> str:
 
 
 def main_text(root: Element) -> str:
-    """Text of the article, else of the main part, else of the page."""
-    elements = _post_order(root)[::-1]
+    """Text of all articles in page order, else of all main parts, else of the page."""
     for wanted in (lambda e: e.tag == "article", lambda e: e.tag == "main" or "role=main" in e.names,
                    lambda e: e.tag in ("div", "section") and e.parts & CONTENT):
-        found = [text_of(e) for e in elements if wanted(e)]
-        if any(found):
-            return max(found, key=len)
+        text = " ".join(t for t in map(text_of, outermost(root, wanted)) if t)
+        if text:
+            return text
     return text_of(root)
 
 
+def outermost(root: Element, wanted) -> list[Element]:
+    """Elements that are ``wanted`` and in none that is, in page order."""
+    found, stack = [], [root]
+    while stack:
+        e = stack.pop()
+        if wanted(e):
+            found.append(e)
+        else:
+            stack += [c for c in e.children[::-1] if isinstance(c, Element)]
+    return found
+
+
 def _count(batches):
     for batch in blocks(batches, "html"):
         counts: dict[tuple[int, int], int] = {}
         for url, source in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
             host = _key(host_of(url))
             root = parse(source or "")
-            for h in {0, *subtree_hashes(root).values()}:  # 0 counts the page itself
+            for h in set(subtree_hashes(root).values()):
                 counts[host, h] = counts.get((host, h), 0) + 1
         yield pa.record_batch([pa.array([k[0] for k in counts], pa.int64()), pa.array([k[1] for k in counts], pa.int64()),
                                pa.array(list(counts.values()), pa.int64())], names=["host", "subtree", "pages"])
@@ -233,14 +250,11 @@ def _key(text: str) -> int:
                           signed=True)
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, subtree) keys of subtrees on many pages of their host."""
-    counted = (map_arrow(pages.select("url", "html"), _count, "host long, subtree long, pages long")
-               .groupBy("host", "subtree").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= min_pages))
-    counted = written(counted, "subtrees")
-    hosts = counted.where("subtree = 0").select("host", F.col("pages").alias("of"))
-    return (counted.where("subtree <> 0").join(hosts, "host")
-            .where(F.col("pages") >= min_share * F.col("of")).select("host", "subtree"))
+    return (map_arrow(pages.select("url", "html"), _count, "host long, subtree long, pages long")
+            .groupBy("host", "subtree").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= min_pages)
+            .select("host", "subtree"))
 
 
 def _mixed(host, subtree):

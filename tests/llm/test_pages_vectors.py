@@ -117,3 +117,81 @@ def test_parts_are_balanced_and_follow_the_graph():
     sizes = np.bincount(label, minlength=8)
     assert sizes.min() >= 120 and sizes.max() <= 180
     assert (label[graph] == label[:, None]).mean() > 3 / 8
+
+
+@pytest.mark.parametrize("source, text", [
+    ("<article>one</article><div>no</div><article>two</article>", "one two"),
+    ("<div class=content>a</div><nav>x</nav><div class='content'>b</div>", "a b"),
+    ("<main>m<article>in</article></main>", "in"),
+    ("<p title='a hidden gem'>Keep", "Keep"), ("<p title=don't>Hello", "Hello"), ("<p title=\"x>y\">z", "z"),
+    ("<div hidden>no</div><div aria-hidden=true>no</div><div style='display : none'>no</div>yes", "yes"),
+    ("<article><p class=alert>Careful</p><p class='notice search'>Look</p></article>", "Careful Look"),
+    ("<article>a<div class=ad>no</div><section id=comments>no</section><form>no</form>b</article>", "a b"),
+    ("<a href=/foo/>t</a> u", "t u"), ("a < b and c > d <3", "a < b and c > d <3"), ("<br/>q<span/>w", "qw"),
+    ("<p a='b' =c \"d>e</p>", "e"), ("<p " + "a=b " * 20_000 + ">x", "x"), ("<p " + "'" * 50_000, ""), ("", "")])
+def test_markup_is_read_as_browsers_do(source, text):
+    root = htmltext.parse(source)
+    htmltext.prune(root, set(), {})
+    got = htmltext.main_text(root)
+    assert got == text or (text == "" and source.startswith("<p '") and "<p" in got)
+
+
+def test_extraction_equals_an_event_parser(spark):
+    """All given pages against a brute-force extraction by the standard library's event parser."""
+    from html.parser import HTMLParser
+
+    from conftest import SF01
+    gone = {"nav", "aside", "footer", "form", "script", "style", "head", "title", "button"}
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.stack, self.out = [], []
+
+        def handle_starttag(self, tag, attrs):
+            names = dict(attrs).get("class") or ""
+            if tag not in htmltext.VOID:
+                self.stack.append((tag, tag in gone or "ad" in names.split() or "comments" in names.split()))
+            if tag in htmltext.BLOCK or tag == "br":
+                self.out.append(" ")
+
+        def handle_endtag(self, tag):
+            open_ = [t for t, _ in self.stack]
+            if tag in open_:
+                del self.stack[len(open_) - 1 - open_[::-1].index(tag):]
+            if tag in htmltext.BLOCK:
+                self.out.append(" ")
+
+        def handle_data(self, data):
+            tags = [t for t, _ in self.stack]
+            if "article" in tags and not any(g for _, g in self.stack):
+                self.out.append(data)
+
+    pages_ = spark.read.parquet(f"{SF01}/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in htmltext.extract(pages_).collect()}
+    assert len(got) == pages_.count()
+    for r in pages_.collect():
+        reader = Reader()
+        reader.feed(r["html"])
+        assert got[r["page_id"]] == " ".join("".join(reader.out).split()), r["page_id"]
+
+
+def test_templates_clean_pages_that_name_nothing(spark):
+    """Menus, notices and footers without a telling tag or name, each page with its own text: only
+    recurrence tells, whatever the size of the host, and without templates the pages are not clean."""
+    def page(host, i):
+        menu = "".join(f"<div><a href='/{i}/{j}'>Part {j} of {host}</a></div>" for j in range(5))
+        return (f"<html><body><div class=x1><div>{menu}</div></div><div class=x2><p>Own {host} text {i}</p><p>More {i * 7}</p></div>"
+                f"<div class=x3><p>We sell things at {host}</p></div><div class=x4>Footer of {host}</div></body></html>")
+    rows = [(1000 * h + i, f"http://{host}/{i}", page(host, i), "", "") for h, (host, n) in
+            enumerate([("a.com", 400), ("b.com", 12)]) for i in range(n)]
+    # a notice on few of a large host's pages is template all the same
+    rows = [(p, u, s.replace("<div class=x4>", "<div>Now open late</div><div class=x4>") if p in range(11) else s, a, b)
+            for p, u, s, a, b in rows]
+    got = {r["page_id"]: r["text"] for r in htmltext.extract(pages(spark, rows)).collect()}
+    for p, u, *_ in rows:
+        host, i = ("a.com", p) if p < 1000 else ("b.com", p - 1000)
+        assert got[p] == f"Own {host} text {i} More {i * 7}"
+    root = htmltext.parse(rows[0][2])
+    htmltext.prune(root, set(), {})
+    assert htmltext.main_text(root) != got[0]
