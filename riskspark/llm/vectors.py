@@ -14,7 +14,7 @@ repeated that often, is many tasks.
 Defined cases: null vectors, vectors with null, NaN or infinite components, zero
 vectors and vectors of another length than the most frequent one take no part;
 rows without an id are left out; rows sharing a query's id are not its
-neighbours; an empty table gives no rows; other columns are not read.
+neighbours, and of several vectors of one id the smallest asks; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import map_arrow, read_table, written
+from .common import first_by_hash, map_arrow, read_table, written
 
 #: Vectors the graph, the parts and the network are fitted on, at most.
 SAMPLE = 6000
@@ -247,7 +247,7 @@ def nearest(vectors: DataFrame, step: int = QUERY_STEP, k: int = NEAREST, probes
     """k nearest of each query (vec_id divisible by ``step``) among all other rows."""
     spark = vectors.sparkSession
     good = usable(vectors)
-    sample = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()  # SAMPLE rows
+    sample = first_by_hash(good, SAMPLE, "vec_id").toPandas()  # SAMPLE rows
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     x = np.unique(np.stack(sample["v"].to_numpy()), axis=0)
@@ -255,7 +255,7 @@ def nearest(vectors: DataFrame, step: int = QUERY_STEP, k: int = NEAREST, probes
     shared = spark.sparkContext.broadcast(router)
     index = written(map_arrow(good, _route(shared, 1), "vec_id long, v array<double>, parts array<int>")
                     .select("vec_id", "v", F.col("parts")[0].alias("part")), "vector-index")
-    asked = index.where(F.col("vec_id") % step == 0).select("vec_id", "v").dropDuplicates(["vec_id"])
+    asked = index.where(F.col("vec_id") % step == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     queries = written(map_arrow(asked, _route(shared, probes), "vec_id long, v array<double>, parts array<int>"),
                       "vector-queries")
     first = written(search(queries.select("vec_id", "v", F.explode("parts").alias("part")), index, k), "vectors-found")
