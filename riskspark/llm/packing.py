@@ -28,10 +28,10 @@ from .common import blocks, documents, map_arrow, written
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a worker remembers; it starts afresh beyond that.
+#: Words whose ids a task remembers; it starts afresh beyond that.
 CACHE_WORDS = 400_000
 #: Signs that may follow a word's letters; the tokenizer cuts between the two.
-SIGNS = ".,;:!?"
+SIGNS = ".,;:!?&$*#%"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -60,12 +60,12 @@ class WordIds(dict):
     def _plain(self, words: list[str]) -> None:
         for lo in range(0, len(words), 20_000):
             part = words[lo:lo + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 self.parts[w] = np.asarray(e.ids, dtype="<u4").tobytes()
 
     def _letters(self, words: list[str]) -> None:
         groups = [words[lo:lo + 200] for lo in range(0, len(words), 200)]
-        joined = self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
+        joined = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
         for group, e in zip(groups, joined):
             ids = np.asarray(e.ids, dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
@@ -77,35 +77,47 @@ class WordIds(dict):
                 self.parts[w] = raw[lo:hi]
                 lo = hi
 
-    def learn(self, words) -> None:
-        """Add the ids of ``words``, none of which is known."""
-        if len(self.parts) > CACHE_WORDS:  # parts not met again since the last time are forgotten
+    def forget(self) -> None:
+        """Give the memory of words back: a worker outlives its tasks."""
+        self.clear()
+        self.parts, self.older = {}, {}
+
+    def learn(self, words: set[str]) -> None:
+        """Make the ids of ``words`` known."""
+        if len(self.parts) > CACHE_WORDS // 2:  # parts not met again since the last time are forgotten
             self.older, self.parts = self.parts, {}
         if len(self) > CACHE_WORDS:
             self.clear()
-        whole, letters, plain = [], set(), set()
-        parts, older = self.parts, self.older
-        for w in words:
+        new = words.difference(self)
+        # words of letters alone, in lower case; a final sigma has two lower cases
+        alone = [w for w in new if w.isalpha() and "\u03a3" not in w]
+        lower = list(map(str.lower, alone))
+        if not all(map(str.isalpha, lower)):  # a letter whose lower case is more than a letter
+            alone = [w for w in alone if w.lower().isalpha()]
+            lower = list(map(str.lower, alone))
+        tailed, plain = [], set()
+        for w in new.difference(alone):
             core = w.rstrip(SIGNS)
             key = core.lower()
-            if not key.isalpha() or "\u03a3" in core:  # a final sigma has two lower cases
-                key, tail = w, ""
+            if key.isalpha() and "\u03a3" not in core:
+                tailed.append((w, key, w[len(core):]))
             else:
-                tail = w[len(core):]
-            whole.append((w, key, tail))
-            for x, group in ((key, letters if key is not w else plain), (tail, plain)):
-                if x not in parts:
-                    if x in older:
-                        parts[x] = older[x]
-                    else:
-                        group.add(x)
-        self._letters(list(letters))
-        self._plain(list(plain))
-        for w, key, tail in whole:
-            self[w] = parts[key] + parts[tail] if tail else parts[key]
-
-
-#: Kept while Spark reuses a worker.
+                plain.add(w)
+        letters = {*lower, *[key for _, key, _ in tailed]}
+        whole = plain | {tail for _, _, tail in tailed}
+        for group, encode in ((letters, self._letters), (whole, self._plain)):
+            group -= self.parts.keys()
+            again = group & self.older.keys()
+            self.parts.update(zip(again, map(self.older.__getitem__, again)))
+            encode(list(group - again))
+        parts = self.parts
+        self.update(zip(alone, map(parts.__getitem__, lower)))
+        self.update(zip(plain, map(parts.__getitem__, plain)))
+        for w, key, tail in tailed:
+            self[w] = parts[key] + parts[tail]
+
+
+#: Tokenizers kept while Spark reuses a worker; their words go with each task.
 _KNOWN: dict[str, WordIds] = {}
 
 
@@ -113,21 +125,20 @@ def _tokenize(path: str, capacity: int, end_id: int):
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches):
+        import gc
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known = _KNOWN.get(path) or WordIds(path)
-        _KNOWN[path] = known
+        known = _KNOWN.get(path)
+        if known is None:  # one without words is false
+            known = _KNOWN[path] = WordIds(path)
+        gc.disable()  # many small values, no cycles
         for batch in blocks(batches):
             words = [(t or "").replace("\n", " ").replace("\t", " ").split(" ")
                      for t in batch.column("text").to_pylist()]
-            parts = [list(map(known.get, ws)) for ws in words]
-            gaps = [[i for i, p in enumerate(ps) if p is None] if None in ps else () for ps in parts]
-            known.learn({ws[i] for ws, at in zip(words, gaps) for i in at})
-            out = ([], [], [], [], [])
-            for doc, ws, ps, at in zip(batch.column("doc_id").to_pylist(), words, parts, gaps):
-                for i in at:
-                    ps[i] = known[ws[i]]
-                ids = b"".join(ps) + end
+            known.learn(set().union(*words))
+            ids_of, out = known.__getitem__, ([], [], [], [], [])
+            for doc, ws in zip(batch.column("doc_id").to_pylist(), words):
+                ids = b"".join(map(ids_of, ws)) + end
                 for piece, lo in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[lo:lo + 4 * capacity]
                     for col, v in zip(out, (doc, piece, lo // 4, len(part) // 4, zlib.crc32(part))):
@@ -135,6 +146,8 @@ def _tokenize(path: str, capacity: int, end_id: int):
             yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
                                    *[pa.array(c, pa.int64()) for c in out[2:]]],
                                   names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        known.forget()
+        gc.enable()
     return run
 
 
