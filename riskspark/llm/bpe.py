@@ -40,18 +40,20 @@ ENCODE = """
 WITH RECURSIVE step(w, pos, id, more) AS (
   SELECT w, pos, id, true FROM start
   UNION ALL
-  SELECT w, pos, CASE WHEN pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE id END, best IS NOT NULL
-  FROM (
-    SELECT n.w, n.pos, n.id, n.before,
-           min((m.merged::BIGINT << 32) | n.pos) OVER (PARTITION BY n.w) AS best
-    FROM (
+  (
+    WITH n AS MATERIALIZED (
       SELECT w, pos, id, lead(id) OVER own AS next, lag(pos) OVER own AS before
       FROM step WHERE more WINDOW own AS (PARTITION BY w ORDER BY pos)
-    ) n LEFT JOIN merges m ON m.l = n.id AND m.r = n.next
+    ), least AS MATERIALIZED (
+      SELECT n.w, min((m.merged::BIGINT << 32) | n.pos) AS best
+      FROM n JOIN merges m ON m.l = n.id AND m.r = n.next GROUP BY n.w
+    )
+    SELECT n.w, n.pos, CASE WHEN n.pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE n.id END, best IS NOT NULL
+    FROM n LEFT JOIN least ON least.w = n.w
+    WHERE best IS NULL OR before IS NULL OR before <> best & 4294967295
   )
-  WHERE best IS NULL OR before IS NULL OR before <> best & 4294967295
 )
-SELECT s.w, count(*) AS n, string_agg(s.id::VARCHAR, ' ' ORDER BY s.pos) AS ids,
+SELECT s.w, count(*)::INTEGER AS n, string_agg(s.id::VARCHAR, ' ' ORDER BY s.pos) AS ids,
        string_agg(v.hex, '' ORDER BY s.pos) AS bytes
 FROM step s JOIN vocabulary v ON v.id = s.id
 WHERE NOT s.more GROUP BY s.w
@@ -91,6 +93,7 @@ class Encoder:
         self.con = duckdb.connect()
         self.con.execute("SET threads = 1")
         self.con.execute("SET memory_limit = '500MB'")
+        self.con.execute("SET temp_directory = ''")  # nothing is spilled to a folder of one machine
         i32 = pa.int32()
         merges = pa.table({"l": pa.array(left, i32), "r": pa.array(right, i32), "merged": pa.array(merged, i32)})
         vocabulary = pa.table({"id": pa.array(list(self.ranks.values()), i32),
@@ -99,6 +102,11 @@ class Encoder:
             self.con.register("given", table)
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.con.unregister("given")
+        self.by_id = {i: t for t, i in self.ranks.items()}
+        self.forget()
+
+    def forget(self) -> None:
+        """Give the memory of words back: a worker outlives its tasks."""
         self.words: dict[str, tuple[int, str, bytes]] = {}
         self.older: dict[str, tuple[int, str, bytes]] = {}
 
@@ -111,9 +119,9 @@ class Encoder:
         ids = self.byte_ids[np.frombuffer(b"".join(raws), np.uint8)]
         start = pa.table({"w": owner, "pos": pos, "id": ids})
         self.con.register("start", start)
-        rows = self.con.execute(ENCODE).fetchall()
+        rows = self.con.sql(ENCODE).to_arrow_table()
         self.con.unregister("start")
-        for i, k, s, h in rows:
+        for i, k, s, h in zip(*(c.to_pylist() for c in rows.columns)):
             self.words[words[i]] = (k, s, bytes.fromhex(h))
 
     def learn(self, new) -> None:
@@ -129,7 +137,7 @@ class Encoder:
             raw = word.encode()
             rank = self.ranks.get(raw)
             if rank is not None:
-                self.words[word] = (1, str(rank), raw)
+                self.words[word] = (1, str(rank), self.by_id[rank])  # decoded by its id, as all are
                 continue
             words.append(word)
             raws.append(raw)
@@ -163,6 +171,7 @@ def _codec(path: str, pattern: str):
             yield pa.record_batch([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()),
                                    pa.array(decoded, pa.string())],
                                   names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        encoder.forget()
     return run
 
 
