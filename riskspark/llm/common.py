@@ -20,6 +20,10 @@ BLOCK_BYTES = 4 << 20
 SMALL_BLOCK = 1 << 20
 
 
+#: Paths that ``written`` collects for the stage being built, if one is.
+_COLLECTED: list[str] | None = None
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: later jobs, and tasks rerun after a lost executor, read the files
@@ -27,9 +31,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    if _COLLECTED is not None:
+        _COLLECTED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables of the last stage built in each application.
+_STAGE: dict[str, list[str]] = {}
+
+
+def stage_of(build):
+    """A pipeline stage whose intermediate tables go when the next one is built: by
+    then its result is written.  Two stages of one application are not built at once."""
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        global _COLLECTED
+        conf, app = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext.applicationId
+        for path in _STAGE.pop(app, []):
+            old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            old.getFileSystem(conf).delete(old, True)
+        _COLLECTED = []
+        try:
+            return build(spark, docs, sf_dir)
+        finally:
+            _STAGE[app], _COLLECTED = _COLLECTED, None
+    stage.__name__, stage.__doc__ = build.__name__, build.__doc__
+    return stage
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """(doc_id long, text string) of documents, null text as empty.  Only these
     two columns are read, so other columns, whatever their names, are ignored;

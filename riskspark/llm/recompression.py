@@ -11,14 +11,14 @@ inside the window.  A window is keyed by the longest of them (ties by name); if
 none is certain, by a single word.
 
 One shuffle brings each key's windows together; a window counts as repeated if
-the same key and the same 64-bit hash of its words occur in a smaller doc_id; the
+the same key and the same 56-bit hash of its words occur in a smaller doc_id; the
 words themselves are not compared.  After ``ROUNDS`` rounds a key spans few words,
-so the hash decides: of m different windows under one key about m * m / 2^65 meet
+so the hash decides: of m different windows under one key about m * m / 2^57 meet
 another's hash.
 Pre-aggregation keeps hot passages small: of the windows in one block of texts
 only those of the smallest doc_id travel, the others are known to repeat.  A
-second shuffle brings the repeated places back to their texts, whose covered
-words are removed.
+second shuffle brings the repeated places back to their texts, which travel
+compressed, and whose covered words are removed.
 
 Defined cases: null or empty text has no words; texts shorter than a window lose
 nothing; rows without a doc_id are left out of the digests and kept unchanged by
@@ -32,8 +32,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import SMALL_BLOCK, blocks, documents, map_arrow, texts
 from .wordhash import U, Words, mix, runs
@@ -41,7 +43,12 @@ from .wordhash import U, Words, mix, runs
 WINDOW = 13
 ROUNDS = 2
 
-PLACES = "key long, doc_id long, place long, n int, checks binary"
+#: Bytes of a window's hash that travel, and bits of its key.
+CHECK = 7
+KEY_BITS = 48
+
+#: ``checks`` has a hash for each of the windows; without a key, how many they are.
+PLACES = "key long, doc_id long, place long, checks binary"
 
 
 class Symbols:
@@ -159,14 +166,14 @@ def _places(window: int, rounds: int):
             key = keys[at]
             change = np.ones(len(at), bool)
             change[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-            first, count = _ranges(at, change)
-            checks = full[at].astype("<u8")
-            bounds = np.append(first, len(at)).astype(np.int32) * 8
+            first, _ = _ranges(at, change)
+            checks = np.ascontiguousarray(full[at].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CHECK])
+            bounds = np.append(first, len(at)).astype(np.int32) * CHECK
             yield pa.record_batch([
-                pa.array(key[first].view(np.int64)), pa.array(doc[owner[first]], pa.int64()),
-                pa.array(place[first].view(np.int64)), pa.array(count, pa.int32()),
+                pa.array((key[first] >> U(64 - KEY_BITS)).view(np.int64)), pa.array(doc[owner[first]], pa.int64()),
+                pa.array(place[first].view(np.int64)),
                 pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(checks)])],
-                names=["key", "doc_id", "place", "n", "checks"])
+                names=["key", "doc_id", "place", "checks"])
 
     return run
 
@@ -177,8 +184,8 @@ def _known(at, owner, doc, place):
     first, count = _ranges(at, change)
     yield pa.record_batch([
         pa.nulls(len(first), pa.int64()), pa.array(doc[owner[first]], pa.int64()),
-        pa.array(place[first].view(np.int64)), pa.array(count, pa.int32()), pa.nulls(len(first), pa.binary())],
-        names=["key", "doc_id", "place", "n", "checks"])
+        pa.array(place[first].view(np.int64)),
+        pa.array([int(c).to_bytes(4, "little") for c in count], pa.binary())], names=["key", "doc_id", "place", "checks"])
 
 
 def _repeats(batches):
@@ -187,19 +194,23 @@ def _repeats(batches):
     last, seen = None, {}
     for batch in batches:
         known = batch.filter(pa.compute.is_null(batch.column("key")))
-        yield known.select(["doc_id", "place", "n"])
+        times = np.frombuffer(b"".join(known.column("checks").to_pylist()), "<u4")
+        yield pa.record_batch([known.column("doc_id"), known.column("place"), pa.array(times, pa.int32())],
+                              names=["doc_id", "place", "n"])
         batch = batch.filter(pa.compute.is_valid(batch.column("key")))
         if not batch.num_rows:
             continue
-        key, doc, place, n = (batch.column(c).to_numpy() for c in ("key", "doc_id", "place", "n"))
+        key, doc, place = (batch.column(c).to_numpy() for c in ("key", "doc_id", "place"))
         same = np.zeros(len(key) + 1, bool)  # as the row before
         same[1:-1] = key[1:] == key[:-1]
         shared = same[:-1] | same[1:]
         shared |= (key == last) | (key == key[-1])
         rows = np.flatnonzero(shared)
         checks = batch.column("checks").take(pa.array(rows)).to_pylist()
-        value = np.frombuffer(b"".join(checks), "<u8")
-        count = n[rows].astype(np.int64)
+        wide = np.zeros((sum(map(len, checks)) // CHECK, 8), np.uint8)
+        wide[:, :CHECK] = np.frombuffer(b"".join(checks), np.uint8).reshape(-1, CHECK)
+        value = wide.view("<u8").reshape(-1)
+        count = np.array([len(c) // CHECK for c in checks], np.int64)
         row = np.repeat(rows, count)
         nth = np.arange(len(value)) - np.repeat(np.cumsum(count) - count, count)
         order = np.lexsort((doc[row], value, key[row]))
@@ -234,9 +245,18 @@ def repeated_places(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     return map_arrow(dealt, _repeats, "doc_id long, place long, n int")
 
 
-def kept_words(text: str, tag: int, places, window: int) -> tuple[list[bytes], int]:
+def _pack(batches):
+    """Texts as compressed bytes, for the way through a shuffle."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in blocks(batches):
+        i = batch.schema.get_field_index("text")
+        raw = batch.column(i).cast(pa.binary()).to_pylist()
+        yield batch.set_column(i, "text", pa.array([None if t is None else pack(t) for t in raw], pa.binary()))
+
+
+def kept_words(text: bytes, tag: int, places, window: int) -> tuple[list[bytes], int]:
     """Words left of a text and how many were removed."""
-    words = text.encode().split()  # bytes: exactly the six spaces of the word pattern
+    words = text.split()  # bytes: exactly the six spaces of the word pattern
     gone = None
     for p in places or ():
         if (p["place"] >> 32) & 0xFFFFFFFF == tag & 0xFFFFFFFF:
@@ -250,10 +270,11 @@ def kept_words(text: str, tag: int, places, window: int) -> tuple[list[bytes], i
 
 def _digests(window: int):
     def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             n, removed, digest = [], [], []
             for text, tag, places in zip(*(batch.column(c).to_pylist() for c in ("text", "_tag", "_places"))):
-                words, gone = kept_words(text, tag, places, window)
+                words, gone = kept_words(unpack(text), tag, places, window)
                 n.append(len(words) + gone)
                 removed.append(gone)
                 digest.append(hashlib.sha256(b" ".join(words)).hexdigest())
@@ -265,13 +286,15 @@ def _digests(window: int):
 
 def _cut(window: int, columns: list[str]):
     def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
             for text, tag, places in zip(*(batch.column(c).to_pylist() for c in ("text", "_tag", "_places"))):
+                text = None if text is None else unpack(text)
                 if places:
-                    words, gone = kept_words(text or "", tag, places, window)
-                    text = b" ".join(words).decode() if gone else text
-                out.append(text)
+                    words, gone = kept_words(text or b"", tag, places, window)
+                    text = b" ".join(words) if gone else text
+                out.append(None if text is None else text.decode())
             batch = batch.select(columns)
             i = batch.schema.get_field_index("text")
             yield batch.set_column(i, "text", pa.array(out, pa.string()))
@@ -279,10 +302,12 @@ def _cut(window: int, columns: list[str]):
 
 
 def with_places(docs: DataFrame, window: int, rounds: int) -> DataFrame:
-    """``docs`` with the text's tag and its repeated places."""
+    """``docs`` with the text compressed, its tag and its repeated places."""
     found = (repeated_places(texts(docs), window, rounds).groupBy(F.col("doc_id").alias("_id"))
              .agg(F.collect_list(F.struct("place", "n")).alias("_places")))  # bounded by the document itself
     tagged = docs.withColumn("_tag", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    kinds = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in tagged.schema.fields])
+    tagged = map_arrow(tagged, _pack, kinds)
     return tagged.join(found.hint("shuffle_merge"), tagged["doc_id"].cast("long") == F.col("_id"), "left").drop("_id")
 
 
@@ -299,8 +324,8 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) ->
     docs = docs.withColumn("text", F.col("text").cast("string"))
     named = docs.where(F.col("doc_id").isNotNull())
     before = F.length("text").alias("_before")
-    cut = map_arrow(with_places(named, window, rounds).withColumn("_before", before),
-                    _cut(window, [*docs.columns, "_before"]), named.select("*", before).schema)
+    named = named.select("*", before)
+    cut = map_arrow(with_places(named, window, rounds), _cut(window, named.columns), named.schema)
     if "n_chars" in docs.columns:  # a cut text is shorter
         kind = dict(docs.dtypes)["n_chars"]
         cut = cut.withColumn("n_chars", F.when(F.length("text") < F.col("_before"), F.length("text").cast(kind))

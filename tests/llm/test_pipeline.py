@@ -60,7 +60,7 @@ def test_decisions_take_effect(spark, stages):
 def test_registered(spark):
     registered = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(registered)
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in registered) == 1
     assert set(ORACLES) <= set(entry.oracle_sql())
     assert recompression.WINDOW == 13
