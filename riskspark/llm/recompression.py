@@ -43,12 +43,13 @@ from .wordhash import U, Words, mix, runs
 WINDOW = 13
 ROUNDS = 2
 
-#: Bytes of a window's hash that travel, and bits of its key.
+#: Bytes of a window's hash that travel, and bits of the hash of its symbol.
 CHECK = 7
-KEY_BITS = 48
+KEY_BITS = 32
 
 #: ``checks`` has a hash for each of the windows; without a key, how many they are.
 PLACES = "key long, doc_id long, place long, checks binary"
+SPANS = "doc_id long, tag long, span long"
 
 
 class Symbols:
@@ -170,7 +171,7 @@ def _places(window: int, rounds: int):
             checks = np.ascontiguousarray(full[at].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :CHECK])
             bounds = np.append(first, len(at)).astype(np.int32) * CHECK
             yield pa.record_batch([
-                pa.array((key[first] >> U(64 - KEY_BITS)).view(np.int64)), pa.array(doc[owner[first]], pa.int64()),
+                pa.array((mix(key[first]) >> U(64 - KEY_BITS)).view(np.int64)), pa.array(doc[owner[first]], pa.int64()),
                 pa.array(place[first].view(np.int64)),
                 pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(checks)])],
                 names=["key", "doc_id", "place", "checks"])
@@ -195,8 +196,7 @@ def _repeats(batches):
     for batch in batches:
         known = batch.filter(pa.compute.is_null(batch.column("key")))
         times = np.frombuffer(b"".join(known.column("checks").to_pylist()), "<u4")
-        yield pa.record_batch([known.column("doc_id"), known.column("place"), pa.array(times, pa.int32())],
-                              names=["doc_id", "place", "n"])
+        yield _spans(known.column("doc_id").to_numpy(), known.column("place").to_numpy(), times.astype(np.int64))
         batch = batch.filter(pa.compute.is_valid(batch.column("key")))
         if not batch.num_rows:
             continue
@@ -233,38 +233,41 @@ def _repeats(batches):
         change[1:] = row[hit][1:] != row[hit][:-1]
         first, length = _ranges(nth[hit], change)
         head = hit[first]
-        yield pa.record_batch([pa.array(doc[row[head]], pa.int64()), pa.array(place[row[head]] + nth[head], pa.int64()),
-                               pa.array(length, pa.int32())], names=["doc_id", "place", "n"])
+        yield _spans(doc[row[head]], place[row[head]] + nth[head], length.astype(np.int64))
+
+
+def _spans(doc, place, n) -> pa.RecordBatch:
+    """Rows of ``SPANS``: of a text, told by doc_id and tag, ``n`` windows from a word on."""
+    tag, at = (place >> 32) & 0xFFFFFFFF, place & 0xFFFFFFFF
+    return pa.record_batch([pa.array(doc, pa.int64()), pa.array(tag, pa.int64()), pa.array(at << 32 | n, pa.int64())],
+                           names=["doc_id", "tag", "span"])
 
 
 def repeated_places(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, place, n): ``n`` neighbouring windows that repeat a smaller
-    doc_id's; ``place`` holds the text's tag and the first window's word index."""
+    """(doc_id, tag, span): neighbouring windows of a text that repeat a smaller
+    doc_id's; ``span`` holds the first one's word index and how many they are."""
     places = map_arrow(docs.withColumn("tag", F.xxhash64("text")), _places(window, rounds), PLACES)
     dealt = places.repartition(F.coalesce("key", F.xxhash64("doc_id", "place"))).sortWithinPartitions("key", "doc_id")
-    return map_arrow(dealt, _repeats, "doc_id long, place long, n int")
+    return map_arrow(dealt, _repeats, SPANS)
 
 
 def _pack(batches):
     """Texts as compressed bytes, for the way through a shuffle."""
-    pack = zstandard.ZstdCompressor(level=1).compress
+    pack = zstandard.ZstdCompressor(level=6).compress
     for batch in blocks(batches):
         i = batch.schema.get_field_index("text")
         raw = batch.column(i).cast(pa.binary()).to_pylist()
         yield batch.set_column(i, "text", pa.array([None if t is None else pack(t) for t in raw], pa.binary()))
 
 
-def kept_words(text: bytes, tag: int, places, window: int) -> tuple[list[bytes], int]:
+def kept_words(text: bytes, spans, window: int) -> tuple[list[bytes], int]:
     """Words left of a text and how many were removed."""
     words = text.split()  # bytes: exactly the six spaces of the word pattern
-    gone = None
-    for p in places or ():
-        if (p["place"] >> 32) & 0xFFFFFFFF == tag & 0xFFFFFFFF:
-            gone = np.zeros(len(words), bool) if gone is None else gone
-            start = p["place"] & 0xFFFFFFFF
-            gone[start:start + p["n"] + window - 1] = True
-    if gone is None:
+    if not spans:
         return words, 0
+    gone = np.zeros(len(words), bool)
+    for span in spans:
+        gone[span >> 32:(span >> 32) + (span & 0xFFFFFFFF) + window - 1] = True
     return [words[i] for i in np.flatnonzero(~gone).tolist()], int(gone.sum())
 
 
@@ -273,8 +276,8 @@ def _digests(window: int):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             n, removed, digest = [], [], []
-            for text, tag, places in zip(*(batch.column(c).to_pylist() for c in ("text", "_tag", "_places"))):
-                words, gone = kept_words(unpack(text), tag, places, window)
+            for text, spans in zip(*(batch.column(c).to_pylist() for c in ("text", "_spans"))):
+                words, gone = kept_words(unpack(text), spans, window)
                 n.append(len(words) + gone)
                 removed.append(gone)
                 digest.append(hashlib.sha256(b" ".join(words)).hexdigest())
@@ -289,10 +292,10 @@ def _cut(window: int, columns: list[str]):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
-            for text, tag, places in zip(*(batch.column(c).to_pylist() for c in ("text", "_tag", "_places"))):
+            for text, spans in zip(*(batch.column(c).to_pylist() for c in ("text", "_spans"))):
                 text = None if text is None else unpack(text)
-                if places:
-                    words, gone = kept_words(text or b"", tag, places, window)
+                if spans:
+                    words, gone = kept_words(text or b"", spans, window)
                     text = b" ".join(words) if gone else text
                 out.append(None if text is None else text.decode())
             batch = batch.select(columns)
@@ -302,13 +305,15 @@ def _cut(window: int, columns: list[str]):
 
 
 def with_places(docs: DataFrame, window: int, rounds: int) -> DataFrame:
-    """``docs`` with the text compressed, its tag and its repeated places."""
-    found = (repeated_places(texts(docs), window, rounds).groupBy(F.col("doc_id").alias("_id"))
-             .agg(F.collect_list(F.struct("place", "n")).alias("_places")))  # bounded by the document itself
-    tagged = docs.withColumn("_tag", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    """``docs`` with the text compressed and its repeated spans."""
+    found = (repeated_places(texts(docs), window, rounds).groupBy(F.col("doc_id").alias("_id"), F.col("tag").alias("_of"))
+             .agg(F.collect_list("span").alias("_spans")))  # bounded by the document itself
+    tag = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
+    tagged = docs.withColumn("_tag", tag)
     kinds = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in tagged.schema.fields])
     tagged = map_arrow(tagged, _pack, kinds)
-    return tagged.join(found.hint("shuffle_merge"), tagged["doc_id"].cast("long") == F.col("_id"), "left").drop("_id")
+    same = (tagged["doc_id"].cast("long") == F.col("_id")) & (F.col("_tag") == F.col("_of"))
+    return tagged.join(found.hint("shuffle_merge"), same, "left").drop("_id", "_of")
 
 
 def removal_digests(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
