@@ -6,9 +6,9 @@ quantiles; bucket totals (a tiny frame) give each bucket its offset, and the
 running sum inside a bucket is a window partitioned by (group, bucket).  The
 result is exact whatever the edge quality: edges only decide the balance.
 
-Edges are collected once to the driver (bounded: groups x buckets) and used
-as data from then on, so a recompute after executor loss assigns every row
-the same bucket (trap T7).
+Edges are computed once and used as data from then on, so a recompute after
+executor loss assigns every row the same bucket (trap T7).  Grouped edges are a
+written table, broadcast up to ``MAX_GROUPS`` groups and shuffled beyond.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from ..session import materialize
 
 # Upper bound on buckets per group: keeps the edge table (broadcast) small.
 MAX_BUCKETS = 4096
-# Upper bound on groups whose edges go through the driver.
+# Groups whose edges and offsets are broadcast, at most.
 MAX_GROUPS = 100_000
 
 
@@ -81,22 +81,17 @@ def running_totals(df: DataFrame, value: str, measures: Sequence[str],
 
     # 1. bucket edges per group, computed once and held as data
     probs = [i / k for i in range(1, k)]
-    if probs:
-        edge_rows = (g.groupBy(*by)
-                     .agg(F.percentile_approx(F.col(value).cast("double"), probs, 10 * k).alias("__edges"))
-                     .limit(MAX_GROUPS + 1).collect())
-        if len(edge_rows) > MAX_GROUPS:
-            raise ValueError(f"running_totals: more than {MAX_GROUPS} groups in {by}")
-    else:
-        edge_rows = []
-    edge_schema = T.StructType([g.schema[b] for b in by]
-                               + [T.StructField("__edges", T.ArrayType(T.DoubleType()))])
+    cut = F.percentile_approx(F.col(value).cast("double"), probs, 10 * k) if probs else F.array().cast("array<double>")
+    few = F.broadcast
     if by:
-        edges = spark.createDataFrame([tuple(r) for r in edge_rows], edge_schema)
-        gb = g.join(F.broadcast(edges), by, "left")
+        edges = materialize(g.groupBy(*by).agg(cut.alias("__edges") if probs else F.first(cut).alias("__edges")))
+        if edges.count() > MAX_GROUPS:
+            few = lambda df: df
+        gb = g.join(few(edges), by, "left")
         edges_col = F.coalesce(F.col("__edges"), F.array().cast("array<double>"))
     else:
-        lit_edges = list(edge_rows[0]["__edges"]) if edge_rows and edge_rows[0]["__edges"] else []
+        row = g.agg(cut.alias("__edges")).first() if probs else None
+        lit_edges = list(row["__edges"]) if row and row["__edges"] else []
         gb = g
         edges_col = F.array(*[F.lit(float(e)) for e in lit_edges]) if lit_edges \
             else F.array().cast("array<double>")
@@ -113,9 +108,8 @@ def running_totals(df: DataFrame, value: str, measures: Sequence[str],
         *[F.coalesce(F.sum(f"__b_{m}").over(wb), F.lit(0)).alias(f"__off_{m}") for m in measures],
         *[F.sum(f"__b_{m}").over(wt).alias(f"total_{m}") for m in measures],
     )
-    # bounded by groups x buckets; this side is an aggregate, so its size is
-    # known from the bound, not from the data volume
-    gb = gb.join(F.broadcast(offsets), [*by, "__bucket"], "left")
+    # at most groups x buckets rows
+    gb = gb.join(few(offsets), [*by, "__bucket"], "left")
 
     # 3. running sum inside each bucket plus the bucket's offset
     w = (Window.partitionBy(*by, "__bucket").orderBy(value)
@@ -172,8 +166,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                F.percentile_approx("__v", lo_p, QUANTILE_ACCURACY).alias("__lo"),
                F.percentile_approx("__v", hi_p, QUANTILE_ACCURACY).alias("__hi"))
           .limit(MAX_GROUPS + 1).collect())
-    if len(st) > MAX_GROUPS:
-        raise ValueError(f"exact_quantiles: more than {MAX_GROUPS} groups in {by}")
+    if len(st) > MAX_GROUPS:  # too many brackets for the driver
+        return _exact_quantiles_full(df, value, probs, by)
     key_fields = [base.schema[b] for b in by]
     rows = [(*[r[b] for b in by], qi, q, int(r["__n"]), float(r["__lo"][qi]), float(r["__hi"][qi]))
             for r in st for qi, q in enumerate(probs)]

@@ -21,6 +21,7 @@ from ..functions.binning import (decile_probabilities, edges_literal, equal_widt
                                  histogram_bin, quantile_bin)
 from ..functions.formatting import bin_label
 from .joins import broadcast_checked
+from ..session import materialize
 from ..functions.scoring import DEFAULT_SCORECARD, Scorecard, probability_to_score, risk_band
 
 
@@ -135,10 +136,12 @@ def band_value_counts(scores: DataFrame, band: str = "risk_band") -> DataFrame:
 
 # --- D14 / D15 / C5: histograms ------------------------------------------------
 
-def _range(df: DataFrame, value: str, by: Sequence[str]) -> list:
-    return (df.where(F.col(value).isNotNull()).groupBy(*by)
-            .agg(F.min(F.col(value).cast("double")).alias("lo"),
-                 F.max(F.col(value).cast("double")).alias("hi")).collect())
+def _edges(lo: F.Column, hi: F.Column, n_bins: int) -> F.Column:
+    """``equal_width_edges`` of columns; a range of zero width is widened by 0.5 each side (numpy)."""
+    flat = lo == hi
+    lo, hi = F.when(flat, lo - 0.5).otherwise(lo), F.when(flat, hi + 0.5).otherwise(hi)
+    return F.transform(F.sequence(F.lit(0), F.lit(n_bins)),
+                       lambda i: F.when(i == n_bins, hi).otherwise(i * ((hi - lo) / n_bins) + lo))
 
 
 def histogram(df: DataFrame, value: str = "score", by: str = "split",
@@ -147,35 +150,24 @@ def histogram(df: DataFrame, value: str = "score", by: str = "split",
 
     ``joint=False``: each group on its own range (the static plot);
     ``joint=True``: one range over all groups (the dashboard overlay).
+    Ranges and edges are a table with a row per group, joined back (a null group
+    is a group of its own); no group passes the driver.
     """
-    spark = df.sparkSession
-    ranges = _range(df, value, [by])
-    if not ranges:
-        return spark.createDataFrame(
-            [], f"{by} string, bin int, lo double, hi double, count long, density double")
-    def grid_edges(lo: float, hi: float) -> list[float]:
-        # an automatic range of zero width is widened by 0.5 each side (numpy)
-        if lo == hi:
-            lo, hi = lo - 0.5, hi + 0.5
-        return equal_width_edges(lo, hi, n_bins)
-
+    v = F.col(value).cast("double")
+    groups = materialize(df.where(F.col(value).isNotNull()).groupBy(F.col(by).alias("__by"))
+                         .agg(F.min(v).alias("lo"), F.max(v).alias("hi")))
+    lo, hi = F.col("lo"), F.col("hi")
     if joint:
-        lo = min(r["lo"] for r in ranges)
-        hi = max(r["hi"] for r in ranges)
-        edges = {r[by]: grid_edges(lo, hi) for r in ranges}
-    else:
-        edges = {r[by]: grid_edges(r["lo"], r["hi"]) for r in ranges}
-    keys = sorted(edges, key=lambda x: (x is None, x))
-    # a null group is a group of its own: joined null-safe, a row per group
-    table = spark.createDataFrame([(k, edges[k]) for k in keys], f"__by {df.schema[by].dataType.simpleString()}, "
-                                  "__edges array<double>")
-    binned = (df.where(F.col(value).isNotNull()).select(by, F.col(value).cast("double").alias("__v"))
+        r = groups.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+        lo, hi = (F.lit(r[c]).cast("double") for c in ("lo", "hi"))
+    table = groups.select("__by", _edges(lo, hi, n_bins).alias("__edges"))
+    binned = (df.where(F.col(value).isNotNull()).select(by, v.alias("__v"))
               .join(broadcast_checked(table), F.col(by).eqNullSafe(F.col("__by")))
               .select(by, histogram_bin(F.col("__v"), F.col("__edges"), n_bins).alias("bin")))
     counts = (binned.groupBy(by, "bin").agg(F.count(F.lit(1)).alias("count"))
               .select(F.col(by).alias("__by"), F.col("bin").alias("__bin"), "count"))
-    grid_rows = [(k, i, edges[k][i], edges[k][i + 1]) for k in keys for i in range(n_bins)]
-    grid = spark.createDataFrame(grid_rows, f"{by} string, bin int, lo double, hi double")
+    grid = (table.select(F.col("__by").alias(by), "__edges", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin"))
+            .select(by, "bin", F.get("__edges", F.col("bin")).alias("lo"), F.get("__edges", F.col("bin") + 1).alias("hi")))
     # every binned row is in one bin: totals are sums over the (groups x bins)
     # grid, a window over that small frame, so the counts are read once
     out = (grid.join(counts, F.col(by).eqNullSafe(F.col("__by")) & (F.col("bin") == F.col("__bin")), "left")

@@ -84,9 +84,24 @@ _CACHE: dict[tuple, ModelRun] = {}
 _LOCK = threading.Lock()
 
 
+def _files(spark: SparkSession, sf_dir: str) -> tuple:
+    """(path, length, modification time) of the files of the tables that are fitted on."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in ("customer", "events", "lineitem", "nation", "orders"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        found = fs.listFiles(path, True)
+        while found.hasNext():
+            f = found.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def cached_run(spark: SparkSession, sf_dir: str, budget: Budget = QUERY_BUDGET) -> ModelRun:
-    """One fit per (application, folder, budget) within a process."""
-    key = (spark.sparkContext.applicationId, sf_dir, budget)
+    """One fit per (application, folder, its files, budget) within a process: a
+    folder whose files changed is fitted anew."""
+    key = (spark.sparkContext.applicationId, sf_dir, _files(spark, sf_dir), budget)
     with _LOCK:
         if key not in _CACHE:
             _CACHE[key] = fit_models(Tables(spark, sf_dir), budget)

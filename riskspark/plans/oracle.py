@@ -256,12 +256,12 @@ FROM auc JOIN apks ON auc.grp = apks.grp
 def _decile_sql() -> str:
     probs = ", ".join(f"{i / 10!r}" for i in range(11))
     return SCORES + f""",
-edges AS (SELECT list_sort(list_distinct(quantile_cont(CAST(score AS DOUBLE), [{probs}]))) AS e
-          FROM test WHERE score IS NOT NULL),
+edges AS (SELECT DISTINCT unnest(quantile_cont(CAST(score AS DOUBLE), [{probs}])) AS x FROM test WHERE score IS NOT NULL),
+-- intervals between neighbouring edges, closed on the right, the lowest on both sides
+intervals AS (SELECT row_number() OVER (ORDER BY x) - 1 AS decile, x AS lo, lead(x) OVER (ORDER BY x) AS hi FROM edges),
 binned AS (
-  SELECT t.*, CASE WHEN len(e) >= 2 AND score >= e[1] AND score <= e[len(e)]
-                   THEN greatest(len(list_filter(e, lambda x: x < score)) - 1, 0) END AS decile
-  FROM test t, edges
+  SELECT t.*, i.decile FROM test t
+  JOIN intervals i ON t.score <= i.hi AND (t.score > i.lo OR (i.decile = 0 AND t.score = i.lo))
 ),
 dec AS (
   SELECT CAST(decile AS INTEGER) AS decile, count(TARGET) AS count, CAST(sum(TARGET) AS BIGINT) AS default_count,
@@ -285,18 +285,15 @@ def _hist_sql(joint: bool, n: int = K.HIST_BINS) -> str:
 rng0 AS ({rng}),
 rng AS (SELECT split, CASE WHEN lo = hi THEN lo - 0.5e0 ELSE lo END AS lo,
                CASE WHEN lo = hi THEN hi + 0.5e0 ELSE hi END AS hi FROM rng0),
-edges AS (
-  SELECT split, list_transform(range({n + 1}),
-           lambda i: CASE WHEN i = {n} THEN hi ELSE i * ((hi - lo) / {n}) + lo END) AS e
-  FROM rng
+grid AS (
+  SELECT split, CAST(i AS INTEGER) AS bin, i * ((hi - lo) / {n}) + lo AS lo,
+         CASE WHEN i = {n - 1} THEN hi ELSE (i + 1) * ((hi - lo) / {n}) + lo END AS hi
+  FROM rng, range({n}) t(i)
 ),
+-- intervals closed on the left, the last on both sides
 binned AS (
-  SELECT s.split, least(len(list_filter(e, lambda x: x <= CAST(s.score AS DOUBLE))) - 1, {n - 1}) AS bin
-  FROM scores s JOIN edges ON s.split = edges.split WHERE s.score IS NOT NULL
-),
-grid AS (
-  SELECT split, CAST(i AS INTEGER) AS bin, e[i + 1] AS lo, e[i + 2] AS hi
-  FROM edges, range({n}) t(i)
+  SELECT s.split, g.bin FROM scores s JOIN grid g ON s.split = g.split
+    AND s.score >= g.lo AND (s.score < g.hi OR (g.bin = {n - 1} AND s.score = g.hi))
 ),
 cnt AS (SELECT split, bin, count(*) AS c FROM binned GROUP BY split, bin),
 tot AS (SELECT split, count(*) AS t FROM binned GROUP BY split)
@@ -312,10 +309,9 @@ def _psi_sql(n: int = K.PSI_BINS) -> str:
     return SCORES + f""",
 v AS (SELECT CAST(score AS DOUBLE) AS x, split FROM scores WHERE score IS NOT NULL),
 rng AS (SELECT min(x) AS lo, max(x) AS hi FROM v),
-edges AS (SELECT list_transform(range({n + 1}), lambda i: CASE WHEN i = {n} THEN hi ELSE i * ((hi - lo) / {n}) + lo END) AS e
-          FROM rng),
-binned AS (SELECT split, least(len(list_filter(e, lambda y: y <= x)) - 1, {n - 1}) AS bin FROM v, edges),
-grid AS (SELECT CAST(i AS INTEGER) AS bin, e[i + 1] AS lo, e[i + 2] AS hi FROM edges, range({n}) t(i)),
+grid AS (SELECT CAST(i AS INTEGER) AS bin, i * ((hi - lo) / {n}) + lo AS lo,
+                CASE WHEN i = {n - 1} THEN hi ELSE (i + 1) * ((hi - lo) / {n}) + lo END AS hi FROM rng, range({n}) t(i)),
+binned AS (SELECT v.split, g.bin FROM v JOIN grid g ON v.x >= g.lo AND (v.x < g.hi OR (g.bin = {n - 1} AND v.x = g.hi))),
 cnt AS (SELECT bin, count(*) FILTER (WHERE split = 'train') AS n_e, count(*) FILTER (WHERE split = 'test') AS n_a
         FROM binned GROUP BY bin),
 tot AS (SELECT count(*) FILTER (WHERE split = 'train') AS t_e, count(*) FILTER (WHERE split = 'test') AS t_a FROM v),

@@ -137,3 +137,20 @@ def test_exact_quantiles_bracketed_large_groups(spark, monkeypatch):
     assert cumulative.exact_quantiles(one, "x", [0.5]).first()["quantile"] == 2.5
     small = spark.createDataFrame([(float(v),) for v in [4, 1, 3, 2]], "x double")
     assert cumulative.exact_quantiles(small, "x", [0.5]).first()["quantile"] == 2.5
+
+
+def test_more_groups_than_are_broadcast(spark, monkeypatch):
+    """Running totals and exact quantiles of many groups take the shuffled way, with equal results."""
+    from riskspark.operators import cumulative
+    rng = np.random.default_rng(3)
+    rows = [(int(i % 40), float(rng.integers(0, 30)), 1) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g int, v double, n long")
+    few = sorted(cumulative.running_totals(df, "v", ["n"], ["g"]).collect())
+    exact = sorted(cumulative.exact_quantiles(df, "v", [0.25, 0.5], ["g"]).select("g", "q", "quantile").collect())
+    monkeypatch.setattr(cumulative, "MAX_GROUPS", 3)
+    assert sorted(cumulative.running_totals(df, "v", ["n"], ["g"]).collect()) == few
+    many = sorted(cumulative.exact_quantiles(df, "v", [0.25, 0.5], ["g"]).select("g", "q", "quantile").collect())
+    assert [tuple(r) for r in many] == [tuple(r) for r in exact]
+    for g in range(40):
+        own = [v for k, v, _ in rows if k == g]
+        assert exact[2 * g + 1][2] == np.quantile(own, 0.5)
