@@ -1,12 +1,12 @@
 """Quality selection by importance resampling.
 
 Two generative models of hashed word n-grams, one of target documents and one of
-all raw documents, give each document an importance: the mean log ratio of its
-n-grams under the two, times the temperature ``SCALE``.  Adding Gumbel noise and
-taking the top k is sampling without replacement in proportion to importance;
-k is a share of the documents.  Noise depends on the id and a seed alone.
-``scale=None`` takes the ratio of the two models itself, the sum over n-grams,
-which decides by length as much as by quality where lengths differ a lot.
+all raw documents, give each document an importance: its probability under the one
+over that under the other, as a logarithm the sum over its n-grams.  Adding Gumbel
+noise and taking the top k is sampling without replacement in proportion to
+importance; k is a share of the documents.  Noise depends on the id and a seed
+alone.  ``scale`` controls length: with a number, every document counts as one of
+so many n-grams (the mean times ``scale``), where lengths would decide otherwise.
 
 The target is at most ``TARGET_DOCS`` documents labelled good, chosen by hash;
 the raw model counts every n-gram of every document.  Count arrays have a fixed
@@ -34,8 +34,8 @@ from .wordhash import WORD_OR_SIGN, U, Words, runs
 BUCKETS_BITS = 16
 TARGET_DOCS = 20_000
 KEEP_SHARE = 0.85
-#: N-grams a document's mean log ratio counts for; None: as many as it has.
-SCALE = 64.0
+#: N-grams a document's mean log ratio counts for; None: as many as it has, the plain ratio.
+SCALE = None
 SEED = 7
 #: Keys sorted in one task once the edges enclose no more.
 LAST_KEYS = 50_000
