@@ -229,6 +229,7 @@ def test_js_distance(spark):
 
 def test_top_k_is_exact(spark, monkeypatch):
     monkeypatch.setattr(resampling, "LAST_KEYS", 20)
+    monkeypatch.setattr(resampling, "EDGES", 10)
     rng = random.Random(6)
     data = [(i, round(rng.gauss(0, 3), 1)) for i in range(500)] + [(1000 + i, 2.0) for i in range(100)]
     keys = spark.createDataFrame(data, "doc_id long, key double")
@@ -257,6 +258,7 @@ def test_resampling_prefers_the_target(spark):
 def test_top_k_with_ties_and_repeated_rows(spark, monkeypatch, last):
     """Exactly k rows, whatever is tied: keys, ids, or all of them."""
     monkeypatch.setattr(resampling, "LAST_KEYS", last)
+    monkeypatch.setattr(resampling, "EDGES", 6)
     rng = random.Random(last)
     for keyed in ([1.5] * 30, [float(rng.randint(0, 3)) for _ in range(40)], [rng.random() for _ in range(40)]):
         data = [(rng.randint(0, 8), key, i) for i, key in enumerate(keyed)]
