@@ -143,7 +143,8 @@ def _strings(n: int, end: str) -> np.ndarray:
 
 
 #: Places where both tokenizers start anew whatever follows or precedes: a space after a sign that is not white space.
-_CUT = re.compile(r"(?<=\S)(?= )")
+#: One space that ends the text stays with its word: tokenized by itself it would be the empty text.
+_CUT = re.compile(r"(?<=\S)(?= )(?! \Z)")
 _RUN = re.compile(r"\s\s|^\s|\s$")
 #: Units remembered between blocks, and their characters; all are forgotten beyond either.
 CACHE_UNITS = 200_000

@@ -167,6 +167,19 @@ def test_alignment_equals_brute_force(spark, tokenizers, small_rows):
     assert alignment.align(empty(spark)).count() == 0
 
 
+def test_units_learned_one_by_one_spell_their_text(tokenizers):
+    """Whatever units share a call: a single space at a text's end is no unit."""
+    aligner = alignment.Aligner(*alignment.tokenizer_paths())
+    for text in ["ab ", "ab cd ", "a ", "ab  ", " ab", "ab \n", "ab\n ", "a  b ", " ", "  ", "ab \x85", "ab\u3000"]:
+        aligner.forget()
+        for unit in alignment.units(text):
+            aligner.learn([unit])
+        row = aligner.rows(pa.array([1], pa.int64()), [text]).to_pylist()[0]
+        n_a, n_b, n_groups, n_links, *_, digest = brute_align(tokenizers, [text])[0]
+        assert n_a > 0, text
+        assert (row["n_a"], row["n_b"], row["n_groups"], row["n_links"], row["groups_sha256"]) == (n_a, n_b, n_groups, n_links, digest), text
+
+
 def test_gallop_equals_searchsorted():
     rng = np.random.default_rng(5)
     for _ in range(200):
