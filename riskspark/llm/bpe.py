@@ -4,10 +4,10 @@ A task cuts its texts by the split pattern and hands the distinct pieces it has
 not met to an in-process DuckDB.  There a piece is rows (word, position, token)
 of single bytes; a recursive query joins neighbouring tokens with the merge
 table, contracts each word's leftmost pair of least rank, and repeats that for
-the words which still have a pair.  Ordered aggregation gives each word's ids,
-and, over the ids joined with the vocabulary, its decoded bytes.  A document's
-ids and bytes are its words' in order.  Tasks are independent, so a lost
-executor costs only its own partitions; nothing is shuffled.
+the words which still have a pair.  Its ordered rows are each word's ids; looked
+up in the vocabulary they are its decoded bytes.  A document's ids and bytes are
+its words' in order.  Tasks are independent, so a lost executor costs only its
+own partitions; nothing is shuffled.
 
 Memory is bounded by the block of texts in hand, ``CHUNK_BYTES`` of new words at
 a time and twice ``CACHE_WORDS`` remembered words.
@@ -35,28 +35,26 @@ CHUNK_BYTES = 1 << 20
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-#: One step contracts one pair per word; ``best`` holds rank and position of the pair.
+#: One step contracts one pair per word; ``best`` holds rank and position of the
+#: pair, ``k`` the word above 32 bits of position.
 ENCODE = """
-WITH RECURSIVE step(w, pos, id, more) AS (
-  SELECT w, pos, id, true FROM start
+WITH RECURSIVE step(k, id, more) AS (
+  SELECT k, id, true FROM start
   UNION ALL
   (
     WITH n AS MATERIALIZED (
-      SELECT w, pos, id, lead(id) OVER own AS next, lag(pos) OVER own AS before
-      FROM step WHERE more WINDOW own AS (PARTITION BY w ORDER BY pos)
+      SELECT k, id, k >> 32 AS w, lead(id) OVER own AS next, lead(k) OVER own AS after, lag(k) OVER own AS before
+      FROM step WHERE more WINDOW own AS (ORDER BY k)
     ), least AS MATERIALIZED (
-      SELECT n.w, min((m.merged::BIGINT << 32) | n.pos) AS best
-      FROM n JOIN merges m ON m.l = n.id AND m.r = n.next GROUP BY n.w
+      SELECT n.w, min((m.merged::BIGINT << 32) | (n.k & 4294967295)) AS best
+      FROM n JOIN merges m ON m.pair = (n.id::BIGINT << 32 | n.next) WHERE n.after >> 32 = n.w GROUP BY n.w
     )
-    SELECT n.w, n.pos, CASE WHEN n.pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE n.id END, best IS NOT NULL
+    SELECT n.k, CASE WHEN n.k & 4294967295 = best & 4294967295 THEN (best >> 32)::INTEGER ELSE n.id END, best IS NOT NULL
     FROM n LEFT JOIN least ON least.w = n.w
-    WHERE best IS NULL OR before IS NULL OR before <> best & 4294967295
+    WHERE best IS NULL OR before IS NULL OR before >> 32 <> n.w OR before & 4294967295 <> best & 4294967295
   )
 )
-SELECT s.w, count(*)::INTEGER AS n, string_agg(s.id::VARCHAR, ' ' ORDER BY s.pos) AS ids,
-       string_agg(v.hex, '' ORDER BY s.pos) AS bytes
-FROM step s JOIN vocabulary v ON v.id = s.id
-WHERE NOT s.more GROUP BY s.w
+SELECT k, id FROM step WHERE NOT more ORDER BY k
 """
 
 
@@ -94,15 +92,12 @@ class Encoder:
         self.con.execute("SET threads = 1")
         self.con.execute("SET memory_limit = '500MB'")
         self.con.execute("SET temp_directory = ''")  # nothing is spilled to a folder of one machine
-        i32 = pa.int32()
-        merges = pa.table({"l": pa.array(left, i32), "r": pa.array(right, i32), "merged": pa.array(merged, i32)})
-        vocabulary = pa.table({"id": pa.array(list(self.ranks.values()), i32),
-                               "hex": [t.hex() for t in self.ranks]})
-        for name, table in (("merges", merges), ("vocabulary", vocabulary)):
-            self.con.register("given", table)
-            self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-            self.con.unregister("given")
+        merges = pa.table({"pair": np.array(left, np.int64) << 32 | np.array(right, np.int64), "merged": pa.array(merged, pa.int32())})
+        self.con.register("given", merges)
+        self.con.execute("CREATE TABLE merges AS SELECT * FROM given")
+        self.con.unregister("given")
         self.by_id = {i: t for t, i in self.ranks.items()}
+        self.names = {i: str(i) for i in self.by_id}
         self.forget()
 
     def forget(self) -> None:
@@ -114,15 +109,18 @@ class Encoder:
         """Encode words that are not tokens themselves by the recursive query."""
         sizes = np.array([len(r) for r in raws])
         ends = np.cumsum(sizes)
-        owner = np.repeat(np.arange(len(raws), dtype=np.int32), sizes)
-        pos = (np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)).astype(np.int32)
+        owner = np.repeat(np.arange(len(raws), dtype=np.int64), sizes)
+        pos = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
         ids = self.byte_ids[np.frombuffer(b"".join(raws), np.uint8)]
-        start = pa.table({"w": owner, "pos": pos, "id": ids})
+        start = pa.table({"k": owner << 32 | pos, "id": ids})
         self.con.register("start", start)
         rows = self.con.sql(ENCODE).to_arrow_table()
         self.con.unregister("start")
-        for i, k, s, h in zip(*(c.to_pylist() for c in rows.columns)):
-            self.words[words[i]] = (k, s, bytes.fromhex(h))
+        tokens = rows.column("id").to_pylist()
+        names, parts = list(map(self.names.__getitem__, tokens)), list(map(self.by_id.__getitem__, tokens))
+        first = np.flatnonzero(np.diff(rows.column("k").to_numpy() >> 32, prepend=-1)).tolist()  # every word has a token
+        for word, lo, hi in zip(words, first, [*first[1:], len(tokens)]):
+            self.words[word] = (hi - lo, " ".join(names[lo:hi]), b"".join(parts[lo:hi]))
 
     def learn(self, new) -> None:
         words, raws, size = [], [], 0
@@ -154,10 +152,13 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def _codec(path: str, pattern: str):
     def run(batches):
+        import gc
+
         import regex
         pieces = regex.compile(pattern).findall
         encoder = _ENCODERS.setdefault(path, None) or Encoder(path)
         _ENCODERS[path] = encoder  # kept while Spark reuses the worker
+        gc.disable()  # many small values, no cycles
         for batch in blocks(batches):
             cut = [pieces(t) for t in batch.column("text").to_pylist()]
             encoder.learn(set().union(*cut))
@@ -172,6 +173,7 @@ def _codec(path: str, pattern: str):
                                    pa.array(decoded, pa.string())],
                                   names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
         encoder.forget()
+        gc.enable()
     return run
 
 

@@ -83,6 +83,18 @@ def test_codec_matches_library_and_round_trips(spark):
     assert bpe.encode_digests(empty(spark)).count() == 0
 
 
+def test_words_of_one_query_keep_their_own_tokens():
+    """Words of one call, of one byte to a hundred, get their own ids in order, whatever stands beside them."""
+    import tiktoken
+    encoder = bpe.Encoder(bpe.vocabulary_path())
+    library = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=encoder.ranks, special_tokens={})
+    words = ["q", "zq", "\u0085", " ", "ab" * 50, "é", "zqxv", "日本"]
+    encoder._encode(words, [w.encode() for w in words])
+    for w in words:
+        ids = library.encode_ordinary(w)
+        assert encoder.words[w] == (len(ids), " ".join(map(str, ids)), w.encode()), w[:10]
+
+
 def test_word_memory_forgets_without_changing_results(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_WORDS", 5)
     encoder = bpe.Encoder(bpe.vocabulary_path())
