@@ -161,7 +161,8 @@ def _places(window: int, rounds: int):
             least = np.minimum.reduceat(ids, np.flatnonzero(new)) if len(at) else ids
             repeated = np.zeros(len(at), bool)
             repeated[order] = ids > least[np.cumsum(new) - 1]
-            place = (tag[owner] << U(32)) | (at - words.bounds[owner]).astype(np.uint64)
+            # doc_id and tag stand beside each other in a row, and compress together
+            place = ((at - words.bounds[owner]).astype(np.uint64) << U(32)) | tag[owner]
             yield from _known(at[repeated], owner[repeated], doc, place[repeated])
             at, owner, place = at[~repeated], owner[~repeated], place[~repeated]
             key = keys[at]
@@ -233,12 +234,12 @@ def _repeats(batches):
         change[1:] = row[hit][1:] != row[hit][:-1]
         first, length = _ranges(nth[hit], change)
         head = hit[first]
-        yield _spans(doc[row[head]], place[row[head]] + nth[head], length.astype(np.int64))
+        yield _spans(doc[row[head]], place[row[head]] + (nth[head] << 32), length.astype(np.int64))
 
 
 def _spans(doc, place, n) -> pa.RecordBatch:
     """Rows of ``SPANS``: of a text, told by doc_id and tag, ``n`` windows from a word on."""
-    tag, at = (place >> 32) & 0xFFFFFFFF, place & 0xFFFFFFFF
+    at, tag = (place >> 32) & 0xFFFFFFFF, place & 0xFFFFFFFF
     return pa.record_batch([pa.array(doc, pa.int64()), pa.array(tag, pa.int64()), pa.array(at << 32 | n, pa.int64())],
                            names=["doc_id", "tag", "span"])
 

@@ -160,3 +160,15 @@ def test_windows_alike_in_half_of_their_hash_are_not_repeats(monkeypatch):
     places = pa.Table.from_batches(recompression._places(13, 2)([batch])).sort_by([("key", "ascending"), ("doc_id", "ascending")])
     assert places.num_rows
     assert not sum(b.num_rows for b in recompression._repeats(places.combine_chunks().to_batches()))
+
+
+def test_rows_of_a_text_share_the_low_half_of_their_place():
+    """Beside doc_id stands the text's tag, equal in all rows of a text, then the word index."""
+    texts = [" ".join(f"w{i}v{k % 97}" for k in range(200)) for i in (1, 2)] * 2
+    batch = pa.record_batch([pa.array([5, 6, 7, 8], pa.int64()), pa.array(texts), pa.array([-3, 11 << 40 | 9, -3, 11 << 40 | 9], pa.int64())],
+                            names=["doc_id", "text", "tag"])
+    rows = pa.Table.from_batches(recompression._places(13, recompression.ROUNDS)([batch]))
+    doc, place = (rows.column(c).to_numpy() for c in ("doc_id", "place"))
+    assert set(doc.tolist()) == {5, 6, 7, 8}
+    assert ((place & 0xFFFFFFFF) == np.where(doc % 2 == 1, 0xFFFFFFFD, 9)).all()
+    assert (place >> 32).min() == 0 and (place >> 32).max() <= 187
