@@ -16,10 +16,12 @@ columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,10 +30,16 @@ from .common import blocks, documents, map_arrow, written
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a task remembers; it starts afresh beyond that.
+#: Words and signs whose ids a task remembers; those not met again are forgotten beyond that.
 CACHE_WORDS = 400_000
+#: Texts of one block, in bytes: the more at once, the fewer words are met again.
+BLOCK = 16 << 20
+#: Words of texts whose ids are put together at once.
+STRETCH = 500_000
 #: Signs that may follow a word's letters; the tokenizer cuts between the two.
 SIGNS = ".,;:!?&$*#%"
+#: Letters that normalization leaves as they are, but for case.
+LATIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -41,15 +49,19 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
-class WordIds(dict):
-    """Word -> its ids as little-endian 32-bit bytes.  The tokenizer drops white
-    space and never joins across it, so a text's ids are its words' ids.  Nor
-    does it join letters with the signs after them, and it ignores case: words
-    of letters are learned once, in lower case, many to a call."""
+class WordIds:
+    """Ids of distinct words.  The tokenizer drops white space and never joins
+    across it, so a text's ids are its words' ids.  Words of letters are learned many
+    to a call.  Latin ones are cut from the signs after them and learned once, in
+    lower case, by the tokenizer's model alone: its other steps ignore case and
+    leave such words as they are.  Other letters may hold marks, which join signs."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         size = max(self.tokenizer.get_vocab().values()) + 1
@@ -63,82 +75,113 @@ class WordIds(dict):
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 self.parts[w] = np.asarray(e.ids, dtype="<u4").tobytes()
 
-    def _letters(self, words: list[str]) -> None:
+    def _letters(self, tokenizer, words: list[str]) -> None:
         groups = [words[lo:lo + 200] for lo in range(0, len(words), 200)]
-        joined = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
-        for group, e in zip(groups, joined):
-            ids = np.asarray(e.ids, dtype="<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(group):
-                self._plain(group)
-                continue
-            raw, lo = ids.tobytes(), 0
-            for w, hi in zip(group, (cuts * 4).tolist()):
-                self.parts[w] = raw[lo:hi]
-                lo = hi
+        for lo in range(0, len(groups), 100):
+            some = groups[lo:lo + 100]
+            joined = tokenizer.encode_batch_fast([" ".join(g) for g in some], add_special_tokens=False)
+            for group, e in zip(some, joined):
+                ids = np.asarray(e.ids, dtype="<u4")
+                cuts = np.flatnonzero(self.ends[ids]) + 1
+                if len(cuts) != len(group):
+                    self._plain(group)
+                    continue
+                raw, at = ids.tobytes(), 0
+                for w, hi in zip(group, (cuts * 4).tolist()):
+                    self.parts[w] = raw[at:hi]
+                    at = hi
 
     def forget(self) -> None:
         """Give the memory of words back: a worker outlives its tasks."""
-        self.clear()
         self.parts, self.older = {}, {}
+        pa.default_memory_pool().release_unused()
 
-    def learn(self, words: set[str]) -> None:
-        """Make the ids of ``words`` known."""
+    def _encode(self, words: list[str]) -> None:
+        latin = re.compile(LATIN).match
+        self._letters(self.bare, [w for w in words if latin(w)])
+        self._letters(self.tokenizer, [w for w in words if not latin(w)])
+
+    def _learned(self, words: list[str], encode) -> list[bytes]:
+        """Ids of distinct words; ``encode`` learns those not known."""
+        if self.older:
+            again = [w for w in words if w not in self.parts and w in self.older]
+            self.parts.update(zip(again, map(self.older.__getitem__, again)))
+        encode([w for w in words if w not in self.parts])
+        return list(map(self.parts.__getitem__, words))
+
+    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all distinct ``words`` one after the other, and how many each has."""
         if len(self.parts) > CACHE_WORDS // 2:  # parts not met again since the last time are forgotten
             self.older, self.parts = self.parts, {}
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        new = words.difference(self)
-        # words of letters alone, in lower case; a final sigma has two lower cases
-        alone = [w for w in new if w.isalpha() and "\u03a3" not in w]
-        lower = list(map(str.lower, alone))
-        if not all(map(str.isalpha, lower)):  # a letter whose lower case is more than a letter
-            alone = [w for w in alone if w.lower().isalpha()]
-            lower = list(map(str.lower, alone))
-        tailed, plain = [], set()
-        for w in new.difference(alone):
-            core = w.rstrip(SIGNS)
-            key = core.lower()
-            if key.isalpha() and "\u03a3" not in core:
-                tailed.append((w, key, w[len(core):]))
-            else:
-                plain.add(w)
-        letters = {*lower, *[key for _, key, _ in tailed]}
-        whole = plain | {tail for _, _, tail in tailed}
-        for group, encode in ((letters, self._letters), (whole, self._plain)):
-            group -= self.parts.keys()
-            again = group & self.older.keys()
-            self.parts.update(zip(again, map(self.older.__getitem__, again)))
-            encode(list(group - again))
-        parts = self.parts
-        self.update(zip(alone, map(parts.__getitem__, lower)))
-        self.update(zip(plain, map(parts.__getitem__, plain)))
-        for w, key, tail in tailed:
-            self[w] = parts[key] + parts[tail]
+        core = pc.utf8_rtrim(words, SIGNS)
+        signs = pc.binary_length(words).to_numpy() - pc.binary_length(core).to_numpy()
+        latin = pc.match_substring_regex(core, LATIN)
+        lettered = pc.or_(latin, pc.utf8_is_alpha(words))
+        key = pc.if_else(latin, pc.utf8_lower(core), core)
+        letters = key.filter(lettered).dictionary_encode()
+        lettered = lettered.to_numpy(zero_copy_only=False)
+        signed, plain = np.flatnonzero(lettered & (signs > 0)), np.flatnonzero(~lettered)
+        rest = pa.array([w[-n:] for w, n in zip(words.take(pa.array(signed)).to_pylist(), signs[signed].tolist())]
+                        + words.take(pa.array(plain)).to_pylist(), pa.string()).dictionary_encode()
+        parts = self._learned(letters.dictionary.to_pylist(), self._encode) + \
+            self._learned(rest.dictionary.to_pylist(), self._plain) + [b""]
+        first = np.full(len(words), len(parts) - 1)
+        second = first.copy()
+        first[lettered] = letters.indices.to_numpy()
+        second[np.concatenate([signed, plain])] = len(letters.dictionary) + rest.indices.to_numpy()
+        sizes = np.array(list(map(len, parts)), np.int64) // 4
+        both = np.column_stack([first, second]).ravel()
+        return _gathered(np.frombuffer(b"".join(parts), "<u4"), sizes, both), sizes[first] + sizes[second]
+
+
+def _gathered(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Stretches of ``flat``, which has one of each size after the other, in the order ``which``."""
+    n = sizes[which]
+    shift = (np.cumsum(sizes) - sizes)[which] - (np.cumsum(n) - n)
+    return flat[np.repeat(shift, n) + np.arange(n.sum())]
 
 
 #: Tokenizers kept while Spark reuses a worker; their words go with each task.
 _KNOWN: dict[str, WordIds] = {}
 
 
-def _tokenize(path: str, capacity: int, end_id: int):
-    end = np.asarray([end_id], dtype="<u4").tobytes()
+def _texts_ids(known: WordIds, text: pa.Array, end_id: int):
+    """Ids of each text and the end id, as bytes."""
+    text = pc.fill_null(text, "")
+    for sign in "\n\t":
+        text = pc.replace_substring(text, sign, " ")
+    split = pc.split_pattern(text, " ")
+    bounds = np.append(0, np.cumsum(pc.list_value_length(split).to_numpy().astype(np.int64)))
+    coded = split.flatten().dictionary_encode()
+    del text, split
+    flat, sizes = known.ids(coded.dictionary)
+    flat, sizes, end = np.append(flat, np.uint32(end_id)), np.append(sizes, 1), len(sizes)
+    at, lo = coded.indices.to_numpy(), 0
+    while lo < len(bounds) - 1:
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + STRETCH, "right")) - 1)
+        ends = bounds[lo + 1:hi + 1] - bounds[lo]
+        words = np.insert(at[bounds[lo]:bounds[hi]], ends, end)
+        raw = memoryview(_gathered(flat, sizes, words).astype("<u4", copy=False)).cast("B")
+        cuts = 4 * np.cumsum(sizes[words])[ends + np.arange(hi - lo)]
+        start = 0
+        for stop in cuts.tolist():
+            yield raw[start:stop]
+            start = stop
+        lo = hi
+
 
+def _tokenize(path: str, capacity: int, end_id: int):
     def run(batches):
         import gc
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         known = _KNOWN.get(path)
-        if known is None:  # one without words is false
+        if known is None:
             known = _KNOWN[path] = WordIds(path)
         gc.disable()  # many small values, no cycles
-        for batch in blocks(batches):
-            words = [(t or "").replace("\n", " ").replace("\t", " ").split(" ")
-                     for t in batch.column("text").to_pylist()]
-            known.learn(set().union(*words))
-            ids_of, out = known.__getitem__, ([], [], [], [], [])
-            for doc, ws in zip(batch.column("doc_id").to_pylist(), words):
-                ids = b"".join(map(ids_of, ws)) + end
+        for batch in blocks(batches, limit=BLOCK):
+            out = ([], [], [], [], [])
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), _texts_ids(known, batch.column("text"), end_id)):
                 for piece, lo in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[lo:lo + 4 * capacity]
                     for col, v in zip(out, (doc, piece, lo // 4, len(part) // 4, zlib.crc32(part))):

@@ -106,3 +106,36 @@ def test_word_memory_forgets_without_changing_results(monkeypatch):
             first.setdefault(w, encoder.words[w])
             assert encoder.words[w] == first[w]
             assert encoder.words[w][2].decode() == w
+
+
+def test_words_and_signs_match_the_tokenizer():
+    """Letters that normalization takes apart end in a mark, which joins the sign after it."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    tokenizer, known = Tokenizer.from_file(packing.tokenizer_path()), packing.WordIds(packing.tokenizer_path())
+    texts = ["क़. aक़!", "İ. İstanbul, AİB.", "École, ÉCOLE! été... ÿ? ß& straße.", "Война, мир.", "", None,
+             "  a.  B,\n\nc\td e.\rf ", "K Å. ‘Yes.’ <|endoftext|> x<|startoftext|>."]
+    texts += [f"{chr(c)}. a{chr(c)}b, É{chr(c)}?!" for c in [*range(1, 0xD800, 7), *range(0xC0, 0x250)]]
+    for _ in range(2):  # learned, then known
+        got = [np.frombuffer(x, "<u4").tolist() for x in packing._texts_ids(known, pa.array(texts), 1)]
+        assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+
+
+def test_a_word_is_encoded_once_by_the_model_alone():
+    import pyarrow as pa
+    known, seen = packing.WordIds(packing.tokenizer_path()), {}
+
+    class Counted:
+        def __init__(self, name):
+            self.name, self.inner = name, getattr(known, name)
+
+        def encode_batch_fast(self, texts, **kw):
+            seen[self.name] = seen.get(self.name, []) + " ".join(texts).split()
+            return self.inner.encode_batch_fast(texts, **kw)
+
+    for name in ("bare", "tokenizer"):
+        setattr(known, name, Counted(name))
+    for _ in range(2):
+        list(packing._texts_ids(known, pa.array(["Word, word; WORD été! ÉTÉ 12", "word. мир word"] * 50), 1))
+    assert sorted(seen["bare"]) == ["word", "été"]
+    assert sorted(seen["tokenizer"]) == sorted([",", ";", "!", ".", "12", "мир"])
