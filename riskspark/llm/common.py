@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
@@ -71,10 +72,23 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def give_back() -> None:
+    """Return memory that Arrow and the C library keep for later to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, fn, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with the package shipped to the workers."""
+    """``mapInArrow`` with the package shipped to the workers.  A task gives its
+    memory back when it ends: its worker waits beside those of later stages."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        yield from fn(batches)
+        give_back()
+    return df.mapInArrow(run, schema)
 
 
 def blocks(batches, column: str = "text", limit: int = BLOCK_BYTES):

@@ -32,10 +32,8 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words and signs whose ids a task remembers; those not met again are forgotten beyond that.
 CACHE_WORDS = 400_000
-#: Texts of one block, in bytes: the more at once, the fewer words are met again.
-BLOCK = 16 << 20
 #: Words of texts whose ids are put together at once.
-STRETCH = 500_000
+STRETCH = 250_000
 #: Signs that may follow a word's letters; the tokenizer cuts between the two.
 SIGNS = ".,;:!?&$*#%"
 #: Letters that normalization leaves as they are, but for case.
@@ -94,7 +92,6 @@ class WordIds:
     def forget(self) -> None:
         """Give the memory of words back: a worker outlives its tasks."""
         self.parts, self.older = {}, {}
-        pa.default_memory_pool().release_unused()
 
     def _encode(self, words: list[str]) -> None:
         latin = re.compile(LATIN).match
@@ -179,7 +176,7 @@ def _tokenize(path: str, capacity: int, end_id: int):
         if known is None:
             known = _KNOWN[path] = WordIds(path)
         gc.disable()  # many small values, no cycles
-        for batch in blocks(batches, limit=BLOCK):
+        for batch in blocks(batches):
             out = ([], [], [], [], [])
             for doc, ids in zip(batch.column("doc_id").to_pylist(), _texts_ids(known, batch.column("text"), end_id)):
                 for piece, lo in enumerate(range(0, len(ids), 4 * capacity)):

@@ -43,6 +43,9 @@ from .wordhash import U, Words, mix, runs
 WINDOW = 13
 ROUNDS = 2
 
+#: Words whose windows' keys are found at once.
+PART_WORDS = 50_000
+
 #: Bytes of a window's hash that travel, and bits of the hash of its symbol.
 CHECK = 7
 KEY_BITS = 32
@@ -127,6 +130,21 @@ def window_keys(hashes: np.ndarray, text: np.ndarray, window: int, rounds: int)
     return best
 
 
+def keys_by_parts(hashes: np.ndarray, bounds: np.ndarray, text: np.ndarray, window: int, rounds: int,
+                  most: int = PART_WORDS) -> np.ndarray:
+    """``window_keys`` of texts (words from ``bounds`` to the next) over ``most``
+    words at a time, or one longer text: a key depends on its text alone, and the
+    arrays on the way take many times the words' memory."""
+    best, lo = np.zeros(len(hashes), np.uint64), 0
+    while lo < len(bounds) - 1:
+        hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + most, "right")) - 1)
+        part = slice(bounds[lo], bounds[hi])
+        if part.stop > part.start:
+            best[part] = window_keys(hashes[part], text[part], window, rounds)
+        lo = hi
+    return best
+
+
 def _ranges(at: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First index and length of each stretch of neighbouring ``at``, cut also where ``breaks``."""
     if not len(at):
@@ -147,7 +165,7 @@ def _places(window: int, rounds: int):
                 continue
             sizes = np.diff(words.bounds)
             text = np.repeat(np.arange(len(sizes)), sizes)
-            keys = window_keys(hashes, text, window, rounds)
+            keys = keys_by_parts(hashes, words.bounds, text, window, rounds)
             full = runs(hashes, window)
             at = np.flatnonzero(text[:n - window + 1] == text[window - 1:])
             doc = batch.column("doc_id").to_numpy()

@@ -19,6 +19,8 @@ WORD_OR_SIGN[[i for i in range(0x21, 0x7F) if not chr(i).isalnum()]] = 2
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 U = np.uint64
+#: Words hashed at once.
+PART_WORDS = 50_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -70,9 +72,16 @@ class Words:
             return np.empty(0, np.uint64)
         begin = np.zeros(len(lengths), np.int64)
         np.cumsum(lengths[:-1], out=begin[1:])
-        place = np.arange(begin[-1] + lengths[-1]) - np.repeat(begin, lengths)
-        terms = (self.buf[self._solid].astype(np.uint64) + U(1)) * _multipliers(int(lengths.max()))[place]
-        return mix(np.add.reduceat(terms, begin) + lengths.astype(np.uint64))
+        factor, solid = _multipliers(int(lengths.max())), self.buf[self._solid]
+        total = np.empty(len(lengths), np.uint64)
+        for lo in range(0, len(lengths), PART_WORDS):  # a byte takes many times its size on the way
+            n, at = lengths[lo:lo + PART_WORDS], begin[lo:lo + PART_WORDS]
+            at, first = at - at[0], at[0]
+            size = int(at[-1] + n[-1])
+            place = np.arange(size) - np.repeat(at, n)
+            terms = (solid[first:first + size].astype(np.uint64) + U(1)) * factor[place]
+            total[lo:lo + PART_WORDS] = np.add.reduceat(terms, at)
+        return mix(total + lengths.astype(np.uint64))
 
 
 def runs(hashes: np.ndarray, width: int, seed: int = 1) -> np.ndarray:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from corpus import AWKWARD, LOWER, empty, frame, rows, sample_texts, words
 
-from riskspark.llm import ngram_join, recompression
+from riskspark.llm import ngram_join, recompression, wordhash
 from riskspark.llm.components import connected
 
 
@@ -172,3 +172,30 @@ def test_rows_of_a_text_share_the_low_half_of_their_place():
     assert set(doc.tolist()) == {5, 6, 7, 8}
     assert ((place & 0xFFFFFFFF) == np.where(doc % 2 == 1, 0xFFFFFFFD, 9)).all()
     assert (place >> 32).min() == 0 and (place >> 32).max() <= 187
+
+
+def test_keys_and_hashes_by_parts_equal_those_of_the_whole(monkeypatch):
+    texts = sample_texts(n=40) + ["", "a b c", "a " * 500, "x y z " * 300]
+    words = wordhash.Words(pa.array(texts))
+    hashes = words.hashes()
+    text = np.repeat(np.arange(len(texts)), np.diff(words.bounds))
+    valid = np.flatnonzero(text[:-12] == text[12:])
+    want = recompression.window_keys(hashes, text, 13, 2)[valid]
+    for most in (1, 100, 10**9):
+        assert (recompression.keys_by_parts(hashes, words.bounds, text, 13, 2, most)[valid] == want).all()
+        monkeypatch.setattr(wordhash, "PART_WORDS", most)
+        assert (words.hashes() == hashes).all()
+
+
+def test_windows_of_a_block_take_a_bounded_part_of_memory():
+    import tracemalloc
+    rng = np.random.default_rng(1)
+    texts = [" ".join(map("w{}".format, rng.integers(0, 50_000, 500))) for _ in range(600)]
+    batch = pa.record_batch([pa.array(range(600), pa.int64()), pa.array(texts), pa.array(range(600), pa.int64())],
+                            names=["doc_id", "text", "tag"])
+    tracemalloc.start()
+    rows = sum(len(c) // recompression.CHECK for b in recompression._places(13, 2)(iter([batch])) for c in b.column("checks").to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 600 * 488
+    assert peak < 25 * batch.column("text").nbytes
