@@ -6,9 +6,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from corpus import AWKWARD, LOWER, empty, frame, rows, sample_texts, words
 
-from riskspark.llm import ngram_join, recompression, wordhash
+from riskspark.llm import common, ngram_join, recompression, wordhash
 from riskspark.llm.components import connected
 
 
@@ -199,3 +200,29 @@ def test_windows_of_a_block_take_a_bounded_part_of_memory():
     tracemalloc.stop()
     assert rows == 600 * 488
     assert peak < 25 * batch.column("text").nbytes
+
+
+def test_arrow_batches_hold_a_block(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.nbytes])], names=["n"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    docs = spark.range(12_000).coalesce(1).selectExpr("repeat(cast(id as string), 400) as text")
+    try:
+        got = [r["n"] for r in common.map_arrow(docs, sizes, "n long").collect()]
+        assert len(got) > 1 and max(got) < 1.5 * common.BLOCK_BYTES
+        spark.conf.set(key, str(16 << 20))  # a session's own size stays
+        assert max(r["n"] for r in common.map_arrow(docs, sizes, "n long").collect()) > 2 * common.BLOCK_BYTES
+    finally:
+        spark.conf.unset(key)
+
+
+def test_counting_in_place_equals_bincount():
+    texts = pa.array(sample_texts(n=20))
+    (batch,) = ngram_join._count_rows(4, 12)([pa.record_batch([texts], names=["text"])])
+    got = {p: np.frombuffer(zstandard.ZstdDecompressor().decompress(c), np.int64)
+           for p, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())}
+    want = np.bincount((np.concatenate(ngram_join.shingle_sets(texts, 4)) >> np.uint64(52)).astype(int), minlength=1 << 12)
+    assert np.concatenate([got[p] for p in sorted(got)]).tolist() == want.tolist()
