@@ -1,6 +1,9 @@
 """Many scores ranked in one job, and early stopping on them, against brute force."""
 
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -44,6 +47,29 @@ def test_auc_of_many_scores(spark, edge_rows, edges):
     assert all(r["auc"] == got[r["part"], r["score"]]["auc"] for r in some)
 
 
+def test_values_travel_by_stretch():
+    """A task sends one row per stretch, not one per value, and pairs beyond 64 bits count."""
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(5_000, 2)), rng.integers(0, 2, 5_000)
+    batch = pa.record_batch([pa.array(np.zeros(5_000), pa.int32()), pa.array(y, pa.int32()), pa.array(list(x))], names=["part", "label", "x"])
+    edges = [np.array([-0.5, 0.5])] * 2
+    shared = SimpleNamespace(value=(stages.own_scores, edges, {0: {0: np.array([4, 0]), 1: np.array([2])}}))
+    sent = pa.Table.from_batches(stages._values(shared)([batch]))
+    assert sent.select(["score", "bucket"]).to_pylist() == [{"score": i, "bucket": b} for i, b in ((0, 0), (0, 4), (1, 2))]
+    inside = [x[:, 0] < -0.5, x[:, 0] > 0.5, (x[:, 1] > -0.5) & (x[:, 1] < 0.5)]
+    assert [len(v) for v in sent.column("value").to_pylist()] == [w.sum() for w in inside]
+    # in batches of any size
+    for rows in (1, 2, 3):
+        got = [r for out in stages._inside(sent.to_batches(rows)) for r in out.to_pylist()]
+        for i in (0, 1):
+            pairs = sum(2 * brute_auc(y[w], x[w, j]) * y[w].sum() * (1 - y[w]).sum()
+                        for j, w in zip((0, 0, 1), inside) if j == i)
+            assert float(sum(r["_in"] for r in got if r["score"] == i)) == pytest.approx(pairs)
+    many = pa.table({"part": pa.array([0], pa.int32()), "score": pa.array([0], pa.int32()), "bucket": pa.array([0], pa.int32()),
+                     "value": [[1.0, 2.0]], "pos": [[3, 10 ** 10]], "neg": [[10 ** 10, 1]]})
+    assert stages._ordered_pairs(many).column("_in").to_pylist() == [3 * 10 ** 10 + 10 ** 10 * (2 * 10 ** 10 + 1)]
+
+
 def test_scores_without_a_class_or_rows(spark):
     one = stages.ranked_scores(scored(spark, [1, 1, None], [[1.0], [2.0], [0.0]]), "scores")
     assert [r["auc"] for r in one.exact().collect()] == [None]
